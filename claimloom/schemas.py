@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The files a delivery consists of, and the header line each must carry.
@@ -231,6 +233,12 @@ SORT_COLUMNS = {
 }
 
 
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty table that the optimizer knows to be empty, so joins with it vanish."""
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).select(*nothing).filter(F.lit(False))
+
+
 @dataclass(frozen=True)
 class Dimension:
     """A slowly changing dimension: a change in a tracked attribute opens a new version."""

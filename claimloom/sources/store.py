@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimloom.schemas import no_rows
 from claimloom.sources.paths import Folder
 
 _RUN = re.compile(r"run=([0-9A-Za-z._-]+)")
@@ -64,14 +65,14 @@ class Store:
         """The table as of its last run (before the given one)."""
         runs = self.runs(table, before)
         if not runs:
-            return self.spark.createDataFrame([], _nullable(schema))
+            return no_rows(self.spark, schema)
         return self.spark.read.schema(schema).parquet(self._run(table, runs[-1]).path)
 
     def read_all(self, table: str, schema: T.StructType, before: str | None = None) -> DataFrame:
         """Every run of a table that is appended to."""
         paths = [self._run(table, r).path for r in self.runs(table, before)]
         if not paths:
-            return self.spark.createDataFrame([], _nullable(schema))
+            return no_rows(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
     def drop_superseded(self, table: str, keep: int = 2) -> None:
@@ -123,10 +124,7 @@ class Store:
             if paths
         ]
         if not sides:
-            return self.spark.createDataFrame([], _nullable(schema))
+            return no_rows(self.spark, schema)
         both = sides[0] if len(sides) == 1 else sides[0].unionByName(sides[1])
         return both.select(*schema.fieldNames())
 
-
-def _nullable(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])

@@ -20,7 +20,7 @@ _CLAIM = """
     CASE o_orderstatus WHEN 'F' THEN ' Closed' WHEN 'O' THEN 'OPEN' ELSE 'Denied ' END AS claim_status"""
 
 _CLAIM_END = """
-    CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice / 2 END AS approved_amount,
+    CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice - 100 END AS approved_amount,
     TIMESTAMP '2024-01-01 00:00:00' AS created_at, TIMESTAMP '2024-01-02 00:00:00' AS updated_at"""
 
 SOURCES = {
@@ -58,7 +58,7 @@ SOURCES = {
         FROM part
         UNION ALL
         SELECT p_partkey, concat('POL', CAST(p_partkey AS VARCHAR(20))), 'Basic',
-               DATE '2019-01-01' + p_size, DATE '2020-01-01' + p_size, p_retailprice / 2,
+               DATE '2019-01-01' + p_size, DATE '2020-01-01' + p_size, p_retailprice - 10,
                TIMESTAMP '2022-03-01 08:00:00', TIMESTAMP '2022-06-01 08:00:00'
         FROM part WHERE p_size < 5""",
     "claims_v1": f"""
@@ -105,7 +105,7 @@ DAYS = {
                CASE WHEN employer_id % 7 = 0 THEN NULL ELSE location END AS location,
                policy_id, created_at, updated_at
         FROM employers WHERE industry <> 'EUROPE'""",
-    ("policies", 1): "SELECT * FROM policies WHERE start_date >= DATE '2019-01-01' + 10",
+    ("policies", 1): "SELECT * FROM policies WHERE start_date > DATE '2020-01-06'",
     ("policies", 2): """
         SELECT policy_id, policy_number,
                CASE WHEN policy_id % 6 = 0 THEN 'Premium' WHEN policy_id % 11 = 0 THEN NULL
@@ -119,7 +119,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One source as a DataFrame over the Parquet tables."""
-    for table in TABLES:
+    for table in [t for t in TABLES if t in SOURCES[name]]:
         spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
     return spark.sql(SOURCES[name])
 
