@@ -26,7 +26,7 @@ from claimloom.operators import calendar, evolution, quality, repair, scd2, stag
 from claimloom.operators.keys import number_rows  # noqa: E402
 from claimloom.plans import entities, facts, views  # noqa: E402
 from claimloom.plans.pipeline import RunResult, Warehouse  # noqa: E402
-from claimloom.schemas import CLAIMANT, DIMENSIONS, EMPLOYER, POLICY, STAGING, Dimension, no_rows  # noqa: E402
+from claimloom.schemas import CLAIMANT, DIMENSIONS, EMPLOYER, POLICY, STAGING, Dimension  # noqa: E402
 from claimloom.sources import deliveries  # noqa: E402
 from claimloom.sources.paths import work_folder  # noqa: E402
 
@@ -76,7 +76,7 @@ def _newest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _first_load(spark: SparkSession, sf_dir: str, spec: Dimension, day: int | None = None) -> DataFrame:
-    return scd2.merge(no_rows(spark, spec.schema), _entity(spark, sf_dir, spec.entity, day), spec, DAY1)
+    return scd2.merge(None, _entity(spark, sf_dir, spec.entity, day), spec, DAY1)
 
 
 def _merge(spark: SparkSession, sf_dir: str, spec: Dimension) -> DataFrame:

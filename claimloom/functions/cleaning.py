@@ -7,20 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def trim_strings(df: DataFrame) -> DataFrame:
-    """Strip blanks (U+0020) around every string column, in one projection."""
-    return df.select(
-        *[
-            F.trim(field.name).alias(field.name) if isinstance(field.dataType, T.StringType) else F.col(field.name)
-            for field in df.schema.fields
-        ]
-    )
-
-
-def ensure_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Add the columns of ``schema`` that the delivery lacks, as typed NULLs."""
-    missing = [f for f in schema.fields if f.name not in df.columns]
-    return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
+def trimmed(field: T.StructField) -> Column:
+    """A text column without blanks (U+0020) around it; any other column as it is."""
+    return F.trim(field.name) if isinstance(field.dataType, T.StringType) else F.col(field.name)
 
 
 def try_convert(column: Column, source: T.DataType, target: T.DataType) -> Column:
@@ -33,15 +22,25 @@ def try_convert(column: Column, source: T.DataType, target: T.DataType) -> Colum
     return column.try_cast(target)
 
 
-def convert_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Give the columns named in ``schema`` their type; leave all others alone."""
-    target = {f.name: f.dataType for f in schema.fields}
-    return df.select(
-        *[
-            try_convert(F.col(f.name), f.dataType, target[f.name]).alias(f.name) if f.name in target else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+def conform(df: DataFrame, schema: T.StructType, **derived: Column) -> DataFrame:
+    """Clean a delivery in one projection.
+
+    Text is trimmed, columns named in ``schema`` get their type, those the delivery
+    lacks are added as NULL, columns nobody asked for flow on.  ``derived`` replaces
+    a column by, or adds, an expression over the delivered ones.
+    """
+    wanted = {f.name: f.dataType for f in schema.fields}
+    present = [
+        try_convert(trimmed(f), f.dataType, wanted.get(f.name, f.dataType)).alias(f.name)
+        for f in df.schema.fields
+        if f.name not in derived
+    ]
+    absent = [
+        F.lit(None).cast(kind).alias(name)
+        for name, kind in wanted.items()
+        if name not in df.columns and name not in derived
+    ]
+    return df.select(*present, *absent, *[column.alias(name) for name, column in derived.items()])
 
 
 def date_key(column: Column) -> Column:

@@ -84,7 +84,7 @@ def merge_steps(dim: DataFrame, staged: DataFrame, spec: Dimension, as_of: datet
 
 
 def load_changes(
-    dim: DataFrame,
+    dim: DataFrame | None,
     staged: DataFrame,
     spec: Dimension,
     as_of: datetime.date,
@@ -92,27 +92,29 @@ def load_changes(
 ) -> DataFrame:
     """Every row the load writes: open rows, kept or just closed, and inserted versions.
 
-    Earlier history is not part of it; it never changes in a load.
+    Earlier history is not part of it; it never changes in a load.  ``dim`` is None
+    before the first load.
     """
+    if dim is None:
+        arrivals = staged.filter(F.col("is_current")).withColumn("_open", F.lit(None).cast("boolean"))
+        return number_rows(new_versions(arrivals, spec, as_of), spec.surrogate_key, 0, [spec.natural_key], landing)
     judged = judge_open(dim, staged, spec)
     arrivals = _arrivals(dim, judged, staged, spec)
-    effective_from = F.when(
-        F.col("_open").isNull(), F.coalesce(F.col("effective_from"), F.lit(as_of))
-    ).otherwise(F.lit(as_of))
-    without_open_row = arrivals.filter(~F.coalesce(F.col("_open"), F.lit(False)))
-    inserted = _as_versions(without_open_row, spec, effective_from)
+    unseen = F.col("_open").isNull()
+    since = F.when(unseen, F.coalesce(F.col("effective_from"), F.lit(as_of))).otherwise(F.lit(as_of))
+    inserted = _as_versions(arrivals.filter(unseen | ~F.col("_open")), spec, since)
     last_key = dim.agg(F.max(spec.surrogate_key)).first()[0] or 0
     keyed = number_rows(inserted, spec.surrogate_key, last_key, [spec.natural_key], landing)
     return closed_on(judged, as_of).unionByName(keyed)
 
 
 def merge(
-    dim: DataFrame,
+    dim: DataFrame | None,
     staged: DataFrame,
     spec: Dimension,
     as_of: datetime.date,
     landing: str | None = None,
 ) -> DataFrame:
     """The whole dimension after the load."""
-    history = dim.filter(~F.col("is_current"))
-    return history.unionByName(load_changes(dim, staged, spec, as_of, landing))
+    changes = load_changes(dim, staged, spec, as_of, landing)
+    return changes if dim is None else dim.filter(~F.col("is_current")).unionByName(changes)

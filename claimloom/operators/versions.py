@@ -31,19 +31,21 @@ def flag_newest(
     exist.  With none, AQE drops the second branch, scan included.
     """
     hot = df.groupBy(key).count().filter(F.col("count") > hot_key_rows).select(key)
-    columns = [F.col(c) for c in df.columns if c != flag]
 
-    cold_rows = df.join(F.broadcast(hot), key, "left_anti").select(*columns)
-    cold = cold_rows.withColumn(flag, F.row_number().over(Window.partitionBy(key).orderBy(*order)) == 1)
+    def rank(*within: str) -> Column:
+        return F.row_number().over(Window.partitionBy(key, *within).orderBy(*order))
 
-    slices = df.join(F.broadcast(hot), key, "left_semi").select(*columns, F.spark_partition_id().alias("_slice"))
-    slice_rank = F.row_number().over(Window.partitionBy(key, "_slice").orderBy(*order))
+    cold = df.join(F.broadcast(hot), key, "left_anti").withColumn(flag, rank() == 1)
     # Heads meet in round -1; the others stay apart in their slice.
-    entered = slices.withColumn("_round", F.when(slice_rank == 1, F.lit(-1)).otherwise(F.col("_slice")))
-    final_rank = F.row_number().over(Window.partitionBy(key, "_round").orderBy(*order))
-    hot_flagged = entered.withColumn(flag, (F.col("_round") == -1) & (final_rank == 1))
-
-    return cold.unionByName(hot_flagged.drop("_slice", "_round"))
+    next_round = F.when(rank("_slice") == 1, F.lit(-1)).otherwise(F.col("_slice"))
+    flagged = (
+        df.join(F.broadcast(hot), key, "left_semi")
+        .withColumn("_slice", F.spark_partition_id())
+        .withColumn("_round", next_round)
+        .withColumn(flag, (F.col("_round") == -1) & (rank("_round") == 1))
+        .drop("_slice", "_round")
+    )
+    return cold.unionByName(flagged)
 
 
 def keep_newest(df: DataFrame, key: str, order: list[Column]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimloom.functions.cleaning import convert_columns, ensure_columns, trim_strings, try_convert
+from claimloom.functions.cleaning import conform, trimmed, try_convert
 from claimloom.operators.versions import HOT_KEY_ROWS, flag_newest, keep_newest, newest_first
 from claimloom.schemas import STAGING
 
@@ -19,9 +19,8 @@ def _source_columns(entity: str) -> T.StructType:
     return T.StructType([f for f in STAGING[entity].fields if f.name not in _DERIVED])
 
 
-def _clean(raw: DataFrame, entity: str) -> DataFrame:
-    schema = _source_columns(entity)
-    return convert_columns(ensure_columns(trim_strings(raw), schema), schema)
+def _clean(raw: DataFrame, entity: str, **derived: Column) -> DataFrame:
+    return conform(raw, _source_columns(entity), **derived)
 
 
 def _versions(
@@ -65,21 +64,25 @@ def payments(raw: DataFrame) -> DataFrame:
     return keep_newest(rows, "payment_id", newest_first(rows, "created_at", "payment_id"))
 
 
-def _claim_file(raw: DataFrame) -> DataFrame:
+def _claim_file(raw: DataFrame, **derived: Column) -> DataFrame:
     """One claims file, cleaned; ``_match`` identifies a claim even if its id is not a number."""
-    schema = _source_columns("claims")
-    rows = ensure_columns(trim_strings(raw), schema)
-    types = {f.name: f.dataType for f in rows.schema.fields}
-    claim_id = try_convert(F.col("claim_id"), types["claim_id"], T.LongType())
-    if isinstance(types["claim_id"], T.StringType):
-        match = F.coalesce(claim_id.cast("string"), F.col("claim_id"))
-    else:
-        match = claim_id.cast("string")
+    fields = {f.name: f for f in raw.schema.fields}
+    claim_id = _typed(fields, "claim_id", T.LongType()).cast("string")
+    if "claim_id" in fields:
+        claim_id = F.coalesce(claim_id, trimmed(fields["claim_id"]).cast("string"))
     # No approval yet means nothing approved; text that is no number stays unknown.
-    amount = try_convert(F.col("approved_amount"), types["approved_amount"], T.DoubleType())
-    approved = F.when(F.col("approved_amount").isNull(), F.lit(0.0)).otherwise(amount)
-    prepared = rows.withColumns({"_match": match, "approved_amount": approved})
-    return convert_columns(prepared, schema).withColumn("claim_status", F.lower("claim_status"))
+    approved = F.lit(0.0)
+    if "approved_amount" in fields:
+        amount = _typed(fields, "approved_amount", T.DoubleType())
+        approved = F.when(trimmed(fields["approved_amount"]).isNotNull(), amount).otherwise(approved)
+    status = F.lower(_typed(fields, "claim_status", T.StringType()))
+    return _clean(raw, "claims", _match=claim_id, approved_amount=approved, claim_status=status, **derived)
+
+
+def _typed(fields: dict[str, T.StructField], name: str, target: T.DataType) -> Column:
+    if name not in fields:
+        return F.lit(None).cast(target)
+    return try_convert(trimmed(fields[name]), fields[name].dataType, target)
 
 
 def all_claims(v1: DataFrame, v2: DataFrame) -> DataFrame:
@@ -89,7 +92,7 @@ def all_claims(v1: DataFrame, v2: DataFrame) -> DataFrame:
     up on its build side; a hot id in v1 is on the side AQE can split.
     """
     newer = _claim_file(v2)
-    older = _claim_file(v1).withColumn("claim_severity", F.lit("unknown"))
+    older = _claim_file(v1, claim_severity=F.lit("unknown"))
     superseded = newer.select("_match").filter(F.col("_match").isNotNull()).distinct()
     only_older = older.join(superseded, "_match", "left_anti")
     return newer.unionByName(only_older, allowMissingColumns=True).drop("_match")

@@ -146,7 +146,7 @@ class Warehouse:
 
     def load_dimension(self, spec: Dimension, ingestion_date: datetime.date, as_of: datetime.date, run: str) -> None:
         path = work_folder(self.spark, spec.name)
-        before = self.table(spec.name, before=run)
+        before = self.table(spec.name, before=run) if self.store.runs(spec.name, before=run) else None
         changes = scd2.load_changes(before, self.staged(spec.entity, ingestion_date), spec, as_of, path)
         self.store.write_changes(spec.name, changes, run, SORT_COLUMNS[spec.name])
         Folder(self.spark, path).delete()

@@ -1,0 +1,163 @@
+import datetime
+import random
+
+import duckdb
+import pytest
+
+from claimloom.operators import scd2
+from claimloom.schemas import CLAIMANT, EMPLOYER, POLICY, WAREHOUSE, no_rows
+
+DAY = datetime.date(2024, 2, 1)
+OLD = datetime.date(2023, 1, 1)
+T0 = datetime.datetime(2023, 1, 1)
+
+
+def dim_rows(spark, rows):
+    """rows: (key, id, last_name, gender, employer, from, to, current)"""
+    full = [(k, i, "F", name, None, g, None, e, T0, T0, a, b, c) for k, i, name, g, e, a, b, c in rows]
+    return spark.createDataFrame(full, no_rows(spark, WAREHOUSE["dim_claimant"]).schema)
+
+
+def staged_rows(spark, rows):
+    """rows: (id, last_name, gender, employer, effective_from, current)"""
+    full = [(i, "F", name, None, g, None, e, T0, T0, a, None, c) for i, name, g, e, a, c in rows]
+    names = "claimant_id bigint, first_name string, last_name string, date_of_birth date, gender string, " \
+        "employment_start_date date, employer_id bigint, created_at timestamp_ntz, updated_at timestamp_ntz, " \
+        "effective_from date, effective_to date, is_current boolean"
+    return spark.createDataFrame(full, names)
+
+
+def merged(spark, dim, staged, as_of=DAY):
+    out = scd2.merge(dim_rows(spark, dim), staged_rows(spark, staged), CLAIMANT, as_of)
+    columns = ("claimant_key", "claimant_id", "last_name", "gender", "employer_id",
+               "effective_from", "effective_to", "is_current")
+    return sorted((tuple(r) for r in out.select(*columns).collect()), key=lambda r: r[0])
+
+
+ONE = (1, 10, "Lee", "F", 5, OLD, None, True)
+YESTERDAY = DAY - datetime.timedelta(days=1)
+
+
+def test_change_closes_and_opens(spark):
+    assert merged(spark, [ONE], [(10, "Lee", "X", 5, OLD, True)]) == [
+        (1, 10, "Lee", "F", 5, OLD, YESTERDAY, False),
+        (2, 10, "Lee", "X", 5, DAY, None, True),
+    ]
+
+
+def test_new_key_is_valid_from_its_own_date_or_today(spark):
+    assert merged(spark, [ONE], [(11, "Ray", "M", 5, OLD, True), (12, "Roy", "M", 5, None, True)]) == [
+        ONE,
+        (2, 11, "Ray", "M", 5, OLD, None, True),
+        (3, 12, "Roy", "M", 5, DAY, None, True),
+    ]
+
+
+@pytest.mark.parametrize("gender,employer", [(None, 5), ("F", None), (None, None)])
+def test_null_is_no_change(spark, gender, employer):
+    assert merged(spark, [ONE], [(10, "Lee", gender, employer, OLD, True)]) == [ONE]
+
+
+def test_value_in_place_of_null_is_no_change(spark):
+    nulls = (1, 10, "Lee", None, None, OLD, None, True)
+    assert merged(spark, [nulls], [(10, "Lee", "F", 5, OLD, True)]) == [nulls]
+
+
+def test_untracked_change_is_ignored(spark):
+    assert merged(spark, [ONE], [(10, "Other", "F", 5, OLD, True)]) == [ONE]
+
+
+def test_absent_key_stays_open(spark):
+    assert merged(spark, [ONE], [(11, "Ray", "M", 5, OLD, True)])[0] == ONE
+
+
+def test_older_staged_version_expires_an_unchanged_row(spark):
+    staged = [(10, "Lee", "F", 5, OLD, True), (10, "Lee", "M", 5, OLD, False)]
+    assert merged(spark, [ONE], staged) == [
+        (1, 10, "Lee", "F", 5, OLD, YESTERDAY, False),
+        (2, 10, "Lee", "F", 5, DAY, None, True),
+    ]
+
+
+def test_closed_key_is_opened_again(spark):
+    closed = (1, 10, "Lee", "F", 5, OLD, datetime.date(2023, 6, 1), False)
+    assert merged(spark, [closed], [(10, "Lee", "F", 5, OLD, True)]) == [
+        closed,
+        (2, 10, "Lee", "F", 5, DAY, None, True),
+    ]
+
+
+def test_of_two_open_rows_only_the_differing_one_closes(spark):
+    other = (2, 10, "Lee", "M", 5, OLD, None, True)
+    assert merged(spark, [ONE, other], [(10, "Lee", "F", 5, OLD, True)]) == [
+        ONE,
+        (2, 10, "Lee", "M", 5, OLD, YESTERDAY, False),
+    ]
+
+
+def test_row_opened_and_changed_on_one_day_ends_before_it_starts(spark):
+    today = (1, 10, "Lee", "F", 5, DAY, None, True)
+    assert merged(spark, [today], [(10, "Lee", "X", 5, DAY, True)])[0] == (1, 10, "Lee", "F", 5, DAY, YESTERDAY, False)
+
+
+def test_staged_end_date_is_not_taken_over(spark):
+    staged = spark.createDataFrame(
+        [(1, "P", "Full", OLD, OLD, 1.005, T0, T0, OLD, OLD, True)],
+        "policy_id bigint, policy_number string, coverage_type string, start_date date, end_date date, "
+        "premium_amount double, created_at timestamp_ntz, updated_at timestamp_ntz, effective_from date, "
+        "effective_to date, is_current boolean",
+    )
+    row = scd2.merge(None, staged, POLICY, DAY).first()
+    assert (row.policy_key, row.effective_from, row.effective_to, row.is_current) == (1, OLD, None, True)
+    assert str(row.premium_amount) == "1.01"
+
+
+def test_steps_add_up_to_the_merge(spark):
+    dim = dim_rows(spark, [ONE, (2, 20, "Ray", "M", 5, OLD, None, True)])
+    staged = staged_rows(spark, [(10, "Lee", "X", 5, OLD, True), (30, "New", "M", 5, OLD, True)])
+    steps = scd2.merge_steps(dim, staged, CLAIMANT, DAY)
+    assert [r.claimant_id for r in steps["expired"].collect()] == [10]
+    assert [r.claimant_id for r in steps["new"].collect()] == [30]
+    assert [r.claimant_id for r in steps["changed"].collect()] == [10]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_equals_update_and_two_inserts(spark, seed):
+    """The literal statements, run one after another in DuckDB, on random data."""
+    rnd = random.Random(seed)
+    industries, places = ["A", "B", None], ["x", "y", None]
+    dim, staged, key = [], [], 0
+    for employer in range(60):
+        for _ in range(rnd.choice([0, 1, 1, 2, 3])):
+            key += 1
+            is_open = rnd.random() < 0.7
+            dim.append((key, employer, "N", rnd.choice(industries), rnd.choice(places), 1, T0, T0, OLD,
+                        None if is_open else OLD, is_open))
+        for version in range(rnd.choice([0, 1, 1, 2])):
+            staged.append((employer, f"N{version}", rnd.choice(industries), rnd.choice(places), 1, T0, T0,
+                           rnd.choice([OLD, None]), None, version == 0))
+    dim_df = spark.createDataFrame(dim, no_rows(spark, WAREHOUSE["dim_employer"]).schema)
+    staged_names = "employer_id bigint, company_name string, industry string, location string, policy_id bigint, " \
+        "created_at timestamp_ntz, updated_at timestamp_ntz, effective_from date, effective_to date, is_current boolean"
+    staged_df = spark.createDataFrame(staged, staged_names)
+    ours = scd2.merge(dim_df, staged_df, EMPLOYER, DAY)
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE d (k BIGINT, id BIGINT, name TEXT, industry TEXT, location TEXT, p BIGINT, "
+                "c TIMESTAMP, u TIMESTAMP, f DATE, t DATE, cur BOOLEAN)")
+    con.execute("CREATE TABLE s (id BIGINT, name TEXT, industry TEXT, location TEXT, p BIGINT, "
+                "c TIMESTAMP, u TIMESTAMP, f DATE, t DATE, cur BOOLEAN)")
+    con.executemany(f"INSERT INTO d VALUES ({','.join('?' * 11)})", dim)
+    con.executemany(f"INSERT INTO s VALUES ({','.join('?' * 10)})", staged)
+    con.execute(f"""UPDATE d SET cur = FALSE, t = DATE '{DAY}' - 1 FROM s WHERE d.id = s.id AND d.cur
+                    AND (d.industry <> s.industry OR d.location <> s.location)""")
+    con.execute(f"""INSERT INTO d SELECT NULL, id, name, industry, location, p, c, u, COALESCE(f, DATE '{DAY}'), NULL, TRUE
+                    FROM s WHERE cur AND NOT EXISTS (SELECT 1 FROM d WHERE d.id = s.id)""")
+    con.execute(f"""INSERT INTO d SELECT NULL, id, name, industry, location, p, c, u, DATE '{DAY}', NULL, TRUE
+                    FROM s WHERE cur AND EXISTS (SELECT 1 FROM d WHERE d.id = s.id)
+                    AND NOT EXISTS (SELECT 1 FROM d WHERE d.id = s.id AND d.cur)""")
+    theirs = con.execute("SELECT id, name, industry, location, f, t, cur FROM d").fetchall()
+    got = ours.select("employer_id", "company_name", "industry", "location", "effective_from", "effective_to", "is_current")
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, theirs))
+    keys = [r[0] for r in ours.select("employer_key").collect()]
+    assert len(set(keys)) == len(keys) and max(keys) == len(keys)
