@@ -25,7 +25,7 @@ import oracle  # noqa: E402
 from claimloom.operators import calendar, evolution, quality, repair, scd2, staging, versions  # noqa: E402
 from claimloom.operators.keys import number_rows  # noqa: E402
 from claimloom.plans import entities, facts, views  # noqa: E402
-from claimloom.plans.pipeline import RunResult, Warehouse  # noqa: E402
+from claimloom.plans.pipeline import RunResult, Warehouse, at_once  # noqa: E402
 from claimloom.schemas import CLAIMANT, DIMENSIONS, EMPLOYER, POLICY, STAGING, Dimension  # noqa: E402
 from claimloom.sources import deliveries  # noqa: E402
 from claimloom.sources.paths import work_folder  # noqa: E402
@@ -75,17 +75,13 @@ def _newest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Dimensions ---------------------------------------------------------------------
 
 
-def _first_load(spark: SparkSession, sf_dir: str, spec: Dimension, day: int | None = None) -> DataFrame:
-    return scd2.merge(None, _entity(spark, sf_dir, spec.entity, day), spec, DAY1)
-
-
 def _merge(spark: SparkSession, sf_dir: str, spec: Dimension) -> DataFrame:
-    dim = _first_load(spark, sf_dir, spec, 1)
+    dim = scd2.merge(None, _entity(spark, sf_dir, spec.entity, 1), spec, DAY1)
     return _plain(scd2.merge(dim, _entity(spark, sf_dir, spec.entity, 2), spec, DAY2))
 
 
 def _merge_step(spark: SparkSession, sf_dir: str, spec: Dimension, step: str) -> DataFrame:
-    dim = _first_load(spark, sf_dir, spec, 1)
+    dim = scd2.merge(None, _entity(spark, sf_dir, spec.entity, 1), spec, DAY1)
     return _plain(scd2.merge_steps(dim, _entity(spark, sf_dir, spec.entity, 2), spec, DAY2)[step])
 
 
@@ -98,7 +94,9 @@ def _surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    star = {spec.name: _first_load(spark, sf_dir, spec) for spec in DIMENSIONS}
+    staged = [_entity(spark, sf_dir, spec.entity) for spec in DIMENSIONS]
+    dims = at_once([partial(scd2.merge, None, s, spec, DAY1) for s, spec in zip(staged, DIMENSIONS)])
+    star = {spec.name: dim for spec, dim in zip(DIMENSIONS, dims)}
     placed = facts.place_claims(_claims(spark, sf_dir), star["dim_claimant"], star["dim_policy"], star["dim_employer"])
     return {**star, "fact_claim": facts.fact_claim(placed)}
 

@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.operators.versions import HOT_KEY_ROWS, flag_newest
+from claimloom.operators.versions import flag_newest
 from claimloom.schemas import Dimension
 
 # Width of the day bins that bring overlapping versions together.
@@ -124,7 +124,7 @@ def correct_versions(dim: DataFrame, where: Column, column: str, value: Column)
 
 
 def keep_latest_current(
-    dim: DataFrame, spec: Dimension, effective_to: datetime.date, hot_key_rows: int = HOT_KEY_ROWS
+    dim: DataFrame, spec: Dimension, effective_to: datetime.date, hot_key_rows: int | None = None
 ) -> DataFrame:
     """Where a key has several open rows, keep the one that starts last; close the others."""
     order = [F.col("effective_from").desc(), F.col(spec.surrogate_key).desc()]

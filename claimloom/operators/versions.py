@@ -7,6 +7,13 @@ from pyspark.sql import functions as F
 
 # A key with more rows than this is ranked in slices instead of in one task.
 HOT_KEY_ROWS = 1_000_000
+# Input Spark estimates to be no larger than this fits one task even if it is all one key.
+SMALL_INPUT_BYTES = 256 * 1024 * 1024
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    """Spark's own estimate, from file sizes; joins make it larger, never smaller."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def newest_first(df: DataFrame, column: str, key: str) -> list[Column]:
@@ -20,21 +27,27 @@ def flag_newest(
     key: str,
     order: list[Column],
     flag: str = "is_current",
-    hot_key_rows: int = HOT_KEY_ROWS,
+    hot_key_rows: int | None = None,
 ) -> DataFrame:
     """Mark exactly one row per key, the first in ``order``; keep every row.
 
-    Keys with up to ``hot_key_rows`` rows are ranked by a plain window.  A hotter key
-    is ranked in two rounds: each input partition elects a head among its own rows,
-    then the heads (one per partition and key) compete; no task sees the whole key.
-    The list of hot keys is broadcast: at most row count / ``hot_key_rows`` of them
-    exist.  With none, AQE drops the second branch, scan included.
+    A small input is ranked by one window.  In any other (and whenever
+    ``hot_key_rows`` is given) keys with more rows than that are ranked in two rounds:
+    each input partition elects a head among its own rows, then the heads, one per
+    partition and key, compete; no task sees the whole key.  The list of hot keys is
+    broadcast: at most row count / ``hot_key_rows`` of them can exist.  With none, AQE
+    drops the second branch, scan included.
     """
-    hot = df.groupBy(key).count().filter(F.col("count") > hot_key_rows).select(key)
 
     def rank(*within: str) -> Column:
         return F.row_number().over(Window.partitionBy(key, *within).orderBy(*order))
 
+    if hot_key_rows is None:
+        if _estimated_bytes(df) <= SMALL_INPUT_BYTES:
+            return df.withColumn(flag, rank() == 1)
+        hot_key_rows = HOT_KEY_ROWS
+
+    hot = df.groupBy(key).count().filter(F.col("count") > hot_key_rows).select(key)
     cold = df.join(F.broadcast(hot), key, "left_anti").withColumn(flag, rank() == 1)
     # Heads meet in round -1; the others stay apart in their slice.
     next_round = F.when(rank("_slice") == 1, F.lit(-1)).otherwise(F.col("_slice"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimloom.functions.cleaning import conform, trimmed, try_convert
-from claimloom.operators.versions import HOT_KEY_ROWS, flag_newest, keep_newest, newest_first
+from claimloom.operators.versions import flag_newest, keep_newest, newest_first
 from claimloom.schemas import STAGING
 
 _DERIVED = ("effective_from", "effective_to", "is_current")
@@ -24,7 +24,7 @@ def _clean(raw: DataFrame, entity: str, **derived: Column) -> DataFrame:
 
 
 def _versions(
-    rows: DataFrame, key: str, effective_from: Column, effective_to: Column, hot_key_rows: int
+    rows: DataFrame, key: str, effective_from: Column, effective_to: Column, hot_key_rows: int | None
 ) -> DataFrame:
     """All versions of every key, the newest flagged, with their initial validity."""
     known = rows.filter(F.col(key).isNotNull())
@@ -42,17 +42,17 @@ def _first_seen(as_of: datetime.date) -> Column:
     return F.coalesce(F.to_date("created_at"), F.to_date("updated_at"), F.lit(as_of))
 
 
-def claimants(raw: DataFrame, as_of: datetime.date, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def claimants(raw: DataFrame, as_of: datetime.date, hot_key_rows: int | None = None) -> DataFrame:
     rows = _clean(raw, "claimants").withColumn("gender", F.coalesce("gender", F.lit("Unknown")))
     return _versions(rows, "claimant_id", _first_seen(as_of), F.lit(None), hot_key_rows)
 
 
-def employers(raw: DataFrame, as_of: datetime.date, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def employers(raw: DataFrame, as_of: datetime.date, hot_key_rows: int | None = None) -> DataFrame:
     rows = _clean(raw, "employers")
     return _versions(rows, "employer_id", _first_seen(as_of), F.lit(None), hot_key_rows)
 
 
-def policies(raw: DataFrame, as_of: datetime.date, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def policies(raw: DataFrame, as_of: datetime.date, hot_key_rows: int | None = None) -> DataFrame:
     rows = _clean(raw, "policies")
     start = F.coalesce(F.col("start_date"), F.lit(as_of))
     return _versions(rows, "policy_id", start, F.col("end_date"), hot_key_rows)

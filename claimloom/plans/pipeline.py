@@ -9,7 +9,10 @@ from __future__ import annotations
 
 import datetime
 import logging
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +32,12 @@ class StepError(Exception):
     """A step of the run failed; its message names the step."""
 
 
+def at_once(calls: list[Callable]) -> list:
+    """Run independent Spark writes side by side, so small ones do not wait for large ones."""
+    with ThreadPoolExecutor(len(calls)) as pool:
+        return [future.result() for future in [pool.submit(call) for call in calls]]
+
+
 @dataclass
 class RunResult:
     run_id: str
@@ -107,14 +116,15 @@ class Warehouse:
         """Land every entity as Parquet and record how its columns have changed."""
         registry = self.store.read("schema_registry", evolution.REGISTRY_SCHEMA, before=run)
         known = evolution.registry_snapshots(registry)
-        for entity, rows in self.transformed(ingestion_date, as_of).items():
+        transformed = self.transformed(ingestion_date, as_of)
+        for entity, rows in transformed.items():
             snapshot = evolution.Snapshot.of(entity, rows, ingestion_date)
             event = evolution.compare(known.get(entity), snapshot)
             if event:
                 log.warning("schema of %s changed: +%s -%s", entity, event["added_columns"], event["removed_columns"])
                 result.evolution_events.append(event)
             known[entity] = snapshot
-            self._land(entity, rows, ingestion_date, result)
+        at_once([partial(self._land, e, rows, ingestion_date, result) for e, rows in transformed.items()])
         self.store.write("schema_registry", evolution.registry_frame(self.spark, list(known.values())), run)
 
     def _land(self, entity: str, rows: DataFrame, ingestion_date: datetime.date, result: RunResult) -> None:
@@ -182,8 +192,7 @@ class Warehouse:
         self.load_log(events, run)
         if not self.store.runs("dim_date"):
             self.store.write("dim_date", calendar.dim_date(self.spark), run, SORT_COLUMNS["dim_date"])
-        for spec in DIMENSIONS:
-            self.load_dimension(spec, ingestion_date, as_of, run)
+        at_once([partial(self.load_dimension, spec, ingestion_date, as_of, run) for spec in DIMENSIONS])
         self.load_facts(ingestion_date, run)
 
     def check(self, row_floor: int = quality.ROW_FLOOR) -> list:
