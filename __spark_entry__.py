@@ -8,7 +8,6 @@ on how either engine hands out decimals.
 
 from __future__ import annotations
 
-import datetime
 import os
 import sys
 from collections.abc import Callable
@@ -93,20 +92,20 @@ def _surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Facts, views, checks -----------------------------------------------------------
 
 
-def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _star(spark: SparkSession, sf_dir: str, ordered: bool = False) -> dict[str, DataFrame]:
     staged = [_entity(spark, sf_dir, spec.entity) for spec in DIMENSIONS]
     dims = at_once([partial(scd2.merge, None, s, spec, DAY1) for s, spec in zip(staged, DIMENSIONS)])
     star = {spec.name: dim for spec, dim in zip(DIMENSIONS, dims)}
     placed = facts.place_claims(_claims(spark, sf_dir), star["dim_claimant"], star["dim_policy"], star["dim_employer"])
-    return {**star, "fact_claim": facts.fact_claim(placed)}
+    return {**star, "fact_claim": facts.fact_claim(placed, ordered=ordered)}
 
 
 def _fact_claim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(_star(spark, sf_dir)["fact_claim"])
+    return _plain(_star(spark, sf_dir, ordered=True)["fact_claim"])
 
 
 def _fact_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = facts.place_payments(_payments(spark, sf_dir), _star(spark, sf_dir)["fact_claim"])
+    placed = facts.place_payments(_payments(spark, sf_dir), _star(spark, sf_dir, ordered=True)["fact_claim"])
     return _plain(facts.fact_payment(placed, ordered=True))
 
 
@@ -212,12 +211,14 @@ def _schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _deliver(spark: SparkSession, sf_dir: str, inbox: str, day: int | None = None) -> None:
     """Write the sources as CSV folders, the way a large delivery comes in."""
+    writes = []
     for name in ("claimants", "claims_v1", "claims_v2", "employers", "payments", "policies"):
         dated = day and (name, day) in fx.DAYS
         df = fx.source_on(spark, sf_dir, name, day) if dated else fx.source(spark, sf_dir, name)
         if name == "payments":  # a column the contract does not know
             df = df.withColumn("currency", F.lit("USD"))
-        df.write.option("header", True).csv(f"{inbox}/{name}.csv")
+        writes.append(partial(df.write.option("header", True).csv, f"{inbox}/{name}.csv"))
+    at_once(writes)
 
 
 def _delivery_contract(spark: SparkSession, sf_dir: str) -> DataFrame:

