@@ -25,7 +25,7 @@ from claimloom.operators import calendar, evolution, quality, repair, scd2, stag
 from claimloom.operators.keys import number_rows  # noqa: E402
 from claimloom.plans import entities, facts, views  # noqa: E402
 from claimloom.plans.pipeline import RunResult, Warehouse, at_once  # noqa: E402
-from claimloom.schemas import CLAIMANT, DIMENSIONS, EMPLOYER, POLICY, STAGING, Dimension  # noqa: E402
+from claimloom.schemas import CLAIMANT, DIMENSIONS, EMPLOYER, FILE_ENTITY, POLICY, STAGING, Dimension  # noqa: E402
 from claimloom.sources import deliveries  # noqa: E402
 from claimloom.sources.paths import work_folder  # noqa: E402
 
@@ -242,8 +242,8 @@ def _delivery_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("extra")))), ",").alias("new_columns")
     )
     rows = None
-    for name in sorted({f.name for f in files}):
-        count = deliveries.read_raw(spark, raw, name, DAY1).agg(F.lit(name).alias("name"), F.count("*").alias("rows"))
+    for name, df in deliveries.read_raw(spark, raw, DAY1, list(FILE_ENTITY)).items():
+        count = df.agg(F.lit(name).alias("name"), F.count("*").alias("rows"))
         rows = count if rows is None else rows.unionByName(count)
     return intact.join(new, "name").join(rows, "name")
 

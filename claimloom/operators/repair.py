@@ -66,7 +66,8 @@ def overlaps(dim: DataFrame, spec: Dimension, bin_days: int = BIN_DAYS) -> DataF
     Condition on a pair: a.from < b.to and a.to > b.from; open rows never match.  Of
     the two, the one that starts later starts inside the other, so each row is looked
     up by the bin of its start among the bins the others cover.  Rows far apart in
-    time never meet, and a key with many versions is spread over its bins.
+    time never meet, and a key with many versions is spread over its bins.  No row
+    starts after the last start, so a far end (9999-12-31) adds no bins beyond it.
     """
     key, row = spec.natural_key, spec.surrogate_key
 
@@ -75,12 +76,14 @@ def overlaps(dim: DataFrame, spec: Dimension, bin_days: int = BIN_DAYS) -> DataF
 
     start, end = F.col("effective_from"), F.col("effective_to")
     closed = dim.filter(end.isNotNull()).select(key, row, "effective_from", "effective_to")
+    last_start = closed.agg(F.max("effective_from")).first()[0]
+    covered_to = F.greatest(start, F.least(F.greatest(start, end), F.lit(last_start)))
     covering = closed.select(
         key,
         F.col(row).alias("_row"),
         start.alias("_from"),
         end.alias("_to"),
-        F.explode(F.sequence(bin_of(F.least(start, end)), bin_of(F.greatest(start, end)))).alias("_bin"),
+        F.explode(F.sequence(bin_of(F.least(start, end)), bin_of(covered_to))).alias("_bin"),
     )
     later = closed.withColumn("_bin", bin_of(start))
     met = later.join(covering, [key, "_bin"]).filter(

@@ -17,9 +17,9 @@ from functools import partial
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.operators import calendar, evolution, quality, scd2, staging
+from claimloom.operators import calendar, evolution, quality, repair, scd2, staging
 from claimloom.plans import entities, facts, views
-from claimloom.schemas import DIMENSIONS, SORT_COLUMNS, STAGING, WAREHOUSE, Dimension
+from claimloom.schemas import DIMENSIONS, FILE_ENTITY, SORT_COLUMNS, STAGING, WAREHOUSE, Dimension
 from claimloom.sources import deliveries
 from claimloom.sources.paths import Folder, work_folder
 from claimloom.sources.store import Store
@@ -99,16 +99,13 @@ class Warehouse:
 
     def transformed(self, ingestion_date: datetime.date, as_of: datetime.date) -> dict[str, DataFrame]:
         """The entities of one date.  Claims still hold those without a policy."""
-
-        def raw(name: str) -> DataFrame:
-            return deliveries.read_raw(self.spark, self.raw, name, ingestion_date)
-
+        raw = deliveries.read_raw(self.spark, self.raw, ingestion_date, list(FILE_ENTITY))
         return {
-            "claimants": entities.claimants(raw("claimants.csv"), as_of),
-            "claims": entities.all_claims(raw("claims_v1.csv"), raw("claims_v2.csv")),
-            "employers": entities.employers(raw("employers.csv"), as_of),
-            "payments": entities.payments(raw("payments.csv")),
-            "policies": entities.policies(raw("policies.csv"), as_of),
+            "claimants": entities.claimants(raw["claimants.csv"], as_of),
+            "claims": entities.all_claims(raw["claims_v1.csv"], raw["claims_v2.csv"]),
+            "employers": entities.employers(raw["employers.csv"], as_of),
+            "payments": entities.payments(raw["payments.csv"]),
+            "policies": entities.policies(raw["policies.csv"], as_of),
         }
 
     def transform(self, ingestion_date: datetime.date, as_of: datetime.date, run: str, result: RunResult) -> None:
@@ -194,6 +191,15 @@ class Warehouse:
         at_once([partial(self.load_dimension, spec, ingestion_date, as_of, run) for spec in DIMENSIONS])
         self.load_facts(ingestion_date, run)
 
+    def repair_dimension(self, spec: Dimension, fix: Callable[[DataFrame], DataFrame]) -> list:
+        """Rewrite a dimension with one of the repair operators, then look for duplicates again.
+
+        Returns up to ten keys that still have several open rows: none after a good repair.
+        """
+        self.store.write_whole(spec.name, fix(self.table(spec.name)), SORT_COLUMNS[spec.name])
+        left = repair.duplicate_current(self.table(spec.name), spec)
+        return left.orderBy(spec.natural_key).limit(10).collect()
+
     def check(self, row_floor: int = quality.ROW_FLOOR) -> list:
         return quality.gate(quality.report(self.tables(), row_floor))
 

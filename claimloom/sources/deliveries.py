@@ -95,7 +95,7 @@ def _copy(source: str, target: str) -> tuple[str, int]:
 
 
 def _one_file_per_task(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema).repartition(max(1, min(len(rows), 1000)), "path")
+    return spark.createDataFrame(rows, schema).repartition(max(1, min(len(rows), 10_000)), "path")
 
 
 def file_headers(spark: SparkSession, files: list[DeliveredFile]) -> DataFrame:
@@ -188,10 +188,10 @@ def copy_to_raw(
 
 
 def read_csv(spark: SparkSession, columns_by_path: dict[str, list[str]]) -> DataFrame:
-    """The rows of some CSV files, all columns as text.
+    """The rows of some CSV files, or folders of such, all columns as text.
 
     No inference pass: names come from the headers, types from the entity schemas.
-    Files with the same header are one scan; columns a file lacks are NULL.
+    Paths with the same header are one scan; columns a path lacks are NULL.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
     for path, columns in columns_by_path.items():
@@ -208,11 +208,22 @@ def read_csv(spark: SparkSession, columns_by_path: dict[str, list[str]]) -> Data
     return result
 
 
-def read_raw(spark: SparkSession, raw: str, name: str, ingestion_date: datetime.date) -> DataFrame:
-    """One delivered file of one date, as it lies in the raw zone."""
-    folder = Folder(spark, raw_path(raw, FILE_ENTITY[name], ingestion_date, name))
-    files = [DeliveredFile(name, path) for path in folder.files()]
-    if not files:
-        raise FileNotFoundError(f"{folder.path} has not been delivered")
-    columns = {r.path: list(r.columns) for r in file_headers(spark, files).collect()}
-    return read_csv(spark, columns)
+def read_raw(
+    spark: SparkSession, raw: str, ingestion_date: datetime.date, names: list[str]
+) -> dict[str, DataFrame]:
+    """Delivered files of one date, as they lie in the raw zone; all headers in one job."""
+    files = []
+    whole = {name: raw_path(raw, FILE_ENTITY[name], ingestion_date, name) for name in names}
+    for name, path in whole.items():
+        found = [DeliveredFile(name, part) for part in Folder(spark, path).files()]
+        if not found:
+            raise FileNotFoundError(f"{path} has not been delivered")
+        files += found
+    columns: dict[str, dict[str, list[str]]] = {name: {} for name in names}
+    for r in file_headers(spark, files).collect():
+        columns[r.name][r.path] = list(r.columns)
+    for name, by_path in columns.items():
+        one_header = list(by_path.values())[0]
+        if all(c == one_header for c in by_path.values()):
+            columns[name] = {whole[name]: one_header}
+    return {name: read_csv(spark, columns[name]) for name in names}

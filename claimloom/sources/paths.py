@@ -35,12 +35,12 @@ class Folder:
             return []
         if self._fs.getFileStatus(self._at).isFile():
             return [self.path]
-        return [
-            path
-            for name in self.children()
-            if not name.startswith(("_", "."))
-            for path in self.child(name).files()
-        ]
+        found = []
+        for status in self._fs.listStatus(self._at):
+            name = status.getPath().getName()
+            if not name.startswith(("_", ".")):
+                found += [f"{self.path}/{name}"] if status.isFile() else self.child(name).files()
+        return sorted(found)
 
     def delete(self) -> None:
         self._fs.delete(self._at, True)

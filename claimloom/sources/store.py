@@ -20,9 +20,14 @@ from pyspark.sql import types as T
 from claimloom.schemas import no_rows
 from claimloom.sources.paths import Folder
 
-_RUN = re.compile(r"run=([0-9A-Za-z._-]+)")
-# A run holding the whole dimension; reading starts at the last such run.
-_WHOLE = ".whole"
+_NAME = re.compile(r"[0-9A-Za-z_-]+")
+# run=<name>, or run=<name>.whole-<n> for the nth rewrite of the whole dimension.
+_FOLDER = re.compile(r"run=([0-9A-Za-z_-]+)(?:\.whole-(\d+))?")
+
+
+def _order(run: str) -> tuple[str, int]:
+    name, rewrite = _FOLDER.fullmatch(f"run={run}").groups()
+    return name, int(rewrite or 0)
 
 
 class Store:
@@ -35,24 +40,24 @@ class Store:
 
     def runs(self, table: str, before: str | None = None) -> list[str]:
         """Committed runs, oldest first; only those earlier than ``before`` if given."""
-        names = [_RUN.fullmatch(n) for n in self._table(table).children()]
-        runs = [m[1] for m in names if m and self._run(table, m[1]).is_complete()]
-        earlier = [r for r in runs if before is None or r.removesuffix(_WHOLE) < before]
-        return sorted(earlier, key=lambda r: (r.removesuffix(_WHOLE), r.endswith(_WHOLE)))
+        runs = [n.removeprefix("run=") for n in self._table(table).children() if _FOLDER.fullmatch(n)]
+        earlier = [r for r in runs if before is None or _order(r)[0] < before]
+        return sorted((r for r in earlier if self._run(table, r).is_complete()), key=_order)
 
     def _run(self, table: str, run: str) -> Folder:
         return self._table(table).child(f"run={run}")
 
     def begin(self, table: str, run: str) -> str:
         """The folder of a run about to be written; a repeated run starts afresh."""
-        if not re.fullmatch(r"[0-9A-Za-z._-]+", run) or run.endswith(_WHOLE):
+        if not _NAME.fullmatch(run):
             raise ValueError(f"not a run name: {run!r}")
-        later = [r for r in self.runs(table) if r.removesuffix(_WHOLE) > run]
+        existing = [n.removeprefix("run=") for n in self._table(table).children() if _FOLDER.fullmatch(n)]
+        later = [r for r in existing if _order(r)[0] > run and self._run(table, r).is_complete()]
         if later:
-            raise ValueError(f"{table} already holds run {later[-1]}, later than {run}")
-        for same in (run, run + _WHOLE):
-            if self._run(table, same).exists():
-                self._run(table, same).delete()
+            raise ValueError(f"{table} already holds run {max(later)}, later than {run}")
+        # The newest goes first: until the last is gone, readers see a state that was valid.
+        for same in sorted((r for r in existing if _order(r)[0] == run), key=_order, reverse=True):
+            self._run(table, same).delete()
         return self._run(table, run).path
 
     # Plain tables -------------------------------------------------------------
@@ -86,13 +91,15 @@ class Store:
         """Open rows and newly closed rows of one load."""
         self._write_split(changes, self.begin(table, run), sort)
 
-    def write_whole(self, table: str, rows: DataFrame, run: str, sort: list[str]) -> None:
-        """All rows, after a repair of history or to gather the runs so far in one.
+    def write_whole(self, table: str, rows: DataFrame, sort: list[str]) -> None:
+        """All rows anew, after a repair of history or to gather many runs in one folder.
 
-        It takes the place of the run of the same name, if any, once it is complete.
+        Belongs to the last run and takes its place once complete.
         """
-        path = self._run(table, run + _WHOLE).path
-        self._write_split(rows, path, sort)
+        name, rewrite = _order(self.runs(table)[-1])
+        folder = self._run(table, f"{name}.whole-{rewrite + 1}")
+        folder.delete()  # what an attempt that died may have left
+        self._write_split(rows, folder.path, sort)
 
     @staticmethod
     def _write_split(rows: DataFrame, path: str, sort: list[str]) -> None:
@@ -103,7 +110,7 @@ class Store:
         runs = self.runs(table, before)
         if not runs:
             return [], []
-        whole = [i for i, r in enumerate(runs) if r.endswith(_WHOLE)]
+        whole = [i for i, r in enumerate(runs) if _order(r)[1]]
         first = whole[-1] if whole else 0
 
         def folders(run: str, flag: str) -> list[str]:

@@ -93,10 +93,11 @@ def test_copy_is_exact_and_listed(spark, tmp_path):
 def test_files_with_different_headers_are_read_by_name(spark, tmp_path):
     put(str(tmp_path), f"payments/{DAY}/payments.csv/a.csv", "payment_id, claim_id\n1,10\n")
     put(str(tmp_path), f"payments/{DAY}/payments.csv/b.csv", "claim_id,payment_id,note\n20,2,\"x, y\"\n")
-    rows = deliveries.read_raw(spark, str(tmp_path), "payments.csv", DAY).orderBy("payment_id").collect()
+    raw = deliveries.read_raw(spark, str(tmp_path), DAY, ["payments.csv"])
+    rows = raw["payments.csv"].orderBy("payment_id").collect()
     assert [(r.payment_id, r.claim_id, r.note) for r in rows] == [("1", "10", None), ("2", "20", "x, y")]
 
 
 def test_undelivered_file_is_named(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="payments.csv"):
-        deliveries.read_raw(spark, str(tmp_path), "payments.csv", DAY)
+        deliveries.read_raw(spark, str(tmp_path), DAY, ["payments.csv"])

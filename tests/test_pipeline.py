@@ -2,11 +2,13 @@ import datetime
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
+from claimloom.operators import repair
 from claimloom.operators.quality import QualityError
 from claimloom.plans import catalog
 from claimloom.plans.pipeline import StepError, Warehouse
-from claimloom.schemas import FILE_HEADERS
+from claimloom.schemas import CLAIMANT, FILE_HEADERS
 
 D1, D2 = datetime.date(2024, 1, 31), datetime.date(2024, 2, 1)
 T = "2024-01-01 00:00:00"
@@ -119,6 +121,18 @@ def test_published_tables_and_views(two_days, spark):
     assert sorted(str(r.email) for r in emails) == ["None", "None", "a@b"]
 
 
+def test_repair_of_a_stored_dimension(two_days):
+    warehouse, *_ = two_days
+    fix = lambda df: repair.correct_versions(df, F.col("claimant_key") == 1, "last_name", F.lit("Lea"))
+    assert warehouse.repair_dimension(CLAIMANT, fix) == []
+    names = {r.claimant_key: r.last_name for r in warehouse.table("dim_claimant").collect()}
+    assert names == {1: "Lea", 2: "Lee", 3: "Lee", 4: "Lee"}
+    doubled = lambda df: df.withColumn("is_current", F.lit(True))
+    assert [tuple(r) for r in warehouse.repair_dimension(CLAIMANT, doubled)] == [(10, 2)]
+    latest = lambda df: repair.keep_latest_current(df, CLAIMANT, D1)
+    assert warehouse.repair_dimension(CLAIMANT, latest) == []
+
+
 def test_failed_steps_are_named_and_leave_tables_alone(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "root"))
     with pytest.raises(StepError, match="extraction failed: claimants.csv: missing columns"):
@@ -136,3 +150,10 @@ def test_gate_fails_the_run(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "root"))
     with pytest.raises(QualityError, match="fact_claim row count"):
         warehouse.run(deliver(tmp_path / "in", [person(10, "F"), person(11, "M")]), D1, D1)
+
+
+def test_publishing_before_the_first_run_gives_empty_tables(spark, tmp_path):
+    catalog.publish(Warehouse(spark, str(tmp_path / "root")), D1)
+    for table in ("staging.stg_claims", "warehouse.dim_policy", "warehouse.fact_claim", "analytics.claims_summary",
+                  "warehouse.schema_evolution_log"):
+        assert spark.table(table).count() == 0

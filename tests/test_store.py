@@ -93,7 +93,9 @@ def test_whole_rewrite_takes_over(spark, tmp_path):
     store.write_changes("dim_policy", changes(spark, [(1, False), (2, True)]), "1", ["policy_id"])
     store.write_changes("dim_policy", changes(spark, [(2, False), (3, True)]), "2", ["policy_id"])
     repaired = changes(spark, [(1, False), (3, True)])
-    store.write_whole("dim_policy", repaired, "2", ["policy_id"])
+    store.write_whole("dim_policy", changes(spark, []), ["policy_id"])
+    assert dim(store) == []
+    store.write_whole("dim_policy", repaired, ["policy_id"])
     assert dim(store) == [(1, False), (3, True)]
     store.write_changes("dim_policy", changes(spark, [(3, False), (4, True)]), "3", ["policy_id"])
     assert dim(store) == [(1, False), (3, False), (4, True)]
