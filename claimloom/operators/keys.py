@@ -5,12 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.sources.paths import work_folder
-
-
-def _land(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from claimloom.sources.paths import land, work_folder
 
 
 def number_rows(
@@ -34,10 +29,10 @@ def number_rows(
     The source partition is its last column: it splits equal keys over several tasks.
     """
     landing = landing or work_folder(df.sparkSession, key)
-    landed = _land(df, f"{landing}/rows")
+    landed = land(df, f"{landing}/rows")
     if order_by:
         ranged = landed.withColumn("_source", F.spark_partition_id()).repartitionByRange(*order_by, "_source")
-        landed = _land(ranged.sortWithinPartitions(*order_by).drop("_source"), f"{landing}/ordered")
+        landed = land(ranged.sortWithinPartitions(*order_by).drop("_source"), f"{landing}/ordered")
 
     file = F.col("_metadata.file_name")
     part = F.regexp_extract(file, r"^part-(\d+)", 1).cast("int")

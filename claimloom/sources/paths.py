@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 class Folder:
@@ -65,3 +66,16 @@ def shared_folder(spark: SparkSession) -> str:
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new, not yet existing path for one intermediate table."""
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def land(df: DataFrame, path: str) -> DataFrame:
+    """Write an intermediate table and go on from its files."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def land_counted(df: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """As ``land``, with the number of rows, observed while they are written."""
+    seen = Observation()
+    landed = land(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+    return landed, seen.get["rows"]
