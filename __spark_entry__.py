@@ -27,7 +27,7 @@ from claimloom.plans import entities, facts, views  # noqa: E402
 from claimloom.plans.pipeline import RunResult, Warehouse, at_once  # noqa: E402
 from claimloom.schemas import CLAIMANT, DIMENSIONS, EMPLOYER, FILE_ENTITY, POLICY, STAGING, Dimension  # noqa: E402
 from claimloom.sources import deliveries  # noqa: E402
-from claimloom.sources.paths import work_folder  # noqa: E402
+from claimloom.sources.paths import land, work_folder  # noqa: E402
 
 DAY1, DAY2 = oracle.DAY1, oracle.DAY2
 
@@ -74,14 +74,27 @@ def _newest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Dimensions ---------------------------------------------------------------------
 
 
+def _two_loads(spark: SparkSession, sf_dir: str, spec: Dimension) -> tuple[DataFrame, DataFrame]:
+    """The dimension after the first load and the second delivery, both landed."""
+    first, second = (_entity(spark, sf_dir, spec.entity, day) for day in (1, 2))
+    return tuple(
+        at_once(
+            [
+                lambda: land(scd2.merge(None, first, spec, DAY1), work_folder(spark, spec.name)),
+                lambda: land(second, work_folder(spark, spec.entity)),
+            ]
+        )
+    )
+
+
 def _merge(spark: SparkSession, sf_dir: str, spec: Dimension) -> DataFrame:
-    dim = scd2.merge(None, _entity(spark, sf_dir, spec.entity, 1), spec, DAY1)
-    return _plain(scd2.merge(dim, _entity(spark, sf_dir, spec.entity, 2), spec, DAY2))
+    dim, staged = _two_loads(spark, sf_dir, spec)
+    return _plain(scd2.merge(dim, staged, spec, DAY2))
 
 
 def _merge_step(spark: SparkSession, sf_dir: str, spec: Dimension, step: str) -> DataFrame:
-    dim = scd2.merge(None, _entity(spark, sf_dir, spec.entity, 1), spec, DAY1)
-    return _plain(scd2.merge_steps(dim, _entity(spark, sf_dir, spec.entity, 2), spec, DAY2)[step])
+    dim, staged = _two_loads(spark, sf_dir, spec)
+    return _plain(scd2.merge_steps(dim, staged, spec, DAY2)[step])
 
 
 def _surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,8 +269,8 @@ def _pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         _deliver(spark, sf_dir, inbox, day)
         result = RunResult(date.isoformat())
         warehouse.extract(inbox, date, result)
-        warehouse.transform(date, date, result.run_id, result)
-        warehouse.load(date, date, result.run_id, result.evolution_events)
+        warehouse.transform(date, date, result)
+        warehouse.load(date, date, result)
     return _plain(warehouse.claims_summary())
 
 

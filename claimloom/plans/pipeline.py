@@ -44,6 +44,7 @@ class RunResult:
     absent_files: list[str] = field(default_factory=list)
     landed_rows: dict[str, int] = field(default_factory=dict)
     claims_without_policy: int = 0
+    placed_rows: dict[str, int] = field(default_factory=dict)
     evolution_events: list[dict] = field(default_factory=list)
     checks: list = field(default_factory=list)
 
@@ -108,9 +109,9 @@ class Warehouse:
             "policies": entities.policies(raw["policies.csv"], as_of),
         }
 
-    def transform(self, ingestion_date: datetime.date, as_of: datetime.date, run: str, result: RunResult) -> None:
+    def transform(self, ingestion_date: datetime.date, as_of: datetime.date, result: RunResult) -> None:
         """Land every entity as Parquet and record how its columns have changed."""
-        registry = self.store.read("schema_registry", evolution.REGISTRY_SCHEMA, before=run)
+        registry = self.store.read("schema_registry", evolution.REGISTRY_SCHEMA, before=result.run_id)
         known = evolution.registry_snapshots(registry)
         transformed = self.transformed(ingestion_date, as_of)
         for entity, rows in transformed.items():
@@ -121,7 +122,7 @@ class Warehouse:
                 result.evolution_events.append(event)
             known[entity] = snapshot
         at_once([partial(self._land, e, rows, ingestion_date, result) for e, rows in transformed.items()])
-        self.store.write("schema_registry", evolution.registry_frame(self.spark, list(known.values())), run)
+        self.store.write("schema_registry", evolution.registry_frame(self.spark, list(known.values())), result.run_id)
 
     def _land(self, entity: str, rows: DataFrame, ingestion_date: datetime.date, result: RunResult) -> None:
         if entity == "claims":
@@ -157,22 +158,27 @@ class Warehouse:
         self.store.write_changes(spec.name, changes, run, SORT_COLUMNS[spec.name])
         Folder(self.spark, path).delete()
 
-    def load_facts(self, ingestion_date: datetime.date, run: str) -> None:
+    def load_facts(self, ingestion_date: datetime.date, run: str, result: RunResult) -> None:
         """Claims before payments, which take their claim_key from the committed claims."""
-        path = work_folder(self.spark, "fact_claim")
         placed = facts.place_claims(
             self.staged("claims", ingestion_date),
             self.table("dim_claimant"),
             self.table("dim_policy"),
             self.table("dim_employer"),
         )
-        self.store.write("fact_claim", facts.fact_claim(placed, path), run, SORT_COLUMNS["fact_claim"])
-        Folder(self.spark, path).delete()
-
-        path = work_folder(self.spark, "fact_payment")
+        self._load_fact("fact_claim", placed, facts.fact_claim, run, result)
         placed = facts.place_payments(self.staged("payments", ingestion_date), self.table("fact_claim"))
-        self.store.write("fact_payment", facts.fact_payment(placed, path), run, SORT_COLUMNS["fact_payment"])
+        self._load_fact("fact_payment", placed, facts.fact_payment, run, result)
+
+    def _load_fact(self, name: str, placed: DataFrame, build: Callable, run: str, result: RunResult) -> None:
+        seen = Observation(f"placed_{name}")
+        path = work_folder(self.spark, name)
+        rows = build(placed.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+        self.store.write(name, rows, run, SORT_COLUMNS[name])
         Folder(self.spark, path).delete()
+        self.store.drop_superseded(name)
+        result.placed_rows[name] = seen.get["rows"]
+        log.info("%s: %d rows found their dimensions", name, seen.get["rows"])
 
     def load_log(self, events: list[dict], run: str) -> None:
         """Append the events of this run; a repeated run replaces its own."""
@@ -184,12 +190,13 @@ class Warehouse:
         entries = evolution.log_entries(evolution.event_frame(self.spark, events), last)
         self.store.write("schema_evolution_log", entries, run)
 
-    def load(self, ingestion_date: datetime.date, as_of: datetime.date, run: str, events: list[dict]) -> None:
-        self.load_log(events, run)
+    def load(self, ingestion_date: datetime.date, as_of: datetime.date, result: RunResult) -> None:
+        run = result.run_id
+        self.load_log(result.evolution_events, run)
         if not self.store.runs("dim_date"):
             self.store.write("dim_date", calendar.dim_date(self.spark), run, SORT_COLUMNS["dim_date"])
         at_once([partial(self.load_dimension, spec, ingestion_date, as_of, run) for spec in DIMENSIONS])
-        self.load_facts(ingestion_date, run)
+        self.load_facts(ingestion_date, run, result)
 
     def repair_dimension(self, spec: Dimension, fix: Callable[[DataFrame], DataFrame]) -> list:
         """Rewrite a dimension with one of the repair operators, then look for duplicates again.
@@ -221,11 +228,10 @@ class Warehouse:
         as_of = as_of or datetime.date.today()
         ingestion_date = ingestion_date or as_of
         result = RunResult(run_id or f"{as_of.isoformat()}_{ingestion_date.isoformat()}")
-        run = result.run_id
         steps = [
             ("extraction", lambda: self.extract(inbox, ingestion_date, result)),
-            ("transformation", lambda: self.transform(ingestion_date, as_of, run, result)),
-            ("loading", lambda: self.load(ingestion_date, as_of, run, result.evolution_events)),
+            ("transformation", lambda: self.transform(ingestion_date, as_of, result)),
+            ("loading", lambda: self.load(ingestion_date, as_of, result)),
         ]
         for name, step in steps:
             try:

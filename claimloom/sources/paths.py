@@ -53,14 +53,14 @@ class Folder:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in spark.checkpoint.dir."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="claimloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not configured:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="claimloom-"))
+        configured = context.getCheckpointDir()
+    return configured.rstrip("/")
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:

@@ -60,6 +60,7 @@ def test_run_report(two_days):
     _, _, first, second = two_days
     assert first.landed_rows == {"claimants": 2, "claims": 2, "employers": 1, "payments": 2, "policies": 1}
     assert first.claims_without_policy == 1
+    assert first.placed_rows == {"fact_claim": 2, "fact_payment": 2}
     assert len(first.manifest) == 6 and first.absent_files == [] and first.evolution_events == []
     assert [(e["entity"], e["added_columns"]) for e in second.evolution_events] == [("claimants", '["email"]')]
     assert {r.result for r in second.checks} == {"PASS"}

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from claimloom.operators import staging
 from claimloom.schemas import STAGING, WAREHOUSE, no_rows
+from claimloom.sources.paths import shared_folder
 from claimloom.sources.store import Store
 
 SCHEMA = "id bigint"
@@ -114,3 +115,29 @@ def test_staging_selects_by_name_and_reports_what_does_not_fit(spark):
     assert rows.filter(staging.is_faulty(STAGING["payments"])).count() == 2
     with pytest.raises(staging.LoadError, match="payment_id"):
         staging.staged(landed.drop("payment_id"), STAGING["payments"])
+
+
+class _Session:
+    """A session without spark.checkpoint.dir."""
+
+    def __init__(self, master, configured=None):
+        self.conf = self
+        self.sparkContext = self
+        self.master, self.configured, self.chosen = master, configured, None
+
+    def get(self, key, default):
+        return self.configured
+
+    def getCheckpointDir(self):
+        return self.chosen
+
+    def setCheckpointDir(self, path):
+        self.chosen = path
+
+
+def test_shared_folder_is_the_clusters_own():
+    assert shared_folder(_Session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(_Session("yarn"))
+    local = _Session("local[2]")
+    assert shared_folder(local) == shared_folder(local) == local.chosen
