@@ -55,7 +55,7 @@ def history_gaps(dim: DataFrame, spec: Dimension) -> DataFrame:
             key,
             F.date_add("_covered", 1).alias("gap_from"),
             F.date_sub("_next", 1).alias("gap_to"),
-            (F.datediff("_next", "_covered") - 1).alias("gap_days"),
+            (F.datediff("_next", "_covered") - 1).cast("bigint").alias("gap_days"),
         )
     )
 
