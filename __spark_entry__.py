@@ -165,6 +165,10 @@ def _latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.keep_newest(history, "claimant_id", order)
 
 
+def _version_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.version_history(_history(spark, sf_dir), CLAIMANT, F.col("claimant_key").isNotNull())
+
+
 def _close_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.close_versions(_history(spark, sf_dir), F.col("claimant_key") == 101, DAY2)
 
@@ -292,6 +296,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scd2_gaps": _gaps,
         "scd2_overlaps": _overlaps,
         "scd2_latest_version": _latest_version,
+        "scd2_version_history": _version_history,
         "scd2_close_key": _close_key,
         "scd2_close_natural": _close_natural,
         "scd2_fix_attribute": _fix_attribute,

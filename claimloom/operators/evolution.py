@@ -54,6 +54,11 @@ def registry_snapshots(registry: DataFrame) -> dict[str, Snapshot]:
     return {r.entity: Snapshot(r.entity, list(r.columns), r.as_of) for r in registry.collect()}
 
 
+def _without(columns: list[str], others: list[str]) -> list[str]:
+    """The columns that are not among the others, in their order."""
+    return list(filter(lambda c: c not in others, columns))
+
+
 def compare(previous: Snapshot | None, current: Snapshot) -> dict | None:
     """The event to record, or None on a first delivery or without a difference.
 
@@ -62,9 +67,9 @@ def compare(previous: Snapshot | None, current: Snapshot) -> dict | None:
     """
     if previous is None:
         return None
-    added = [c for c in current.columns if c not in previous.columns]
-    removed = [c for c in previous.columns if c not in current.columns]
-    if not added and not removed:
+    added = _without(current.columns, previous.columns)
+    removed = _without(previous.columns, current.columns)
+    if not added + removed:
         return None
     return {
         "entity": current.entity,

@@ -75,8 +75,10 @@ class Warehouse:
         return {name: self.table(name) for name in WAREHOUSE}
 
     def staged(self, entity: str, ingestion_date: datetime.date) -> DataFrame:
-        landed = self.spark.read.parquet(self.landing(entity, ingestion_date))
-        return staging.staged(landed, STAGING[entity])
+        path = self.landing(entity, ingestion_date)
+        if not Folder(self.spark, path).is_complete():
+            raise staging.LoadError(f"{path} has not been landed completely")
+        return staging.staged(self.spark.read.parquet(path), STAGING[entity])
 
     def claims_summary(self) -> DataFrame:
         return views.claims_summary(self.table("fact_claim"), self.table("dim_employer"), self.table("dim_policy"))

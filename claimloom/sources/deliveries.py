@@ -10,6 +10,7 @@ import datetime
 import hashlib
 import logging
 import sys
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -79,18 +80,26 @@ def _first_line(path: str) -> str:
 
 
 def _copy(source: str, target: str) -> tuple[str, int]:
-    """Copy in chunks; the file appears under its name only when it is whole."""
+    """Copy in chunks; the file appears under its name only when it is whole.
+
+    Each attempt writes its own file, hidden from readers, so a task that is repeated
+    or run twice at a time does no harm.
+    """
     from_fs, from_name = _open(source)
     to_fs, to_name = _open(target)
+    folder, name = to_name.rsplit("/", 1)
+    unfinished = f"{folder}/_{name}.{uuid.uuid4().hex}"
     digest, size = hashlib.md5(), 0
-    unfinished = f"{to_name}.{hashlib.md5(source.encode()).hexdigest()[:8]}.copying"
-    to_fs.create_dir(to_name.rsplit("/", 1)[0], recursive=True)
+    to_fs.create_dir(folder, recursive=True)
     with from_fs.open_input_stream(from_name) as read, to_fs.open_output_stream(unfinished) as write:
         while block := read.read(CHUNK_BYTES):
             digest.update(block)
             size += len(block)
             write.write(block)
-    to_fs.move(unfinished, to_name)
+    if to_fs.get_file_info(to_name).type == fs.FileType.File:
+        to_fs.delete_file(unfinished)
+    else:
+        to_fs.move(unfinished, to_name)
     return digest.hexdigest(), size
 
 

@@ -334,12 +334,17 @@ def statements() -> dict[str, str]:
             "SELECT claimant_id, COUNT(*) AS current_count FROM history WHERE is_current "
             "GROUP BY claimant_id HAVING COUNT(*) > 1",
         ),
-        "scd2_gaps": _with(history, ", " + _GAPS),
+        "scd2_gaps": "WITH history AS (" + fx.SOURCES["history"] + "),\n" + _GAPS,
         "scd2_overlaps": _with(history, _OVERLAPS),
         "scd2_latest_version": _with(
             history,
             f"SELECT * EXCLUDE (n) FROM (SELECT *, {latest} AS n FROM history) h WHERE n = 1",
         ),
+        "scd2_version_history": _with(
+            history,
+            "SELECT claimant_key, claimant_id, effective_from, effective_to, is_current FROM history "
+            "ORDER BY claimant_id, effective_from, claimant_key",
+        ),
         "scd2_close_key": _with(history, _closing("claimant_key = 101", _D2)),
         "scd2_close_natural": _with(history, _closing("claimant_id = 77 AND is_current", _D1)),
         "scd2_fix_attribute": _with(
@@ -377,7 +382,6 @@ def statements() -> dict[str, str]:
             _SUMMARY,
         ),
     }
-    sql["scd2_gaps"] = "WITH history AS (" + fx.SOURCES["history"] + "),\n" + _GAPS
     parts = {"expired": "SELECT * EXCLUDE (just_closed) FROM after_expiry WHERE just_closed",
              "new": "SELECT * FROM brand_new", "changed": "SELECT * FROM changed"}
     for dim in DIMS:
