@@ -1,0 +1,106 @@
+import random
+import re
+
+import numpy as np
+import pytest
+
+from claimloom.llm import components, tensor_minhash
+from claimloom.llm.common import Scratch, WordHashes
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_classes(texts):
+    lower = lambda t: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+    words = [WORD.findall(lower(t)) for t in texts]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in words]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if sets[i] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]) and label[i] != label[j]:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    return [len(s) for s in sets], label
+
+
+@pytest.fixture(scope="module")
+def copies():
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(400)] + ["É", "x\x1cy", "the"]
+    make = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    texts = [None, "", " \n", "one", "ONE", "one two", "one two three four five", "a b c d e f", "A b c d e  f"]
+    passage = make(40)
+    for size in (12, 40, 90, 200):
+        for _ in range(4):
+            base = make(size)
+            for _ in range(rng.choice([1, 3, 8])):
+                copy = list(base)
+                for _ in range(rng.randrange(1 + size // 30)):
+                    copy[rng.randrange(size)] = rng.choice(vocabulary)
+                texts.append(rng.choice([" ", "\n", "\t "]).join(copy))
+    texts += [" ".join(make(rng.randrange(5, 30)) + passage + make(rng.randrange(5, 30))) for _ in range(40)]
+    base = make(150)
+    for _ in range(60):
+        copy = list(base)
+        for _ in range(rng.randrange(12)):
+            copy[rng.randrange(150)] = rng.choice(vocabulary)
+        texts.append(" ".join(copy))
+    texts += texts[20:30] + ["same same " * 50] * 30 + [" ".join(make(30_000))]
+    return texts
+
+
+@pytest.mark.parametrize("block", [2048, 7])
+def test_classes_against_brute_force(docs, copies, block, monkeypatch):
+    monkeypatch.setattr(tensor_minhash, "BUCKET_ROWS", block)
+    monkeypatch.setattr(tensor_minhash, "BLOCK_NODES", block)
+    sizes, label = brute_classes(copies)
+    table = docs(copies).selectExpr("*", "'x' AS node", "1 AS mark").repartition(6)
+    found = {r.doc_id: r for r in tensor_minhash.classes(table).collect()}
+    assert len(found) == len(copies)
+    for i in range(len(copies)):
+        assert found[i].n_shingles == sizes[i]
+        assert found[i].component_id == label[i], (i, copies[i])
+        assert found[i].kept == (label[i] == i)
+
+
+def test_one_document_of_each_class_stays(spark, docs, copies):
+    _, label = brute_classes(copies)
+    table = docs(copies)
+    again = table.union(table.filter("doc_id IN (20, 21)"))
+    lost = spark.createDataFrame([(None, "an own text without any id at all", "en", None, 0)] * 2, table.schema)
+    kept = tensor_minhash.keep_one(again.union(lost))
+    assert kept.columns == table.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert sorted(i for i in ids if i is not None) == sorted(set(label)) and ids.count(None) == 2
+    assert tensor_minhash.classes(docs([])).count() == 0
+    assert tensor_minhash.classes(docs([None, ""])).filter("kept").count() == 2
+
+
+def test_sketches_find_pairs_at_the_threshold():
+    rng, factors = np.random.default_rng(1), tensor_minhash._factors()
+    found = 0
+    for _ in range(400):
+        both = rng.integers(0, 2**63, 700, dtype=np.uint64)
+        a, b = both[:600], both[100:]  # 500 of 700 are shared: below the threshold of 0.75
+        sketches = np.stack([tensor_minhash.sketch_of(x, factors) for x in (a, b)])
+        keys = tensor_minhash.table_keys(sketches)
+        found += bool((keys[0] == keys[1]).any()) and (sketches[0] == sketches[1]).sum() >= tensor_minhash.ALIKE
+    assert found >= 390
+    assert len(np.unique(tensor_minhash.table_keys(sketches))) > 100
+
+
+def test_shingles_fold_only_ascii_case():
+    hashes = WordHashes()
+    same = [tensor_minhash.shingles_of(t, hashes).tolist() for t in (b"A b", b"a\tB", "É x".encode(), "é x".encode())]
+    assert same[0] == same[1] and same[2] != same[3]
+
+
+def test_components_of_long_paths(spark):
+    rng = random.Random(3)
+    edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7), (300, 200), (200, 300)]
+    rng.shuffle(edges)
+    table = spark.createDataFrame(edges, "u bigint, v bigint")
+    found = {r.node: r.label for r in components.components(table, Scratch(spark, "t"), "t").collect()}
+    expected = {i: 0 for i in range(61)} | {100 + i: 100 for i in range(50)} | {200: 200, 300: 200}
+    assert found == expected
+    assert components.components(table.limit(0), Scratch(spark, "t"), "t").count() == 0
