@@ -29,6 +29,12 @@ from claimloom.schemas import CLAIMANT, DIMENSIONS, EMPLOYER, FILE_ENTITY, POLIC
 from claimloom.sources import deliveries  # noqa: E402
 from claimloom.sources.paths import land, work_folder  # noqa: E402
 
+try:  # the operators of a training-data pipeline are there or not
+    import corpus_pipeline
+    from claimloom.llm import queries as llm_queries
+except ImportError:
+    corpus_pipeline = llm_queries = None
+
 DAY1, DAY2 = oracle.DAY1, oracle.DAY2
 
 
@@ -311,11 +317,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         registered[f"scd2_merge_{short}"] = partial(_merge, spec=spec)
         for step in ("expired", "new", "changed"):
             registered[f"scd2_{step}_{short}"] = partial(_merge_step, spec=spec, step=step)
+    if llm_queries is not None:
+        registered |= llm_queries.QUERIES
+        registered["pipeline"] = corpus_pipeline.run
     return registered
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    statements = oracle.statements()
+    if llm_queries is not None:
+        statements |= llm_queries.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL is not None:
+            statements["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return statements
 
 
 def entry(spark: SparkSession) -> DataFrame:
