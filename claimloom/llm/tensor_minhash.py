@@ -262,7 +262,8 @@ def classes(docs: DataFrame) -> DataFrame:
     )
     dealt = known.join(sizes, "cluster").withColumn("_block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
     dealt = dealt.select(F.col("doc_id").alias("_id"), "node", "mark", "cluster", "_block", "_blocks")
-    found = narrow.join(dealt, narrow["doc_id"].eqNullSafe(dealt["_id"]))
+    # Representatives in clusters grow with the corpus: they are never broadcast, at any size.
+    found = narrow.join(dealt.hint("merge"), narrow["doc_id"].eqNullSafe(dealt["_id"]))
     found = found.select("text", "node", "mark", "cluster", "_block", "_blocks")
     sets = map_rows(found, _set_rows, "node bigint, cluster bigint, _block int, _blocks int, shingles binary", rows=200)
     met = _meetings(sets, "_block", "_blocks").select("cluster", "_low", "_high", "_block", "node", "shingles")
