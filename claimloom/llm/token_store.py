@@ -14,6 +14,8 @@ one table that spans the store has one row per shard.
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -26,13 +28,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from claimloom.llm.common import KEPT_WORDS, Scratch, columns, map_rows
+from claimloom.llm.common import Scratch, columns, map_rows
 
 SEGMENT_IDS = 1 << 20
 _BLOCK_BITS = 512
 _LONG_WORD = 64
 _MARK = b"\x01"  # stands between words that are encoded in one call
 _CALL_BYTES = 1 << 16
+_PUNCTUATED = re.compile(rb"(?<=[a-z])(?=[,.;:!?])")
+#: Words a worker keeps the ids of, some 100 bytes each with their ids.
+KEPT_IDS = 500_000
 
 
 class Codes:
@@ -121,46 +126,93 @@ class WordEncoder:
 
     White space ends every match of this kind of tokenizer and leaves no token itself, so
     the ids of a text are those of its words one after another.  Words that come again
-    are looked up; new ones go to the library many at a time, with a mark between them.
+    are looked up; new ones go to the library: words of a-z straight to its model, others
+    many at a time.  Words of letters alone are one match each and end with a token that
+    ends a word; between others stands a mark.
+
+    If the library lower-cases, capitals A-Z are lowered first; and a blank is put between
+    a letter a-z and the punctuation after it, where a match ends anyway.  Both make more
+    words equal, and neither is done to a text in which an added token could be meant.
     """
 
-    def __init__(self, path: str, kept: int = KEPT_WORDS):
+    def __init__(self, path: str, kept: int = KEPT_IDS):
         self._library = Tokenizer.from_file(path)
         self._library.no_truncation()
         self._library.no_padding()
         self._mark = self._library.encode(_MARK.decode(), add_special_tokens=False).ids
         self._known: dict[bytes, bytes] = {}
         self._kept = kept
+        rules = json.loads(self._library.to_str())
+        self._added = [t["content"].encode().lower() for t in rules["added_tokens"]]
+        letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+        normal = self._library.normalizer
+        self._lowers = normal is not None and normal.normalize_str(letters) == letters.lower()
+        suffix = rules["model"].get("end_of_word_suffix")
+        vocabulary = self._library.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+
+        # A word of letters a-z that passes through normaliser and splitter as it is goes to
+        # the model at once; the probe holds every two letters side by side.
+        probe = "".join(a + b for a in letters.lower() for b in letters.lower())
+        splitter = self._library.pre_tokenizer
+        pieces = [piece for piece, _ in splitter.pre_tokenize_str(probe)] if splitter is not None else []
+        self._direct = pieces == [probe] and (normal is None or normal.normalize_str(probe) == probe)
+        self._model = self._library.model
+        self._bytes = [struct.pack("<I", i) for i in range(len(self._ends))]
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self._library.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.array(self._library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    def _together(self, words: list[bytes], between: bytes) -> None:
+        """Learn words in calls of about _CALL_BYTES, if their ids can be told apart."""
+        start = 0
+        while start < len(words):
+            call, size = start, 0
+            while call < len(words) and size < _CALL_BYTES:
+                size += len(words[call])
+                call += 1
+            ids = self._ids(between.join(words[start:call]).decode("utf-8", "replace"))
+            if between == b" ":
+                ends = np.flatnonzero(self._ends[ids]) + 1
+                starts = np.append(0, ends[:-1])
+            else:
+                marks = np.flatnonzero(ids == self._mark[0])
+                starts, ends = np.append(0, marks + 1), np.append(marks, len(ids))
+            data = ids.astype("<u4").tobytes()
+            if len(ends) == call - start and len(ids):
+                for word, low, high in zip(words[start:call], starts.tolist(), ends.tolist()):
+                    self._known[word] = data[4 * low : 4 * high]
+            start = call
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: set[bytes]) -> None:
         known = self._known
-        together = [w for w in words if _MARK not in w and len(w) <= _LONG_WORD] if len(self._mark) == 1 else []
-        while together:
-            call, size = [], 0
-            while together and size < _CALL_BYTES:
-                call.append(together.pop())
-                size += len(call[-1])
-            ids = self._ids((b" " + _MARK + b" ").join(call).decode("utf-8", "replace"))
-            marks = np.flatnonzero(ids == self._mark[0])
-            starts, ends = np.append(0, marks + 1), np.append(marks, len(ids))
-            data = ids.astype("<u4").tobytes()
-            if len(starts) == len(call):
-                for word, start, end in zip(call, starts.tolist(), ends.tolist()):
-                    known[word] = data[4 * start : 4 * end]
-        for word in words:  # long words, and those the mark cannot tell apart
-            if word not in known:
-                known[word] = self._ids(word.decode("utf-8", "replace")).astype("<u4").tobytes()
+        short = [w for w in words if len(w) <= _LONG_WORD]
+        if self._direct:
+            split, ids = self._model.tokenize, self._bytes
+            for word in [w for w in short if w.isalpha() and w.islower()]:
+                known[word] = b"".join([ids[token.id] for token in split(word.decode())])
+            short = [w for w in short if w not in known]
+        if self._ends.any():
+            self._together([w for w in short if w.isalpha() or w.decode("utf-8", "replace").isalpha()], b" ")
+        if len(self._mark) == 1:
+            self._together([w for w in short if w not in known and _MARK not in w], b" " + _MARK + b" ")
+        for word in words.difference(known):  # long words, and those that cannot be told apart
+            known[word] = self._ids(word.decode("utf-8", "replace")).astype("<u4").tobytes()
+
+    def _words(self, text: bytes) -> list[bytes]:
+        low = text.lower()
+        if any(token in low for token in self._added):
+            return text.split()
+        return _PUNCTUATED.sub(b" ", low if self._lowers else text).split()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """For each text its ids as little-endian uint32."""
-        split = [text.split() for text in texts]
+        split = [self._words(text) for text in texts]
         if len(self._known) > self._kept:
             self._known.clear()
         new = set().union(*split).difference(self._known)
-        self._learn(list(new))
+        self._learn(new)
         ids = [b"".join(map(self._known.__getitem__, words)) for words in split]
         for word in [w for w in new if len(w) > _LONG_WORD]:
             del self._known[word]
