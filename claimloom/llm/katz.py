@@ -113,7 +113,7 @@ class Unigrams:
 
 
 def _batches(rows: Iterable[tuple]) -> Iterator[tuple]:
-    """batch, doc_ids, train, lengths, words (sorted hashes), codes of the tokens."""
+    """batch, doc_ids, train, lengths, words (sorted hashes), codes of the tokens, number of words, code of begin."""
     hashes, number = WordHashes(), 0
     end, begin = hashes.of([_END, _BEGIN])
     held: list[tuple] = []
@@ -122,13 +122,14 @@ def _batches(rows: Iterable[tuple]) -> Iterator[tuple]:
     def packed() -> tuple:
         nonlocal number
         words, codes = np.unique(np.concatenate([h for _, _, h in held] + [[begin]]), return_inverse=True)
-        batch = (TaskContext.get().partitionId() << 32) + number
+        batch, code = (TaskContext.get().partitionId() << 32) + number, int(np.searchsorted(words, begin))
         number += 1
         lengths = np.array([len(h) for _, _, h in held], np.uint64)
         train = np.array([t for _, t, _ in held], np.uint8)
         ids = [d for d, _, _ in held]
         held.clear()
-        return batch, ids, pack(train), pack(lengths), pack(words), pack(codes[:-1].astype(np.uint32)), len(words)
+        tokens = pack(codes[:-1].astype(np.uint32))
+        return batch, ids, pack(train), pack(lengths), pack(words), tokens, len(words), code
 
     for doc_id, train, text in rows:
         found = np.append(hashes.of((text or b"").lower().split()), end)
@@ -141,7 +142,7 @@ def _batches(rows: Iterable[tuple]) -> Iterator[tuple]:
         yield packed()
 
 
-_BATCHES = "batch bigint, doc_ids array<bigint>, train binary, lengths binary, words binary, codes binary, n_words bigint"
+_BATCHES = "batch bigint, doc_ids array<bigint>, train binary, lengths binary, words binary, codes binary, n_words bigint, begin int"
 
 
 def _buckets_of(words: np.ndarray, bits: int) -> np.ndarray:
@@ -162,12 +163,11 @@ def _of_counts(counts: np.ndarray) -> list[int]:
 
 def _ask_words(bits: int):
     def run(rows: Iterable[tuple]) -> Iterator[tuple]:
-        begin = WordHashes().of([_BEGIN])[0]
-        for batch, train, lengths, words, codes in rows:
+        for batch, train, lengths, words, codes, begin in rows:
             words, codes = unpack(words), unpack(codes)
             trained = np.repeat(unpack(train), unpack(lengths).astype(np.int64)).astype(bool)
             counts = np.bincount(codes[trained], minlength=len(words))
-            counts[words == begin] = 0
+            counts[begin] = 0
             for bucket, start, end in _runs(_buckets_of(words, bits)):
                 yield bucket, batch, pack(words[start:end]), pack(_narrow(counts[start:end]))
 
@@ -248,19 +248,16 @@ class Batch:
 
 def _gathered(rows: Iterable[tuple]) -> Iterator[tuple[int, Batch, int, dict]]:
     """Batches with all that answers them: (batch, its words answered, code of begin, answers for pairs)."""
-    begin = WordHashes().of([_BEGIN])[0]
     for batch, same in groupby(rows, key=lambda row: row[0]):
         first, words, pairs = None, [], {}
-        for _, kind, bucket, doc_ids, a, b, c, d in same:
+        for _, kind, bucket, begin, doc_ids, a, b, c, d in same:
             if kind == 0:
-                first = (doc_ids, a, b, c, unpack(d))
+                first, code = (doc_ids, a, b, c), begin
             elif kind == 1:
                 words.append((bucket, a, b))
             else:
                 pairs[bucket] = (a, b, c, d)
-        doc_ids, train, lengths, codes, known = first
-        code = int(np.searchsorted(known, begin))
-        yield batch, Batch.of(doc_ids, train, lengths, codes, words), code, pairs
+        yield batch, Batch.of(*first, words), code, pairs
 
 
 def _ask_pairs(hot_count: float):
@@ -284,11 +281,20 @@ def _ask_pairs(hot_count: float):
 _PAIR_QUESTIONS = "bucket int, batch bigint, context binary, word binary, counts binary, trained binary, hot binary"
 
 
+def _contexts(context: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs sorted by context: the contexts, and those of them with a pair not seen."""
+    starts = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+    heads = context[starts]
+    return heads, heads[np.minimum.reduceat(counts, starts) == 0]
+
+
 def _answer_pairs(unigrams: Unigrams):
     """Answers (kind 0), the bucket of the bigram table (kind 1), sums of hot contexts (kind 2).
 
-    An answer holds the count of each pair asked for and, for each context asked for in
-    order, its sums: tokens, types with count 1 to GOOD_TURING, unigram probability seen.
+    An answer holds the count of each pair asked for, then for each context asked for, in
+    order, whether it loses anything to discounts, then for those with a pair not seen what
+    their back-off weight needs: the types with count 1 to GOOD_TURING, and the unigram
+    probability of all that was seen.
     """
 
     def run(rows: Iterable[tuple]) -> Iterator[tuple]:
@@ -305,30 +311,33 @@ def _answer_pairs(unigrams: Unigrams):
             seen = counts > 0
             of, n = c[first][seen], counts[seen]
             sums = np.zeros((len(contexts), GOOD_TURING + 2))
-            sums[:, 0] = np.bincount(of, n, len(contexts))
+            sums[:, 0] = np.bincount(of, n, len(contexts))  # tokens: needed of hot contexts alone
             for r in range(1, GOOD_TURING + 1):
                 sums[:, r] = np.bincount(of, n == r, len(contexts))
+            loses = sums[:, 1:-1].any(axis=1)
             probabilities = unigrams.discounted(word_counts[first][seen]) / unigrams.total
             sums[:, -1] = np.bincount(of, probabilities, len(contexts))
             at = 0
             for batch, (own, *_) in asked:
                 mine = slice(at, at + len(own))
                 at += len(own)
-                heads = c[mine][np.concatenate([[True], c[mine][1:] != c[mine][:-1]])]
-                whole = pack(_narrow(sums[heads, :-1].astype(np.int64).ravel()))
-                yield 0, batch, bucket, pack(_narrow(counts[place[mine]])), whole, pack(sums[heads, -1]), None
+                found = counts[place[mine]]
+                heads, weighed = _contexts(c[mine], found)
+                parts = (_narrow(found), loses[heads].astype(np.uint8))
+                types = _narrow(sums[weighed, 1:-1].astype(np.int64).ravel())
+                yield 0, batch, bucket, *map(pack, parts), pack(types), pack(sums[weighed, -1]), None
             is_hot = np.zeros(len(contexts), bool)
             is_hot[c[hot]] = True
             ids, table = contexts[of], (pack(contexts[of]), pack(words[w[first][seen]]), pack(_narrow(n)))
             if len(ids):
-                yield 1, None, bucket, *table, _of_counts(n)
+                yield 1, None, bucket, *table, None, _of_counts(n)
             for k in np.flatnonzero(is_hot).tolist():
-                yield 2, int(contexts[k].view(np.int64)), bucket, None, None, pack(sums[k]), None
+                yield 2, int(contexts[k].view(np.int64)), bucket, None, None, pack(sums[k]), None, None
 
     return run
 
 
-_PAIR_ANSWERS = "kind int, batch bigint, bucket int, a binary, b binary, c binary, stats array<bigint>"
+_PAIR_ANSWERS = "kind int, batch bigint, bucket int, a binary, b binary, c binary, d binary, stats array<bigint>"
 
 
 def _scores(unigrams: Unigrams, unknown: float, kept: np.ndarray, hot_count: float, hot_sums: dict[int, np.ndarray]):
@@ -338,21 +347,24 @@ def _scores(unigrams: Unigrams, unknown: float, kept: np.ndarray, hot_count: flo
             pairs, ids = batch.pairs(begin, hot_count), batch.context_ids(begin)
             counts = np.zeros(len(pairs.bucket), np.int64)
             sums = np.zeros((len(ids), GOOD_TURING + 2))
-            for bucket, (a, whole, seen, _) in answers.items():
+            loses = np.zeros(len(ids), bool)
+            for bucket, (a, b, types, seen) in answers.items():
                 mine = np.flatnonzero(pairs.bucket == bucket)
                 counts[mine] = unpack(a)
-                context = pairs.context[mine]
-                heads = context[np.concatenate([[True], context[1:] != context[:-1]])]
-                sums[heads, :-1] = unpack(whole).reshape(len(heads), -1)
-                sums[heads, -1] = unpack(seen)
+                heads, weighed = _contexts(pairs.context[mine], counts[mine])
+                loses[heads] = unpack(b)
+                sums[weighed, 1:-1] = unpack(types).reshape(-1, GOOD_TURING)
+                sums[weighed, -1] = unpack(seen)
+            sums[:, 0] = batch.counts  # a word is followed by a token as often as it occurs
             for code in np.unique(pairs.context[pairs.hot]).tolist():
                 sums[code] = hot_sums.get(int(ids[code]), 0.0)
+                loses[code] = sums[code, 1:-1].any()
             lower = unigrams.probabilities(batch.counts, unknown)
             total, types, seen = sums[:, 0], sums[:, 1:-1], sums[:, -1]
             low = np.arange(1, GOOD_TURING + 1)
             lost = (types * low * (1 - kept[1:])).sum(axis=1)
-            total = np.where(lost > 0, total, total + 1)  # a context that loses nothing counts one more
-            weight = np.where(lost > 0, lost, 1.0) / total / (1 - seen)
+            total = np.where(loses, total, total + 1)  # a context that loses nothing counts one more
+            weight = np.where(loses, lost, 1.0) / total / (1 - seen)
             weight[sums[:, 0] == 0] = 1.0  # nothing is known of the context
             stays = kept[np.where(counts <= GOOD_TURING, counts, 0)]
             known = stays * counts / total[pairs.context]
@@ -372,19 +384,19 @@ def _scores(unigrams: Unigrams, unknown: float, kept: np.ndarray, hot_count: flo
 def _for_batches(batches: DataFrame, words: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """Each batch's own row, then the answers for it, side by side in one partition."""
     empty = F.lit(None).cast("binary")
-    none = F.lit(None).cast("array<bigint>")
+    none = [F.lit(None).cast("int").alias("begin"), F.lit(None).cast("array<bigint>").alias("doc_ids")]
     rows = batches.select(
-        "batch", F.lit(0).alias("kind"), F.lit(-1).alias("bucket"), "doc_ids", F.col("train").alias("a"),
-        F.col("lengths").alias("b"), F.col("codes").alias("c"), F.col("words").alias("d"),
+        "batch", F.lit(0).alias("kind"), F.lit(-1).alias("bucket"), "begin", "doc_ids", F.col("train").alias("a"),
+        F.col("lengths").alias("b"), F.col("codes").alias("c"), empty.alias("d"),
     )
     answers = words.filter("kind = 0")
     rows = rows.unionByName(
-        answers.select("batch", F.lit(1).alias("kind"), "bucket", none.alias("doc_ids"), "a", "b", empty.alias("c"), empty.alias("d"))
+        answers.select("batch", F.lit(1).alias("kind"), "bucket", *none, "a", "b", empty.alias("c"), empty.alias("d"))
     )
     if pairs is not None:
         answers = pairs.filter("kind = 0")
         rows = rows.unionByName(
-            answers.select("batch", F.lit(2).alias("kind"), "bucket", none.alias("doc_ids"), "a", "b", "c", empty.alias("d"))
+            answers.select("batch", F.lit(2).alias("kind"), "bucket", *none, "a", "b", "c", "d")
         )
     return rows.repartition("batch").sortWithinPartitions("batch", "kind", "bucket")
 
@@ -421,7 +433,7 @@ def model_and_scores(docs: DataFrame, training: Column) -> Katz:
     bits = max(LEAST_BUCKETS, entries // BUCKET_ENTRIES).bit_length()
 
     questions = map_rows(
-        batches.select("batch", "train", "lengths", "words", "codes"), _ask_words(bits),
+        batches.select("batch", "train", "lengths", "words", "codes", "begin"), _ask_words(bits),
         "bucket int, batch bigint, words binary, counts binary", rows=200,
     )
     dealt = questions.repartition("bucket").sortWithinPartitions("bucket", "batch")
