@@ -187,20 +187,30 @@ def viterbi(scores: np.ndarray, penalty: float) -> np.ndarray:
     return path
 
 
+def _hash_at(share: float) -> int:
+    """The signed 64-bit hash below which that share of all hashes lies."""
+    return min(2**63 - 1, int(share * 2**64) - 2**63)
+
+
 def fit(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     """A model of rows (doc_id, text, lang); rows with a NULL text or lang teach nothing.
 
     Of each language the ``per_language`` documents with the lowest hash of text and id
-    are taken: a bounded sample of whole texts, the same whatever the partitions; copies of
+    are taken (fewer only if copies make up half of them): a bounded sample of whole texts, the same whatever the partitions; copies of
     one row count once.  What is collected is bounded by cells and scripts times languages.
     """
     usable = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     usable = usable.select("lang", "text", F.xxhash64("doc_id", "text").alias("_hash"))
+    counts = usable.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} values of lang: the model has a column for each")
+    # Hashes are even: twice the sample lies below this share of them, and only that is ranked.
+    below = [F.struct(F.lit(r.lang), F.lit(_hash_at(2 * per_language / r["count"]))) for r in counts]
+    near = usable.select("lang", "_hash")
+    if below:
+        near = near.filter(F.col("_hash") <= F.map_from_entries(F.array(*below))[F.col("lang")])
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_hash"))
-    lowest = usable.select("lang", "_hash").withColumn("_rank", rank).filter(F.col("_rank") <= per_language)
-    languages = usable.agg(F.count_distinct("lang")).first()[0]
-    if languages > MAX_LANGUAGES:
-        raise ValueError(f"{languages} values of lang: the model has a column for each")
+    lowest = near.withColumn("_rank", rank).filter(F.col("_rank") <= per_language)
     # per_language hashes of each of a bounded number of languages
     taught = usable.join(F.broadcast(lowest.select("lang", "_hash")), ["lang", "_hash"], "left_semi")
     taught = taught.dropDuplicates(["lang", "_hash"])
