@@ -17,6 +17,7 @@ from claimloom.sources.paths import Folder, land, work_folder
 SPACES = " \t\n\x0b\x0c\r"
 #: Words a worker keeps the result of; beyond it the store starts afresh (results stay the same).
 KEPT_WORDS = 200_000
+SLICE_ROWS = 512
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -62,6 +63,13 @@ class Scratch:
             Folder(self.spark, f"{self.root}/{name}").delete()
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of a few rows: what a worker turns into Python objects at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def map_rows(
     df: DataFrame, function: Callable[[Iterable[tuple]], Iterable[tuple]], schema: str, rows: int = 2000
 ) -> DataFrame:
@@ -72,7 +80,7 @@ def map_rows(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def incoming() -> Iterator[tuple]:
-            for batch in batches:
+            for batch in slices(batches):
                 cast = [c.cast(pa.binary()) if pa.types.is_string(c.type) else c for c in batch.columns]
                 yield from zip(*[c.to_pylist() for c in cast])
 

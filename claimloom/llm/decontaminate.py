@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import columns, map_rows
+from claimloom.llm.common import columns, map_rows, slices
 
 WINDOW = 10
 #: Words of items in one automaton: some 100 MB at most in a worker.
@@ -265,7 +265,7 @@ def clean(
     at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             kept, new = [], []
             for i, (text, hit, _) in enumerate(parts.scan(texts)):

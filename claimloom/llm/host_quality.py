@@ -125,7 +125,9 @@ def keep_good(docs: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
     judged = with_rules(rows, F.col("_row.text")).select(
         "_row", F.col("_row.source").alias("host"), F.col("_rules.base_failed").alias("base_failed")
     )
-    landed = Scratch(docs.sparkSession, "quality").land(judged, "judged")
-    rejected = rejected_hosts(landed.select("host", "base_failed"), max_rate)
+    scratch = Scratch(docs.sparkSession, "quality")
+    landed = scratch.land(judged, "judged")
+    # Landed, so that Spark knows its size: whole documents are only shuffled if it is large.
+    rejected = scratch.land(rejected_hosts(landed.select("host", "base_failed"), max_rate).select("host"), "hosts")
     passed = landed.filter(~F.col("base_failed")).join(rejected, "host", "left_anti")
     return passed.select("_row.*")

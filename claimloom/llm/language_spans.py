@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import columns, crc_mod, map_rows
+from claimloom.llm.common import columns, crc_mod, map_rows, slices
 
 UNKNOWN = "und"
 #: The classifier is fitted on at most so many labelled documents of a language.
@@ -272,7 +272,7 @@ def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        for batch in batches:
+        for batch in slices(batches):
             found = (model.predict(t or "") for t in batch.column(at).to_pylist())
             yield batch.filter(pa.array([lang != UNKNOWN and score >= min_score for lang, score in found], pa.bool_()))
 
