@@ -28,7 +28,8 @@ MAX_LANGUAGES = 512
 SWITCH_PENALTY = 12.0
 #: A language writes a script if at least this share of its letters is in it.
 SCRIPT_SHARE = 0.01
-MIN_SCORE = 0.5
+#: The filter lets a document go in which no language holds this share of the letters.
+MIN_SCORE = 1 / 3
 _CHUNK = 1 << 18
 
 #: First code points of script ranges and the script that starts there.

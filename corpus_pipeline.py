@@ -15,7 +15,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language that holds at least half of their letters."""
+    """Documents with a language that holds at least a third of their letters."""
     return language_spans.keep_identified(docs)
 
 
