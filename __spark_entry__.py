@@ -218,10 +218,11 @@ def _two_schemas(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame]
 def _schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The history view of the second delivery, with the rows it landed per entity."""
     first, second = _two_schemas(spark, sf_dir)
-    registry = evolution.registry_frame(spark, [evolution.Snapshot.of(e, df, DAY1) for e, df in first.items()])
-    known = evolution.registry_snapshots(registry)
-    found = [evolution.compare(known[e], evolution.Snapshot.of(e, df, DAY2)) for e, df in second.items()]
-    log = evolution.log_entries(evolution.event_frame(spark, [e for e in found if e]), 0)
+    before, now = (
+        evolution.delivered_columns(spark, {entity: df.columns for entity, df in delivery.items()}, day)
+        for delivery, day in ((first, DAY1), (second, DAY2))
+    )
+    log = evolution.log_entries(evolution.changes(before, now), 0)
     landed = None
     for entity, df in second.items():
         rows = df.agg(F.lit(entity).alias("entity"), F.count(F.lit(1)).alias("landed_rows"))

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import datetime
-import json
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,59 +30,43 @@ REGISTRY_SCHEMA = T.StructType(
 )
 
 
-@dataclass(frozen=True)
-class Snapshot:
-    """The columns of one entity as of one delivery."""
-
-    entity: str
-    columns: list[str]
-    as_of: str
-
-    @classmethod
-    def of(cls, entity: str, df: DataFrame, ingestion_date: datetime.date) -> Snapshot:
-        return cls(entity, df.columns, ingestion_date.isoformat())
-
-
-def registry_frame(spark: SparkSession, snapshots: list[Snapshot]) -> DataFrame:
-    rows = [(s.entity, s.columns, s.as_of) for s in snapshots]
+def delivered_columns(spark: SparkSession, columns: dict[str, list[str]], ingestion_date: datetime.date) -> DataFrame:
+    """The columns of each delivered entity, in the form of the registry."""
+    rows = [(entity, names, ingestion_date.isoformat()) for entity, names in columns.items()]
     return spark.createDataFrame(rows, REGISTRY_SCHEMA)
 
 
-def registry_snapshots(registry: DataFrame) -> dict[str, Snapshot]:
-    return {r.entity: Snapshot(r.entity, list(r.columns), r.as_of) for r in registry.collect()}
+def registry_after(registry: DataFrame, delivered: DataFrame) -> DataFrame:
+    """The registry as of this delivery: entities that did not come stay as they were."""
+    return registry.join(delivered, "entity", "left_anti").unionByName(delivered)
 
 
-def _without(columns: list[str], others: list[str]) -> list[str]:
-    """The columns that are not among the others, in their order."""
-    return list(filter(lambda c: c not in others, columns))
+def _json_list(names: Column) -> Column:
+    """A list as JSON text, with a blank after each comma."""
+    quoted = F.transform(names, lambda name: F.regexp_extract(F.to_json(F.array(name)), r"^\[(.*)\]$", 1))
+    return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
 
 
-def compare(previous: Snapshot | None, current: Snapshot) -> dict | None:
-    """The event to record, or None on a first delivery or without a difference.
+def changes(registry: DataFrame, delivered: DataFrame) -> DataFrame:
+    """An event for each entity whose columns are not those the registry has.
 
-    Only names count: a rename is one column removed and one added, a new type or
-    a new order is no event.
+    Only names count: a rename is one column removed and one added, a new type or a new
+    order is no event, nor is a first delivery.
     """
-    if previous is None:
-        return None
-    added = _without(current.columns, previous.columns)
-    removed = _without(previous.columns, current.columns)
-    if not added + removed:
-        return None
-    return {
-        "entity": current.entity,
-        "detection_date": datetime.date.fromisoformat(current.as_of),
-        "previous_version": previous.as_of,
-        "current_version": current.as_of,
-        "previous_columns": json.dumps(previous.columns),
-        "current_columns": json.dumps(current.columns),
-        "added_columns": json.dumps(added),
-        "removed_columns": json.dumps(removed),
-    }
-
-
-def event_frame(spark: SparkSession, events: list[dict]) -> DataFrame:
-    return spark.createDataFrame([tuple(e[c] for c in EVENT_SCHEMA.fieldNames()) for e in events], EVENT_SCHEMA)
+    before, now = registry.alias("before"), delivered.alias("now")
+    met = now.join(before, "entity").select(
+        "entity",
+        F.col("before.as_of").alias("previous_version"),
+        F.col("now.as_of").alias("current_version"),
+        F.col("before.columns").alias("previous"),
+        F.col("now.columns").alias("current"),
+        F.array_except("now.columns", "before.columns").alias("added"),
+        F.array_except("before.columns", "now.columns").alias("removed"),
+    )
+    lists = [_json_list(F.col(c)).alias(f"{c}_columns") for c in ("previous", "current", "added", "removed")]
+    day = F.to_date("current_version").alias("detection_date")
+    changed = met.filter((F.size("added") > 0) | (F.size("removed") > 0))
+    return changed.select("entity", day, "previous_version", "current_version", *lists)
 
 
 def log_entries(events: DataFrame, last_log_id: int) -> DataFrame:

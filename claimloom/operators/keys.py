@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 from claimloom.sources.paths import land, work_folder
 
 
+def where_landed(landed: DataFrame) -> DataFrame:
+    """Landed rows with their identity: the write task, its file, and the place in the file."""
+    name = F.col("_metadata.file_name")
+    return landed.select(
+        "*",
+        F.regexp_extract(name, r"^part-(\d+)", 1).cast("int").alias("_task"),
+        F.regexp_extract(name, r"-c(\d+)\.", 1).cast("int").alias("_file"),
+        F.col("_metadata.row_index").alias("_position"),
+    )
+
+
 def number_rows(
     df: DataFrame,
     key: str,
@@ -34,13 +45,12 @@ def number_rows(
         ranged = landed.withColumn("_source", F.spark_partition_id()).repartitionByRange(*order_by, "_source")
         landed = land(ranged.sortWithinPartitions(*order_by).drop("_source"), f"{landing}/ordered")
 
-    file = F.col("_metadata.file_name")
-    part = F.regexp_extract(file, r"^part-(\d+)", 1).cast("int")
-    counts = landed.groupBy(file.alias("_file"), part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
-    earlier_files = Window.orderBy("_part", "_file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_file", F.coalesce(F.sum("_rows").over(earlier_files), F.lit(0)).alias("_before"))
-
-    placed = landed.select("*", file.alias("_file"), F.col("_metadata.row_index").alias("_position"))
+    files = ["_task", "_file"]
+    placed = where_landed(landed)
+    counts = placed.groupBy(*files).agg(F.count(F.lit(1)).alias("_rows"))
+    earlier_files = Window.orderBy(*files).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*files, F.coalesce(F.sum("_rows").over(earlier_files), F.lit(0)).alias("_before"))
+    # Landed, so that Spark knows its size and broadcasts it if that is small.
+    offsets = land(offsets, f"{landing}/offsets")
     number = F.lit(start_after + 1).cast("bigint") + F.col("_before") + F.col("_position")
-    # One row per written file: small enough to broadcast whatever the table's size.
-    return placed.join(F.broadcast(offsets), "_file").select(number.alias(key), *df.columns)
+    return placed.join(offsets, files).select(number.alias(key), *df.columns)

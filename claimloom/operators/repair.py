@@ -127,11 +127,11 @@ def correct_versions(dim: DataFrame, where: Column, column: str, value: Column)
 
 
 def keep_latest_current(
-    dim: DataFrame, spec: Dimension, effective_to: datetime.date, hot_key_rows: int | None = None
+    dim: DataFrame, spec: Dimension, effective_to: datetime.date, landing: str | None = None
 ) -> DataFrame:
     """Where a key has several open rows, keep the one that starts last; close the others."""
     order = [F.col("effective_from").desc(), F.col(spec.surrogate_key).desc()]
     open_rows = dim.filter(F.col("is_current"))
-    flagged = flag_newest(open_rows, spec.natural_key, order, "_stays", hot_key_rows)
+    flagged = flag_newest(open_rows, spec.natural_key, order, "_stays", landing)
     repaired = close_versions(flagged, ~F.col("_stays"), effective_to).drop("_stays")
     return dim.filter(~F.col("is_current")).unionByName(repaired)

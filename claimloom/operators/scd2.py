@@ -11,10 +11,7 @@ from pyspark.sql import functions as F
 
 from claimloom.operators.keys import number_rows
 from claimloom.schemas import Dimension
-from claimloom.sources.paths import land, land_counted, work_folder
-
-# Up to this many keys (8 bytes each, and a flag) are broadcast.
-BROADCAST_KEYS = 2_000_000
+from claimloom.sources.paths import land, work_folder
 
 
 def judge_open(dim: DataFrame, staged: DataFrame, spec: Dimension) -> DataFrame:
@@ -87,11 +84,6 @@ def merge_steps(dim: DataFrame, staged: DataFrame, spec: Dimension, as_of: datet
     }
 
 
-def _bounded(rows: DataFrame, count: int) -> DataFrame:
-    """Broadcast a landed table of keys if there are few of them, else leave it to AQE."""
-    return F.broadcast(rows) if count <= BROADCAST_KEYS else rows
-
-
 def load_changes(
     dim: DataFrame | None,
     staged: DataFrame,
@@ -105,9 +97,9 @@ def load_changes(
     before the first load.
 
     Which rows close and which keys get a version is worked out on keys and tracked
-    attributes alone.  Both results are landed with their count: on an ordinary day
-    they are small and are broadcast, so whole rows, of the dimension and of the
-    delivery, are read and written but not shuffled.
+    attributes alone.  Both results are landed: Spark knows their size and broadcasts
+    them if it is small; whole rows, of the dimension and of the delivery, are then read
+    and written but not shuffled.
     """
     landing = landing or work_folder(staged.sparkSession, spec.name)
     key, row = spec.natural_key, spec.surrogate_key
@@ -119,16 +111,16 @@ def load_changes(
     narrow = dim.select(row, key, *spec.tracked, "is_current")
     judged = judge_open(narrow, staged, spec).select(row, key, "_expires")
     verdicts = land(judged, f"{landing}/verdicts")
-    expiring, closing = land_counted(verdicts.filter("_expires").select(row, "_expires"), f"{landing}/expiring")
-    open_rows = dim.filter(F.col("is_current")).join(_bounded(expiring, closing), row, "left")
+    expiring = land(verdicts.filter("_expires").select(row, "_expires"), f"{landing}/expiring")
+    open_rows = dim.filter(F.col("is_current")).join(expiring, row, "left")
     open_rows = open_rows.withColumn("_expires", F.coalesce("_expires", F.lit(False)))
 
     keys = heads.select(key, F.lit(True).alias("is_current")).distinct()
     without_open_row = _arrivals(dim, verdicts, keys, spec).filter(F.col("_open").isNull() | ~F.col("_open"))
-    wanted, opening = land_counted(without_open_row.select(key, "_open"), f"{landing}/wanted")
+    wanted = land(without_open_row.select(key, "_open"), f"{landing}/wanted")
     unseen = F.col("_open").isNull()
     since = F.when(unseen, F.coalesce(F.col("effective_from"), F.lit(as_of))).otherwise(F.lit(as_of))
-    inserted = _as_versions(heads.join(_bounded(wanted, opening), key), spec, since)
+    inserted = _as_versions(heads.join(wanted, key), spec, since)
     last_key = dim.agg(F.max(row)).first()[0] or 0
     keyed = number_rows(inserted, row, last_key, [key], f"{landing}/inserted")
     return closed_on(open_rows, as_of).select(*dim.columns).unionByName(keyed)

@@ -5,16 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key with more rows than this is ranked in slices instead of in one task.
-HOT_KEY_ROWS = 1_000_000
-# Input Spark estimates to be no larger than this fits one task even if it is all one key.
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
-
-
-def _estimated_bytes(df: DataFrame) -> int:
-    """Spark's own estimate, from file sizes; joins make it larger, never smaller."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
+from claimloom.operators.keys import where_landed
+from claimloom.sources.paths import land, work_folder
 
 def newest_first(df: DataFrame, column: str, key: str) -> list[Column]:
     """A total order: newest ``column`` first (NULL last), ties settled by content."""
@@ -23,42 +15,22 @@ def newest_first(df: DataFrame, column: str, key: str) -> list[Column]:
 
 
 def flag_newest(
-    df: DataFrame,
-    key: str,
-    order: list[Column],
-    flag: str = "is_current",
-    hot_key_rows: int | None = None,
+    df: DataFrame, key: str, order: list[Column], flag: str = "is_current", landing: str | None = None
 ) -> DataFrame:
     """Mark exactly one row per key, the first in ``order``; keep every row.
 
-    A small input is ranked by one window.  In any other (and whenever
-    ``hot_key_rows`` is given) keys with more rows than that are ranked in two rounds:
-    each input partition elects a head among its own rows, then the heads, one per
-    partition and key, compete; no task sees the whole key.  The list of hot keys is
-    broadcast: at most row count / ``hot_key_rows`` of them can exist.  With none, AQE
-    drops the second branch, scan included.
+    One plan for all sizes: the rows land, so the input is read once and every row has an
+    identity; the newest of each key is found as in ``keep_newest``, each map task sending
+    one row per key; and the flag comes back by identity, which is even however many rows
+    a key has.  Of rows equal in ``order`` the one that landed first is marked.
     """
-
-    def rank(*within: str) -> Column:
-        return F.row_number().over(Window.partitionBy(key, *within).orderBy(*order))
-
-    if hot_key_rows is None:
-        if _estimated_bytes(df) <= SMALL_INPUT_BYTES:
-            return df.withColumn(flag, rank() == 1)
-        hot_key_rows = HOT_KEY_ROWS
-
-    hot = df.groupBy(key).count().filter(F.col("count") > hot_key_rows).select(key)
-    cold = df.join(F.broadcast(hot), key, "left_anti").withColumn(flag, rank() == 1)
-    # Heads meet in round -1; the others stay apart in their slice.
-    next_round = F.when(rank("_slice") == 1, F.lit(-1)).otherwise(F.col("_slice"))
-    flagged = (
-        df.join(F.broadcast(hot), key, "left_semi")
-        .withColumn("_slice", F.spark_partition_id())
-        .withColumn("_round", next_round)
-        .withColumn(flag, (F.col("_round") == -1) & (rank("_round") == 1))
-        .drop("_slice", "_round")
-    )
-    return cold.unionByName(flagged)
+    landed = land(df, landing or work_folder(df.sparkSession, f"versions-{key}"))
+    placed = where_landed(landed)
+    identity = ["_task", "_file", "_position"]
+    newest = keep_newest(placed, key, [*order, *[F.col(c).asc() for c in identity]])
+    flags = newest.select(*identity, F.lit(True).alias("_newest"))
+    flagged = placed.join(flags, identity, "left")
+    return flagged.select(*df.columns, F.coalesce("_newest", F.lit(False)).alias(flag))
 
 
 def keep_newest(df: DataFrame, key: str, order: list[Column]) -> DataFrame:

@@ -24,11 +24,14 @@ def _clean(raw: DataFrame, entity: str, **derived: Column) -> DataFrame:
 
 
 def _versions(
-    rows: DataFrame, key: str, effective_from: Column, effective_to: Column, hot_key_rows: int | None
+    rows: DataFrame, key: str, effective_from: Column, effective_to: Column, landing: str | None
 ) -> DataFrame:
-    """All versions of every key, the newest flagged, with their initial validity."""
+    """All versions of every key, the newest flagged, with their initial validity.
+
+    The cleaned rows land in ``landing``, a new work folder if it is not given.
+    """
     known = rows.filter(F.col(key).isNotNull())
-    flagged = flag_newest(known, key, newest_first(known, "updated_at", key), "is_current", hot_key_rows)
+    flagged = flag_newest(known, key, newest_first(known, "updated_at", key), "is_current", landing)
     columns = [c for c in known.columns if c not in _DERIVED]
     return flagged.select(
         *columns,
@@ -42,20 +45,20 @@ def _first_seen(as_of: datetime.date) -> Column:
     return F.coalesce(F.to_date("created_at"), F.to_date("updated_at"), F.lit(as_of))
 
 
-def claimants(raw: DataFrame, as_of: datetime.date, hot_key_rows: int | None = None) -> DataFrame:
+def claimants(raw: DataFrame, as_of: datetime.date, landing: str | None = None) -> DataFrame:
     rows = _clean(raw, "claimants").withColumn("gender", F.coalesce("gender", F.lit("Unknown")))
-    return _versions(rows, "claimant_id", _first_seen(as_of), F.lit(None), hot_key_rows)
+    return _versions(rows, "claimant_id", _first_seen(as_of), F.lit(None), landing)
 
 
-def employers(raw: DataFrame, as_of: datetime.date, hot_key_rows: int | None = None) -> DataFrame:
+def employers(raw: DataFrame, as_of: datetime.date, landing: str | None = None) -> DataFrame:
     rows = _clean(raw, "employers")
-    return _versions(rows, "employer_id", _first_seen(as_of), F.lit(None), hot_key_rows)
+    return _versions(rows, "employer_id", _first_seen(as_of), F.lit(None), landing)
 
 
-def policies(raw: DataFrame, as_of: datetime.date, hot_key_rows: int | None = None) -> DataFrame:
+def policies(raw: DataFrame, as_of: datetime.date, landing: str | None = None) -> DataFrame:
     rows = _clean(raw, "policies")
     start = F.coalesce(F.col("start_date"), F.lit(as_of))
-    return _versions(rows, "policy_id", start, F.col("end_date"), hot_key_rows)
+    return _versions(rows, "policy_id", start, F.col("end_date"), landing)
 
 
 def payments(raw: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime
 import logging
+import re
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -26,6 +27,8 @@ from claimloom.sources.store import Store
 
 log = logging.getLogger("claimloom.pipeline")
 
+STEPS = ("extraction", "transformation", "loading", "checks")
+
 
 class StepError(Exception):
     """A step of the run failed; its message names the step."""
@@ -40,7 +43,7 @@ def at_once(calls: list[Callable]) -> list:
 @dataclass
 class RunResult:
     run_id: str
-    manifest: list = field(default_factory=list)
+    manifest: DataFrame | None = None
     absent_files: list[str] = field(default_factory=list)
     landed_rows: dict[str, int] = field(default_factory=dict)
     claims_without_policy: int = 0
@@ -94,37 +97,57 @@ class Warehouse:
         if not files:
             raise FileNotFoundError(f"none of the expected files is in {inbox}")
         deliveries.check_contract(deliveries.contract_report(deliveries.file_headers(self.spark, files)))
-        manifest = deliveries.copy_to_raw(self.spark, files, self.raw, ingestion_date)
-        path = f"{self.root}/manifest/{ingestion_date.isoformat()}"
-        manifest.write.mode("overwrite").parquet(path)
-        # One row per delivered file.
-        result.manifest = self.spark.read.schema(manifest.schema).parquet(path).collect()
+        path = self.manifest_path(ingestion_date)
+        # Without a manifest nothing is read from raw: a copy that dies half way is no delivery.
+        Folder(self.spark, path).delete()
+        deliveries.copy_to_raw(self.spark, files, self.raw, ingestion_date).write.parquet(path)
+        result.manifest = self.manifest(ingestion_date)
+
+    def manifest_path(self, ingestion_date: datetime.date) -> str:
+        return f"{self.root}/manifest/{ingestion_date.isoformat()}"
 
-    def transformed(self, ingestion_date: datetime.date, as_of: datetime.date) -> dict[str, DataFrame]:
+    def manifest(self, ingestion_date: datetime.date) -> DataFrame:
+        """One row for each file that was copied."""
+        path = self.manifest_path(ingestion_date)
+        if not Folder(self.spark, path).is_complete():
+            raise FileNotFoundError(f"{path} is not there: the delivery has not been copied whole")
+        return self.spark.read.schema(deliveries.MANIFEST_SCHEMA).parquet(path)
+
+    def transformed(self, ingestion_date: datetime.date, as_of: datetime.date, work: str) -> dict[str, DataFrame]:
         """The entities of one date.  Claims still hold those without a policy."""
+        deliveries.check_raw(self.spark, self.raw, ingestion_date, self.manifest(ingestion_date))
         raw = deliveries.read_raw(self.spark, self.raw, ingestion_date, list(FILE_ENTITY))
         return {
-            "claimants": entities.claimants(raw["claimants.csv"], as_of),
+            "claimants": entities.claimants(raw["claimants.csv"], as_of, f"{work}/claimants"),
             "claims": entities.all_claims(raw["claims_v1.csv"], raw["claims_v2.csv"]),
-            "employers": entities.employers(raw["employers.csv"], as_of),
+            "employers": entities.employers(raw["employers.csv"], as_of, f"{work}/employers"),
             "payments": entities.payments(raw["payments.csv"]),
-            "policies": entities.policies(raw["policies.csv"], as_of),
+            "policies": entities.policies(raw["policies.csv"], as_of, f"{work}/policies"),
         }
 
     def transform(self, ingestion_date: datetime.date, as_of: datetime.date, result: RunResult) -> None:
         """Land every entity as Parquet and record how its columns have changed."""
-        registry = self.store.read("schema_registry", evolution.REGISTRY_SCHEMA, before=result.run_id)
-        known = evolution.registry_snapshots(registry)
-        transformed = self.transformed(ingestion_date, as_of)
-        for entity, rows in transformed.items():
-            snapshot = evolution.Snapshot.of(entity, rows, ingestion_date)
-            event = evolution.compare(known.get(entity), snapshot)
-            if event:
-                log.warning("schema of %s changed: +%s -%s", entity, event["added_columns"], event["removed_columns"])
-                result.evolution_events.append(event)
-            known[entity] = snapshot
-        at_once([partial(self._land, e, rows, ingestion_date, result) for e, rows in transformed.items()])
-        self.store.write("schema_registry", evolution.registry_frame(self.spark, list(known.values())), result.run_id)
+        run, work = result.run_id, work_folder(self.spark, "transform")
+        registry = self.store.read("schema_registry", evolution.REGISTRY_SCHEMA, before=run)
+        try:
+            transformed = self.transformed(ingestion_date, as_of, work)
+            columns = {entity: rows.columns for entity, rows in transformed.items()}
+            delivered = evolution.delivered_columns(self.spark, columns, ingestion_date)
+            at_once([partial(self._land, e, rows, ingestion_date, result) for e, rows in transformed.items()])
+        finally:
+            Folder(self.spark, work).delete()
+        # The load reads the events from here, whoever runs it.
+        self.store.write("schema_changes", evolution.changes(registry, delivered), run)
+        self.store.write("schema_registry", evolution.registry_after(registry, delivered), run)
+        result.evolution_events = [r.asDict() for r in self._changes(run).collect()]  # one row per entity at most
+        for e in result.evolution_events:
+            log.warning("schema of %s changed: +%s -%s", e["entity"], e["added_columns"], e["removed_columns"])
+
+    def _changes(self, run: str) -> DataFrame:
+        found = self.store.read_run("schema_changes", evolution.EVENT_SCHEMA, run)
+        if found is None:
+            raise staging.LoadError(f"run {run} has not been transformed")
+        return found
 
     def _land(self, entity: str, rows: DataFrame, ingestion_date: datetime.date, result: RunResult) -> None:
         if entity == "claims":
@@ -146,6 +169,7 @@ class Warehouse:
             log.info("claims: dropped %d rows without policy_id", result.claims_without_policy)
         if seen.get["faulty"]:
             newest = "created_at" if entity == "payments" else "updated_at"
+            Folder(self.spark, path).child("_SUCCESS").delete()  # no load takes it
             # The feature is a top-10 report of what is wrong.
             shown = staging.newest_rejects(self.spark.read.parquet(path), STAGING[entity], newest).collect()
             raise staging.LoadError(
@@ -156,9 +180,11 @@ class Warehouse:
     def load_dimension(self, spec: Dimension, ingestion_date: datetime.date, as_of: datetime.date, run: str) -> None:
         path = work_folder(self.spark, spec.name)
         before = self.table(spec.name, before=run) if self.store.runs(spec.name, before=run) else None
-        changes = scd2.load_changes(before, self.staged(spec.entity, ingestion_date), spec, as_of, path)
-        self.store.write_changes(spec.name, changes, run, SORT_COLUMNS[spec.name])
-        Folder(self.spark, path).delete()
+        try:
+            changes = scd2.load_changes(before, self.staged(spec.entity, ingestion_date), spec, as_of, path)
+            self.store.write_changes(spec.name, changes, run, SORT_COLUMNS[spec.name])
+        finally:
+            Folder(self.spark, path).delete()
 
     def load_facts(self, ingestion_date: datetime.date, run: str, result: RunResult) -> None:
         """Claims before payments, which take their claim_key from the committed claims."""
@@ -175,43 +201,58 @@ class Warehouse:
     def _load_fact(self, name: str, placed: DataFrame, build: Callable, run: str, result: RunResult) -> None:
         seen = Observation(f"placed_{name}")
         path = work_folder(self.spark, name)
-        rows = build(placed.observe(seen, F.count(F.lit(1)).alias("rows")), path)
-        self.store.write(name, rows, run, SORT_COLUMNS[name])
-        Folder(self.spark, path).delete()
+        try:
+            rows = build(placed.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+            self.store.write(name, rows, run, SORT_COLUMNS[name])
+        finally:
+            Folder(self.spark, path).delete()
         self.store.drop_superseded(name)
         result.placed_rows[name] = seen.get["rows"]
         log.info("%s: %d rows found their dimensions", name, seen.get["rows"])
 
-    def load_log(self, events: list[dict], run: str) -> None:
-        """Append the events of this run; a repeated run replaces its own."""
-        if not events:
+    def load_log(self, run: str) -> None:
+        """Append the events the transformation of this run has stored; a repeated load replaces its own."""
+        events = self._changes(run)
+        if events.isEmpty():
             log.info("no schema evolution events")
             Folder(self.spark, self.store.begin("schema_evolution_log", run)).delete()
             return
         last = self.table("schema_evolution_log", before=run).agg(F.max("log_id")).first()[0] or 0
-        entries = evolution.log_entries(evolution.event_frame(self.spark, events), last)
+        entries = evolution.log_entries(events, last)
         self.store.write("schema_evolution_log", entries, run)
 
     def load(self, ingestion_date: datetime.date, as_of: datetime.date, result: RunResult) -> None:
         run = result.run_id
-        self.load_log(result.evolution_events, run)
+        self.load_log(run)
         if not self.store.runs("dim_date"):
             self.store.write("dim_date", calendar.dim_date(self.spark), run, SORT_COLUMNS["dim_date"])
         at_once([partial(self.load_dimension, spec, ingestion_date, as_of, run) for spec in DIMENSIONS])
         self.load_facts(ingestion_date, run, result)
 
-    def repair_dimension(self, spec: Dimension, fix: Callable[[DataFrame], DataFrame]) -> list:
+    def repair_dimension(self, spec: Dimension, fix: Callable[[DataFrame], DataFrame]) -> DataFrame:
         """Rewrite a dimension with one of the repair operators, then look for duplicates again.
 
-        Returns up to ten keys that still have several open rows: none after a good repair.
+        Returns the keys that still have several open rows: none after a good repair.
         """
         self.store.write_whole(spec.name, fix(self.table(spec.name)), SORT_COLUMNS[spec.name])
-        left = repair.duplicate_current(self.table(spec.name), spec)
-        return left.orderBy(spec.natural_key).limit(10).collect()
+        return repair.duplicate_current(self.table(spec.name), spec).orderBy(spec.natural_key)
 
     def check(self, row_floor: int = quality.ROW_FLOOR) -> list:
         return quality.gate(quality.report(self.tables(), row_floor))
 
+    def run_id(self, ingestion_date: datetime.date, as_of: datetime.date) -> str:
+        """A number that counts up, then the two dates: runs follow one another as they were started.
+
+        The dates of the last run name that run again, so it is repeated, whole or from the
+        step that failed; any other dates, earlier ones too, begin a new run.
+        """
+        dates = f"{as_of.isoformat()}_{ingestion_date.isoformat()}"
+        last = max(self.store.runs("schema_registry"), default="")
+        if last.endswith(dates):
+            return last
+        number = re.match(r"(\d{6})_", last)
+        return f"{int(number[1]) + 1 if number else 1:06d}_{dates}"
+
     def run(
         self,
         inbox: str,
@@ -219,27 +260,31 @@ class Warehouse:
         as_of: datetime.date | None = None,
         run_id: str | None = None,
         row_floor: int = quality.ROW_FLOOR,
+        steps: tuple[str, ...] = STEPS,
     ) -> RunResult:
-        """All four steps in order.
+        """The four steps in order, or some of them.
 
         ``ingestion_date`` names the delivery, ``as_of`` is the day versions open and
-        close on; both default to today.  ``run_id`` defaults to the two dates.
+        close on; both default to today.  ``run_id`` defaults to ``Warehouse.run_id``.
         """
-        if not inbox:
+        if not inbox and "extraction" in steps:
             raise ValueError("inbox is required: the folder the delivery lies in")
         as_of = as_of or datetime.date.today()
         ingestion_date = ingestion_date or as_of
-        result = RunResult(run_id or f"{as_of.isoformat()}_{ingestion_date.isoformat()}")
-        steps = [
-            ("extraction", lambda: self.extract(inbox, ingestion_date, result)),
-            ("transformation", lambda: self.transform(ingestion_date, as_of, result)),
-            ("loading", lambda: self.load(ingestion_date, as_of, result)),
-        ]
-        for name, step in steps:
+        result = RunResult(run_id or self.run_id(ingestion_date, as_of))
+        work = {
+            "extraction": lambda: self.extract(inbox, ingestion_date, result),
+            "transformation": lambda: self.transform(ingestion_date, as_of, result),
+            "loading": lambda: self.load(ingestion_date, as_of, result),
+        }
+        for name, step in work.items():
+            if name not in steps:
+                continue
             try:
                 step()
             except Exception as error:
                 raise StepError(f"{name} failed: {error}") from error
             log.info("%s done", name)
-        result.checks = self.check(row_floor)
+        if "checks" in steps:
+            result.checks = self.check(row_floor)
         return result

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyarrow import fs
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,7 +104,8 @@ def _copy(source: str, target: str) -> tuple[str, int]:
 
 
 def _one_file_per_task(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema).repartition(max(1, min(len(rows), 10_000)), "path")
+    """Rows dealt by position, one to a partition: a hash would put some together."""
+    return spark.createDataFrame(spark.sparkContext.parallelize(rows, max(1, len(rows))), schema)
 
 
 def file_headers(spark: SparkSession, files: list[DeliveredFile]) -> DataFrame:
@@ -140,16 +141,24 @@ def contract_report(headers: DataFrame) -> DataFrame:
     )
 
 
-def check_contract(report: DataFrame) -> dict[str, list[str]]:
-    """Raise if any file lacks columns, warn of new ones; returns path -> columns."""
-    rows = report.collect()
-    faults = [f"{r.name}: missing columns {sorted(r.missing)}" for r in rows if r.missing]
+def check_contract(report: DataFrame) -> dict[str, list[list[str]]]:
+    """Raise if any file lacks columns, warn of new ones; returns the headers seen per name.
+
+    Files with the same header are one row by the time they reach the driver.
+    """
+    by_header = report.groupBy("name", "columns", "missing", "extra").agg(
+        F.count(F.lit(1)).alias("files"), F.min("path").alias("first")
+    )
+    rows = by_header.collect()
+    faults = [f"{r.name}: missing columns {sorted(r.missing)} ({r.files} files, {r.first})" for r in rows if r.missing]
     if faults:
         raise ContractError("; ".join(sorted(faults)))
-    for r in rows:
+    headers: dict[str, list[list[str]]] = {}
+    for r in sorted(rows, key=lambda r: (r.name, r.columns)):
+        headers.setdefault(r.name, []).append(list(r.columns))
         if r.extra:
-            log.warning("new columns in %s: %s", r.name, sorted(r.extra))
-    return {r.path: list(r.columns) for r in rows}
+            log.warning("new columns in %s (%d files): %s", r.name, r.files, sorted(r.extra))
+    return headers
 
 
 def raw_path(raw: str, entity: str, ingestion_date: datetime.date, name: str) -> str:
@@ -217,6 +226,40 @@ def read_csv(spark: SparkSession, columns_by_path: dict[str, list[str]]) -> Data
     return result
 
 
+MANIFEST_SCHEMA = (
+    "name string, entity string, path string, md5 string, length long, ingestion_date date, source string"
+)
+
+
+class RawError(Exception):
+    """The raw zone does not hold what the manifest says was copied."""
+
+
+def check_raw(spark: SparkSession, raw: str, ingestion_date: datetime.date, manifest: DataFrame) -> None:
+    """Raise unless raw holds the files of the manifest, all of them, as long as they were, and no other.
+
+    Spark lists the folders; files are compared where they are listed, and only those
+    that differ reach the driver, ten of them by name.
+    """
+    folders = [f"{raw.rstrip('/')}/{entity}/{ingestion_date.isoformat()}" for entity in sorted(set(FILE_ENTITY.values()))]
+    there = [folder for folder in folders if Folder(spark, folder).exists()]
+
+    def place(path: str) -> Column:  # the last two parts: unique within the folders of one date
+        return F.concat_ws("/", F.slice(F.split(path, "/"), -2, 2))
+
+    copied = manifest.select(place("path").alias("place"), F.col("length").alias("copied"))
+    if there:
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(there)
+    else:
+        found = spark.createDataFrame([], "path string, length long")
+    found = found.select(place("path").alias("place"), F.col("length").alias("found"))
+    differs = copied.join(found, "place", "full").filter(~F.col("copied").eqNullSafe(F.col("found")))
+    first = [r.place for r in differs.orderBy("place").limit(10).collect()]
+    if first:
+        n = differs.count()
+        raise RawError(f"{n} files of {ingestion_date} are not as they were copied, among them {', '.join(first)}")
+
+
 def read_raw(
     spark: SparkSession, raw: str, ingestion_date: datetime.date, names: list[str]
 ) -> dict[str, DataFrame]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -58,7 +60,10 @@ def shared_folder(spark: SparkSession) -> str:
     if not configured:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="claimloom-"))
+        # Local mode, and nothing configured: a folder of this process, gone when it ends.
+        configured = tempfile.mkdtemp(prefix="claimloom-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
+        context.setCheckpointDir(configured)
         configured = context.getCheckpointDir()
     return configured.rstrip("/")
 

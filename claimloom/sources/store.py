@@ -73,6 +73,11 @@ class Store:
             return no_rows(self.spark, schema)
         return self.spark.read.schema(schema).parquet(self._run(table, runs[-1]).path)
 
+    def read_run(self, table: str, schema: T.StructType, run: str) -> DataFrame | None:
+        """What one run has written, None if it has not."""
+        folder = self._run(table, run)
+        return self.spark.read.schema(schema).parquet(folder.path) if folder.is_complete() else None
+
     def read_all(self, table: str, schema: T.StructType, before: str | None = None) -> DataFrame:
         """Every run of a table that is appended to."""
         paths = [self._run(table, r).path for r in self.runs(table, before)]

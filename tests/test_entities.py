@@ -1,6 +1,7 @@
 import datetime
 
 from conftest import text_rows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from claimloom.operators.versions import flag_newest, keep_newest, newest_first
@@ -155,7 +156,7 @@ def test_one_payment_per_id_the_newest(spark):
     assert sorted((r.payment_id, r.payment_amount) for r in out) == [(1, 11.0), (2, 20.0)]
 
 
-def test_hot_key_is_ranked_in_slices_with_the_same_outcome(spark):
+def test_flags_are_those_of_one_window(spark):
     """A key with a third of all rows, many of them copies, and one clear winner."""
     rows = spark.range(0, 3000, 1, 7).select(
         F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 500).alias("key"),
@@ -163,18 +164,30 @@ def test_hot_key_is_ranked_in_slices_with_the_same_outcome(spark):
         (F.col("id") % 5).alias("content"),
     )
     order = newest_first(rows, "updated_at", "key")
-    plain = flag_newest(rows, "key", order)
-    sliced = flag_newest(rows, "key", order, hot_key_rows=100)
+    plain = rows.withColumn("is_current", F.row_number().over(Window.partitionBy("key").orderBy(*order)) == 1)
+    flagged = flag_newest(rows, "key", order)
     as_rows = lambda df: sorted(tuple(r) for r in df.select("key", "updated_at", "content", "is_current").collect())
-    assert as_rows(sliced) == as_rows(plain)
-    assert sliced.count() == 3000
-    assert sliced.filter("is_current").groupBy("key").count().filter("count <> 1").count() == 0
-    assert sliced.filter("is_current").select("key").distinct().count() == rows.select("key").distinct().count()
+    assert as_rows(flagged) == as_rows(plain)
+
+
+def test_no_task_gets_all_rows_of_a_hot_key(spark):
+    """Two million copies of one row, a few bytes on disk: they are dealt out evenly."""
+    rows = spark.range(0, 2_000_000, 1, 8).select(F.lit(1).alias("key"), F.lit(2).alias("updated_at"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        flagged = flag_newest(rows, "key", newest_first(rows, "updated_at", "key"))
+        sizes = [r["count"] for r in flagged.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sum(sizes) == 2_000_000 and max(sizes) < 1_000_000
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
 
 
 def test_copies_of_the_newest_row_yield_one_current_row(spark):
     rows = spark.range(0, 1000, 1, 8).select(F.lit(1).alias("key"), F.lit(2).alias("updated_at"))
-    flagged = flag_newest(rows, "key", newest_first(rows, "updated_at", "key"), hot_key_rows=10)
+    flagged = flag_newest(rows, "key", newest_first(rows, "updated_at", "key"))
     assert flagged.groupBy("is_current").count().orderBy("is_current").collect() == [(False, 999), (True, 1)]
 
 

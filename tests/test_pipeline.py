@@ -61,7 +61,7 @@ def test_run_report(two_days):
     assert first.landed_rows == {"claimants": 2, "claims": 2, "employers": 1, "payments": 2, "policies": 1}
     assert first.claims_without_policy == 1
     assert first.placed_rows == {"fact_claim": 2, "fact_payment": 2}
-    assert len(first.manifest) == 6 and first.absent_files == [] and first.evolution_events == []
+    assert first.manifest.count() == 6 and first.absent_files == [] and first.evolution_events == []
     assert [(e["entity"], e["added_columns"]) for e in second.evolution_events] == [("claimants", '["email"]')]
     assert {r.result for r in second.checks} == {"PASS"}
 
@@ -125,13 +125,13 @@ def test_published_tables_and_views(two_days, spark):
 def test_repair_of_a_stored_dimension(two_days):
     warehouse, *_ = two_days
     fix = lambda df: repair.correct_versions(df, F.col("claimant_key") == 1, "last_name", F.lit("Lea"))
-    assert warehouse.repair_dimension(CLAIMANT, fix) == []
+    assert warehouse.repair_dimension(CLAIMANT, fix).collect() == []
     names = {r.claimant_key: r.last_name for r in warehouse.table("dim_claimant").collect()}
     assert names == {1: "Lea", 2: "Lee", 3: "Lee", 4: "Lee"}
     doubled = lambda df: df.withColumn("is_current", F.lit(True))
-    assert [tuple(r) for r in warehouse.repair_dimension(CLAIMANT, doubled)] == [(10, 2)]
+    assert [tuple(r) for r in warehouse.repair_dimension(CLAIMANT, doubled).collect()] == [(10, 2)]
     latest = lambda df: repair.keep_latest_current(df, CLAIMANT, D1)
-    assert warehouse.repair_dimension(CLAIMANT, latest) == []
+    assert warehouse.repair_dimension(CLAIMANT, latest).collect() == []
 
 
 def test_failed_steps_are_named_and_leave_tables_alone(spark, tmp_path):

@@ -74,11 +74,10 @@ def test_close_and_correct(spark):
     assert {r.claimant_key: r.gender for r in fixed} == {1: "F", 2: "M", 3: "F"}
 
 
-@pytest.mark.parametrize("hot", [1, 1000])
-def test_latest_open_version_stays(spark, hot):
+def test_latest_open_version_stays(spark):
     rows = [(1, 1, 0, None, True), (2, 1, 5, None, True), (3, 1, 2, None, True), (4, 2, 0, None, True),
             (5, 1, 9, 10, False)]
-    repaired = repair.keep_latest_current(dim(spark, rows), CLAIMANT, day(20), hot)
+    repaired = repair.keep_latest_current(dim(spark, rows), CLAIMANT, day(20))
     out = {r.claimant_key: (r.is_current, r.effective_to) for r in repaired.collect()}
     assert out == {1: (False, day(20)), 2: (True, None), 3: (False, day(20)), 4: (True, None), 5: (False, day(10))}
     assert repair.duplicate_current(repaired, CLAIMANT).count() == 0
