@@ -202,7 +202,7 @@ class Pairs:
     word: np.ndarray
     place: np.ndarray
     trained: np.ndarray
-    bucket: np.ndarray  # -1: not in the table, as the context or the word is unknown
+    bucket: np.ndarray  # -1: nothing to ask, as the context is unknown
     hot: np.ndarray
 
 
@@ -237,7 +237,7 @@ class Batch:
         trained = np.bincount(place[self.trained], minlength=len(keys))
         hot = (context == begin) | (self.counts[context] >= hot_count)
         bucket = np.where(hot, self.buckets[word], self.buckets[context])
-        known = (self.ids[word] != _UNKNOWN) & ((context == begin) | (self.ids[context] != _UNKNOWN))
+        known = (context == begin) | (self.ids[context] != _UNKNOWN)
         return Pairs(context, word, place, trained, np.where(known, bucket, -1), hot)
 
     def context_ids(self, begin: int) -> np.ndarray:

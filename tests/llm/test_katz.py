@@ -59,7 +59,9 @@ def texts():
     rng = random.Random(8)
     vocabulary = [f"w{int(rng.expovariate(0.05))}" for _ in range(400)] + ["É", "The"]
     found = [" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(1, 60))) for _ in range(200)]
-    return found + [None, "", " \n", "unheard of words", found[0].upper(), "the " * 3000, found[3], found[3]]
+    return found + [None, "", " \n", "unheard of words", found[0].upper(), "the " * 3000, found[3], found[3]] + [
+        f"{vocabulary[i]} new{i} {vocabulary[i + 1]} new{i}" for i in range(60)
+    ]
 
 
 @pytest.mark.parametrize("batch", [10**6, 40])
