@@ -2,7 +2,7 @@
 
 A document's set holds its distinct shingles of five words.  Two small collections of
 ``TABLES`` keys are made from ``WIDTH`` minima each; every pair of a key of the one with a
-key of the other is a key of one of ``TABLES`` squared tables.  36 minima do the work of 324.
+key of the other is a key of one of ``TABLES`` squared tables.  48 minima do the work of 576.
 
 1. Rows are sketched; rows with equal sets become one node.
 2. Nodes that share a table key are candidates.  Within a bucket sketches are compared,
@@ -15,7 +15,7 @@ key of the other is a key of one of ``TABLES`` squared tables.  36 minima do the
 
 So no task holds more than two blocks, no list of pairs is ever made, and a link between
 two nodes of a cluster is never missed; what may be missed is a pair that shares no table
-key or looks unlike in its sketch: 0.14 % of pairs at exactly the threshold, fewer above
+key or looks unlike in its sketch: one of 8,000 pairs at exactly the threshold, fewer above
 it, and only if no chain of other links joins them.
 """
 
@@ -35,10 +35,10 @@ from claimloom.operators.keys import number_rows
 
 SHINGLE = 5
 PERCENT = 75
-TABLES = 9
+TABLES = 12
 WIDTH = 2
 MINIMA = 2 * TABLES * WIDTH
-#: Equal minima of the 36 from which a pair is a candidate: at the threshold 27 are expected.
+#: Equal minima of the 48 from which a pair is a candidate: at the threshold 36 are expected.
 ALIKE = MINIMA // 2
 BUCKET_ROWS = 2048
 BLOCK_SHINGLES = 1 << 20
