@@ -214,7 +214,10 @@ def _buckets(nodes: DataFrame, scratch: Scratch) -> DataFrame:
     A bucket of two is its smallest and its largest node, so the same pair found in many
     tables is one bucket; members of larger ones are looked up by their key.
     """
-    keyed = map_rows(nodes.select("node", "sketch"), _key_rows, "node bigint, keys array<bigint>", rows=500)
+    # A node's keys are six times its sketch: files that one task would read are dealt to many.
+    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = nodes.select("node", "sketch").repartition(tasks)
+    keyed = map_rows(dealt, _key_rows, "node bigint, keys array<bigint>", rows=500)
     keys = keyed.select("node", F.explode("keys").alias("_key"))
     sizes = keys.groupBy("_key").agg(
         F.count(F.lit(1)).alias("_size"), F.min("node").alias("_first"), F.max("node").alias("_last")
