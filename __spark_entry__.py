@@ -133,11 +133,25 @@ def _claims_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(views.claims_summary(star["fact_claim"], star["dim_employer"], star["dim_policy"]))
 
 
-def _quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _checked_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     star = _star(spark, sf_dir)
     star["fact_payment"] = facts.fact_payment(facts.place_payments(_payments(spark, sf_dir), star["fact_claim"]))
     star["dim_date"] = calendar.dim_date(spark)
-    return quality.report(star)
+    return star
+
+
+def _quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(_checked_star(spark, sf_dir))
+
+
+def _quality_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report on a star with every fault the checks are there for: each of them fails."""
+    star = _checked_star(spark, sf_dir)
+    for name, where in fx.REPEATED.items():
+        rows = star[name].unionByName(star[name].filter(where))
+        columns = {c: F.expr(sql) for c, sql in fx.FAULTS.get(name, {}).items()}
+        star[name] = rows.withColumns(columns) if columns else rows
+    return quality.report(star, 1_000_000_000)
 
 
 def _dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,6 +313,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fact_payment": _fact_payment,
         "claims_summary": _claims_summary,
         "quality_report": _quality_report,
+        "quality_faults": _quality_faults,
         "scd2_duplicates": _duplicates,
         "scd2_gaps": _gaps,
         "scd2_overlaps": _overlaps,

@@ -128,3 +128,28 @@ def source_on(spark: SparkSession, sf_dir: str, name: str, day: int) -> DataFram
     """One source as delivered on day 1 or 2."""
     source(spark, sf_dir, name).createOrReplaceTempView(name)
     return spark.sql(DAYS[(name, day)])
+
+
+# Faults put into a loaded star: columns as they then are, in SQL that both engines read.
+FAULTS = {
+    "fact_claim": {
+        "claim_id": "CASE WHEN claim_id % 17 <> 0 THEN claim_id END",
+        "claimant_key": "CASE WHEN claim_id % 7 = 0 THEN -1 ELSE claimant_key END",
+        "claim_amount": "CASE WHEN claim_id % 11 = 0 THEN -1 ELSE claim_amount END",
+        "claim_status": "CASE WHEN claim_id % 13 = 0 THEN 'lost' ELSE claim_status END",
+        "incident_date_key": "CASE WHEN claim_id % 23 = 0 THEN 19000101 ELSE incident_date_key END",
+    },
+    "fact_payment": {
+        "claim_key": "CASE WHEN payment_id % 5 = 0 THEN NULL WHEN payment_id % 6 = 0 THEN -5 ELSE claim_key END",
+    },
+    "dim_claimant": {"claimant_id": "CASE WHEN claimant_id % 10 <> 3 THEN claimant_id END"},
+    "dim_policy": {"policy_id": "CASE WHEN policy_id % 10 <> 3 THEN policy_id END"},
+}
+# Rows that are there twice.
+REPEATED = {
+    "fact_claim": "claim_id % 19 = 0",
+    "fact_payment": "payment_id % 29 = 0",
+    "dim_claimant": "is_current AND claimant_id % 9 = 0",
+    "dim_policy": "is_current AND policy_id % 9 = 0",
+    "dim_employer": "is_current AND employer_id % 9 = 0",
+}

@@ -212,33 +212,43 @@ def _check(name: str, passed: str, value: str, expected: str, source: str) -> st
                CAST({value} AS BIGINT) AS value, CAST({expected} AS BIGINT) AS expected FROM {source}"""
 
 
-def _quality() -> str:
+def _quality(p: str = "", floor: int = 2000, more: dict[str, str] | None = None) -> str:
+    """The checks over the star, or over its tables as ``more`` has them under the prefix ``p``."""
     none = ("COUNT(*) = 0", "COUNT(*)", "0")
     checks = [
         _check("fact_claim PK uniqueness", "COUNT(*) = COUNT(DISTINCT claim_id)", "COUNT(*)",
-               "COUNT(DISTINCT claim_id)", "fact_claim"),
+               "COUNT(DISTINCT claim_id)", f"{p}fact_claim"),
         _check("fact_claim FK claimant_key", *none,
-               "fact_claim f LEFT JOIN dim_claimant d ON f.claimant_key = d.claimant_key "
+               f"{p}fact_claim f LEFT JOIN {p}dim_claimant d ON f.claimant_key = d.claimant_key "
                "WHERE d.claimant_key IS NULL AND f.claimant_key IS NOT NULL"),
-        _check("fact_claim non-negative amounts", *none, "fact_claim WHERE claim_amount < 0 OR approved_amount < 0"),
-        _check("fact_claim row count", "COUNT(*) >= 2000", "COUNT(*)", "2000", "fact_claim"),
+        _check("fact_claim non-negative amounts", *none, f"{p}fact_claim WHERE claim_amount < 0 OR approved_amount < 0"),
+        _check("fact_claim row count", f"COUNT(*) >= {floor}", "COUNT(*)", str(floor), f"{p}fact_claim"),
         _check("fact_claim valid date keys", *none,
-               "fact_claim f LEFT JOIN dim_date d ON f.incident_date_key = d.date_key "
+               f"{p}fact_claim f LEFT JOIN dim_date d ON f.incident_date_key = d.date_key "
                "WHERE d.date_key IS NULL AND f.incident_date_key IS NOT NULL"),
-        _check("claim_status standardized", *none, "fact_claim WHERE claim_status NOT IN ('open', 'closed', 'denied')"),
+        _check("claim_status standardized", *none, f"{p}fact_claim WHERE claim_status NOT IN ('open', 'closed', 'denied')"),
         _check("fact_payment FK claim_key", *none,
-               "fact_payment p LEFT JOIN fact_claim f ON p.claim_key = f.claim_key WHERE f.claim_key IS NULL"),
-        _check("fact_claim no NULL claim_id", *none, "fact_claim WHERE claim_id IS NULL"),
-        _check("dim_claimant no NULL claimant_id", *none, "dim_claimant WHERE claimant_id IS NULL"),
-        _check("dim_policy no NULL policy_id", *none, "dim_policy WHERE policy_id IS NULL"),
+               f"{p}fact_payment y LEFT JOIN {p}fact_claim f ON y.claim_key = f.claim_key WHERE f.claim_key IS NULL"),
+        _check("fact_claim no NULL claim_id", *none, f"{p}fact_claim WHERE claim_id IS NULL"),
+        _check("dim_claimant no NULL claimant_id", *none, f"{p}dim_claimant WHERE claimant_id IS NULL"),
+        _check("dim_policy no NULL policy_id", *none, f"{p}dim_policy WHERE policy_id IS NULL"),
     ]
     for dim, (_, key, *_) in DIMS.items():
-        per_key = f"(SELECT {key}, COUNT(*) AS n FROM dim_{dim} WHERE is_current GROUP BY {key}) t"
+        per_key = f"(SELECT {key}, COUNT(*) AS n FROM {p}dim_{dim} WHERE is_current GROUP BY {key}) t"
         checks.append(_check(f"dim_{dim} SCD2 integrity", "MAX(n) = 1", "MAX(n)", "1", per_key))
-    ctes = {**_star(), "fact_payment": _FACT_PAYMENT, "dim_date": _CALENDAR}
+    ctes = {**_star(), "fact_payment": _FACT_PAYMENT, "dim_date": _CALENDAR, **(more or {})}
     return _with(ctes, " UNION ALL ".join(checks))
 
 
+def _faulty_quality() -> str:
+    replaced = {name: ", ".join(f"{sql} AS {c}" for c, sql in columns.items()) for name, columns in fx.FAULTS.items()}
+    more = {}
+    for name, again in fx.REPEATED.items():
+        columns = f"* REPLACE ({replaced[name]})" if name in replaced else "*"
+        more[f"bad_{name}"] = f"SELECT {columns} FROM {name} UNION ALL SELECT {columns} FROM {name} WHERE {again}"
+    return _quality("bad_", 1_000_000_000, more)
+
+
 # Repair ---------------------------------------------------------------------------
 
 _GAPS = """
@@ -329,6 +339,7 @@ def statements() -> dict[str, str]:
         ),
         "claims_summary": _with(_star(), _SUMMARY),
         "quality_report": _quality(),
+        "quality_faults": _faulty_quality(),
         "scd2_duplicates": _with(
             history,
             "SELECT claimant_id, COUNT(*) AS current_count FROM history WHERE is_current "
