@@ -128,6 +128,19 @@ def _fact_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(facts.fact_payment(placed, ordered=True))
 
 
+def _fact_claim_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The claims as a load writes them, without the key each load gives anew."""
+    return _plain(_star(spark, sf_dir)["fact_claim"].drop("claim_key"))
+
+
+def _fact_payment_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payments as a load writes them, their claims looked up by the keys it gave."""
+    claim = _star(spark, sf_dir)["fact_claim"]
+    payment = facts.fact_payment(facts.place_payments(_payments(spark, sf_dir), claim))
+    found = payment.join(claim.select("claim_key", "claim_id"), "claim_key")
+    return _plain(found.drop("payment_key", "claim_key"))
+
+
 def _claims_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = _star(spark, sf_dir)
     return _plain(views.claims_summary(star["fact_claim"], star["dim_employer"], star["dim_policy"]))
@@ -311,6 +324,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "surrogate_keys": _surrogate_keys,
         "fact_claim": _fact_claim,
         "fact_payment": _fact_payment,
+        "fact_claim_loaded": _fact_claim_loaded,
+        "fact_payment_loaded": _fact_payment_loaded,
         "claims_summary": _claims_summary,
         "quality_report": _quality_report,
         "quality_faults": _quality_faults,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from claimloom.functions.cleaning import date_key
 from claimloom.operators.keys import number_rows
 from claimloom.schemas import WAREHOUSE
+from claimloom.sources.paths import land, work_folder
 
 
 def _open_rows(dim: DataFrame, *columns: str) -> DataFrame:
@@ -45,15 +46,27 @@ def place_claims(claims: DataFrame, claimant: DataFrame, policy: DataFrame, empl
     )
 
 
-def fact_claim(placed: DataFrame, landing: str | None = None, ordered: bool = False) -> DataFrame:
-    """Placed claims with claim_key.
+def _as_written(placed: DataFrame, key: str, table: str) -> DataFrame:
+    """Rows with ``key``, unique and rising but not dense, to be written once as they are.
 
-    Facts are rebuilt and numbered anew by every load, so by default rows are numbered
-    as they come out of the joins and the table is spared a shuffle; ``ordered``
-    numbers them by claim_id instead.
+    The number holds the task and the place in it, so it takes no job of its own.  It is
+    fixed by the write: whoever needs the key reads the written table.
     """
-    order = ["claim_id"] if ordered else None
-    return number_rows(placed, "claim_key", 0, order, landing).select(*WAREHOUSE["fact_claim"].fieldNames())
+    number = (F.monotonically_increasing_id() + 1).alias(key)
+    return placed.select(number, "*").select(*WAREHOUSE[table].fieldNames())
+
+
+def claim_rows(placed: DataFrame) -> DataFrame:
+    """Placed claims with claim_key, for the one write of a load."""
+    return _as_written(placed, "claim_key", "fact_claim")
+
+
+def fact_claim(placed: DataFrame, landing: str | None = None, ordered: bool = False) -> DataFrame:
+    """The claims table, landed; ``ordered`` numbers it densely by claim_id instead."""
+    landing = landing or work_folder(placed.sparkSession, "fact_claim")
+    if not ordered:
+        return land(claim_rows(placed), landing)
+    return number_rows(placed, "claim_key", 0, ["claim_id"], landing).select(*WAREHOUSE["fact_claim"].fieldNames())
 
 
 def place_payments(payments: DataFrame, claim: DataFrame) -> DataFrame:
@@ -68,7 +81,14 @@ def place_payments(payments: DataFrame, claim: DataFrame) -> DataFrame:
     )
 
 
+def payment_rows(placed: DataFrame) -> DataFrame:
+    """Placed payments with payment_key, for the one write of a load."""
+    return _as_written(placed, "payment_key", "fact_payment")
+
+
 def fact_payment(placed: DataFrame, landing: str | None = None, ordered: bool = False) -> DataFrame:
-    """Placed payments with payment_key, numbered like the claims."""
-    order = ["payment_id"] if ordered else None
-    return number_rows(placed, "payment_key", 0, order, landing).select(*WAREHOUSE["fact_payment"].fieldNames())
+    """The payments table, landed; ``ordered`` numbers it densely by payment_id instead."""
+    landing = landing or work_folder(placed.sparkSession, "fact_payment")
+    if not ordered:
+        return land(payment_rows(placed), landing)
+    return number_rows(placed, "payment_key", 0, ["payment_id"], landing).select(*WAREHOUSE["fact_payment"].fieldNames())

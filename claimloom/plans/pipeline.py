@@ -194,18 +194,14 @@ class Warehouse:
             self.table("dim_policy"),
             self.table("dim_employer"),
         )
-        self._load_fact("fact_claim", placed, facts.fact_claim, run, result)
+        self._load_fact("fact_claim", placed, facts.claim_rows, run, result)
         placed = facts.place_payments(self.staged("payments", ingestion_date), self.table("fact_claim"))
-        self._load_fact("fact_payment", placed, facts.fact_payment, run, result)
+        self._load_fact("fact_payment", placed, facts.payment_rows, run, result)
 
     def _load_fact(self, name: str, placed: DataFrame, build: Callable, run: str, result: RunResult) -> None:
         seen = Observation(f"placed_{name}")
-        path = work_folder(self.spark, name)
-        try:
-            rows = build(placed.observe(seen, F.count(F.lit(1)).alias("rows")), path)
-            self.store.write(name, rows, run, SORT_COLUMNS[name])
-        finally:
-            Folder(self.spark, path).delete()
+        rows = build(placed.observe(seen, F.count(F.lit(1)).alias("rows")))
+        self.store.write(name, rows, run, SORT_COLUMNS[name])
         self.store.drop_superseded(name)
         result.placed_rows[name] = seen.get["rows"]
         log.info("%s: %d rows found their dimensions", name, seen.get["rows"])

@@ -338,6 +338,12 @@ def statements() -> dict[str, str]:
             "SELECT * REPLACE (CAST(payment_amount AS DOUBLE) AS payment_amount) FROM fact_payment",
         ),
         "claims_summary": _with(_star(), _SUMMARY),
+        "fact_claim_loaded": _with(_star(), f"SELECT * EXCLUDE (claim_key) FROM ({_FACT_CLAIM_PLAIN}) AS f"),
+        "fact_payment_loaded": _with(
+            {**_star(), "fact_payment": _FACT_PAYMENT},
+            "SELECT y.* EXCLUDE (payment_key, claim_key) REPLACE (CAST(payment_amount AS DOUBLE) AS payment_amount), "
+            "f.claim_id FROM fact_payment y JOIN fact_claim f ON y.claim_key = f.claim_key",
+        ),
         "quality_report": _quality(),
         "quality_faults": _faulty_quality(),
         "scd2_duplicates": _with(

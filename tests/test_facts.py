@@ -43,21 +43,21 @@ def test_claims_without_open_claimant_policy_or_employer_are_left_out(spark):
         (6, 10, None, D(2024, 1, 5), 10.0),
     ]
     fact = facts.fact_claim(facts.place_claims(claims(spark, rows), *star(spark)))
-    assert [(r.claim_key, r.claim_id, r.claimant_key, r.policy_key, r.employer_key) for r in fact.collect()] == [
-        (1, 1, 1, 1, 1)
-    ]
+    assert [(r.claim_id, r.claimant_key, r.policy_key, r.employer_key) for r in fact.collect()] == [(1, 1, 1, 1)]
+    key = fact.first().claim_key
     payments = spark.createDataFrame(
         [(1, 1, D(2024, 2, 1), 5.0, "medical"), (2, 2, D(2024, 2, 1), 5.0, "medical"), (3, None, None, 5.0, "x")],
         "payment_id bigint, claim_id bigint, payment_date date, payment_amount double, payment_type string",
     )
     paid = facts.fact_payment(facts.place_payments(payments, fact)).collect()
-    assert [(r.payment_key, r.payment_id, r.claim_key, r.payment_date_key) for r in paid] == [(1, 1, 1, 20240201)]
+    assert [(r.payment_id, r.claim_key, r.payment_date_key) for r in paid] == [(1, key, 20240201)]
 
 
 def test_two_open_rows_of_a_claimant_double_the_claim(spark):
     dims = star(spark, [(1, 10, 7, True), (2, 10, 7, True)])
     fact = facts.fact_claim(facts.place_claims(claims(spark, [(1, 10, 100, D(2024, 1, 5), 10.0)]), *dims))
-    assert sorted((r.claim_key, r.claim_id) for r in fact.collect()) == [(1, 1), (2, 1)]
+    rows = fact.collect()
+    assert [r.claim_id for r in rows] == [1, 1] and len({r.claim_key for r in rows}) == 2
 
 
 def test_ordered_claims_are_numbered_by_claim_id(spark):
