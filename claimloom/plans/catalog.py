@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import types as T
 
 from claimloom.plans.pipeline import Warehouse
 from claimloom.schemas import DIMENSIONS, ENTITIES, STAGING, WAREHOUSE
+from claimloom.sources.paths import Folder
 from claimloom.sources.store import Store
 
 DATABASES = ("staging", "warehouse", "analytics")
+_ROOT = "claimloom.root"
+_ADDED = "`table` string, `column` string, `type` string"
 
 
 def _columns(schema: T.StructType, without: tuple[str, ...] = ()) -> str:
@@ -22,52 +26,101 @@ def create_databases(warehouse: Warehouse) -> None:
         warehouse.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
 
 
-def _point(warehouse: Warehouse, name: str, schema: T.StructType, location: str | None) -> None:
+def _added(warehouse: Warehouse) -> dict[str, list[tuple[str, str]]]:
+    """Columns added to published tables, as ``add_column`` has noted them."""
+    folder = Folder(warehouse.spark, f"{warehouse.root}/added_columns")
+    if not folder.children():
+        return {}
+    found: dict[str, list[tuple[str, str]]] = {}
+    for row in warehouse.spark.read.schema(_ADDED).parquet(folder.path).distinct().orderBy("column").collect():
+        found.setdefault(row.table, []).append((row.column, row.type))
+    return found
+
+
+def _complete(warehouse: Warehouse, name: str, schema: T.StructType, added: list[tuple[str, str]]) -> None:
+    """Give a published table the columns it lacks."""
+    spark = warehouse.spark
+    there = {column.lower() for column in spark.table(name).columns}
+    wanted = [(f.name, f.dataType.simpleString()) for f in schema.fields] + added
+    missing = ", ".join(f"`{column}` {kind}" for column, kind in wanted if column.lower() not in there)
+    if missing:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({missing})")
+
+
+def _point(warehouse: Warehouse, name: str, schema: T.StructType, location: str, added: list[tuple[str, str]]) -> None:
+    """A table of the files at ``location``; one that is there is pointed to it, never dropped."""
     spark = warehouse.spark
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    # Without a location yet, the table is empty and lives in Spark's own folder.
-    at = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE {name} ({_columns(schema)}) USING parquet{at}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_columns(schema)}) USING parquet LOCATION '{location}'")
+    _complete(warehouse, name, schema, added)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+    spark.sql(f"REFRESH TABLE {name}")
 
 
 def _partitioned(
-    warehouse: Warehouse, name: str, schema: T.StructType, keys: dict[str, str], partitions: list[tuple[str, str]]
+    warehouse: Warehouse,
+    name: str,
+    schema: T.StructType,
+    keys: dict[str, str],
+    partitions: list[tuple[dict[str, str], str]],
+    added: list[tuple[str, str]],
 ) -> None:
-    """A table made of folders given one by one, each a partition: (partition spec, folder)."""
+    """A table made of folders given one by one, each a partition: (partition values, folder).
+
+    Partitions that are not wanted any more go, their files stay; then the others come.
+    """
     spark = warehouse.spark
     root = f"{warehouse.store.root}/{name.rsplit('.', 1)[1]}"
     by = ", ".join(f"{key} {kind}" for key, kind in keys.items())
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(
-        f"CREATE TABLE {name} ({_columns(schema, tuple(keys))}) USING parquet PARTITIONED BY ({by}) LOCATION '{root}'"
+        f"CREATE TABLE IF NOT EXISTS {name} ({_columns(schema, tuple(keys))}) USING parquet"
+        f" PARTITIONED BY ({by}) LOCATION '{root}'"
     )
-    if partitions:
-        added = " ".join(f"PARTITION ({spec}) LOCATION '{folder}'" for spec, folder in partitions)
-        spark.sql(f"ALTER TABLE {name} ADD {added}")
+    _complete(warehouse, name, schema, added)
+
+    def spec(values: dict[str, str]) -> str:
+        return "PARTITION (" + ", ".join(f"{key}='{value}'" for key, value in values.items()) + ")"
+
+    wanted = {"/".join(f"{k}={v}" for k, v in values.items()): (values, folder) for values, folder in partitions}
+    there = {unquote(row[0]) for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    kept = there & set(wanted)
+    properties = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    if properties.get(_ROOT) != warehouse.root:  # partitions of another warehouse, whatever their names
+        kept = set()
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_ROOT}' = '{warehouse.root}')")
+    for old in sorted(there - kept):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {spec(dict(part.split('=', 1) for part in old.split('/')))}")
+    new = [f"{spec(wanted[key][0])} LOCATION '{wanted[key][1]}'" for key in sorted(set(wanted) - kept)]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(new)}")
+    spark.sql(f"REFRESH TABLE {name}")
 
 
 def publish(warehouse: Warehouse, ingestion_date: datetime.date) -> None:
-    """(Re)create all tables and views as of the last committed run.
+    """Bring all tables and views to the last committed run; what is there is altered, not dropped.
 
     A landed column without a place in the staging schema is not shown there; see
     ``add_column``.
     """
     create_databases(warehouse)
     store: Store = warehouse.store
+    added = _added(warehouse)
     for entity in ENTITIES:
-        _point(warehouse, f"staging.stg_{entity}", STAGING[entity], warehouse.landing(entity, ingestion_date))
+        name = f"staging.stg_{entity}"
+        _point(warehouse, name, STAGING[entity], warehouse.landing(entity, ingestion_date), added.get(name, []))
     for name, schema in WAREHOUSE.items():
-        runs = store.runs(name)
+        runs, table = store.runs(name), f"warehouse.{name}"
+        more = added.get(table, [])
         if name in {d.name for d in DIMENSIONS}:
             open_folders, closed_folders = store.dimension_parts(name)
-            parts = [(f"run='{_run_of(p)}', is_current=true", p) for p in open_folders]
-            parts += [(f"run='{_run_of(p)}', is_current=false", p) for p in closed_folders]
-            _partitioned(warehouse, f"warehouse.{name}", schema, {"run": "string", "is_current": "boolean"}, parts)
+            parts = [({"run": _run_of(p), "is_current": "true"}, p) for p in open_folders]
+            parts += [({"run": _run_of(p), "is_current": "false"}, p) for p in closed_folders]
+            _partitioned(warehouse, table, schema, {"run": "string", "is_current": "boolean"}, parts, more)
         elif name == "schema_evolution_log":
-            parts = [(f"run='{run}'", f"{store.root}/{name}/run={run}") for run in runs]
-            _partitioned(warehouse, f"warehouse.{name}", schema, {"run": "string"}, parts)
+            parts = [({"run": run}, f"{store.root}/{name}/run={run}") for run in runs]
+            _partitioned(warehouse, table, schema, {"run": "string"}, parts, more)
         else:
-            _point(warehouse, f"warehouse.{name}", schema, f"{store.root}/{name}/run={runs[-1]}" if runs else None)
+            # Before the first run there is nothing at its place, and the table is empty.
+            _point(warehouse, table, schema, f"{store.root}/{name}/run={runs[-1] if runs else 'none'}", more)
     create_views(warehouse)
 
 
@@ -110,5 +163,10 @@ def create_views(warehouse: Warehouse) -> None:
 
 
 def add_column(warehouse: Warehouse, table: str, column: str, data_type: str) -> None:
-    """Show a new source column in a published table; rows landed before it read NULL."""
-    warehouse.spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({column} {data_type})")
+    """Show a new source column in a published table, now and after every later publication.
+
+    Rows landed before it read NULL.
+    """
+    row = warehouse.spark.createDataFrame([(table, column, data_type)], _ADDED)
+    row.coalesce(1).write.mode("append").parquet(f"{warehouse.root}/added_columns")
+    _complete(warehouse, table, T.StructType(), [(column, data_type)])

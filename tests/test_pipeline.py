@@ -118,8 +118,20 @@ def test_published_tables_and_views(two_days, spark):
     assert spark.table("analytics.schema_evolution_history").count() == 1
     catalog.publish(warehouse, D2)  # again, over what is there
     catalog.add_column(warehouse, "staging.stg_claimants", "email", "string")
-    emails = spark.sql("SELECT email FROM staging.stg_claimants").collect()
-    assert sorted(str(r.email) for r in emails) == ["None", "None", "a@b"]
+    spark.sql("ALTER TABLE warehouse.dim_claimant SET TBLPROPERTIES ('kept' = 'yes')")
+    for _ in range(2):
+        emails = spark.sql("SELECT email FROM staging.stg_claimants").collect()
+        assert sorted(str(r.email) for r in emails) == ["None", "None", "a@b"]
+        catalog.publish(warehouse, D2)
+    assert "kept" in str(spark.sql("SHOW TBLPROPERTIES warehouse.dim_claimant").collect())  # not dropped in between
+    spark.sql("DROP TABLE staging.stg_claimants")
+    catalog.publish(warehouse, D2)  # as on a catalog that never had it
+    assert "email" in spark.table("staging.stg_claimants").columns
+    catalog.publish(warehouse, D1)
+    assert spark.sql("SELECT count(*) FROM staging.stg_claimants").first()[0] == 2
+    catalog.publish(warehouse, D2)
+    assert spark.sql("SELECT count(*) FROM staging.stg_claimants").first()[0] == 3
+    assert spark.sql("SELECT count(*) FROM warehouse.dim_claimant WHERE is_current").first()[0] == 3
 
 
 def test_repair_of_a_stored_dimension(two_days):
