@@ -14,22 +14,26 @@ from claimloom.schemas import Dimension
 from claimloom.sources.paths import land, work_folder
 
 
-def judge_open(dim: DataFrame, staged: DataFrame, spec: Dimension) -> DataFrame:
-    """The open dimension rows, with ``_expires`` saying whether this load closes them.
+def staged_bounds(staged: DataFrame, spec: Dimension) -> DataFrame:
+    """One row per staged key: least and greatest value of each tracked attribute."""
+    return staged.groupBy(spec.natural_key).agg(
+        *[F.min(c).alias(f"_min_{c}") for c in spec.tracked],
+        *[F.max(c).alias(f"_max_{c}") for c in spec.tracked],
+    )
+
+
+def judge_open(dim: DataFrame, bounds: DataFrame, spec: Dimension) -> DataFrame:
+    """The open rows of staged keys, with ``_expires`` saying whether this load closes them.
 
     A row closes when any staged version of its key, newest or not, differs in a
     tracked attribute.  NULL on either side is no difference.  Some staged value
-    differs from v exactly if their minimum or their maximum does, so the staged
-    versions are reduced to one row per key before they are shuffled and joined.
+    differs from v exactly if their minimum or their maximum does, so one row of
+    ``staged_bounds`` per key is all that is joined.
     """
-    bounds = staged.groupBy(spec.natural_key).agg(
-        *[F.min(c).alias(f"_min_{c}") for c in spec.tracked],
-        *[F.max(c).alias(f"_max_{c}") for c in spec.tracked],
-    )
     differs = [F.col(f"_{side}_{c}") != F.col(c) for c in spec.tracked for side in ("min", "max")]
     expires = F.coalesce(reduce(or_, [F.coalesce(d, F.lit(False)) for d in differs]), F.lit(False))
     open_rows = dim.filter(F.col("is_current"))
-    return open_rows.join(bounds, spec.natural_key, "left").select(*dim.columns, expires.alias("_expires"))
+    return open_rows.join(bounds, spec.natural_key).select(*dim.columns, expires.alias("_expires"))
 
 
 def closed_on(judged: DataFrame, as_of: datetime.date) -> DataFrame:
@@ -43,10 +47,14 @@ def closed_on(judged: DataFrame, as_of: datetime.date) -> DataFrame:
     ).drop("_expires")
 
 
-def _arrivals(dim: DataFrame, judged: DataFrame, staged: DataFrame, spec: Dimension) -> DataFrame:
-    """Newest staged versions, with ``_open``: NULL = key never seen, FALSE = no open row left."""
+def _arrivals(dim: DataFrame, judged: DataFrame, bounds: DataFrame, staged: DataFrame, spec: Dimension) -> DataFrame:
+    """Newest staged versions, with ``_open``: NULL = key never seen, FALSE = no open row left.
+
+    Of the history only rows of staged keys go on to be grouped.
+    """
     key = spec.natural_key
-    history = dim.filter(~F.col("is_current")).select(key, F.lit(False).alias("_open"))
+    history = dim.filter(~F.col("is_current")).join(bounds.select(key), key, "left_semi")
+    history = history.select(key, F.lit(False).alias("_open"))
     still_open = judged.select(key, (~F.col("_expires")).alias("_open"))
     state = history.unionByName(still_open).groupBy(key).agg(F.max("_open").alias("_open"))
     return staged.filter(F.col("is_current")).join(state, key, "left")
@@ -75,8 +83,9 @@ def changed_versions(arrivals: DataFrame, spec: Dimension, as_of: datetime.date)
 
 def merge_steps(dim: DataFrame, staged: DataFrame, spec: Dimension, as_of: datetime.date) -> dict[str, DataFrame]:
     """The three effects of a load, one DataFrame each: expired, new and changed."""
-    judged = judge_open(dim, staged, spec)
-    arrivals = _arrivals(dim, judged, staged, spec)
+    bounds = staged_bounds(staged, spec)
+    judged = judge_open(dim, bounds, spec)
+    arrivals = _arrivals(dim, judged, bounds, staged, spec)
     return {
         "expired": closed_on(judged.filter(F.col("_expires")), as_of),
         "new": new_versions(arrivals, spec, as_of),
@@ -90,16 +99,19 @@ def load_changes(
     spec: Dimension,
     as_of: datetime.date,
     landing: str | None = None,
+    last_key: int | None = None,
 ) -> DataFrame:
     """Every row the load writes: open rows, kept or just closed, and inserted versions.
 
     Earlier history is not part of it; it never changes in a load.  ``dim`` is None
-    before the first load.
+    before the first load.  ``last_key`` is the greatest surrogate key given so far;
+    without it the dimension is searched for it.
 
     Which rows close and which keys get a version is worked out on keys and tracked
-    attributes alone.  Both results are landed: Spark knows their size and broadcasts
-    them if it is small; whole rows, of the dimension and of the delivery, are then read
-    and written but not shuffled.
+    attributes alone, for the delivered keys alone.  All of that is landed, one row per
+    delivered key or fewer: Spark knows its size and broadcasts it if it is small; the
+    dimension is then read but not shuffled, and what is grouped or sorted is as large
+    as the delivery, not as the history.
     """
     landing = landing or work_folder(staged.sparkSession, spec.name)
     key, row = spec.natural_key, spec.surrogate_key
@@ -108,22 +120,26 @@ def load_changes(
         first = new_versions(heads.withColumn("_open", F.lit(None).cast("boolean")), spec, as_of)
         return number_rows(first, row, 0, [key], f"{landing}/inserted")
 
+    bounds = land(staged_bounds(staged, spec), f"{landing}/bounds")
     narrow = dim.select(row, key, *spec.tracked, "is_current")
-    judged = judge_open(narrow, staged, spec).select(row, key, "_expires")
-    verdicts = land(judged, f"{landing}/verdicts")
-    expiring = land(verdicts.filter("_expires").select(row, "_expires"), f"{landing}/expiring")
-    open_rows = dim.filter(F.col("is_current")).join(expiring, row, "left")
-    open_rows = open_rows.withColumn("_expires", F.coalesce("_expires", F.lit(False)))
+    verdicts = land(judge_open(narrow, bounds, spec).select(row, key, "_expires"), f"{landing}/verdicts")
+    expiring = land(verdicts.filter("_expires").select(row), f"{landing}/expiring")
+    open_rows = dim.filter(F.col("is_current"))
+    kept = open_rows.join(expiring, row, "left_anti")
+    closed = closed_on(open_rows.join(expiring, row).withColumn("_expires", F.lit(True)), as_of)
+    # The few rows that close are gathered in few files; the open ones stay where they are.
+    closed = closed.select(*dim.columns).hint("rebalance")
 
     keys = heads.select(key, F.lit(True).alias("is_current")).distinct()
-    without_open_row = _arrivals(dim, verdicts, keys, spec).filter(F.col("_open").isNull() | ~F.col("_open"))
-    wanted = land(without_open_row.select(key, "_open"), f"{landing}/wanted")
+    arrivals = _arrivals(dim, verdicts, bounds, keys, spec)
+    wanted = land(arrivals.filter(F.col("_open").isNull() | ~F.col("_open")).select(key, "_open"), f"{landing}/wanted")
     unseen = F.col("_open").isNull()
     since = F.when(unseen, F.coalesce(F.col("effective_from"), F.lit(as_of))).otherwise(F.lit(as_of))
     inserted = _as_versions(heads.join(wanted, key), spec, since)
-    last_key = dim.agg(F.max(row)).first()[0] or 0
+    if last_key is None:
+        last_key = dim.agg(F.max(row)).first()[0] or 0
     keyed = number_rows(inserted, row, last_key, [key], f"{landing}/inserted")
-    return closed_on(open_rows, as_of).select(*dim.columns).unionByName(keyed)
+    return kept.unionByName(closed).unionByName(keyed)
 
 
 def merge(

@@ -178,13 +178,22 @@ class Warehouse:
             )
 
     def load_dimension(self, spec: Dimension, ingestion_date: datetime.date, as_of: datetime.date, run: str) -> None:
-        path = work_folder(self.spark, spec.name)
-        before = self.table(spec.name, before=run) if self.store.runs(spec.name, before=run) else None
+        path, store = work_folder(self.spark, spec.name), self.store
+        before = self.table(spec.name, before=run) if store.runs(spec.name, before=run) else None
+        last_key = store.last_key(spec.name, before=run)
+        if last_key is None and before is not None:
+            last_key = before.agg(F.max(spec.surrogate_key)).first()[0]
+        seen = Observation(f"keys_{spec.name}")
         try:
-            changes = scd2.load_changes(before, self.staged(spec.entity, ingestion_date), spec, as_of, path)
-            self.store.write_changes(spec.name, changes, run, SORT_COLUMNS[spec.name])
+            staged = self.staged(spec.entity, ingestion_date)
+            changes = scd2.load_changes(before, staged, spec, as_of, path, last_key)
+            changes = changes.observe(seen, F.max(spec.surrogate_key).alias("key"))
+            store.write_changes(spec.name, changes, run, SORT_COLUMNS[spec.name])
         finally:
             Folder(self.spark, path).delete()
+        store.note_last_key(spec.name, max(last_key or 0, seen.get["key"] or 0), run)
+        store.gather(spec.name, WAREHOUSE[spec.name], SORT_COLUMNS[spec.name])
+        store.drop_superseded_parts(spec.name)
 
     def load_facts(self, ingestion_date: datetime.date, run: str, result: RunResult) -> None:
         """Claims before payments, which take their claim_key from the committed claims."""

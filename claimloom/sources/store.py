@@ -23,6 +23,7 @@ from claimloom.sources.paths import Folder
 _NAME = re.compile(r"[0-9A-Za-z_-]+")
 # run=<name>, or run=<name>.whole-<n> for the nth rewrite of the whole dimension.
 _FOLDER = re.compile(r"run=([0-9A-Za-z_-]+)(?:\.whole-(\d+))?")
+_LAST_KEY = T.StructType([T.StructField("last_key", T.LongType())])
 
 
 def _order(run: str) -> tuple[str, int]:
@@ -106,6 +107,40 @@ class Store:
         folder.delete()  # what an attempt that died may have left
         self._write_split(rows, folder.path, sort)
 
+    def gather(self, table: str, schema: T.StructType, sort: list[str], every: int = 30) -> None:
+        """Every so many loads, bring the rows they closed from their small files into few large ones."""
+        if len(self.dimension_parts(table)[1]) > every:
+            rows = self.read_dimension(table, schema).hint("rebalance", "is_current")
+            self.write_whole(table, rows, sort)
+
+    def drop_superseded_parts(self, table: str) -> None:
+        """Delete the folders of a dimension that neither its state nor that before the last run is made of."""
+        runs = self.runs(table)
+        if not runs:
+            return
+        last = _order(runs[-1])[0]
+        states = [runs, self.runs(table, before=last)]
+        newest = {state[-1] for state in states if state}
+        needed = {path for before in (None, last) for side in self.dimension_parts(table, before) for path in side}
+        for run in runs:
+            sides = [self._run(table, run).child(f"is_current={flag}") for flag in ("true", "false")]
+            for side in sides:
+                if side.path not in needed:
+                    side.delete()
+            if run not in newest and not any(side.exists() for side in sides):
+                self._run(table, run).delete()
+
+    def last_key(self, table: str, before: str) -> int | None:
+        """The greatest key given up to the last run, if that run has noted it."""
+        runs, noted = self.runs(table, before), self.runs(f"{table}_last_key", before)
+        if not runs or not noted or _order(runs[-1])[0] != noted[-1]:
+            return None
+        return self.read(f"{table}_last_key", _LAST_KEY, before).first()[0]
+
+    def note_last_key(self, table: str, key: int, run: str) -> None:
+        self.write(f"{table}_last_key", self.spark.range(key, key + 1).select(F.col("id").alias("last_key")), run)
+        self.drop_superseded(f"{table}_last_key")
+
     @staticmethod
     def _write_split(rows: DataFrame, path: str, sort: list[str]) -> None:
         rows.sortWithinPartitions("is_current", *sort).write.partitionBy("is_current").parquet(path)

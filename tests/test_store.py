@@ -103,6 +103,32 @@ def test_whole_rewrite_takes_over(spark, tmp_path):
     assert dim(store, before="2") == [(1, False), (2, True)]
 
 
+def test_many_loads_leave_few_folders_and_files(spark, tmp_path):
+    store, schema, order = Store(spark, str(tmp_path)), WAREHOUSE["dim_policy"], ["policy_id"]
+    for load in range(1, 9):  # each closes the row of the load before
+        rows = [(load, True)] + ([(load - 1, False)] if load > 1 else [])
+        store.write_changes("dim_policy", changes(spark, rows), f"{load:02d}", order)
+        store.gather("dim_policy", schema, order, every=3)
+        store.drop_superseded_parts("dim_policy")
+        assert dim(store) == sorted([(k, False) for k in range(1, load)] + [(load, True)])
+        assert dim(store, f"{load:02d}") == sorted([(k, False) for k in range(1, load - 1)] + [(load - 1, True)][: load - 1])
+        assert len(list(tmp_path.glob("dim_policy/*/is_current=true"))) <= 2
+        assert len(list(tmp_path.glob("dim_policy/*/is_current=false"))) <= 6
+        assert len(list(tmp_path.glob("dim_policy/*/*/*.parquet"))) <= 24
+    store.write_changes("dim_policy", changes(spark, [(9, True)]), "08", order)  # the last load again
+    assert dim(store) == [(k, False) for k in range(1, 7)] + [(9, True)]
+
+
+def test_last_key_is_that_of_the_last_run_or_unknown(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    assert store.last_key("dim_policy", "1") is None
+    store.write_changes("dim_policy", changes(spark, [(7, True)]), "1", ["policy_id"])
+    assert store.last_key("dim_policy", "2") is None  # the run died before it was noted
+    store.note_last_key("dim_policy", 7, "1")
+    store.write_whole("dim_policy", changes(spark, [(7, True)]), ["policy_id"])
+    assert store.last_key("dim_policy", "2") == 7 and store.last_key("dim_policy", "1") is None
+
+
 def test_staging_selects_by_name_and_reports_what_does_not_fit(spark):
     landed = spark.createDataFrame(
         [("x" * 60, 1, datetime.date(2024, 1, 1)), ("ok", None, None), (None, 3, None)],
