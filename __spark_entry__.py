@@ -23,8 +23,8 @@ import fixture_sql as fx  # noqa: E402
 import oracle  # noqa: E402
 from claimloom.operators import calendar, evolution, quality, repair, scd2, staging, versions  # noqa: E402
 from claimloom.operators.keys import number_rows  # noqa: E402
-from claimloom.plans import entities, facts, views  # noqa: E402
-from claimloom.plans.pipeline import RunResult, Warehouse, at_once  # noqa: E402
+from claimloom.plans import catalog, entities, facts, views  # noqa: E402
+from claimloom.plans.pipeline import Warehouse, at_once  # noqa: E402
 from claimloom.schemas import CLAIMANT, DIMENSIONS, EMPLOYER, FILE_ENTITY, POLICY, STAGING, Dimension  # noqa: E402
 from claimloom.sources import deliveries  # noqa: E402
 from claimloom.sources.paths import land, work_folder  # noqa: E402
@@ -260,13 +260,13 @@ def _schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Deliveries and the whole run ---------------------------------------------------
 
 
-def _deliver(spark: SparkSession, sf_dir: str, inbox: str, day: int | None = None) -> None:
+def _deliver(spark: SparkSession, sf_dir: str, inbox: str, day: int | None = None, currency: bool = True) -> None:
     """Write the sources as CSV folders, the way a large delivery comes in."""
     writes = []
     for name in ("claimants", "claims_v1", "claims_v2", "employers", "payments", "policies"):
         dated = day and (name, day) in fx.DAYS
         df = fx.source_on(spark, sf_dir, name, day) if dated else fx.source(spark, sf_dir, name)
-        if name == "payments":  # a column the contract does not know
+        if name == "payments" and currency:  # a column the contract does not know
             df = df.withColumn("currency", F.lit("USD"))
         writes.append(partial(df.write.option("header", True).csv, f"{inbox}/{name}.csv"))
     at_once(writes)
@@ -299,17 +299,44 @@ def _delivery_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intact.join(new, "name").join(rows, "name")
 
 
-def _pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two daily runs from CSV to the warehouse; the summary after the second."""
+def _two_days(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Two daily runs from CSV to the warehouse; the second brings a new column of payments."""
     warehouse = Warehouse(spark, work_folder(spark, "warehouse"))
     for day, date in ((1, DAY1), (2, DAY2)):
         inbox = work_folder(spark, f"inbox{day}")
-        _deliver(spark, sf_dir, inbox, day)
-        result = RunResult(date.isoformat())
-        warehouse.extract(inbox, date, result)
-        warehouse.transform(date, date, result)
-        warehouse.load(date, date, result)
-    return _plain(warehouse.claims_summary())
+        _deliver(spark, sf_dir, inbox, day, currency=day == 2)
+        warehouse.run(inbox, date, date, steps=("extraction", "transformation", "loading"))
+    return warehouse
+
+
+def _pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain(_two_days(spark, sf_dir).claims_summary())
+
+
+def _evolution_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log after two runs, the load of the second repeated alone, with the rows that run landed."""
+    warehouse = _two_days(spark, sf_dir)
+    warehouse.run("", DAY2, DAY2, steps=("loading",))
+    landed = None
+    for entity in STAGING:
+        rows = warehouse.staged(entity, DAY2).agg(F.lit(entity).alias("entity"), F.count(F.lit(1)).alias("landed_rows"))
+        landed = rows if landed is None else landed.unionByName(rows)
+    return warehouse.table("schema_evolution_log").join(landed, "entity")
+
+
+def _added_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column added to a published table, as readers see it after each of two more publications."""
+    warehouse = _two_days(spark, sf_dir)
+    catalog.publish(warehouse, DAY2)
+    catalog.add_column(warehouse, "staging.stg_payments", "currency", "string")
+    seen = None
+    for date in (DAY1, DAY2):
+        catalog.publish(warehouse, date)
+        rows = spark.table("staging.stg_payments").groupBy("payment_type", "currency").agg(F.count("*").alias("payments"))
+        # Landed, as the next publication points the table elsewhere.
+        rows = land(rows.withColumn("published", F.lit(date)), work_folder(spark, "published"))
+        seen = rows if seen is None else seen.unionByName(rows)
+    return seen
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -342,6 +369,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "delivery_contract": _delivery_contract,
         "reject_top10": _newest_rejects,
         "pipeline_claims_summary": _pipeline_summary,
+        "evolution_log": _evolution_log,
+        "added_column": _added_column,
     }
     for spec in (CLAIMANT, POLICY, EMPLOYER):
         short = spec.name.removeprefix("dim_")

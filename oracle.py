@@ -298,6 +298,29 @@ def _evolution() -> str:
     return _with(_sources("claims_v1", "claims_v2", "payments", "policies"), body)
 
 
+def _log_after_two_days() -> str:
+    names = ("payment_id", "claim_id", "payment_date", "payment_amount", "payment_type", "created_at")
+    before = ", ".join(f'"{name}"' for name in names)
+    return _with(
+        _sources("payments"),
+        f"""
+        SELECT CAST(1 AS BIGINT) AS log_id, 'payments' AS entity, {_D2} AS detection_date,
+               '{DAY1}' AS previous_version, '{DAY2}' AS current_version, '[{before}]' AS previous_columns,
+               '[{before}, "currency"]' AS current_columns, '["currency"]' AS added_columns,
+               '[]' AS removed_columns, COUNT(*) AS landed_rows
+        FROM ({_PAYMENTS}) p""",
+    )
+
+
+def _added_column() -> str:
+    body = " UNION ALL ".join(
+        f"SELECT payment_type, {currency} AS currency, COUNT(*) AS payments, {day} AS published "
+        f"FROM ({_PAYMENTS}) p GROUP BY payment_type"
+        for currency, day in (("CAST(NULL AS VARCHAR)", _D1), ("'USD'", _D2))
+    )
+    return _with(_sources("payments"), body)
+
+
 def _delivery() -> str:
     names = ("claimants", "claims_v1", "claims_v2", "employers", "payments", "policies")
     body = " UNION ALL ".join(
@@ -380,6 +403,8 @@ def statements() -> dict[str, str]:
         ),
         "schema_evolution_history": _evolution(),
         "delivery_contract": _delivery(),
+        "evolution_log": _log_after_two_days(),
+        "added_column": _added_column(),
         "reject_top10": _with(
             _sources("claimants"),
             """
