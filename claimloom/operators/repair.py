@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from claimloom.operators.versions import flag_newest
 from claimloom.schemas import Dimension
+from claimloom.sources.paths import land, work_folder
 
 # Width of the day bins that bring overlapping versions together.
 BIN_DAYS = 64
@@ -60,14 +61,20 @@ def history_gaps(dim: DataFrame, spec: Dimension) -> DataFrame:
     )
 
 
-def overlaps(dim: DataFrame, spec: Dimension, bin_days: int = BIN_DAYS) -> DataFrame:
+def overlaps(dim: DataFrame, spec: Dimension, bin_days: int = BIN_DAYS, landing: str | None = None) -> DataFrame:
     """Pairs of closed versions of one key whose validity overlaps, each pair in both orders.
 
     Condition on a pair: a.from < b.to and a.to > b.from; open rows never match.  Of
-    the two, the one that starts later starts inside the other, so each row is looked
-    up by the bin of its start among the bins the others cover.  Rows far apart in
-    time never meet, and a key with many versions is spread over its bins.  No row
-    starts after the last start, so a far end (9999-12-31) adds no bins beyond it.
+    the two, the one that starts later starts inside the other.  So only days on which a
+    version starts while an earlier one still runs, or several start, can have pairs:
+    they are found on one row per key and start day, and an orderly key is never binned.
+    These days land in ``landing``, a new work folder if it is not given: Spark knows how
+    many there are, and a join of all versions of a hot key with them can be split.
+
+    A row starting on such a day is looked up by the bin of its start among the bins the
+    others cover.  Rows far apart in time never meet, and a key with many versions is
+    spread over its bins.  Bins end with the last such day of the key, so a far end
+    (9999-12-31) adds none beyond it.
     """
     key, row = spec.natural_key, spec.surrogate_key
 
@@ -76,16 +83,22 @@ def overlaps(dim: DataFrame, spec: Dimension, bin_days: int = BIN_DAYS) -> DataF
 
     start, end = F.col("effective_from"), F.col("effective_to")
     closed = dim.filter(end.isNotNull()).select(key, row, "effective_from", "effective_to")
-    last_start = closed.agg(F.max("effective_from")).first()[0]
-    covered_to = F.greatest(start, F.least(F.greatest(start, end), F.lit(last_start)))
-    covering = closed.select(
+    days = closed.groupBy(key, "effective_from").agg(F.max(end).alias("_until"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(key).orderBy("effective_from").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.withColumn("_reach", F.max("_until").over(earlier))
+    crowded = days.filter((F.col("_reach") > start) | (F.col("_n") > 1)).select(key, "effective_from")
+    landing = landing or work_folder(dim.sparkSession, "overlaps")
+    crowded = land(crowded, f"{landing}/days")
+    until = land(crowded.groupBy(key).agg(F.max("effective_from").alias("_until")), f"{landing}/keys")
+    reaching = closed.filter(start < end).join(until, key).filter(start <= F.col("_until"))
+    covering = reaching.select(
         key,
         F.col(row).alias("_row"),
         start.alias("_from"),
         end.alias("_to"),
-        F.explode(F.sequence(bin_of(F.least(start, end)), bin_of(covered_to))).alias("_bin"),
+        F.explode(F.sequence(bin_of(start), bin_of(F.least(end, F.col("_until"))))).alias("_bin"),
     )
-    later = closed.withColumn("_bin", bin_of(start))
+    later = closed.join(crowded, [key, "effective_from"], "left_semi").withColumn("_bin", bin_of(start))
     met = later.join(covering, [key, "_bin"]).filter(
         (F.col(row) != F.col("_row"))
         & (start >= F.col("_from"))
