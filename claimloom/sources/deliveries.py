@@ -271,11 +271,13 @@ def read_raw(
         if not found:
             raise FileNotFoundError(f"{path} has not been delivered")
         files += found
-    columns: dict[str, dict[str, list[str]]] = {name: {} for name in names}
-    for r in file_headers(spark, files).collect():
-        columns[r.name][r.path] = list(r.columns)
-    for name, by_path in columns.items():
-        one_header = list(by_path.values())[0]
-        if all(c == one_header for c in by_path.values()):
-            columns[name] = {whole[name]: one_header}
+    headers = file_headers(spark, files)
+    seen: dict[str, list[list[str]]] = {name: [] for name in names}
+    for r in headers.select("name", "columns").distinct().collect():  # one row per header, not per file
+        seen[r.name].append(list(r.columns))
+    columns = {name: {whole[name]: found[0]} for name, found in seen.items() if len(found) == 1}
+    mixed = [name for name in names if name not in columns]
+    if mixed:  # folders whose files differ in their headers are read file by file
+        for r in headers.filter(F.col("name").isin(mixed)).collect():
+            columns.setdefault(r.name, {})[r.path] = list(r.columns)
     return {name: read_csv(spark, columns[name]) for name in names}
