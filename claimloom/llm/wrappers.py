@@ -34,8 +34,11 @@ BLOCKS = set(
     " h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead"
     " title tr ul".split()
 )
-#: Elements whose content is never main text; those read as raw text come first.
-RAW = ["script", "style", "textarea", "noscript", "template", "iframe", "svg", "object", "select", "button"]
+#: Elements whose content is never main text.  Raw text ends at its end tag or with
+#: the page; hidden elements are left out of the text around them; end tags in inert ones end nothing outside.
+RAW = ["script", "style", "textarea", "iframe"]
+HIDDEN = {"noscript", "template", "svg", "foreignobject", "object", "select", "button"}
+INERT = {"noscript", "template"}
 LEFT_OUT = {"head", "title", "nav", "footer", "aside", "form", "menu", "dialog"}
 #: Words in class, id or role that mark what is not main text.
 MARKS = set(
@@ -62,7 +65,7 @@ HELD_HOSTS = 500
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{'|'.join(RAW)})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<raw>{'|'.join(RAW)})(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)(?=[\s/>])[^>]*+>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|</?[a-z][^>]*+>|<[!?][^>]*+>",
     re.S | re.I,
@@ -85,12 +88,30 @@ def _label(name: str, rest: str) -> str:
     return f"-{name}" if marked else name
 
 
+def _unclosed(tokens: list[tuple[re.Match, str]]) -> set[int]:
+    """Where hidden elements start that no end tag of theirs follows."""
+    opened: dict[str, list[int]] = {name: [] for name in HIDDEN}
+    for token, name in tokens:
+        if name not in HIDDEN or name == "svg" and token["rest"].endswith("/"):
+            continue
+        if not token["close"]:
+            opened[name].append(token.start())
+        elif opened[name]:
+            opened[name].pop()
+    return {start for starts in opened.values() for start in starts}
+
+
 def blocks_of(page: str) -> tuple[list[tuple[str, str]], Expression]:
-    """Blocks of a page, (path, text) in page order, and its expression, folded."""
+    """Blocks of a page, (path, text) in page order, and its expression, folded.
+
+    A hidden element is left out up to its end tag or that of an element around it; one that
+    has no end tag, up to the next block.
+    """
     blocks: list[tuple[str, str]] = []
     root: Expression = []
     stack: list[tuple[str, str, Expression]] = [("", "", root)]  # name, path, body
     held: list[str] = []
+    hidden: list[tuple[str, bool]] = []  # open hidden elements and blocks in them: name, has no end tag
 
     def flush() -> None:
         text = " ".join("".join(held).split())
@@ -116,15 +137,49 @@ def blocks_of(page: str) -> tuple[list[tuple[str, str]], Expression]:
                 found = depth
         return found
 
+    def leave(name: str) -> bool:
+        """End the innermost hidden element, or block in one, of this name."""
+        for depth in range(len(hidden) - 1, -1, -1):
+            if hidden[depth][0] == name:
+                del hidden[depth:]
+                return True
+        return False
+
+    def still_hidden(name: str, close: str) -> bool:
+        """Whether a tag of a block is left out too; if not, no hidden element is open any more."""
+        for depth, (_, alone) in enumerate(hidden):
+            if alone:
+                del hidden[depth:]
+                break
+        if close:
+            if not hidden or leave(name) or any(outer in INERT for outer, _ in hidden):
+                return bool(hidden)
+            if any(outer == name for outer, _, _ in stack):
+                hidden.clear()
+            return bool(hidden)
+        while hidden and hidden[-1][0] == "svg" and name != "title":  # a block ends a drawing
+            hidden.pop()
+        if hidden and name != "hr":
+            hidden.append((name, False))
+        return bool(hidden)
+
     at = 0
-    for token in _TOKEN.finditer(page):
-        if token.start() > at:
+    tokens = [(token, (token["name"] or "").lower()) for token in _TOKEN.finditer(page)]
+    unclosed = _unclosed(tokens)
+    for token, name in tokens:
+        if token.start() > at and not hidden:
             held.append(html.unescape(page[at : token.start()]))
         at = token.end()
-        name = (token["name"] or "").lower()
-        if name == "br":
+        if name == "br" and not hidden:
             held.append(" ")
-        if name not in BLOCKS:
+        if name in HIDDEN:
+            alone = token.start() in unclosed
+            if token["close"]:
+                leave(name)
+            elif not (token["rest"].endswith("/") and (alone or name == "svg")):
+                hidden.append((name, alone))
+            continue
+        if name not in BLOCKS or hidden and still_hidden(name, token["close"]):
             continue
         flush()
         if token["close"]:
@@ -146,7 +201,7 @@ def blocks_of(page: str) -> tuple[list[tuple[str, str]], Expression]:
         inner: Expression = []
         body.append([label, "1", inner])
         stack.append((name, path if last == label else f"{path}/{label}", inner))
-    if at < len(page):
+    if at < len(page) and not hidden:
         held.append(html.unescape(page[at:]))
     flush()
     close_to(1)

@@ -66,3 +66,18 @@ def test_partial_wrappers_agree():
         right.add_page(page)
     left.merge(wrappers.Wrapper.read(right.write()))
     assert (left.expression, left.slots, left.pages) == (one.expression, one.slots, one.pages)
+
+
+def test_text_after_elements_left_out():
+    def texts(page):
+        return [text for _, text in wrappers.blocks_of(page)[0]]
+
+    assert texts('<article><p>one</p><svg class="i"/><p>two</p><p>three</p></article>') == ["one", "two", "three"]
+    assert texts("<article><template-x>a</template-x><select-list><p>two</p></article>") == ["a", "two"]
+    unclosed = "<article><p>one</p><button>share<p>two</p><object data=x><p>three</p><select><option>q<p>four</p></article>"
+    assert texts(unclosed) == ["one", "two", "three", "four"]
+    within = "<p>a <svg><title>icon</title><path/></svg> b <button><div>x</div>y</button> c</p><svg><p>d"
+    assert texts(within) == ["a b c", "d"]
+    inert = "<div><article><noscript><div></noscript><p>x</p><noscript></div></noscript><p>y</p></article></div>"
+    assert [path.split("/")[2] for path, _ in wrappers.blocks_of(inert)[0]] == ["article", "article"]
+    assert texts("<p>a<script>x</scripty></script>b<style>c") == ["ab"]
