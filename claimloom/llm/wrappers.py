@@ -18,6 +18,7 @@ from __future__ import annotations
 import html
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from itertools import groupby
 
@@ -58,7 +59,8 @@ CLOSES = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "body": ({"head"}, {"html"}),
 }
-#: Elements nested deeper than this count as their ancestor; their text stays whole.
+#: Elements nested deeper than this count as their ancestor, unless they tell what is main text;
+#: their text stays whole and their end tags end them alone.
 MAX_DEPTH = 120
 SALTS = 32
 HELD_HOSTS = 500
@@ -88,6 +90,13 @@ def _label(name: str, rest: str) -> str:
     return f"-{name}" if marked else name
 
 
+def _tells(label: str, path: str) -> bool:
+    """Whether a label below a path tells more than the path if text is main text."""
+    if "/-" in path or label in path.split("/"):
+        return False
+    return label in MAIN or label == "header" or label.startswith("-")
+
+
 def _unclosed(tokens: list[tuple[re.Match, str]]) -> set[int]:
     """Where hidden elements start that no end tag of theirs follows."""
     opened: dict[str, list[int]] = {name: [] for name in HIDDEN}
@@ -110,6 +119,8 @@ def blocks_of(page: str) -> tuple[list[tuple[str, str]], Expression]:
     blocks: list[tuple[str, str]] = []
     root: Expression = []
     stack: list[tuple[str, str, Expression]] = [("", "", root)]  # name, path, body
+    open_at: dict[str, list[int]] = {name: [] for name in BLOCKS}  # where in the stack elements are open
+    levels = 0  # open elements that do not count as their ancestor
     held: list[str] = []
     hidden: list[tuple[str, bool]] = []  # open hidden elements and blocks in them: name, has no end tag
 
@@ -123,19 +134,19 @@ def blocks_of(page: str) -> tuple[list[tuple[str, str]], Expression]:
                 body.append(["#", "1", []])
 
     def close_to(depth: int) -> None:
+        nonlocal levels
         while len(stack) > depth:
             name, _, body = stack.pop()
-            body[:] = fold(body)
+            open_at[name].pop()
+            if body is not stack[-1][2]:
+                levels -= 1
+                body[:] = fold(body)
 
     def open_names(names: set[str], until: set[str]) -> int | None:
         """The depth of the outermost open element of ``names`` within the nearest of ``until``."""
-        found = None
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth][0] in until:
-                break
-            if stack[depth][0] in names:
-                found = depth
-        return found
+        nearest = max((open_at[name][-1] for name in until if open_at[name]), default=0)
+        within = (bisect_right(open_at[name], nearest) for name in names)
+        return min((open_at[name][k] for name, k in zip(names, within) if k < len(open_at[name])), default=None)
 
     def leave(name: str) -> bool:
         """End the innermost hidden element, or block in one, of this name."""
@@ -154,7 +165,7 @@ def blocks_of(page: str) -> tuple[list[tuple[str, str]], Expression]:
         if close:
             if not hidden or leave(name) or any(outer in INERT for outer, _ in hidden):
                 return bool(hidden)
-            if any(outer == name for outer, _, _ in stack):
+            if open_at[name]:
                 hidden.clear()
             return bool(hidden)
         while hidden and hidden[-1][0] == "svg" and name != "title":  # a block ends a drawing
@@ -183,20 +194,23 @@ def blocks_of(page: str) -> tuple[list[tuple[str, str]], Expression]:
             continue
         flush()
         if token["close"]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == name:
-                    close_to(depth)
-                    break
+            if open_at[name]:
+                close_to(open_at[name][-1])
             continue
-        depth = open_names({"p"}, BLOCKS - {"p"})  # any block ends a paragraph
+        depth = len(stack) - 1 if stack[-1][0] == "p" else None  # any block ends a paragraph
         if depth is None and name in CLOSES:
             depth = open_names(*CLOSES[name])
         if depth is not None:
             close_to(depth)
-        if name == "hr" or len(stack) > MAX_DEPTH:
+        if name == "hr":
             continue
         label = _label(name, token["rest"] or "")
         _, path, body = stack[-1]
+        open_at[name].append(len(stack))
+        if levels >= MAX_DEPTH and not _tells(label, path):
+            stack.append((name, path, body))
+            continue
+        levels += 1
         last = path.rpartition("/")[2]
         inner: Expression = []
         body.append([label, "1", inner])

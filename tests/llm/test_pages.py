@@ -81,3 +81,17 @@ def test_text_after_elements_left_out():
     inert = "<div><article><noscript><div></noscript><p>x</p><noscript></div></noscript><p>y</p></article></div>"
     assert [path.split("/")[2] for path, _ in wrappers.blocks_of(inert)[0]] == ["article", "article"]
     assert texts("<p>a<script>x</scripty></script>b<style>c") == ["ab"]
+
+
+def test_text_after_deep_elements():
+    deep = "<div>" * 130 + "deep" + "</div>" * 130
+    blocks, _ = wrappers.blocks_of(f"<div><article><p>a</p>{deep}<p>b</p></article><p>out</p></div>")
+    assert [text for _, text in blocks] == ["a", "deep", "b", "out"]
+    assert ["article" in path.split("/") for path, _ in blocks] == [True, True, True, False]
+    inner = "<nav>menu</nav><article><ul><li>x<li>y</ul></article>"
+    blocks, _ = wrappers.blocks_of("<div>" * 3000 + inner + "</div>" * 3000 + "<p>end")
+    assert [(path.split("/")[-1], text) for path, text in blocks] == [
+        ("-nav", "menu"), ("article", "x"), ("article", "y"), ("p", "end"),
+    ]
+    page = "<ul><li>" + "<div>" * 100_000 + "<li>" + "</section>" * 100_000
+    assert wrappers.blocks_of(page)[0] == []
