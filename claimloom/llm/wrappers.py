@@ -22,6 +22,7 @@ from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from itertools import groupby
 
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -287,11 +288,15 @@ def align(a: Expression, b: Expression) -> Expression:
     return fold(out)
 
 
+def _hash(text: str) -> str:
+    return xxhash.xxh3_128_hexdigest(text.encode("utf-8", "surrogatepass"))
+
+
 class Wrapper:
-    """What is known of a host: its expression, and for each text slot (pages, letters, text).
+    """What is known of a host: its expression, and for each text slot (pages, letters, hash).
 
-    The text is a slot's whole text on a page if it was the same on all pages so far,
-    else None; slots are known by their path.
+    The hash is 128 bits of a slot's whole text on a page if that was the same on all
+    pages so far, else None; slots are known by their path.
     """
 
     def __init__(self, expression: Expression | None = None, slots: dict | None = None, pages: int = 0):
@@ -317,7 +322,7 @@ class Wrapper:
         found: dict[str, list[str]] = {}
         for path, text in blocks:
             found.setdefault(path, []).append(text)
-        self._count({p: [1, sum(map(len, t)), "\n".join(t)[:200]] for p, t in found.items()})
+        self._count({p: [1, sum(map(len, t)), _hash("\n".join(t))] for p, t in found.items()})
         self.pages += 1
 
     def merge(self, other: Wrapper) -> None:
@@ -330,12 +335,12 @@ class Wrapper:
         self.expression = expression if known is None else align(known, expression or [])
 
     def _count(self, slots: dict[str, list]) -> None:
-        for path, (pages, letters, text) in slots.items():
+        for path, (pages, letters, whole) in slots.items():
             known = self.slots.get(path)
             if known is None:
-                self.slots[path] = [pages, letters, text]
+                self.slots[path] = [pages, letters, whole]
             else:
-                same = text if text == known[2] else None
+                same = whole if whole == known[2] else None
                 self.slots[path] = [known[0] + pages, known[1] + letters, same]
 
     def main_slots(self) -> list[str]:

@@ -95,3 +95,12 @@ def test_text_after_deep_elements():
     ]
     page = "<ul><li>" + "<div>" * 100_000 + "<li>" + "</section>" * 100_000
     assert wrappers.blocks_of(page)[0] == []
+
+
+def test_slots_are_compared_whole(spark):
+    lead = "terms " * 100
+    page = "<body><h1>title {i}</h1><div><p>" + lead + "</p><p>body {i}</p></div></body>"
+    rows = [(i, f"http://lead.net/{i}", page.format(i=i)) for i in range(4)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    text = {r.page_id: r.text for r in wrappers.extract(pages).collect()}
+    assert all(text[i].endswith(f"\nbody {i}") for i in range(4))
