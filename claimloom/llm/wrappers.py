@@ -8,9 +8,9 @@ between two forms is ever needed, so the expression stays union-free, and mergin
 same work wherever it happens: partial wrappers of a host are merged in map tasks, then
 by host and salt, then by host.
 
-The wrapper's text slots, with how much text they hold on how many pages, tell which of
-them are main text: those below an article or main element, or, on hosts without one,
-those whose text changes from page to page; never those below menus, notices and the like.
+Main text is what lies below an article or main element of a page.  On pages without one
+the wrapper's text slots tell, counted over the host's pages without one: those whose text
+changes from page to page are main text; never those below menus, notices and the like.
 """
 
 from __future__ import annotations
@@ -295,23 +295,28 @@ def _hash(text: str) -> str:
 class Wrapper:
     """What is known of a host: its expression, and for each text slot (pages, letters, hash).
 
-    The hash is 128 bits of a slot's whole text on a page if that was the same on all
-    pages so far, else None; slots are known by their path.
+    Slots are known by their path and counted over the ``plain`` pages: those with text,
+    but with none below an article or main element.  The hash is 128 bits of a slot's
+    whole text on a page if that was the same on all plain pages so far, else None.
     """
 
-    def __init__(self, expression: Expression | None = None, slots: dict | None = None, pages: int = 0):
+    def __init__(
+        self, expression: Expression | None = None, slots: dict | None = None, pages: int = 0, plain: int = 0
+    ):
         self.expression = expression
         self.slots: dict[str, list] = slots or {}
         self.pages = pages
+        self.plain = plain
         self._known: set[str] = set()
 
     @classmethod
     def read(cls, text: str) -> Wrapper:
         found = json.loads(text)
-        return cls(found["expression"], found["slots"], found["pages"])
+        return cls(found["expression"], found["slots"], found["pages"], found["plain"])
 
     def write(self) -> str:
-        return json.dumps({"expression": self.expression, "slots": self.slots, "pages": self.pages})
+        found = {"expression": self.expression, "slots": self.slots, "pages": self.pages, "plain": self.plain}
+        return json.dumps(found)
 
     def add_page(self, page: str) -> None:
         blocks, expression = blocks_of(page)
@@ -319,16 +324,20 @@ class Wrapper:
         if key not in self._known:
             self._join(expression)
             self._known.add(key)
+        self.pages += 1
+        if not blocks or any(below_main(path) for path, _ in blocks):
+            return
         found: dict[str, list[str]] = {}
         for path, text in blocks:
             found.setdefault(path, []).append(text)
         self._count({p: [1, sum(map(len, t)), _hash("\n".join(t))] for p, t in found.items()})
-        self.pages += 1
+        self.plain += 1
 
     def merge(self, other: Wrapper) -> None:
         self._join(other.expression)
         self._count(other.slots)
         self.pages += other.pages
+        self.plain += other.plain
 
     def _join(self, expression: Expression | None) -> None:
         known = self.expression
@@ -344,30 +353,29 @@ class Wrapper:
                 self.slots[path] = [known[0] + pages, known[1] + letters, same]
 
     def main_slots(self) -> list[str]:
-        """Paths of the slots that hold main text."""
-        return main_of(self.slots, self.pages)
+        """Paths of the slots that hold main text on plain pages."""
+        outside = [path for path in self.slots if may_be_main(path)]
+        fixed = {p for p, (pages, _, same) in self.slots.items() if same is not None and pages == self.plain > 1}
+        return sorted(path for path in outside if path not in fixed)
+
+
+def below_main(path: str) -> bool:
+    return "/-" not in path and not MAIN.isdisjoint(path.split("/"))
 
 
-def main_of(slots: dict[str, list], pages: int) -> list[str]:
-    fine = [p for p in slots if not any(label.startswith("-") for label in p.split("/"))]
-    main = [p for p in fine if MAIN.intersection(p.split("/"))]
-    if main:
-        return sorted(main)
-    outside = [p for p in fine if "header" not in p.split("/")]
-    changing = [p for p in outside if slots[p][2] is None or slots[p][0] < max(2, pages)]
-    return sorted(changing or outside)
+def may_be_main(path: str) -> bool:
+    return "/-" not in path and "header" not in path.split("/")
 
 
 def main_text(page: str, main: set[str]) -> str:
-    """The blocks of the wrapper's main slots, a line each.
+    """The blocks below an article or main element, else those of the wrapper's main slots, a line each.
 
-    A page with none of them, though it has an article or other text, is judged alone.
+    A page with none of both, though it has other text, is judged alone.
     """
     blocks, _ = blocks_of(page)
-    chosen = [text for path, text in blocks if path in main]
-    if not chosen and blocks:
-        own = set(main_of({path: [1, len(text), text] for path, text in blocks}, 1))
-        chosen = [text for path, text in blocks if path in own]
+    chosen = [text for path, text in blocks if below_main(path)]
+    chosen = chosen or [text for path, text in blocks if path in main]
+    chosen = chosen or [text for path, text in blocks if may_be_main(path)]
     return "\n".join(chosen)
 
 

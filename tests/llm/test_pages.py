@@ -104,3 +104,13 @@ def test_slots_are_compared_whole(spark):
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
     text = {r.page_id: r.text for r in wrappers.extract(pages).collect()}
     assert all(text[i].endswith(f"\nbody {i}") for i in range(4))
+
+
+def test_one_page_with_main_leaves_the_others_of_its_host(spark):
+    plain = "<body><div><p>the same on all pages</p></div><section><p>body {i}</p></section></body>"
+    rows = [(i, f"http://mixed.net/{i}", plain.format(i=i)) for i in range(5)]
+    rows += [(5, "http://mixed.net/m", "<body><div><p>another</p></div><main><p>own</p></main></body>")]
+    rows += [(6, "http://mixed.net/e", "")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    text = {r.page_id: r.text for r in wrappers.extract(pages).collect()}
+    assert text == {i: f"body {i}" for i in range(5)} | {5: "own", 6: ""}
