@@ -9,8 +9,9 @@ same work wherever it happens: partial wrappers of a host are merged in map task
 by host and salt, then by host.
 
 Main text is what lies below an article or main element of a page.  On pages without one
-the wrapper's text slots tell, counted over the host's pages without one: those whose text
-changes from page to page are main text; never those below menus, notices and the like.
+the text slots of the host's expression tell.  Each such page is matched against it, which
+puts every block into one slot; slots whose text changes over these pages are main text,
+never those below menus, notices and the like.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ import html
 import json
 import re
 from bisect import bisect_right
-from collections.abc import Iterable, Iterator
-from itertools import groupby
+from collections.abc import Callable, Iterable, Iterator
+from itertools import accumulate, count, groupby
 
 import xxhash
 from pyspark import TaskContext
@@ -65,6 +66,11 @@ CLOSES = {
 MAX_DEPTH = 120
 SALTS = 32
 HELD_HOSTS = 500
+#: A needed place counts this much and one, so most places come first.
+WEIGHT = 1 << 20
+#: Sequences of labels a level keeps the places of; results stay the same.
+KNOWN_SEQUENCES = 100
+KNOWN_LENGTH = 200
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -111,10 +117,10 @@ def _unclosed(tokens: list[tuple[re.Match, str]]) -> set[int]:
     return {start for starts in opened.values() for start in starts}
 
 
-def blocks_of(page: str) -> tuple[list[tuple[str, str]], Expression]:
+def blocks_of(page: str, folded: bool = True) -> tuple[list[tuple[str, str]], Expression]:
     """Blocks of a page, (path, text) in page order, and its expression, folded.
 
-    A hidden element is left out up to its end tag or that of an element around it; one that
+    If it is not to be folded, its text slots hold the numbers of their blocks.  A hidden element is left out up to its end tag or that of an element around it; one that
     has no end tag, up to the next block.
     """
     blocks: list[tuple[str, str]] = []
@@ -130,9 +136,11 @@ def blocks_of(page: str) -> tuple[list[tuple[str, str]], Expression]:
         held.clear()
         if text:
             _, path, body = stack[-1]
-            blocks.append((path, text))
             if not body or body[-1][0] != "#":
                 body.append(["#", "1", []])
+            if not folded:
+                body[-1][2].append(len(blocks))
+            blocks.append((path, text))
 
     def close_to(depth: int) -> None:
         nonlocal levels
@@ -141,7 +149,8 @@ def blocks_of(page: str) -> tuple[list[tuple[str, str]], Expression]:
             open_at[name].pop()
             if body is not stack[-1][2]:
                 levels -= 1
-                body[:] = fold(body)
+                if folded:
+                    body[:] = fold(body)
 
     def open_names(names: set[str], until: set[str]) -> int | None:
         """The depth of the outermost open element of ``names`` within the nearest of ``until``."""
@@ -220,7 +229,7 @@ def blocks_of(page: str) -> tuple[list[tuple[str, str]], Expression]:
         held.append(html.unescape(page[at:]))
     flush()
     close_to(1)
-    return blocks, fold(root)
+    return blocks, fold(root) if folded else root
 
 
 def _quantifier(optional: bool, many: bool) -> str:
@@ -288,16 +297,103 @@ def align(a: Expression, b: Expression) -> Expression:
     return fold(out)
 
 
+class Level:
+    """One level of an expression: its places in order, groups dissolved, each with its body.
+
+    A place is (label, last place from which it is reached, weight).  Anything may be
+    skipped; from within a repeated group its other places are reached again.
+    """
+
+    def __init__(self, items: Expression, numbers: Iterator[int]):
+        self.bodies: list[Level | int] = []  # the level below or, of a text slot, its number
+        self._places: list[tuple[str, int, int]] = []
+        self._by_label: dict[str, list[int]] = {}
+        self._known: dict[tuple[str, ...], list[int | None]] = {}
+        self._add(items, numbers, True)
+        for place, (label, _, _) in enumerate(self._places):
+            self._by_label.setdefault(label, []).append(place)
+
+    def _add(self, items: Expression, numbers: Iterator[int], needed: bool) -> None:
+        for label, quantifier, body in items:
+            must = needed and quantifier in "1+"
+            first = len(self._places)
+            if label == "()":
+                self._add(body, numbers, must)
+                last = len(self._places) - 1
+                self._places[first:] = [(name, last, weight) for name, _, weight in self._places[first:]]
+                continue
+            self.bodies.append(next(numbers) if label == "#" else Level(body, numbers))
+            self._places.append((label, first if quantifier in "+*" else first - 1, WEIGHT + must))
+
+    def places(self, labels: tuple[str, ...]) -> list[int | None]:
+        """The place of each label of a page's sequence: most of them placed, needed places first."""
+        found = self._known.get(labels)
+        if found is None:
+            if len(self._known) >= KNOWN_SEQUENCES:
+                self._known.clear()
+            found = self._best(labels)
+            if len(labels) <= KNOWN_LENGTH:
+                self._known[labels] = found
+        return found
+
+    def _best(self, labels: tuple[str, ...]) -> list[int | None]:
+        none = (0, None)
+        best: list[tuple] = [(-1, None)] * len(self._places)  # by last place: score, (label's number, place, before)
+        for number, label in enumerate(labels):
+            reached = self._by_label.get(label)
+            if not reached:
+                continue
+            up_to = list(accumulate(best, lambda a, b: b if b[0] > a[0] else a, initial=none))
+            for place in reached:
+                _, last, weight = self._places[place]
+                score, before = up_to[last + 1]
+                if score + weight > best[place][0]:
+                    best[place] = (score + weight, (number, place, before))
+        found: list[int | None] = [None] * len(labels)
+        _, chain = max([none, *best], key=lambda state: state[0])
+        while chain is not None:
+            number, place, chain = chain
+            found[number] = place
+        return found
+
+
+class Slots:
+    """The text slots of an expression, numbered in its order."""
+
+    def __init__(self, expression: Expression | None):
+        self._top = Level(expression or [], count())
+
+    def of(self, tree: Expression) -> dict[int, int]:
+        """The slot of each block of a page; blocks in elements the expression lacks have none."""
+        found: dict[int, int] = {}
+
+        def match(items: Expression, level: Level) -> None:
+            runs = [(label, [body for _, _, body in same]) for label, same in groupby(items, key=lambda item: item[0])]
+            for (label, bodies), place in zip(runs, level.places(tuple(label for label, _ in runs))):
+                if place is None:
+                    continue
+                below = level.bodies[place]
+                for body in bodies:
+                    if label == "#":
+                        found.update(dict.fromkeys(body, below))
+                    else:
+                        match(body, below)
+
+        match(tree, self._top)
+        return found
+
+
 def _hash(text: str) -> str:
     return xxhash.xxh3_128_hexdigest(text.encode("utf-8", "surrogatepass"))
 
 
 class Wrapper:
-    """What is known of a host: its expression, and for each text slot (pages, letters, hash).
+    """What is known of a host: its expression, and for each of its text slots (pages, letters, hash).
 
-    Slots are known by their path and counted over the ``plain`` pages: those with text,
-    but with none below an article or main element.  The hash is 128 bits of a slot's
-    whole text on a page if that was the same on all plain pages so far, else None.
+    Slots are known by their number and counted, once the expression is whole, over the
+    ``plain`` pages: those with text, but with none below an article or main element.  The
+    hash is 128 bits of a slot's whole text on a page if that was the same on all plain
+    pages so far, else None.
     """
 
     def __init__(
@@ -319,44 +415,55 @@ class Wrapper:
         return json.dumps(found)
 
     def add_page(self, page: str) -> None:
+        """Learn the expression of a page."""
         blocks, expression = blocks_of(page)
         key = json.dumps(expression)
         if key not in self._known:
             self._join(expression)
             self._known.add(key)
         self.pages += 1
-        if not blocks or any(below_main(path) for path, _ in blocks):
+        self.plain += is_plain(blocks)
+
+    def count_page(self, page: str, slots: Slots) -> None:
+        """Count the texts of a page, if it is plain, in the slots of the host's whole expression."""
+        blocks, tree = blocks_of(page, folded=False)
+        self.pages += 1
+        if not is_plain(blocks):
             return
-        found: dict[str, list[str]] = {}
-        for path, text in blocks:
-            found.setdefault(path, []).append(text)
-        self._count({p: [1, sum(map(len, t)), _hash("\n".join(t))] for p, t in found.items()})
+        found: dict[int, list[str]] = {}
+        for number, slot in sorted(slots.of(tree).items()):
+            found.setdefault(slot, []).append(blocks[number][1])
+        self._count({str(s): [1, sum(map(len, t)), _hash("\n".join(t))] for s, t in found.items()})
         self.plain += 1
 
     def merge(self, other: Wrapper) -> None:
-        self._join(other.expression)
+        if other.expression is not None:
+            self._join(other.expression)
         self._count(other.slots)
         self.pages += other.pages
         self.plain += other.plain
 
-    def _join(self, expression: Expression | None) -> None:
+    def _join(self, expression: Expression) -> None:
         known = self.expression
-        self.expression = expression if known is None else align(known, expression or [])
+        self.expression = expression if known is None else align(known, expression)
 
     def _count(self, slots: dict[str, list]) -> None:
-        for path, (pages, letters, whole) in slots.items():
-            known = self.slots.get(path)
+        for slot, (pages, letters, whole) in slots.items():
+            known = self.slots.get(slot)
             if known is None:
-                self.slots[path] = [pages, letters, whole]
+                self.slots[slot] = [pages, letters, whole]
             else:
                 same = whole if whole == known[2] else None
-                self.slots[path] = [known[0] + pages, known[1] + letters, same]
+                self.slots[slot] = [known[0] + pages, known[1] + letters, same]
+
+    def fixed_slots(self) -> list[int]:
+        """Numbers of the slots that hold one text on all plain pages, if these are more than one."""
+        found = self.slots.items()
+        return sorted(int(s) for s, (pages, _, same) in found if same is not None and pages == self.plain > 1)
 
-    def main_slots(self) -> list[str]:
-        """Paths of the slots that hold main text on plain pages."""
-        outside = [path for path in self.slots if may_be_main(path)]
-        fixed = {p for p, (pages, _, same) in self.slots.items() if same is not None and pages == self.plain > 1}
-        return sorted(path for path in outside if path not in fixed)
+
+def is_plain(blocks: list[tuple[str, str]]) -> bool:
+    return bool(blocks) and not any(below_main(path) for path, _ in blocks)
 
 
 def below_main(path: str) -> bool:
@@ -367,34 +474,34 @@ def may_be_main(path: str) -> bool:
     return "/-" not in path and "header" not in path.split("/")
 
 
-def main_text(page: str, main: set[str]) -> str:
-    """The blocks below an article or main element, else those of the wrapper's main slots, a line each.
+def main_text(page: str, slots: Slots | None = None, fixed: frozenset[int] = frozenset()) -> str:
+    """The blocks below an article or main element, else those in other slots than the fixed ones, a line each.
 
-    A page with none of both, though it has other text, is judged alone.
+    A page that has nothing but fixed text is judged alone.
     """
-    blocks, _ = blocks_of(page)
+    blocks, tree = blocks_of(page, folded=False)
     chosen = [text for path, text in blocks if below_main(path)]
-    chosen = chosen or [text for path, text in blocks if path in main]
-    chosen = chosen or [text for path, text in blocks if may_be_main(path)]
+    if not chosen:
+        of = slots.of(tree) if slots and fixed else {}
+        outside = [(of.get(number), text) for number, (path, text) in enumerate(blocks) if may_be_main(path)]
+        chosen = [text for slot, text in outside if slot not in fixed] or [text for _, text in outside]
     return "\n".join(chosen)
 
 
-def infer(pages: DataFrame) -> DataFrame:
-    """host, wrapper (JSON) for every host of ``pages``, from all its pages with html.
+def _wrappers(rows: DataFrame, learn: Callable[[Wrapper, str, bytes | None], None]) -> DataFrame:
+    """host, wrapper (JSON) for every host of ``rows``: host, html and what else ``learn`` needs.
 
     Map tasks merge the pages they read and hand on one wrapper per host, so a host with
     a third of all pages is merged by as many tasks as read it, then by ``SALTS`` tasks.
     """
-    host, _ = split_url(pages["url"])
-    rows = columns(pages, host=host, html="html").filter("html IS NOT NULL")
 
-    def learn(rows: Iterable[tuple]) -> Iterator[tuple]:
+    def partial(rows: Iterable[tuple]) -> Iterator[tuple]:
         salt, known = TaskContext.get().partitionId() % SALTS, {}
-        for host, page in rows:
+        for host, page, *more in rows:
             if host not in known and len(known) >= HELD_HOSTS:
                 yield from ((h.decode(), salt, w.write()) for h, w in known.items())
                 known = {}
-            known.setdefault(host, Wrapper()).add_page(page.decode("utf-8", "replace"))
+            learn(known.setdefault(host, Wrapper()), page.decode("utf-8", "replace"), *more)
         yield from ((h.decode(), salt, w.write()) for h, w in known.items())
 
     def merge(rows: Iterable[tuple]) -> Iterator[tuple]:
@@ -404,40 +511,78 @@ def infer(pages: DataFrame) -> DataFrame:
                 wrapper.merge(Wrapper.read(row[-1].decode()))
             yield key[0].decode(), *key[1:], wrapper.write()
 
-    parts = map_rows(rows, learn, "host string, salt int, wrapper string", rows=100)
+    parts = map_rows(rows, partial, "host string, salt int, wrapper string", rows=100)
     salted = parts.repartition("host", "salt").sortWithinPartitions("host", "salt", "wrapper")
     parts = map_rows(salted, merge, "host string, salt int, wrapper string", rows=100)
     by_host = parts.select("host", "wrapper").repartition("host").sortWithinPartitions("host", "wrapper")
     return map_rows(by_host, merge, "host string, wrapper string", rows=100)
 
 
+def _with_html(pages: DataFrame) -> DataFrame:
+    host, _ = split_url(pages["url"])
+    return columns(pages, host=host, html="html").filter("html IS NOT NULL")
+
+
+def infer(pages: DataFrame) -> DataFrame:
+    """host, wrapper (JSON) for every host of ``pages``, its expression inferred from all its pages with html."""
+    return _wrappers(_with_html(pages), lambda wrapper, page: wrapper.add_page(page))
+
+
+def count_slots(pages: DataFrame, expressions: DataFrame) -> DataFrame:
+    """host, wrapper (JSON) for the hosts of ``expressions``, its slots counted over all their pages with html."""
+    rows = _with_html(pages).join(expressions, "host").select("host", "html", "expression")
+    known: dict[bytes, Slots] = {}
+
+    def add(wrapper: Wrapper, page: str, expression: bytes) -> None:
+        wrapper.count_page(page, _slots(known, expression))
+
+    return _wrappers(rows, add)
+
+
+def _slots(known: dict[bytes, Slots], expression: bytes) -> Slots:
+    if expression not in known:
+        if len(known) >= HELD_HOSTS:
+            known.clear()
+        known[expression] = Slots(json.loads(expression))
+    return known[expression]
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars for each row of ``pages``.
 
     NULL or empty html gives empty text; pages without a host share one wrapper.  Texts are
     whole: white space within a block is one blank, blocks are joined by line feeds in
-    page order.  The wrappers' slots are landed, one row per host; Spark broadcasts them
-    if their files are small, else joins by host and splits a hot one.
+    page order.  Expressions are landed for hosts with several plain pages, then those with
+    fixed slots, one row per host; Spark broadcasts them if their files are small, else
+    joins by host and splits a hot one.
     """
 
-    def chosen(rows: Iterable[tuple]) -> Iterator[tuple]:
+    def several(rows: Iterable[tuple]) -> Iterator[tuple]:
         for host, wrapper in rows:
-            yield host.decode(), json.dumps(Wrapper.read(wrapper.decode()).main_slots())
-
-    slots = map_rows(infer(pages), chosen, "host string, slots string", rows=100)
-    landed = Scratch(pages.sparkSession, "wrappers").land(slots, "slots")
+            found = Wrapper.read(wrapper.decode())
+            if found.plain > 1:
+                yield host.decode(), json.dumps(found.expression)
+
+    def fixed(rows: Iterable[tuple]) -> Iterator[tuple]:
+        for host, wrapper, expression in rows:
+            slots = Wrapper.read(wrapper.decode()).fixed_slots()
+            if slots:
+                yield host.decode(), expression.decode(), json.dumps(slots)
+
+    scratch = Scratch(pages.sparkSession, "wrappers")
+    expressions = scratch.land(map_rows(infer(pages), several, "host string, expression string", rows=100), "expressions")
+    counted = count_slots(pages, expressions).join(expressions, "host")
+    landed = scratch.land(map_rows(counted, fixed, "host string, expression string, fixed string", rows=100), "slots")
+    scratch.drop("expressions")
     host, _ = split_url(pages["url"])
     rows = columns(pages, page_id="page_id", url="url", html="html", host=host).join(landed, "host", "left")
 
     def run(rows: Iterable[tuple]) -> Iterator[tuple]:
-        known: dict[bytes, set[str]] = {}
-        for page_id, url, page, slots in rows:
-            if slots not in known:
-                if len(known) > HELD_HOSTS:
-                    known.clear()
-                known[slots] = set(json.loads(slots or b"[]"))
-            text = main_text((page or b"").decode("utf-8", "replace"), known[slots])
+        known: dict[bytes, Slots] = {}
+        for page_id, url, page, expression, fixed in rows:
+            slots = None if fixed is None else _slots(known, expression)
+            text = main_text((page or b"").decode("utf-8", "replace"), slots, frozenset(json.loads(fixed or b"[]")))
             yield page_id, None if url is None else url.decode("utf-8", "replace"), text, len(text)
 
     schema = "page_id bigint, url string, text string, n_chars bigint"
-    return map_rows(rows.select("page_id", "url", "html", "slots"), run, schema, rows=500)
+    return map_rows(rows.select("page_id", "url", "html", "expression", "fixed"), run, schema, rows=500)

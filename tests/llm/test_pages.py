@@ -114,3 +114,30 @@ def test_one_page_with_main_leaves_the_others_of_its_host(spark):
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
     text = {r.page_id: r.text for r in wrappers.extract(pages).collect()}
     assert text == {i: f"body {i}" for i in range(5)} | {5: "own", 6: ""}
+
+
+def test_expression_slots_decide(spark):
+    page = "<div><p>constant notice</p><h2>head {i}</h2><p>body {i}</p></div>"
+    groups = "<div><p>intro</p><section><h2>a {i}</h2><ul><li>x</ul><h2>b</h2><ul><li>y {i}</ul></section>{more}</div>"
+    rows = [(i, f"http://plain.net/{i}", page.format(i=i)) for i in range(6)]
+    more = ["", "<table><tr><td>cell</table>"]
+    rows += [(10 + i, f"http://groups.net/{i}", groups.format(i=i, more=more[i % 2])) for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    text = {r.page_id: r.text for r in wrappers.extract(pages).collect()}
+    for i in range(6):
+        assert text[i] == f"head {i}\nbody {i}"
+        assert text[10 + i] == f"a {i}\nx\nb\ny {i}" + ("\ncell" if i % 2 else "")
+
+
+def test_pages_are_matched_against_their_expression():
+    shapes = ["<h2>a</h2><p>b</p>", "<h2>a</h2><p>b</p><h2>c</h2><p>d</p>", "<p>a</p><ul><li>b<li>c</ul>t<p>d</p>", "<p>a"]
+    one = wrappers.Wrapper()
+    for shape in shapes:
+        one.add_page(f"<div>{shape}</div>")
+    for shape in shapes:
+        blocks, tree = wrappers.blocks_of(f"<div>{shape}</div>", folded=False)
+        slots = wrappers.Slots(one.expression).of(tree)
+        assert sorted(slots) == list(range(len(blocks)))
+    level = wrappers.Slots([["p", "1", []], ["()", "+", [["h2", "1", []], ["p", "?", []]]], ["p", "?", []]])._top
+    assert level.places(("p", "h2", "p", "h2", "p")) == [0, 1, 2, 1, 2]
+    assert level.places(("ul", "h2")) == [None, 1]
