@@ -7,7 +7,8 @@ all its words are hit, and the state says which items have it.
 
 Items are dealt by hash into parts of a bounded number of words, each with an automaton
 small enough for a worker.  A batch of documents passes the parts one after another, its
-hits so far in bitmaps, and none is left out.
+hits so far in bitmaps, and none is left out.  Items beyond what workers can hold come in
+blocks of parts: all documents pass one block after another, their hits landed in between.
 """
 
 from __future__ import annotations
@@ -15,23 +16,25 @@ from __future__ import annotations
 import hashlib
 import re
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from itertools import islice, repeat
+from functools import partial, reduce
+from itertools import count, islice, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from claimloom.llm.common import columns, map_rows, slices
+from claimloom.llm.common import Scratch, columns, map_rows, slices
 
 WINDOW = 10
 #: Words of items in one automaton: some 100 MB at most in a worker.
 PART_WORDS = 100_000
 KEPT_AUTOMATA = 2
-#: Words of all items that are broadcast, the proven bound: below 200 MB.
+#: Words of items that are broadcast at a time, the proven bound: below 200 MB.
 MAX_ITEM_WORDS = 5_000_000
 HELD_ROWS = 1000
 #: A document with more than this share of its words hit goes as a whole.
@@ -197,26 +200,89 @@ class Parts:
             yield text or b"", np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool), found
 
 
-def parts_of(benchmark: DataFrame, window: int = WINDOW, part_words: int = PART_WORDS) -> Parts:
+def parts_of(benchmark: DataFrame, window: int = WINDOW, part_words: int = PART_WORDS) -> list[Callable[[], Parts]]:
     """The test items in parts of about ``part_words`` words, each collected and broadcast alone.
 
     NULL and empty items have no words and match nothing.  Equal texts with different ids
-    are both found.  An item with a NULL id hits words but is not listed.  More words than
-    ``MAX_ITEM_WORDS`` are refused: workers hold the items of all parts.
+    are both found.  An item with a NULL id hits words but is not listed.  Workers hold the
+    items of all parts of a block, so a block has ``MAX_ITEM_WORDS`` at most; each is sent
+    when it is called for.
     """
     items = columns(benchmark, item_id=F.col("item_id").cast("string"), text="text")
     apart = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
     total = items.agg(F.sum(F.size(F.split(F.coalesce("text", F.lit("")), apart)))).first()[0] or 0
-    if total > MAX_ITEM_WORDS:
-        raise ValueError(f"{total} words of test items; call once for each {MAX_ITEM_WORDS} and add up the hits")
+    several = total > MAX_ITEM_WORDS
+    part_words = min(part_words, MAX_ITEM_WORDS)
     count = -(-total // part_words) or 1
-    dealt = items.withColumn("_part", F.pmod(F.xxhash64("item_id", "text"), F.lit(count)))
-    context, sent = benchmark.sparkSession.sparkContext, []
-    for k in range(count):
-        rows = dealt.filter(F.col("_part") == k).select("item_id", "text").collect()
-        held = [(r.item_id, words_of((r.text or "").encode())) for r in rows]
-        sent.append(context.broadcast(sorted(held, key=lambda item: (item[0] or "", item[1]))))
-    return Parts(uuid.uuid4().hex, sent, window)
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(count)).cast("int").alias("_part")
+    if several:
+        pieces = map_rows(items, lambda rows: _pieces(rows, window, part_words), "item_id string, text string").distinct()
+        dealt = Scratch(benchmark.sparkSession, "items").land(
+            pieces.select("item_id", "text", part).repartition("_part"), "parts", by="_part"
+        )
+    else:
+        dealt = items.select("item_id", "text", part)
+    context = benchmark.sparkSession.sparkContext
+
+    def send(first: int, after: int) -> Parts:
+        sent = []
+        for k in range(first, after):
+            rows = dealt.filter(F.col("_part") == k).select("item_id", "text").collect()
+            held = [(r.item_id, words_of((r.text or "").encode())) for r in rows]
+            sent.append(context.broadcast(sorted(held, key=lambda item: (item[0] or "", item[1]))))
+        return Parts(uuid.uuid4().hex, sent, window)
+
+    step = max(1, MAX_ITEM_WORDS // part_words) if several else count
+    return [partial(send, first, min(first + step, count)) for first in range(0, count, step)]
+
+
+def _pieces(rows: Iterable[tuple], window: int, part_words: int) -> Iterator[tuple]:
+    """Items in pieces that share all but one word of a window, so that they have the same windows."""
+    size = max(part_words, window)
+    for item_id, text in rows:
+        words = words_of(text)
+        for start in range(0, max(1, len(words) - window + 1), size - window + 1):
+            yield None if item_id is None else item_id.decode(), b" ".join(words[start : start + size]).decode()
+
+
+def _pass(docs: DataFrame, blocks: list[Callable[[], Parts]], scratch: Scratch, name: str) -> DataFrame:
+    """``docs`` with a column ``name``: bits of the words hit in any block, and the items found.
+
+    Columns but ``text`` stay as they are.  After each block its table is landed, and the one before it goes.
+    """
+    names = docs.columns
+    at = names.index("text")
+    kind = T.StructType().add("bits", T.BinaryType()).add("items", T.ArrayType(T.StringType()))
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, kind)])
+    rows = docs
+    for k, block in enumerate(blocks):
+        parts = block()
+
+        def run(batches: Iterator[pa.RecordBatch], parts: Parts = parts, k: int = k) -> Iterator[pa.RecordBatch]:
+            arrow = pa.struct([("bits", pa.binary()), ("items", pa.list_(pa.string()))])
+            for batch in slices(batches):
+                texts = batch.column(at).cast(pa.binary()).to_pylist()
+                before = batch.column(batch.num_columns - 1).to_pylist() if k else repeat({"bits": b"", "items": []})
+                now = []
+                for (_, hit, items), known in zip(parts.scan(texts), before):
+                    hit |= _bits(known["bits"], len(hit))
+                    bits = np.packbits(hit).tobytes() if hit.any() else b""
+                    now.append({"bits": bits, "items": sorted(items.union(known["items"]))})
+                held = [*batch.columns[: len(names)], pa.array(now, arrow)]
+                yield pa.RecordBatch.from_arrays(held, [*names, name])
+
+        rows = scratch.land(rows.mapInArrow(run, schema), f"{name}-{k}")
+        if k:
+            scratch.drop(f"{name}-{k - 1}")
+        for sent in parts.items:
+            sent.destroy()
+    return rows
+
+
+def _bits(packed: bytes, count: int) -> np.ndarray:
+    if not packed:
+        return np.zeros(count, bool)
+    return np.unpackbits(np.frombuffer(packed, np.uint8), count=count).astype(bool)
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_words: int = PART_WORDS) -> DataFrame:
@@ -225,19 +291,33 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part
     NULL text has no words.  Repeated rows stay repeated, empty tables give empty tables.
     No shuffle: documents are scanned where they are read.
     """
-    parts = parts_of(benchmark, window, part_words)
+    blocks = parts_of(benchmark, window, part_words)
+    rows = columns(docs, doc_id="doc_id", text="text")
+    schema = "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean"
+
+    def found(doc_id: int | None, hit: np.ndarray, names: Iterable[str]) -> tuple:
+        n, listed = int(hit.sum()), sorted(names)
+        digest = hashlib.sha256(",".join(listed).encode()).hexdigest()
+        return doc_id, len(hit), n, len(listed), digest, n > 0
+
+    if len(blocks) > 1:
+        scanned = _pass(rows, blocks, Scratch(docs.sparkSession, "hits"), "hits")
+
+        def told(rows: Iterable[tuple]) -> Iterator[tuple]:
+            for doc_id, text, bits, names in rows:
+                yield found(doc_id, _bits(bits, len(words_of(text))), names)
+
+        return map_rows(scanned.select("doc_id", "text", "hits.bits", "hits.items"), told, schema)
+    parts = blocks[0]()
 
     def run(rows: Iterable[tuple]) -> Iterator[tuple]:
         rows = iter(rows)
         while held := list(islice(rows, HELD_ROWS)):
-            found = parts.scan([text for _, text in held])
-            for (doc_id, _), (_, hit, names) in zip(held, found):
-                n = int(hit.sum())
-                listed = ",".join(sorted(names)).encode()
-                yield doc_id, len(hit), n, len(names), hashlib.sha256(listed).hexdigest(), n > 0
+            scanned = parts.scan([text for _, text in held])
+            for (doc_id, _), (_, hit, names) in zip(held, scanned):
+                yield found(doc_id, hit, names)
 
-    schema = "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean"
-    return map_rows(columns(docs, doc_id="doc_id", text="text"), run, schema)
+    return map_rows(rows, run, schema)
 
 
 def cut_hits(text: bytes, hit: np.ndarray) -> bytes:
@@ -260,9 +340,12 @@ def clean(
     hit spans are removed, again until no window is left.  Other columns stay as they are,
     but for ``n_chars``, where there is one, which follows the text.
     """
-    parts = parts_of(benchmark, window)
+    blocks = parts_of(benchmark, window)
     names = docs.columns
     at = names.index("text")
+    if len(blocks) > 1:
+        return _lengths(_clean_by_blocks(docs, blocks, max_coverage), docs)
+    parts = blocks[0]()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -280,7 +363,45 @@ def clean(
             rows = rows.set_column(at, batch.schema.field(at), pa.array(new, batch.schema.field(at).type))
             yield rows
 
-    cut = docs.mapInArrow(run, docs.schema)
-    if "n_chars" in names:
+    return _lengths(docs.mapInArrow(run, docs.schema), docs)
+
+
+def _lengths(cut: DataFrame, docs: DataFrame) -> DataFrame:
+    if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return cut.select(*names)
+    return cut.select(*docs.columns)
+
+
+def _clean_by_blocks(docs: DataFrame, blocks: list[Callable[[], Parts]], max_coverage: float) -> DataFrame:
+    """As ``clean``, in rounds: what is hit in any block is cut out, and what was cut passes all blocks again."""
+    scratch, names, done = Scratch(docs.sparkSession, "clean"), docs.columns, []
+    at = names.index("text")
+
+    def cut(batches: Iterator[pa.RecordBatch], most: float) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            texts = batch.column(at).cast(pa.binary()).to_pylist()
+            kept, new = [], []
+            for i, (text, hits) in enumerate(zip(texts, batch.column(batch.num_columns - 1).to_pylist())):
+                hit = _bits(hits["bits"], len(words_of(text)))
+                if hit.sum() <= most * len(hit):
+                    kept.append(i)
+                    new.append(cut_hits(text, hit).decode("utf-8", "replace"))
+            rows = batch.select(names).take(pa.array(kept, pa.int64()))
+            yield rows.set_column(at, batch.schema.field(at), pa.array(new, batch.schema.field(at).type))
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return cut(batches, max_coverage)
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return cut(batches, 1.0)
+
+    left = docs
+    for number in count():
+        name = f"_hits_{uuid.uuid4().hex}"
+        scanned = _pass(left, blocks, scratch, name)
+        is_hit = F.length(f"{name}.bits") > 0
+        done.append(scanned.filter(~is_hit).select(*names))
+        rows = scanned.filter(is_hit).mapInArrow(again if number else first, docs.schema)
+        left = scratch.land(rows, f"cut-{number}")
+        if left.isEmpty():
+            return reduce(DataFrame.unionAll, done)

@@ -147,3 +147,15 @@ def test_cleaning_leaves_no_window(spark, docs, contaminated):
     empty = spark.createDataFrame([], "item_id bigint, text string")
     assert decontaminate.find_items(table, empty).filter("contaminated").count() == 0
     assert decontaminate.find_items(docs([]), benchmark).count() == 0
+
+
+def test_items_beyond_one_block(spark, docs, contaminated, monkeypatch):
+    texts, items = contaminated
+    benchmark = spark.createDataFrame(items + [items[0], (None, "r r q q")], "item_id bigint, text string")
+    table = docs(texts + [texts[7], "x r r q q y"])
+    rows = lambda df: sorted(df.collect(), key=repr)
+    found, cleaned = rows(decontaminate.find_items(table, benchmark)), rows(decontaminate.clean(table, benchmark))
+    monkeypatch.setattr(decontaminate, "MAX_ITEM_WORDS", 150)
+    assert len(decontaminate.parts_of(benchmark, part_words=40)) > 2
+    assert rows(decontaminate.find_items(table, benchmark, part_words=40)) == found
+    assert rows(decontaminate.clean(table, benchmark)) == cleaned
