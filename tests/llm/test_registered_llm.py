@@ -1,14 +1,20 @@
 import hashlib
 import os
+import re
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from claimloom.llm import queries
+from claimloom.llm import decontaminate, language_spans, queries
+
+from .test_duplicates import brute_classes
+from .test_rules import brute_items
 
 DATA = "/root/testdata/sf0.001"
+#: Words as the items know them, of text in any case.
+NORMAL = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
 @pytest.fixture(scope="module")
@@ -74,3 +80,35 @@ def test_pipeline_against_its_operators(spark, tables, ranks):
         text = after["decontaminate"][r.doc_id]
         assert r.n_tokens == len(ranks.encode_ordinary(text))
         assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_each_stage_against_a_plain_version(spark):
+    """Exactly what each stage keeps of its input, and the texts it leaves."""
+    stages = dict(corpus_pipeline.STAGES)
+    tables = [spark.read.parquet(f"{DATA}/documents.parquet")]
+    for name in ("quality_rules", "language", "near_duplicates", "decontaminate"):
+        tables.append(stages[name](spark, tables[-1], DATA).localCheckpoint())
+    _, good, identified, single, clean = [{r.doc_id: r.text for r in t.collect()} for t in tables]
+
+    found = language_spans.identify(tables[1]).collect()
+    scored = {r.doc_id for r in found if r.lang_pred != language_spans.UNKNOWN and r.score >= language_spans.MIN_SCORE}
+    assert identified == {i: good[i] for i in scored}
+
+    ids = sorted(identified)
+    _, label = brute_classes([identified[i] for i in ids])
+    assert single == {i: identified[i] for k, i in enumerate(ids) if label[k] == k}
+
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
+    expected = {}
+    for i, text in single.items():
+        n, hit, _ = brute_items(text, items)
+        if len(hit) > decontaminate.MAX_COVERAGE * n:
+            continue
+        while hit:
+            spans = [m.span() for m in NORMAL.finditer(text)]
+            for last in sorted((k for k in hit if k + 1 not in hit), reverse=True):
+                first = max(k for k in hit if k <= last and k - 1 not in hit)
+                text = text[: spans[first][0]] + "\n" + text[spans[last][1] :]
+            _, hit, _ = brute_items(text, items)
+        expected[i] = text
+    assert clean == expected and len(clean) > 0
