@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, with SQL where SQL can express them."""
+"""Registered queries of the operators, with SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -6,20 +6,24 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from claimloom.llm import (
     bpe_tree,
     decontaminate,
+    hard_negatives,
     host_quality,
     katz,
     language_spans,
+    resharding,
     tensor_minhash,
     token_counts,
     token_store,
+    turn_repair,
     url_rules,
     wrappers,
 )
-from claimloom.llm.common import read
+from claimloom.llm.common import columns, read
 
 END_ID = 2
 
@@ -66,6 +70,34 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.extract(read(spark, sf_dir, "pages"))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Rows lost, emptied, without full stops, repeated or given to the user, by a checksum of their key."""
+    key = F.concat_ws(":", *[F.coalesce(turns[c].cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    role, text = (F.coalesce(turns[c], F.lit(" ")) for c in ("role", "text"))
+    rows = columns(turns, conv_id="conv_id", turn="turn", role=role, text=text, hit=F.crc32(key.cast("binary")) % 20)
+    hit = F.col("hit")
+    text = F.when(hit == 1, "").when(hit == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    copies = F.explode(F.when(hit == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    kept = rows.filter(hit != 0).select("conv_id", "turn", F.when(hit == 4, "user").otherwise(F.col("role")).alias("role"),
+                                        text.alias("text"), copies.alias("copy"))
+    return kept.drop("copy")
+
+
+def turn_audits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations")
+    return turn_repair.audit_conversations(damaged(turns), turns)
+
+
+def resharded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resharding.grow_documents(read(spark, sf_dir, "documents"))
+
+
+def negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": byte_bpe,
     "op2_token_counts": counts,
@@ -77,6 +109,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": benchmark_hits,
     "op9_url_rules": url_verdicts,
     "op10_page_text": page_text,
+    "op11_turn_repair": turn_audits,
+    "op12_resharding": resharded,
+    "op13_hard_negatives": negatives,
 }
 
 QUALITY_SQL = r"""
@@ -178,8 +213,34 @@ SELECT page_id, l.host, l.path, rule, coalesce(given, 'allow') AS verdict
 FROM places l LEFT JOIN best b ON l.host = b.host AND l.path = b.path
 """
 
+NEGATIVES_SQL = """
+WITH rows AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vec
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scores AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+        list_inner_product(a.vec, b.vec)::BIGINT AS score
+    FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+),
+positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank,
+    other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) <= 10
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op4_quality_rules": QUALITY_SQL,
     "op8_decontaminate": DECONTAMINATE_SQL,
     "op9_url_rules": URL_SQL,
+    "op13_hard_negatives": NEGATIVES_SQL,
 }
