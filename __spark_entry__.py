@@ -13,7 +13,7 @@ import sys
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +25,17 @@ from claimloom.operators import calendar, evolution, quality, repair, scd2, stag
 from claimloom.operators.keys import number_rows  # noqa: E402
 from claimloom.plans import catalog, entities, facts, views  # noqa: E402
 from claimloom.plans.pipeline import Warehouse, at_once  # noqa: E402
-from claimloom.schemas import CLAIMANT, DIMENSIONS, EMPLOYER, FILE_ENTITY, POLICY, STAGING, Dimension  # noqa: E402
+from claimloom.schemas import (  # noqa: E402
+    CLAIMANT,
+    CLUSTER_COLUMNS,
+    DIMENSIONS,
+    EMPLOYER,
+    FILE_ENTITY,
+    POLICY,
+    STAGING,
+    WAREHOUSE,
+    Dimension,
+)
 from claimloom.sources import deliveries  # noqa: E402
 from claimloom.sources.paths import land, work_folder  # noqa: E402
 
@@ -260,7 +270,18 @@ def _schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Deliveries and the whole run ---------------------------------------------------
 
 
-def _deliver(spark: SparkSession, sf_dir: str, inbox: str, day: int | None = None, currency: bool = True) -> None:
+def _damaged(df: DataFrame) -> DataFrame:
+    """Lines of a CSV file, under its header; some lack fields, have too many or an unreadable key."""
+    turn = F.col("claim_id") % 50
+    fields = F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])
+    cut = F.when(turn == 0, F.slice(fields, 1, 3)).when(turn == 1, F.concat(fields, F.array(F.lit("more"))))
+    cut = cut.when(turn == 2, F.concat(F.array(F.lit("no key")), F.slice(fields, 2, len(df.columns) - 1)))
+    return df.select(F.array_join(cut.otherwise(fields), ",").alias(",".join(df.columns)))
+
+
+def _deliver(
+    spark: SparkSession, sf_dir: str, inbox: str, day: int | None = None, currency: bool = True, damaged: bool = False
+) -> None:
     """Write the sources as CSV folders, the way a large delivery comes in."""
     writes = []
     for name in ("claimants", "claims_v1", "claims_v2", "employers", "payments", "policies"):
@@ -268,7 +289,10 @@ def _deliver(spark: SparkSession, sf_dir: str, inbox: str, day: int | None = Non
         df = fx.source_on(spark, sf_dir, name, day) if dated else fx.source(spark, sf_dir, name)
         if name == "payments" and currency:  # a column the contract does not know
             df = df.withColumn("currency", F.lit("USD"))
-        writes.append(partial(df.write.option("header", True).csv, f"{inbox}/{name}.csv"))
+        write = df.write
+        if name == "payments" and damaged:
+            write = _damaged(df).write.option("sep", "\x01").option("quote", "")
+        writes.append(partial(write.option("header", True).csv, f"{inbox}/{name}.csv"))
     at_once(writes)
 
 
@@ -299,9 +323,9 @@ def _delivery_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intact.join(new, "name").join(rows, "name")
 
 
-def _two_days(spark: SparkSession, sf_dir: str) -> Warehouse:
+def _two_days(spark: SparkSession, sf_dir: str, rows_per_file: int = 0) -> Warehouse:
     """Two daily runs from CSV to the warehouse; the second brings a new column of payments."""
-    warehouse = Warehouse(spark, work_folder(spark, "warehouse"))
+    warehouse = Warehouse(spark, work_folder(spark, "warehouse"), rows_per_file)
     for day, date in ((1, DAY1), (2, DAY2)):
         inbox = work_folder(spark, f"inbox{day}")
         _deliver(spark, sf_dir, inbox, day, currency=day == 2)
@@ -309,6 +333,37 @@ def _two_days(spark: SparkSession, sf_dir: str) -> Warehouse:
     return warehouse
 
 
+def _fact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per fact the key ranges of its files, and the rows of a month as a look-up by range finds them."""
+    warehouse = _two_days(spark, sf_dir, rows_per_file=500)
+    found = None
+    for name, by in CLUSTER_COLUMNS.items():
+        files = warehouse.store.file_ranges(name)
+        before = F.lag("high").over(Window.orderBy(F.col("low").asc_nulls_first()))  # a row per file
+        ranges = files.withColumn("overlaps", F.coalesce(before >= F.col("low"), F.lit(False))).agg(
+            F.sum("rows").alias("rows"),
+            F.min(f"low.{by[0]}").alias("first_day"),
+            F.max(f"high.{by[0]}").alias("last_day"),
+            F.count_if("overlaps").alias("overlapping_files"),
+            (F.max("rows") <= 500).alias("within_limit"),
+        )
+        month = warehouse.store.read_between(name, WAREHOUSE[name], by[0], 20220601, 20220630)
+        rows = ranges.crossJoin(month.agg(F.count(F.lit(1)).alias("month_rows"))).select(F.lit(name).alias("name"), "*")
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delivery of payments with cut and surplus fields and unreadable keys: what lands, what is kept apart."""
+    inbox = work_folder(spark, "inbox")
+    _deliver(spark, sf_dir, inbox, damaged=True)
+    warehouse = Warehouse(spark, work_folder(spark, "warehouse"))
+    warehouse.run(inbox, DAY1, DAY1, steps=("extraction", "transformation"))
+    kept = warehouse.quarantine().groupBy("entity", "fault").agg(F.count(F.lit(1)).alias("lines"))
+    good = warehouse.staged("payments", DAY1).agg(F.count(F.lit(1)).alias("lines"))
+    return kept.unionByName(good.select(F.lit("payments").alias("entity"), F.lit("none").alias("fault"), "lines"))
+
+
 def _pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(_two_days(spark, sf_dir).claims_summary())
 
@@ -369,6 +424,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "delivery_contract": _delivery_contract,
         "reject_top10": _newest_rejects,
         "pipeline_claims_summary": _pipeline_summary,
+        "fact_files": _fact_files,
+        "quarantine": _quarantine,
         "evolution_log": _evolution_log,
         "added_column": _added_column,
     }

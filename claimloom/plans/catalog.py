@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from claimloom.plans.pipeline import Warehouse
 from claimloom.schemas import DIMENSIONS, ENTITIES, STAGING, WAREHOUSE
+from claimloom.sources.deliveries import QUARANTINE_SCHEMA
 from claimloom.sources.paths import Folder
 from claimloom.sources.store import Store
 
@@ -105,8 +106,16 @@ def publish(warehouse: Warehouse, ingestion_date: datetime.date) -> None:
     store: Store = warehouse.store
     added = _added(warehouse)
     for entity in ENTITIES:
-        name = f"staging.stg_{entity}"
-        _point(warehouse, name, STAGING[entity], warehouse.landing(entity, ingestion_date), added.get(name, []))
+        name, landings = f"staging.stg_{entity}", warehouse.landings
+        landed = warehouse.landing(entity, ingestion_date)
+        _point(warehouse, name, STAGING[entity], landed or f"{landings.root}/{entity}/run=none", added.get(name, []))
+        landings.note_published(entity, [landed.rsplit("run=", 1)[1]] if landed else [])
+        landings.drop_replaced(entity)
+    runs = store.runs("quarantine")
+    parts = [({"run": run}, store.path("quarantine", run)) for run in runs]
+    _partitioned(warehouse, "staging.quarantine", QUARANTINE_SCHEMA, {"run": "string"}, parts, [])
+    store.note_published("quarantine", runs)
+    store.drop_replaced("quarantine")
     for name, schema in WAREHOUSE.items():
         runs, table = store.runs(name), f"warehouse.{name}"
         more = added.get(table, [])
@@ -115,12 +124,18 @@ def publish(warehouse: Warehouse, ingestion_date: datetime.date) -> None:
             parts = [({"run": _run_of(p), "is_current": "true"}, p) for p in open_folders]
             parts += [({"run": _run_of(p), "is_current": "false"}, p) for p in closed_folders]
             _partitioned(warehouse, table, schema, {"run": "string", "is_current": "boolean"}, parts, more)
+            store.note_published(name, sorted({_run_of(p) for _, p in parts}))
+            store.drop_superseded_parts(name)
         elif name == "schema_evolution_log":
             parts = [({"run": run}, f"{store.root}/{name}/run={run}") for run in runs]
             _partitioned(warehouse, table, schema, {"run": "string"}, parts, more)
+            store.note_published(name, runs)
+            store.drop_replaced(name)
         else:
             # Before the first run there is nothing at its place, and the table is empty.
             _point(warehouse, table, schema, f"{store.root}/{name}/run={runs[-1] if runs else 'none'}", more)
+            store.note_published(name, runs[-1:])
+            store.drop_superseded(name, keep=len(runs) if name == "dim_date" else 2)
     create_views(warehouse)
 
 

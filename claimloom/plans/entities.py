@@ -41,6 +41,16 @@ def _versions(
     )
 
 
+#: Entities whose rows without a readable key are left out; claims without one fail the load.
+KEYED = {"claimants": "claimant_id", "employers": "employer_id", "payments": "payment_id", "policies": "policy_id"}
+
+
+def delivered_key(raw: DataFrame, entity: str) -> Column | None:
+    """The key of a delivered row as its entity has it, NULL where it is not readable."""
+    fields = {f.name: f for f in raw.schema.fields}
+    return _typed(fields, KEYED[entity], T.LongType()) if entity in KEYED else None
+
+
 def _first_seen(as_of: datetime.date) -> Column:
     return F.coalesce(F.to_date("created_at"), F.to_date("updated_at"), F.lit(as_of))
 

@@ -13,17 +13,17 @@ import re
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from claimloom.operators import calendar, evolution, quality, repair, scd2, staging
 from claimloom.plans import entities, facts, views
-from claimloom.schemas import DIMENSIONS, FILE_ENTITY, SORT_COLUMNS, STAGING, WAREHOUSE, Dimension
+from claimloom.schemas import CLUSTER_COLUMNS, DIMENSIONS, FILE_ENTITY, SORT_COLUMNS, STAGING, WAREHOUSE, Dimension, no_rows
 from claimloom.sources import deliveries
 from claimloom.sources.paths import Folder, work_folder
-from claimloom.sources.store import Store
+from claimloom.sources.store import Store, clustered, run_name
 
 log = logging.getLogger("claimloom.pipeline")
 
@@ -47,6 +47,7 @@ class RunResult:
     absent_files: list[str] = field(default_factory=list)
     landed_rows: dict[str, int] = field(default_factory=dict)
     claims_without_policy: int = 0
+    quarantined: dict[str, int] = field(default_factory=dict)
     placed_rows: dict[str, int] = field(default_factory=dict)
     evolution_events: list[dict] = field(default_factory=list)
     checks: list = field(default_factory=list)
@@ -55,14 +56,16 @@ class RunResult:
 class Warehouse:
     """One root folder: raw, landing and the tables, and the steps that fill them."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, rows_per_file: int = 0):
         self.spark = spark
         self.root = root.rstrip("/")
         self.raw = f"{self.root}/raw"
-        self.store = Store(spark, f"{self.root}/tables")
+        self.store = Store(spark, f"{self.root}/tables", rows_per_file)
+        self.landings = Store(spark, f"{self.root}/landing", rows_per_file)
 
-    def landing(self, entity: str, ingestion_date: datetime.date) -> str:
-        return f"{self.root}/landing/{entity}/{ingestion_date.isoformat()}"
+    def landing(self, entity: str, ingestion_date: datetime.date) -> str | None:
+        """Where the last landing of an entity and date lies; None if there is none or it is not whole."""
+        return self.landings.last_attempt(entity, ingestion_date.isoformat())
 
     # Reading --------------------------------------------------------------------
 
@@ -79,8 +82,8 @@ class Warehouse:
 
     def staged(self, entity: str, ingestion_date: datetime.date) -> DataFrame:
         path = self.landing(entity, ingestion_date)
-        if not Folder(self.spark, path).is_complete():
-            raise staging.LoadError(f"{path} has not been landed completely")
+        if path is None:
+            raise staging.LoadError(f"{entity} of {ingestion_date} has not been landed completely")
         return staging.staged(self.spark.read.parquet(path), STAGING[entity])
 
     def claims_summary(self) -> DataFrame:
@@ -113,10 +116,15 @@ class Warehouse:
             raise FileNotFoundError(f"{path} is not there: the delivery has not been copied whole")
         return self.spark.read.schema(deliveries.MANIFEST_SCHEMA).parquet(path)
 
-    def transformed(self, ingestion_date: datetime.date, as_of: datetime.date, work: str) -> dict[str, DataFrame]:
-        """The entities of one date.  Claims still hold those without a policy."""
+    def delivered(self, ingestion_date: datetime.date) -> dict[str, DataFrame]:
+        """The files of one date as they were copied, with the lines that are malformed."""
         deliveries.check_raw(self.spark, self.raw, ingestion_date, self.manifest(ingestion_date))
-        raw = deliveries.read_raw(self.spark, self.raw, ingestion_date, list(FILE_ENTITY))
+        return deliveries.scan_raw(self.spark, self.raw, ingestion_date, list(FILE_ENTITY))
+
+    @staticmethod
+    def transformed(scans: dict[str, DataFrame], as_of: datetime.date, work: str) -> dict[str, DataFrame]:
+        """The entities of one date.  Claims still hold those without a policy."""
+        raw = {name: deliveries.well_formed(scan) for name, scan in scans.items()}
         return {
             "claimants": entities.claimants(raw["claimants.csv"], as_of, f"{work}/claimants"),
             "claims": entities.all_claims(raw["claims_v1.csv"], raw["claims_v2.csv"]),
@@ -130,10 +138,12 @@ class Warehouse:
         run, work = result.run_id, work_folder(self.spark, "transform")
         registry = self.store.read("schema_registry", evolution.REGISTRY_SCHEMA, before=run)
         try:
-            transformed = self.transformed(ingestion_date, as_of, work)
+            scans = self.delivered(ingestion_date)
+            transformed = self.transformed(scans, as_of, work)
             columns = {entity: rows.columns for entity, rows in transformed.items()}
             delivered = evolution.delivered_columns(self.spark, columns, ingestion_date)
-            at_once([partial(self._land, e, rows, ingestion_date, result) for e, rows in transformed.items()])
+            landings = [partial(self._land, e, rows, ingestion_date, result) for e, rows in transformed.items()]
+            at_once([partial(self._quarantine, scans, ingestion_date, result), *landings])
         finally:
             Folder(self.spark, work).delete()
         # The load reads the events from here, whoever runs it.
@@ -143,6 +153,23 @@ class Warehouse:
         for e in result.evolution_events:
             log.warning("schema of %s changed: +%s -%s", e["entity"], e["added_columns"], e["removed_columns"])
 
+    def _quarantine(self, scans: dict[str, DataFrame], ingestion_date: datetime.date, result: RunResult) -> None:
+        """Keep the lines that no entity takes, and count them per delivered file name."""
+        parts = [
+            deliveries.quarantine(scan, name, ingestion_date, entities.delivered_key(scan, FILE_ENTITY[name]))
+            for name, scan in scans.items()
+        ]
+        self.store.write("quarantine", reduce(DataFrame.union, parts), result.run_id)
+        kept = self.store.read_run("quarantine", deliveries.QUARANTINE_SCHEMA, result.run_id)
+        result.quarantined = {r.name: r["count"] for r in kept.groupBy("name").count().collect()}
+        for name, count in sorted(result.quarantined.items()):
+            log.warning("%s: %d lines in quarantine", name, count)
+        self.store.drop_replaced("quarantine")
+
+    def quarantine(self) -> DataFrame:
+        """Lines of all deliveries that no entity has taken, with their file and what is wrong."""
+        return self.store.read_all("quarantine", deliveries.QUARANTINE_SCHEMA)
+
     def _changes(self, run: str) -> DataFrame:
         found = self.store.read_run("schema_changes", evolution.EVENT_SCHEMA, run)
         if found is None:
@@ -160,8 +187,8 @@ class Warehouse:
             F.count(F.lit(1)).alias("rows"),
             F.count_if(staging.is_faulty(STAGING[entity])).alias("faulty"),
         )
-        path = self.landing(entity, ingestion_date)
-        rows.write.mode("overwrite").parquet(path)
+        path = self.landings.begin(entity, ingestion_date.isoformat(), ordered=False)
+        rows.write.parquet(path)
         result.landed_rows[entity] = seen.get["rows"]
         log.info("landed %s: %d rows", entity, seen.get["rows"])
         if entity == "claims":
@@ -176,6 +203,7 @@ class Warehouse:
                 f"{entity}: {seen.get['faulty']} rows do not fit the table, newest: "
                 + "; ".join(f"{r[STAGING[entity].fieldNames()[0]]}: {', '.join(r.faults)}" for r in shown)
             )
+        self.landings.drop_replaced(entity)
 
     def load_dimension(self, spec: Dimension, ingestion_date: datetime.date, as_of: datetime.date, run: str) -> None:
         path, store = work_folder(self.spark, spec.name), self.store
@@ -209,8 +237,10 @@ class Warehouse:
 
     def _load_fact(self, name: str, placed: DataFrame, build: Callable, run: str, result: RunResult) -> None:
         seen = Observation(f"placed_{name}")
-        rows = build(placed.observe(seen, F.count(F.lit(1)).alias("rows")))
-        self.store.write(name, rows, run, SORT_COLUMNS[name])
+        # Counted and numbered after they are dealt out: finding the ranges reads the rows once more.
+        rows = build(clustered(placed, CLUSTER_COLUMNS[name])).observe(seen, F.count(F.lit(1)).alias("rows"))
+        self.store.write(name, rows, run)
+        self.store.note_ranges(name, CLUSTER_COLUMNS[name])
         self.store.drop_superseded(name)
         result.placed_rows[name] = seen.get["rows"]
         log.info("%s: %d rows found their dimensions", name, seen.get["rows"])
@@ -220,7 +250,8 @@ class Warehouse:
         events = self._changes(run)
         if events.isEmpty():
             log.info("no schema evolution events")
-            Folder(self.spark, self.store.begin("schema_evolution_log", run)).delete()
+            if self.store.last_attempt("schema_evolution_log", run):
+                self.store.write("schema_evolution_log", no_rows(self.spark, WAREHOUSE["schema_evolution_log"]), run)
             return
         last = self.table("schema_evolution_log", before=run).agg(F.max("log_id")).first()[0] or 0
         entries = evolution.log_entries(events, last)
@@ -245,18 +276,19 @@ class Warehouse:
     def check(self, row_floor: int = quality.ROW_FLOOR) -> list:
         return quality.gate(quality.report(self.tables(), row_floor))
 
-    def run_id(self, ingestion_date: datetime.date, as_of: datetime.date) -> str:
-        """A number that counts up, then the two dates: runs follow one another as they were started.
+    def run_id(self, ingestion_date: datetime.date, as_of: datetime.date, name: str | None = None) -> str:
+        """A number that counts up, then ``name`` or the two dates: runs follow one another as they were started.
 
-        The dates of the last run name that run again, so it is repeated, whole or from the
-        step that failed; any other dates, earlier ones too, begin a new run.
+        The name or dates of the last run, or its whole id, name that run again, so it is
+        repeated, whole or from the step that failed; any other, earlier dates too, begin a
+        new run.
         """
-        dates = f"{as_of.isoformat()}_{ingestion_date.isoformat()}"
-        last = max(self.store.runs("schema_registry"), default="")
-        if last.endswith(dates):
-            return last
+        name = name or f"{as_of.isoformat()}_{ingestion_date.isoformat()}"
+        last = max(map(run_name, self.store.runs("schema_registry")), default="")
         number = re.match(r"(\d{6})_", last)
-        return f"{int(number[1]) + 1 if number else 1:06d}_{dates}"
+        if last == name or number and last[number.end() :] == name:
+            return last
+        return f"{int(number[1]) + 1 if number else 1:06d}_{name}"
 
     def run(
         self,
@@ -270,13 +302,13 @@ class Warehouse:
         """The four steps in order, or some of them.
 
         ``ingestion_date`` names the delivery, ``as_of`` is the day versions open and
-        close on; both default to today.  ``run_id`` defaults to ``Warehouse.run_id``.
+        close on; both default to today.  ``run_id`` names the run; see ``Warehouse.run_id``.
         """
         if not inbox and "extraction" in steps:
             raise ValueError("inbox is required: the folder the delivery lies in")
         as_of = as_of or datetime.date.today()
         ingestion_date = ingestion_date or as_of
-        result = RunResult(run_id or self.run_id(ingestion_date, as_of))
+        result = RunResult(self.run_id(ingestion_date, as_of, run_id))
         work = {
             "extraction": lambda: self.extract(inbox, ingestion_date, result),
             "transformation": lambda: self.transform(ingestion_date, as_of, result),

@@ -221,7 +221,7 @@ WAREHOUSE = {
     ),
 }
 
-# The columns rows are sorted by inside each file of a table.
+# The columns rows of a table are sorted by.
 SORT_COLUMNS = {
     "dim_date": ["full_date"],
     "dim_claimant": ["claimant_id", "effective_from"],
@@ -232,6 +232,12 @@ SORT_COLUMNS = {
     "schema_evolution_log": ["entity", "detection_date"],
 }
 
+# Facts are dealt out to files by ranges of these: the sort column, then one that tells equal ones apart.
+CLUSTER_COLUMNS = {
+    "fact_claim": ["incident_date_key", "claim_id"],
+    "fact_payment": ["payment_date_key", "payment_id"],
+}
+
 
 def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """An empty table that the optimizer knows to be empty, so joins with it vanish."""

@@ -205,19 +205,61 @@ def copy_to_raw(
     )
 
 
+#: What a scan adds to the delivered columns.
+LINE, FILE = "_malformed_line", "_delivered_file"
+
+QUARANTINE_SCHEMA = T.StructType(
+    [
+        T.StructField("name", T.StringType()),
+        T.StructField("entity", T.StringType()),
+        T.StructField("file", T.StringType()),
+        T.StructField("line", T.StringType()),
+        T.StructField("fault", T.StringType()),
+        T.StructField("ingestion_date", T.DateType()),
+    ]
+)
+
+
+def well_formed(scan: DataFrame) -> DataFrame:
+    """The delivered columns of the lines that have as many fields as their header."""
+    # True of every row, but no scan is asked for LINE alone, which Spark does not allow (as a count would).
+    column = F.col(f"`{scan.columns[0]}`")
+    any_row = column.isNull() | (F.length(column) >= 0)
+    return scan.filter(F.col(LINE).isNull() & any_row).drop(LINE, FILE)
+
+
+def quarantine(scan: DataFrame, name: str, ingestion_date: datetime.date, key: Column | None = None) -> DataFrame:
+    """Lines of a delivered file that no entity takes: malformed ones and, where ``key`` is given, those it is NULL for.
+
+    A malformed line is as it was delivered, another one is written anew from its fields.
+    """
+    delivered = [c for c in scan.columns if c not in (LINE, FILE)]
+    malformed = F.when(F.col(LINE).isNotNull(), F.lit("not as many fields as the header"))
+    fault = malformed if key is None else malformed.when(key.isNull(), F.lit("no readable key"))
+    line = F.coalesce(LINE, F.to_csv(F.struct(*[F.col(f"`{c}`") for c in delivered])))
+    found = scan.select(F.col(FILE).alias("file"), line.alias("line"), fault.alias("fault")).filter("fault IS NOT NULL")
+    own = {"name": F.lit(name), "entity": F.lit(FILE_ENTITY[name]), "ingestion_date": F.lit(ingestion_date)}
+    return found.withColumns(own).select(*QUARANTINE_SCHEMA.fieldNames())
+
+
 def read_csv(spark: SparkSession, columns_by_path: dict[str, list[str]]) -> DataFrame:
     """The rows of some CSV files, or folders of such, all columns as text.
 
     No inference pass: names come from the headers, types from the entity schemas.
-    Paths with the same header are one scan; columns a path lacks are NULL.
+    Paths with the same header are one scan; columns a path lacks are NULL.  A line with
+    more or fewer fields than its header is in ``LINE``, NULL for others; ``FILE`` is the
+    file a row comes from.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
     for path, columns in columns_by_path.items():
         groups.setdefault(tuple(columns), []).append(path)
     frames = [
-        spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
+        spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in (*columns, LINE)]))
         .option("header", True)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", LINE)
         .csv(sorted(paths))
+        .withColumn(FILE, F.col("_metadata.file_path"))
         for columns, paths in sorted(groups.items())
     ]
     result = frames[0]
@@ -263,7 +305,14 @@ def check_raw(spark: SparkSession, raw: str, ingestion_date: datetime.date, mani
 def read_raw(
     spark: SparkSession, raw: str, ingestion_date: datetime.date, names: list[str]
 ) -> dict[str, DataFrame]:
-    """Delivered files of one date, as they lie in the raw zone; all headers in one job."""
+    """Well-formed rows of the delivered files of one date; all headers in one job."""
+    return {name: well_formed(scan) for name, scan in scan_raw(spark, raw, ingestion_date, names).items()}
+
+
+def scan_raw(
+    spark: SparkSession, raw: str, ingestion_date: datetime.date, names: list[str]
+) -> dict[str, DataFrame]:
+    """Delivered files of one date, as they lie in the raw zone, with ``LINE`` and ``FILE``."""
     files = []
     whole = {name: raw_path(raw, FILE_ENTITY[name], ingestion_date, name) for name in names}
     for name, path in whole.items():

@@ -45,6 +45,10 @@ class Folder:
                 found += [f"{self.path}/{name}"] if status.isFile() else self.child(name).files()
         return sorted(found)
 
+    def touch(self) -> None:
+        """An empty file at this place."""
+        self._fs.create(self._at, True).close()
+
     def delete(self) -> None:
         self._fs.delete(self._at, True)
 

@@ -331,6 +331,41 @@ def _delivery() -> str:
     return _with(_sources(*names), body)
 
 
+def _after_two_days() -> dict[str, str]:
+    """The CTEs of the claims as the second of two daily runs leaves them."""
+    return {
+        **_CLAIM_SOURCES,
+        **_scoped("claimant"),
+        **_scoped("policy"),
+        **_scoped("employer"),
+        "all_claims": _ALL_CLAIMS,
+        "fact_claim": _FACT_CLAIM,
+    }
+
+
+def _fact_files() -> str:
+    body = " UNION ALL ".join(
+        f"SELECT '{name}' AS name, COUNT(*) AS rows, MIN({day}) AS first_day, MAX({day}) AS last_day, "
+        "CAST(0 AS BIGINT) AS overlapping_files, TRUE AS within_limit, "
+        f"COUNT(*) FILTER ({day} BETWEEN 20220601 AND 20220630) AS month_rows FROM {name}"
+        for name, day in (("fact_claim", "incident_date_key"), ("fact_payment", "payment_date_key"))
+    )
+    ctes = {**_sources("payments"), **_after_two_days(), "unique_payments": _PAYMENTS, "fact_payment": _FACT_PAYMENT}
+    return _with(ctes, body)
+
+
+def _quarantine() -> str:
+    fault = (
+        "CASE WHEN claim_id % 50 IN (0, 1) THEN 'not as many fields as the header' "
+        "WHEN claim_id % 50 = 2 THEN 'no readable key' ELSE 'none' END"
+    )
+    return _with(
+        _sources("payments"),
+        "SELECT 'payments' AS entity, fault, CASE fault WHEN 'none' THEN COUNT(DISTINCT payment_id) ELSE COUNT(*) END "
+        f"AS lines FROM (SELECT payment_id, {fault} AS fault FROM payments) p GROUP BY fault",
+    )
+
+
 def statements() -> dict[str, str]:
     history = _sources("history")
     latest = "row_number() OVER (PARTITION BY claimant_id ORDER BY effective_from DESC, claimant_key DESC)"
@@ -412,17 +447,9 @@ def statements() -> dict[str, str]:
             WHERE length(repeat(trim(first_name), CAST(1 + claimant_id % 7 AS INTEGER))) > 100
             ORDER BY updated_at DESC, claimant_id LIMIT 10""",
         ),
-        "pipeline_claims_summary": _with(
-            {
-                **_CLAIM_SOURCES,
-                **_scoped("claimant"),
-                **_scoped("policy"),
-                **_scoped("employer"),
-                "all_claims": _ALL_CLAIMS,
-                "fact_claim": _FACT_CLAIM,
-            },
-            _SUMMARY,
-        ),
+        "pipeline_claims_summary": _with(_after_two_days(), _SUMMARY),
+        "fact_files": _fact_files(),
+        "quarantine": _quarantine(),
     }
     parts = {"expired": "SELECT * EXCLUDE (just_closed) FROM after_expiry WHERE just_closed",
              "new": "SELECT * FROM brand_new", "changed": "SELECT * FROM changed"}
