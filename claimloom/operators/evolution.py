@@ -36,6 +36,26 @@ def delivered_columns(spark: SparkSession, columns: dict[str, list[str]], ingest
     return spark.createDataFrame(rows, REGISTRY_SCHEMA)
 
 
+#: What the runs have delivered, appended to run by run; the ids of runs rise.
+SNAPSHOT_SCHEMA = T.StructType([*REGISTRY_SCHEMA.fields, T.StructField("run", T.StringType(), False)])
+
+
+def columns_as_of(snapshots: DataFrame, day: datetime.date) -> DataFrame:
+    """entity, columns, as_of: what each entity looked like on a day, one row per entity that had come by then.
+
+    Of several deliveries of one date the one that ran last counts.
+    """
+    known = snapshots.filter(F.col("as_of") <= day.isoformat())
+    last = F.max_by(F.struct("columns", "as_of"), F.struct("as_of", "run")).alias("last")
+    return known.groupBy("entity").agg(last).select("entity", "last.*")
+
+
+def snapshot_per_day(snapshots: DataFrame) -> DataFrame:
+    """entity, as_of, columns: one row per entity and date of a delivery."""
+    last = F.max_by("columns", "run").alias("columns")
+    return snapshots.groupBy("entity", "as_of").agg(last)
+
+
 def registry_after(registry: DataFrame, delivered: DataFrame) -> DataFrame:
     """The registry as of this delivery: entities that did not come stay as they were."""
     return registry.join(delivered, "entity", "left_anti").unionByName(delivered)

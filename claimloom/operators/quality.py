@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimloom.schemas import CLAIMANT, EMPLOYER, POLICY, Dimension
@@ -101,6 +103,35 @@ def report(tables: dict[str, DataFrame], row_floor: int = ROW_FLOOR) -> DataFram
     return result
 
 
+#: Reports as they are kept, run by run.
+HISTORY_SCHEMA = (
+    "run string, checked_on date, check_name string, result string, value bigint, expected bigint"
+)
+
+
+def kept(result: DataFrame, run: str, day: datetime.date) -> DataFrame:
+    """A report in the form in which it is kept."""
+    return result.select(F.lit(run).alias("run"), F.lit(day).alias("checked_on"), *result.columns)
+
+
+def trend(history: DataFrame) -> DataFrame:
+    """Every kept row beside the run before: its value, the change, and how many runs in a row have failed.
+
+    A window per check: its rows are as many as there are runs.
+    """
+    by_run = Window.partitionBy("check_name").orderBy("run")
+    failed = F.col("result") != "PASS"
+    passes = F.sum(F.when(failed, 0).otherwise(1)).over(by_run.rowsBetween(Window.unboundedPreceding, 0))
+    counted = history.withColumns({"previous_value": F.lag("value").over(by_run), "_passes": passes})
+    since = Window.partitionBy("check_name", "_passes").orderBy("run").rowsBetween(Window.unboundedPreceding, 0)
+    return counted.select(
+        *history.columns,
+        "previous_value",
+        (F.col("value") - F.col("previous_value")).alias("change"),
+        F.sum(F.when(failed, 1).otherwise(0)).over(since).alias("failures_in_a_row"),
+    )
+
+
 def gate(result: DataFrame) -> list:
     """Collect the report (a dozen rows) and raise if any check failed."""
     rows = result.collect()

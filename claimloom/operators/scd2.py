@@ -62,11 +62,13 @@ def _arrivals(dim: DataFrame, judged: DataFrame, bounds: DataFrame, staged: Data
 
 def _as_versions(rows: DataFrame, spec: Dimension, effective_from: Column) -> DataFrame:
     types = {f.name: f.dataType for f in spec.schema.fields}
+    added = [f.name for f in spec.added]
     return rows.select(
-        *[F.col(c).cast(types[c]).alias(c) for c in spec.attributes],
+        *[F.col(c).cast(types[c]).alias(c) for c in spec.attributes if c not in added],
         effective_from.alias("effective_from"),
         F.lit(None).cast("date").alias("effective_to"),
         F.lit(True).alias("is_current"),
+        *[F.col(c).try_cast(types[c]).alias(c) for c in added],
     )
 
 

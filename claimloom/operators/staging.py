@@ -45,14 +45,15 @@ def is_faulty(schema: T.StructType) -> Column:
 def staged(landed: DataFrame, schema: T.StructType) -> DataFrame:
     """Landed rows as the staging table has them: by name, whatever else has landed.
 
-    A required column must be there; another one that did not land is NULL.
+    A required column must be there; another one that did not land is NULL, as is text that
+    does not parse as the type a column has been given.
     """
     absent = [f.name for f in schema.fields if not f.nullable and f.name not in landed.columns]
     if absent:
         raise LoadError(f"landed files lack {', '.join(absent)}")
     return landed.select(
         *[
-            (F.col(f.name) if f.name in landed.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            (F.col(f.name) if f.name in landed.columns else F.lit(None)).try_cast(f.dataType).alias(f.name)
             for f in schema.fields
         ]
     )

@@ -11,15 +11,24 @@ from claimloom.plans.pipeline import Warehouse
 from claimloom.schemas import DIMENSIONS, ENTITIES, STAGING, WAREHOUSE
 from claimloom.sources.deliveries import QUARANTINE_SCHEMA
 from claimloom.sources.paths import Folder
-from claimloom.sources.store import Store
+from claimloom.sources.store import Store, attempt_of, run_name
 
-DATABASES = ("staging", "warehouse", "analytics")
+DATABASES = ("landing", "staging", "warehouse", "analytics")
 _ROOT = "claimloom.root"
-_ADDED = "`table` string, `column` string, `type` string"
+
+
+def _type(field: T.StructField) -> str:
+    """The declared type: text with a limit is VARCHAR, which Spark holds writers to and reads as text."""
+    limit = field.metadata.get("max_length")
+    return f"varchar({limit})" if limit else field.dataType.simpleString()
 
 
 def _columns(schema: T.StructType, without: tuple[str, ...] = ()) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name not in without)
+    return ", ".join(f"`{f.name}` {_type(f)}" for f in schema.fields if f.name not in without)
+
+
+def _shown(schema: T.StructType, dropped: set[str]) -> T.StructType:
+    return T.StructType([f for f in schema.fields if f.name.lower() not in dropped])
 
 
 def create_databases(warehouse: Warehouse) -> None:
@@ -27,22 +36,11 @@ def create_databases(warehouse: Warehouse) -> None:
         warehouse.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
 
 
-def _added(warehouse: Warehouse) -> dict[str, list[tuple[str, str]]]:
-    """Columns added to published tables, as ``add_column`` has noted them."""
-    folder = Folder(warehouse.spark, f"{warehouse.root}/added_columns")
-    if not folder.children():
-        return {}
-    found: dict[str, list[tuple[str, str]]] = {}
-    for row in warehouse.spark.read.schema(_ADDED).parquet(folder.path).distinct().orderBy("column").collect():
-        found.setdefault(row.table, []).append((row.column, row.type))
-    return found
-
-
 def _complete(warehouse: Warehouse, name: str, schema: T.StructType, added: list[tuple[str, str]]) -> None:
     """Give a published table the columns it lacks."""
     spark = warehouse.spark
     there = {column.lower() for column in spark.table(name).columns}
-    wanted = [(f.name, f.dataType.simpleString()) for f in schema.fields] + added
+    wanted = [(f.name, _type(f)) for f in schema.fields] + added
     missing = ", ".join(f"`{column}` {kind}" for column, kind in wanted if column.lower() not in there)
     if missing:
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({missing})")
@@ -104,21 +102,21 @@ def publish(warehouse: Warehouse, ingestion_date: datetime.date) -> None:
     """
     create_databases(warehouse)
     store: Store = warehouse.store
-    added = _added(warehouse)
+    added, dropped = warehouse.columns.added(), warehouse.columns.dropped()
     for entity in ENTITIES:
         name, landings = f"staging.stg_{entity}", warehouse.landings
         landed = warehouse.landing(entity, ingestion_date)
-        _point(warehouse, name, STAGING[entity], landed or f"{landings.root}/{entity}/run=none", added.get(name, []))
-        landings.note_published(entity, [landed.rsplit("run=", 1)[1]] if landed else [])
-        landings.drop_replaced(entity)
-    runs = store.runs("quarantine")
+        schema = _shown(STAGING[entity], dropped.get(name, set()))
+        _point(warehouse, name, schema, landed or f"{landings.root}/{entity}/run=none", added.get(name, []))
+    publish_landings(warehouse)
+    runs = store.appended("quarantine")
     parts = [({"run": run}, store.path("quarantine", run)) for run in runs]
     _partitioned(warehouse, "staging.quarantine", QUARANTINE_SCHEMA, {"run": "string"}, parts, [])
     store.note_published("quarantine", runs)
     store.drop_replaced("quarantine")
     for name, schema in WAREHOUSE.items():
         runs, table = store.runs(name), f"warehouse.{name}"
-        more = added.get(table, [])
+        schema, more = _shown(schema, dropped.get(table, set())), added.get(table, [])
         if name in {d.name for d in DIMENSIONS}:
             open_folders, closed_folders = store.dimension_parts(name)
             parts = [({"run": _run_of(p), "is_current": "true"}, p) for p in open_folders]
@@ -127,7 +125,8 @@ def publish(warehouse: Warehouse, ingestion_date: datetime.date) -> None:
             store.note_published(name, sorted({_run_of(p) for _, p in parts}))
             store.drop_superseded_parts(name)
         elif name == "schema_evolution_log":
-            parts = [({"run": run}, f"{store.root}/{name}/run={run}") for run in runs]
+            runs = store.appended(name)
+            parts = [({"run": run}, store.path(name, run)) for run in runs]
             _partitioned(warehouse, table, schema, {"run": "string"}, parts, more)
             store.note_published(name, runs)
             store.drop_replaced(name)
@@ -139,6 +138,41 @@ def publish(warehouse: Warehouse, ingestion_date: datetime.date) -> None:
     create_views(warehouse)
 
 
+def publish_landings(warehouse: Warehouse) -> None:
+    """landing.<entity>: all that has landed, a partition per date, with the columns of every date.
+
+    The schema of a date is read from its files once, when the date comes; dates that are
+    there stay as they are.  A column a date lacks is NULL in it.  A column that comes with
+    another type than it has is refused.
+    """
+    spark, landings = warehouse.spark, warehouse.landings
+    keys = {"ingestion_date": "date", "attempt": "int"}
+    for entity in ENTITIES:
+        name, runs = f"landing.{entity}", landings.runs(entity)
+        known = spark.table(name).schema if spark.catalog.tableExists(name) else T.StructType()
+        there = {unquote(r[0]) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()} if known.fields else set()
+        schema = T.StructType([f for f in known if f.name not in keys])
+        parts = []
+        for run in runs:
+            values = {"ingestion_date": run_name(run), "attempt": str(attempt_of(run))}
+            parts.append((values, landings.path(entity, run)))
+            if "/".join(f"{k}={v}" for k, v in values.items()) not in there:
+                schema = _merged(name, schema, spark.read.parquet(parts[-1][1]).schema)
+        if schema.fields:
+            _partitioned(warehouse, name, schema, keys, parts, [])
+        landings.note_published(entity, runs)
+        landings.drop_replaced(entity)
+
+
+def _merged(name: str, schema: T.StructType, more: T.StructType) -> T.StructType:
+    kinds = {f.name.lower(): f.dataType for f in schema}
+    for f in more:
+        if kinds.setdefault(f.name.lower(), f.dataType) != f.dataType:
+            raise ValueError(f"{name}: {f.name} is {f.dataType.simpleString()}, not {kinds[f.name.lower()].simpleString()}")
+    missing = [f for f in more if f.name.lower() not in {g.name.lower() for g in schema}]
+    return T.StructType([*schema.fields, *missing])
+
+
 def _run_of(folder: str) -> str:
     """The run in .../run=<run>/is_current=<flag>."""
     return folder.rsplit("/", 2)[1].removeprefix("run=")
@@ -177,11 +211,48 @@ def create_views(warehouse: Warehouse) -> None:
     )
 
 
-def add_column(warehouse: Warehouse, table: str, column: str, data_type: str) -> None:
+def add_column(warehouse: Warehouse, table: str, column: str, data_type: str, tracked: bool = False) -> None:
     """Show a new source column in a published table, now and after every later publication.
 
-    Rows landed before it read NULL.
+    Rows landed before it read NULL.  A dimension takes the column over from its staged
+    versions with the next load; a change in a ``tracked`` one opens a new version.
     """
-    row = warehouse.spark.createDataFrame([(table, column, data_type)], _ADDED)
-    row.coalesce(1).write.mode("append").parquet(f"{warehouse.root}/added_columns")
+    warehouse.columns.add(table, column, data_type, tracked)
     _complete(warehouse, table, T.StructType(), [(column, data_type)])
+
+
+def drop_column(warehouse: Warehouse, table: str, column: str) -> None:
+    """Do not show a column any more, now and after every later publication; its values stay in the files.
+
+    Spark cannot take a column from a Parquet table, so one without it takes its place
+    under its name, with the same files, partitions and properties.
+    """
+    spark, name = warehouse.spark, table.rsplit(".", 1)[1]
+    declared = {**{f"stg_{e}": s for e, s in STAGING.items()}, **WAREHOUSE}[name]
+    if any(f.name.lower() == column.lower() and not f.nullable for f in declared.fields):
+        raise ValueError(f"{table} is not without {column}")
+    warehouse.columns.drop(table, column)
+    there = spark.table(table)
+    if column.lower() not in {c.lower() for c in there.columns}:
+        return
+    described = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    keys = [r[0] for r in spark.sql(f"DESCRIBE TABLE {table}").collect()]
+    keys = keys[keys.index("# col_name") + 1 :] if "# col_name" in keys else []
+    kept = [c for c in there.columns if c.lower() != column.lower()]
+    types = ", ".join(f"`{c}` {described[c]}" for c in kept if c not in keys)
+    by = f"PARTITIONED BY ({', '.join(f'`{k}` {described[k]}' for k in keys)})" if keys else ""
+    properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    spark.sql(f"CREATE TABLE {table}__next ({types}) USING parquet {by} LOCATION '{described['Location']}'")
+    listed = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items() if k != _ROOT and not k.startswith("transient"))
+    if listed:
+        spark.sql(f"ALTER TABLE {table}__next SET TBLPROPERTIES ({listed})")
+    for (spec,) in spark.sql(f"SHOW PARTITIONS {table}").collect() if keys else []:
+        values = "PARTITION (" + ", ".join("{}='{}'".format(*part.split("=", 1)) for part in unquote(spec).split("/")) + ")"
+        detail = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {values}").collect()
+        place = next(r[1] for r in detail if r[0] == "Location")  # of the partition; that of the table follows
+        spark.sql(f"ALTER TABLE {table}__next ADD {values} LOCATION '{place}'")
+    if _ROOT in properties:
+        spark.sql(f"ALTER TABLE {table}__next SET TBLPROPERTIES ('{_ROOT}' = '{properties[_ROOT]}')")
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__before")
+    spark.sql(f"ALTER TABLE {table}__next RENAME TO {table}")
+    spark.sql(f"DROP TABLE {table}__before")

@@ -17,9 +17,11 @@ from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimloom.operators import calendar, evolution, quality, repair, scd2, staging
 from claimloom.plans import entities, facts, views
+from claimloom.plans.columns import ColumnLog
 from claimloom.schemas import CLUSTER_COLUMNS, DIMENSIONS, FILE_ENTITY, SORT_COLUMNS, STAGING, WAREHOUSE, Dimension, no_rows
 from claimloom.sources import deliveries
 from claimloom.sources.paths import Folder, work_folder
@@ -62,6 +64,7 @@ class Warehouse:
         self.raw = f"{self.root}/raw"
         self.store = Store(spark, f"{self.root}/tables", rows_per_file)
         self.landings = Store(spark, f"{self.root}/landing", rows_per_file)
+        self.columns = ColumnLog(spark, self.root)
 
     def landing(self, entity: str, ingestion_date: datetime.date) -> str | None:
         """Where the last landing of an entity and date lies; None if there is none or it is not whole."""
@@ -70,9 +73,11 @@ class Warehouse:
     # Reading --------------------------------------------------------------------
 
     def table(self, name: str, before: str | None = None) -> DataFrame:
+        """A table as it is, or was before a run; rows older than an added attribute have NULL there."""
         schema = WAREHOUSE[name]
-        if name in {d.name for d in DIMENSIONS}:
-            return self.store.read_dimension(name, schema, before)
+        for spec in DIMENSIONS:
+            if name == spec.name:
+                return self.store.read_dimension(name, self.columns.widened(spec).schema, before)
         if name == "schema_evolution_log":
             return self.store.read_all(name, schema, before)
         return self.store.read(name, schema, before)
@@ -80,11 +85,12 @@ class Warehouse:
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in WAREHOUSE}
 
-    def staged(self, entity: str, ingestion_date: datetime.date) -> DataFrame:
+    def staged(self, entity: str, ingestion_date: datetime.date, schema: T.StructType | None = None) -> DataFrame:
+        """Landed rows of one date under the declared schema of their entity, or a wider one."""
         path = self.landing(entity, ingestion_date)
         if path is None:
             raise staging.LoadError(f"{entity} of {ingestion_date} has not been landed completely")
-        return staging.staged(self.spark.read.parquet(path), STAGING[entity])
+        return staging.staged(self.spark.read.parquet(path), schema or STAGING[entity])
 
     def claims_summary(self) -> DataFrame:
         return views.claims_summary(self.table("fact_claim"), self.table("dim_employer"), self.table("dim_policy"))
@@ -149,10 +155,23 @@ class Warehouse:
         # The load reads the events from here, whoever runs it.
         self.store.write("schema_changes", evolution.changes(registry, delivered), run)
         self.store.write("schema_registry", evolution.registry_after(registry, delivered), run)
+        self.store.write("schema_snapshots", delivered.select("*", F.lit(run).alias("run")), run)
+        for table in ("schema_changes", "schema_registry"):
+            self.store.drop_superseded(table)
+        self._keep_few("schema_snapshots", evolution.SNAPSHOT_SCHEMA)
         result.evolution_events = [r.asDict() for r in self._changes(run).collect()]  # one row per entity at most
         for e in result.evolution_events:
             log.warning("schema of %s changed: +%s -%s", e["entity"], e["added_columns"], e["removed_columns"])
 
+    def _keep_few(self, table: str, schema: T.StructType) -> None:
+        """Bound the folders of a table that is appended to by every run."""
+        self.store.fold(table, schema)
+        self.store.drop_replaced(table)
+
+    def columns_as_of(self, day: datetime.date) -> DataFrame:
+        """entity, columns, as_of: what was last delivered of each entity up to a day."""
+        return evolution.columns_as_of(self.store.read_all("schema_snapshots", evolution.SNAPSHOT_SCHEMA), day)
+
     def _quarantine(self, scans: dict[str, DataFrame], ingestion_date: datetime.date, result: RunResult) -> None:
         """Keep the lines that no entity takes, and count them per delivered file name."""
         parts = [
@@ -164,7 +183,7 @@ class Warehouse:
         result.quarantined = {r.name: r["count"] for r in kept.groupBy("name").count().collect()}
         for name, count in sorted(result.quarantined.items()):
             log.warning("%s: %d lines in quarantine", name, count)
-        self.store.drop_replaced("quarantine")
+        self._keep_few("quarantine", deliveries.QUARANTINE_SCHEMA)
 
     def quarantine(self) -> DataFrame:
         """Lines of all deliveries that no entity has taken, with their file and what is wrong."""
@@ -207,20 +226,21 @@ class Warehouse:
 
     def load_dimension(self, spec: Dimension, ingestion_date: datetime.date, as_of: datetime.date, run: str) -> None:
         path, store = work_folder(self.spark, spec.name), self.store
+        spec = self.columns.widened(spec)
         before = self.table(spec.name, before=run) if store.runs(spec.name, before=run) else None
         last_key = store.last_key(spec.name, before=run)
         if last_key is None and before is not None:
             last_key = before.agg(F.max(spec.surrogate_key)).first()[0]
         seen = Observation(f"keys_{spec.name}")
         try:
-            staged = self.staged(spec.entity, ingestion_date)
+            staged = self.staged(spec.entity, ingestion_date, spec.staging)
             changes = scd2.load_changes(before, staged, spec, as_of, path, last_key)
             changes = changes.observe(seen, F.max(spec.surrogate_key).alias("key"))
             store.write_changes(spec.name, changes, run, SORT_COLUMNS[spec.name])
         finally:
             Folder(self.spark, path).delete()
         store.note_last_key(spec.name, max(last_key or 0, seen.get["key"] or 0), run)
-        store.gather(spec.name, WAREHOUSE[spec.name], SORT_COLUMNS[spec.name])
+        store.gather(spec.name, spec.schema, SORT_COLUMNS[spec.name])
         store.drop_superseded_parts(spec.name)
 
     def load_facts(self, ingestion_date: datetime.date, run: str, result: RunResult) -> None:
@@ -256,6 +276,7 @@ class Warehouse:
         last = self.table("schema_evolution_log", before=run).agg(F.max("log_id")).first()[0] or 0
         entries = evolution.log_entries(events, last)
         self.store.write("schema_evolution_log", entries, run)
+        self._keep_few("schema_evolution_log", WAREHOUSE["schema_evolution_log"])
 
     def load(self, ingestion_date: datetime.date, as_of: datetime.date, result: RunResult) -> None:
         run = result.run_id
@@ -273,8 +294,18 @@ class Warehouse:
         self.store.write_whole(spec.name, fix(self.table(spec.name)), SORT_COLUMNS[spec.name])
         return repair.duplicate_current(self.table(spec.name), spec).orderBy(spec.natural_key)
 
-    def check(self, row_floor: int = quality.ROW_FLOOR) -> list:
-        return quality.gate(quality.report(self.tables(), row_floor))
+    def check(self, run: str, day: datetime.date, row_floor: int = quality.ROW_FLOOR) -> list:
+        """Check the tables, keep the report, and raise if a check has failed."""
+        found = quality.kept(quality.report(self.tables(), row_floor), run, day)
+        self.store.write("check_history", found, run, ordered=False)
+        report = self.store.read_run("check_history", found.schema, run).drop("run", "checked_on")
+        self._keep_few("check_history", found.schema)
+        return quality.gate(report)
+
+    def check_trend(self) -> DataFrame:
+        """The kept reports of all runs, each row beside that of the run before."""
+        schema = self.spark.createDataFrame([], quality.HISTORY_SCHEMA).schema
+        return quality.trend(self.store.read_all("check_history", schema))
 
     def run_id(self, ingestion_date: datetime.date, as_of: datetime.date, name: str | None = None) -> str:
         """A number that counts up, then ``name`` or the two dates: runs follow one another as they were started.
@@ -323,5 +354,5 @@ class Warehouse:
                 raise StepError(f"{name} failed: {error}") from error
             log.info("%s done", name)
         if "checks" in steps:
-            result.checks = self.check(row_floor)
+            result.checks = self.check(result.run_id, as_of, row_floor)
         return result

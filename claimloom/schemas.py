@@ -254,10 +254,17 @@ class Dimension:
     natural_key: str
     surrogate_key: str
     tracked: tuple[str, ...]
+    added: tuple[T.StructField, ...] = ()  # attributes beside the declared ones
 
     @property
     def schema(self) -> T.StructType:
-        return WAREHOUSE[self.name]
+        return T.StructType([*WAREHOUSE[self.name].fields, *self.added])
+
+    @property
+    def staging(self) -> T.StructType:
+        """The staged columns a load takes its versions from."""
+        staged = STAGING[self.entity]
+        return T.StructType([*staged.fields, *[f for f in self.added if f.name not in staged.fieldNames()]])
 
     @property
     def attributes(self) -> list[str]:

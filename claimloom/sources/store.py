@@ -40,6 +40,10 @@ def run_name(run: str) -> str:
     return _order(run)[0]
 
 
+def attempt_of(run: str) -> int:
+    return _order(run)[1]
+
+
 def clustered(rows: DataFrame, by: list[str]) -> DataFrame:
     """Rows dealt out and sorted by ranges of ``by``: the files written from them do not overlap.
 
@@ -118,8 +122,10 @@ class Store:
 
     # Plain tables -------------------------------------------------------------
 
-    def write(self, table: str, df: DataFrame, run: str, sort: list[str] | None = None) -> None:
-        path = self.begin(table, run)
+    def write(
+        self, table: str, df: DataFrame, run: str, sort: list[str] | None = None, ordered: bool = True
+    ) -> None:
+        path = self.begin(table, run, ordered)
         self._writer(df.sortWithinPartitions(*sort) if sort else df).parquet(path)
 
     def _writer(self, df: DataFrame) -> DataFrameWriter:
@@ -172,11 +178,36 @@ class Store:
 
     def read_all(self, table: str, schema: T.StructType, before: str | None = None) -> DataFrame:
         """Every run of a table that is appended to."""
-        paths = [self._run(table, r).path for r in self.runs(table, before)]
+        paths = [self.path(table, r) for r in self.appended(table, before)]
         if not paths:
             return no_rows(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
+    def appended(self, table: str, before: str | None = None) -> list[str]:
+        """The runs a table that is appended to is made of: the last that was folded, and those after it."""
+        runs = self.runs(table, before)
+        folded = [i for i, r in enumerate(runs) if _order(r)[2]]
+        return runs[folded[-1] if folded else 0 :]
+
+    def fold(self, table: str, schema: T.StructType, every: int = 30) -> None:
+        """Bring all but the last run of a table that is appended to into one folder, once there are so many.
+
+        The last run stays apart, as it may be repeated.  Folders that were folded before go,
+        those just folded stay for who reads them until the next time.
+        """
+        runs = self.appended(table)
+        if len(runs) <= every:
+            return
+        name, attempt, rewrite = _order(runs[-2])
+        folder = self._run(table, f"{name}{f'.again-{attempt}' if attempt else ''}.whole-{rewrite + 1}")
+        folder.delete()  # what an attempt that died may have left
+        earlier = [self.path(table, r) for r in runs[:-1]]
+        self._writer(self.spark.read.schema(schema).parquet(*earlier).hint("rebalance")).parquet(folder.path)
+        needed = {*runs, *self.appended(table)}
+        for run in self._committed(table):
+            if run not in needed and self._is_free(table, run):
+                self._run(table, run).delete()
+
     def drop_superseded(self, table: str, keep: int = 2) -> None:
         """Delete what newer runs and attempts of a plain table have replaced and no published table points to."""
         kept = set(self.runs(table)[-keep:])

@@ -1,0 +1,81 @@
+"""What is kept of every run: columns, check results, landed dates; in a bounded number of folders."""
+
+import datetime
+
+import pytest
+from test_pipeline import deliver, person
+
+from claimloom.operators import evolution, quality
+from claimloom.plans import catalog
+from claimloom.plans.pipeline import Warehouse
+from claimloom.schemas import FILE_HEADERS
+from claimloom.sources.store import Store
+
+D1, D2, D3 = (datetime.date(2024, 1, 31), datetime.date(2024, 2, 1), datetime.date(2024, 2, 2))
+
+
+def test_columns_as_of_any_day(spark):
+    rows = [
+        ("a", ["x"], "2024-01-01", "1"), ("a", ["x", "y"], "2024-01-03", "2"), ("b", ["z"], "2024-01-03", "2"),
+        ("a", ["x", "late"], "2024-01-02", "3"), ("a", ["again"], "2024-01-03", "4"),
+    ]
+    snapshots = spark.createDataFrame(rows, evolution.SNAPSHOT_SCHEMA)
+    seen = {
+        day: {r.entity: r["columns"] for r in evolution.columns_as_of(snapshots, datetime.date(2024, 1, day)).collect()}
+        for day in (1, 2, 3, 9)
+    }
+    assert seen == {
+        1: {"a": ["x"]}, 2: {"a": ["x", "late"]}, 3: {"a": ["again"], "b": ["z"]}, 9: {"a": ["again"], "b": ["z"]},
+    }
+    assert evolution.columns_as_of(snapshots, datetime.date(2023, 1, 1)).collect() == []
+    assert evolution.snapshot_per_day(snapshots).count() == 4
+
+
+def test_trend_of_checks(spark):
+    rows = [(str(run), D1, "c", result, value, 0) for run, (result, value) in enumerate(
+        [("PASS", 1), ("FAIL", 5), ("FAIL", 4), ("PASS", 0), ("FAIL", 2)])] + [("3", D1, "d", "FAIL", None, 0)]
+    found = quality.trend(spark.createDataFrame(rows, quality.HISTORY_SCHEMA)).orderBy("check_name", "run").collect()
+    assert [(r.previous_value, r.change, r.failures_in_a_row) for r in found] == [
+        (None, None, 0), (1, 4, 1), (5, -1, 2), (4, -4, 0), (0, 2, 1), (None, None, 1),
+    ]
+
+
+def test_many_runs_leave_few_folders(spark, tmp_path):
+    store, schema = Store(spark, str(tmp_path)), spark.range(0).schema
+    for run in range(1, 26):
+        store.write("t", spark.range(run, run + 1), f"{run:03d}")
+        store.fold("t", schema, every=4)
+        store.drop_replaced("t")
+        assert sorted(r.id for r in store.read_all("t", schema).collect()) == list(range(1, run + 1))
+        assert [r.id for r in store.read_run("t", schema, f"{run:03d}").collect()] == [run]
+        assert len(list((tmp_path / "t").iterdir())) <= 9
+    store.write("t", spark.range(100, 101), "025")
+    assert sorted(r.id for r in store.read_all("t", schema).collect()) == [*range(1, 25), 100]
+
+
+def test_landings_checks_and_columns_of_three_runs(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "root"))
+    email = {"claimants.csv": FILE_HEADERS["claimants.csv"] + ",email"}
+    with pytest.raises(quality.QualityError):
+        warehouse.run(deliver(tmp_path / "1", [person(10, "F")]), D1, D1, row_floor=9)
+    catalog.publish(warehouse, D1)
+    inbox = deliver(tmp_path / "2", [person(10, "F") + ",a@b", person(11, "F") + ",c@d"], headers=email)
+    warehouse.run(inbox, D2, D2, row_floor=1)
+    warehouse.run(inbox, D2, D2, row_floor=1)
+    catalog.publish(warehouse, D2)
+    landed = spark.table("landing.claimants")
+    assert sorted(map(tuple, landed.select("ingestion_date", "claimant_id", "email").collect()), key=repr) == [
+        (D1, 10, None), (D2, 10, "a@b"), (D2, 11, "c@d"),
+    ]
+    day = landed.filter(landed.ingestion_date == D2)
+    assert all("2024-02-01" in f for f in day.inputFiles()) and day.count() == 2
+    found = warehouse.check_trend().filter("check_name = 'fact_claim row count'").orderBy("run").collect()
+    assert [(r.checked_on, r.result, r.value, r.expected, r.failures_in_a_row) for r in found] == [
+        (D1, "FAIL", 1, 9, 1), (D2, "PASS", 2, 1, 0),
+    ]
+    columns = {d: {r.entity: r["columns"] for r in warehouse.columns_as_of(d).collect()} for d in (D1, D2, D3)}
+    assert "email" not in columns[D1]["claimants"] and "email" in columns[D2]["claimants"]
+    assert columns[D2] == columns[D3] and set(columns[D1]) == {"claimants", "claims", "employers", "payments", "policies"}
+    assert catalog._merged("t", landed.schema, landed.schema) == landed.schema
+    with pytest.raises(ValueError, match="email is int, not string"):
+        catalog._merged("t", landed.schema, spark.sql("SELECT 1 AS email").schema)
