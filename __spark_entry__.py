@@ -8,6 +8,7 @@ on how either engine hands out decimals.
 
 from __future__ import annotations
 
+import datetime
 import os
 import sys
 from collections.abc import Callable
@@ -24,7 +25,7 @@ import oracle  # noqa: E402
 from claimloom.operators import calendar, evolution, quality, repair, scd2, staging, versions  # noqa: E402
 from claimloom.operators.keys import number_rows  # noqa: E402
 from claimloom.plans import catalog, entities, facts, views  # noqa: E402
-from claimloom.plans.pipeline import Warehouse, at_once  # noqa: E402
+from claimloom.plans.pipeline import RunResult, Warehouse, at_once  # noqa: E402
 from claimloom.schemas import (  # noqa: E402
     CLAIMANT,
     CLUSTER_COLUMNS,
@@ -38,6 +39,7 @@ from claimloom.schemas import (  # noqa: E402
 )
 from claimloom.sources import deliveries  # noqa: E402
 from claimloom.sources.paths import land, work_folder  # noqa: E402
+from claimloom.sources.store import Store  # noqa: E402
 
 try:  # the operators of a training-data pipeline are there or not
     import corpus_pipeline
@@ -169,12 +171,16 @@ def _quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _quality_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report on a star with every fault the checks are there for: each of them fails."""
-    star = _checked_star(spark, sf_dir)
+    return quality.report(_with_faults(_checked_star(spark, sf_dir)), 1_000_000_000)
+
+
+def _with_faults(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    faulty = dict(star)
     for name, where in fx.REPEATED.items():
         rows = star[name].unionByName(star[name].filter(where))
         columns = {c: F.expr(sql) for c, sql in fx.FAULTS.get(name, {}).items()}
-        star[name] = rows.withColumns(columns) if columns else rows
-    return quality.report(star, 1_000_000_000)
+        faulty[name] = rows.withColumns(columns) if columns else rows
+    return faulty
 
 
 def _dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,7 +286,13 @@ def _damaged(df: DataFrame) -> DataFrame:
 
 
 def _deliver(
-    spark: SparkSession, sf_dir: str, inbox: str, day: int | None = None, currency: bool = True, damaged: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    inbox: str,
+    day: int | None = None,
+    currency: bool = True,
+    damaged: bool = False,
+    email: bool = False,
 ) -> None:
     """Write the sources as CSV folders, the way a large delivery comes in."""
     writes = []
@@ -289,6 +301,8 @@ def _deliver(
         df = fx.source_on(spark, sf_dir, name, day) if dated else fx.source(spark, sf_dir, name)
         if name == "payments" and currency:  # a column the contract does not know
             df = df.withColumn("currency", F.lit("USD"))
+        if name == "claimants" and email:
+            df = df.withColumn("email", F.concat(F.lit("c"), "claimant_id", F.lit("@x")))
         write = df.write
         if name == "payments" and damaged:
             write = _damaged(df).write.option("sep", "\x01").option("quote", "")
@@ -323,16 +337,123 @@ def _delivery_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intact.join(new, "name").join(rows, "name")
 
 
-def _two_days(spark: SparkSession, sf_dir: str, rows_per_file: int = 0) -> Warehouse:
-    """Two daily runs from CSV to the warehouse; the second brings a new column of payments."""
+def _two_days(
+    spark: SparkSession,
+    sf_dir: str,
+    rows_per_file: int = 0,
+    email: bool = False,
+    steps: tuple[str, ...] = ("extraction", "transformation", "loading"),
+    results: list[RunResult] | None = None,
+) -> Warehouse:
+    """Two daily runs from CSV to the warehouse; the second brings a new column of payments.
+
+    With ``email`` it also brings one of claimants, which their dimension has been given.
+    """
     warehouse = Warehouse(spark, work_folder(spark, "warehouse"), rows_per_file)
     for day, date in ((1, DAY1), (2, DAY2)):
         inbox = work_folder(spark, f"inbox{day}")
-        _deliver(spark, sf_dir, inbox, day, currency=day == 2)
-        warehouse.run(inbox, date, date, steps=("extraction", "transformation", "loading"))
+        if email and day == 2:
+            warehouse.columns.add("warehouse.dim_claimant", "email", "string")
+        _deliver(spark, sf_dir, inbox, day, currency=day == 2, email=email and day == 2)
+        result = warehouse.run(inbox, date, date, steps=steps)
+        if results is not None:
+            results.append(result)
     return warehouse
 
 
+def _dim_added_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claimants after a second load that brought a column their dimension had been given."""
+    dim = _two_days(spark, sf_dir, email=True).table("dim_claimant")
+    return dim.select("claimant_key", "claimant_id", "email", "is_current")
+
+
+def _dropped_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published tables without a column that was dropped, after two more publications."""
+    warehouse = _two_days(spark, sf_dir)
+    catalog.publish(warehouse, DAY2)
+    tables = {"staging.stg_payments": "payment_type", "warehouse.dim_policy": "premium_amount"}
+    for table, column in tables.items():
+        catalog.drop_column(warehouse, table, column)
+    seen = None
+    for date in (DAY1, DAY2):
+        catalog.publish(warehouse, date)
+        for table, column in tables.items():
+            rows = spark.table(table).agg(F.count("*").alias("rows"))
+            rows = rows.select(F.lit(table).alias("name"), F.lit(date).alias("published"), "rows")
+            rows = rows.withColumn("shows_column", F.lit(column in spark.table(table).columns))
+            rows = land(rows, work_folder(spark, "published"))
+            seen = rows if seen is None else seen.unionByName(rows)
+    return seen
+
+
+def _landing_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per entity and date of the landing catalogue, and those with a value in the column that came later."""
+    warehouse = _two_days(spark, sf_dir, steps=("extraction", "transformation"))
+    catalog.create_databases(warehouse)
+    catalog.publish_landings(warehouse)
+    found = None
+    for entity in STAGING:
+        table = spark.table(f"landing.{entity}")
+        later = F.count("currency") if "currency" in table.columns else F.lit(0).cast("bigint")
+        per_date = table.groupBy("ingestion_date").agg(F.count("*").alias("rows"), later.alias("with_currency"))
+        # Landed, as the next run points the tables elsewhere.
+        rows = land(per_date.select(F.lit(entity).alias("entity"), "*"), work_folder(spark, "dates"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def _columns_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was known of the columns of two entities on each of three days, with the rows landed by then."""
+    warehouse = _two_days(spark, sf_dir, steps=("extraction", "transformation"))
+    landed = None
+    for entity in ("payments", "policies"):
+        for date in (DAY1, DAY2):
+            rows = warehouse.staged(entity, date).agg(F.count("*").alias("landed_rows"))
+            rows = rows.select(F.lit(entity).alias("entity"), F.lit(date.isoformat()).alias("as_of"), "landed_rows")
+            landed = rows if landed is None else landed.unionByName(rows)
+    found = None
+    for day in (DAY1, DAY2, DAY2 + datetime.timedelta(days=9)):
+        known = warehouse.columns_as_of(day).withColumn("columns", F.array_join(F.array_sort("columns"), ","))
+        known = known.withColumn("on_day", F.lit(day))
+        found = known if found is None else found.unionByName(known)
+    return found.join(landed, ["entity", "as_of"])
+
+
+def _run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts that two runs have taken beside their writes."""
+    results: list[RunResult] = []
+    _two_days(spark, sf_dir, results=results)
+    rows = []
+    for day, result in enumerate(results, 1):
+        rows += [(day, f"landed {name}", n) for name, n in result.landed_rows.items()]
+        rows += [(day, f"placed {name}", n) for name, n in result.placed_rows.items()]
+        rows.append((day, "claims without policy", result.claims_without_policy))
+    return spark.createDataFrame(rows, "day int, counted string, rows bigint")
+
+
+def _published_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary as SQL users see it."""
+    catalog.publish(_two_days(spark, sf_dir), DAY2)
+    return _plain(land(spark.sql("SELECT * FROM analytics.claims_summary"), work_folder(spark, "view")))
+
+
+def _missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments of a delivery that lacks two of the columns of their table."""
+    return entities.payments(fx.source(spark, sf_dir, "payments").drop("payment_type", "payment_amount"))
+
+
+def _check_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept reports of three runs, the second on a star with faults, the third with a floor too high."""
+    store = Store(spark, work_folder(spark, "tables"))
+    star = {name: land(df, work_folder(spark, name)) for name, df in _checked_star(spark, sf_dir).items()}
+    for run, day, tables, floor in (
+        ("1", DAY1, star, 1), ("2", DAY2, _with_faults(star), 10**9), ("3", DAY2, star, 10**9)
+    ):
+        store.write("check_history", quality.kept(quality.report(tables, floor), run, day), run)
+    schema = spark.createDataFrame([], quality.HISTORY_SCHEMA).schema
+    return quality.trend(store.read_all("check_history", schema))
+
+
 def _fact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per fact the key ranges of its files, and the rows of a month as a look-up by range finds them."""
     warehouse = _two_days(spark, sf_dir, rows_per_file=500)
@@ -426,6 +547,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pipeline_claims_summary": _pipeline_summary,
         "fact_files": _fact_files,
         "quarantine": _quarantine,
+        "dim_added_column": _dim_added_column,
+        "dropped_column": _dropped_column,
+        "landing_by_date": _landing_by_date,
+        "columns_as_of": _columns_as_of,
+        "run_counts": _run_counts,
+        "published_view": _published_view,
+        "missing_columns": _missing_columns,
+        "check_trend": _check_trend,
         "evolution_log": _evolution_log,
         "added_column": _added_column,
     }

@@ -15,6 +15,14 @@ from claimloom.sources.store import Store, attempt_of, run_name
 
 DATABASES = ("landing", "staging", "warehouse", "analytics")
 _ROOT = "claimloom.root"
+#: Columns that the published views read, beside keys.
+_VIEWED = {
+    "warehouse.fact_claim": ["claim_type", "claim_status", "claim_severity", "claim_amount", "approved_amount"]
+    + ["employer_key", "policy_key"],
+    "warehouse.dim_employer": ["company_name", "industry"],
+    "warehouse.dim_policy": ["coverage_type"],
+    "warehouse.schema_evolution_log": ["previous_version", "current_version", "added_columns", "removed_columns"],
+}
 
 
 def _type(field: T.StructField) -> str:
@@ -231,6 +239,8 @@ def drop_column(warehouse: Warehouse, table: str, column: str) -> None:
     declared = {**{f"stg_{e}": s for e, s in STAGING.items()}, **WAREHOUSE}[name]
     if any(f.name.lower() == column.lower() and not f.nullable for f in declared.fields):
         raise ValueError(f"{table} is not without {column}")
+    if column.lower() in _VIEWED.get(table, ()):
+        raise ValueError(f"a view reads {column} of {table}")
     warehouse.columns.drop(table, column)
     there = spark.table(table)
     if column.lower() not in {c.lower() for c in there.columns}:

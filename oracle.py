@@ -366,6 +366,111 @@ def _quarantine() -> str:
     )
 
 
+def _dim_added_column() -> str:
+    return _with(
+        _second_load("claimant"),
+        "SELECT claimant_key, claimant_id, CASE WHEN claimant_key > (SELECT max(claimant_key) FROM dim) "
+        "THEN concat('c', claimant_id, '@x') END AS email, is_current FROM dim_after",
+    )
+
+
+def _dropped_column() -> str:
+    body = " UNION ALL ".join(
+        f"SELECT '{name}' AS name, {day} AS published, COUNT(*) AS rows, FALSE AS shows_column FROM ({rows}) t"
+        for name, rows in (("staging.stg_payments", _PAYMENTS), ("warehouse.dim_policy", "SELECT * FROM dim_policy"))
+        for day in (_D1, _D2)
+    )
+    return _with({**_sources("payments"), **_scoped("policy")}, body)
+
+
+def _landed(entity: str, day: int) -> str:
+    """Rows of an entity as landed on a day."""
+    if entity == "payments":
+        return f"({_PAYMENTS})"
+    if entity == "claims":
+        return f"({_ALL_CLAIMS} WHERE policy_id IS NOT NULL)"
+    return f"({fx.DAYS[(entity, day)].replace(f'FROM {entity}', f'FROM {entity} AS x')})"
+
+
+_ENTITY_NAMES = ("claimants", "claims", "employers", "payments", "policies")
+_ALL_SOURCES = _sources("claimants", "claims_v1", "claims_v2", "employers", "payments", "policies")
+
+
+def _landing_by_date() -> str:
+    body = " UNION ALL ".join(
+        f"SELECT '{entity}' AS entity, {day} AS ingestion_date, COUNT(*) AS rows, "
+        f"{'COUNT(*)' if (entity, k) == ('payments', 2) else 'CAST(0 AS BIGINT)'} AS with_currency "
+        f"FROM {_landed(entity, k)} t"
+        for entity in _ENTITY_NAMES
+        for k, day in ((1, _D1), (2, _D2))
+    )
+    return _with(_ALL_SOURCES, body)
+
+
+def _columns_as_of() -> str:
+    policies = (
+        "policy_id policy_number coverage_type start_date end_date premium_amount created_at updated_at "
+        "effective_from effective_to is_current"
+    ).split()
+    payments = "payment_id claim_id payment_date payment_amount payment_type created_at".split()
+    last = DAY2 + datetime.timedelta(days=9)
+    body = " UNION ALL ".join(
+        f"SELECT '{entity}' AS entity, '{as_of}' AS as_of, '{','.join(sorted(columns + more))}' AS columns, "
+        f"DATE '{day}' AS on_day, COUNT(*) AS landed_rows FROM {_landed(entity, 1 if as_of == DAY1 else 2)} t"
+        for entity, columns, new in (("payments", payments, ["currency"]), ("policies", policies, []))
+        for day, as_of, more in ((DAY1, DAY1, []), (DAY2, DAY2, new), (last, DAY2, new))
+    )
+    return _with(_sources("payments", "policies"), body)
+
+
+def _run_counts() -> str:
+    """Landed rows of both days; placed rows by the dimensions as each day leaves them."""
+    parts = [
+        f"SELECT {day} AS day, 'landed {entity}' AS counted, COUNT(*) AS rows FROM {_landed(entity, day)} t"
+        for day in (1, 2)
+        for entity in _ENTITY_NAMES
+    ]
+    no_policy = f"SELECT COUNT(*) FROM ({_ALL_CLAIMS} WHERE policy_id IS NULL) t"
+    ctes = {**_ALL_SOURCES, "all_claims": _ALL_CLAIMS, "unique_payments": _PAYMENTS}
+    for day in (1, 2):
+        parts.append(f"SELECT {day}, 'claims without policy', ({no_policy})")
+        for dim in DIMS:
+            loads = _second_load(dim)
+            text = "SELECT * FROM dim_after" if day == 2 else "SELECT * FROM dim"
+            ctes[f"day{day}_{dim}"] = _with(loads, text)
+        placed = _FACT_CLAIM
+        for dim in DIMS:
+            placed = placed.replace(f"JOIN dim_{dim} ", f"JOIN day{day}_{dim} ")
+        ctes[f"placed{day}"] = placed
+        parts.append(f"SELECT {day}, 'placed fact_claim', COUNT(*) FROM placed{day}")
+        paid = f"unique_payments p JOIN placed{day} f ON f.claim_id = p.claim_id"
+        parts.append(f"SELECT {day}, 'placed fact_payment', COUNT(*) FROM {paid}")
+    return _with(ctes, " UNION ALL ".join(parts))
+
+
+def _missing_columns() -> str:
+    return _with(
+        _sources("payments"),
+        "SELECT payment_id, claim_id, payment_date, CAST(NULL AS DOUBLE) AS payment_amount, "
+        "CAST(NULL AS VARCHAR) AS payment_type, created_at FROM (SELECT *, row_number() OVER (PARTITION BY payment_id "
+        "ORDER BY created_at DESC NULLS LAST, claim_id, payment_date) AS n FROM payments) p WHERE n = 1",
+    )
+
+
+def _check_trend() -> str:
+    runs = ((1, _D1, _quality(floor=1)), (2, _D2, _faulty_quality()), (3, _D2, _quality(floor=10**9)))
+    history = " UNION ALL ".join(f"SELECT '{run}' AS run, {day} AS checked_on, * FROM ({text}) t" for run, day, text in runs)
+    return _with(
+        {
+            "history": history,
+            "counted": "SELECT *, lag(value) OVER (PARTITION BY check_name ORDER BY run) AS previous_value, "
+            "sum((result = 'PASS')::INT) OVER (PARTITION BY check_name ORDER BY run) AS passes FROM history",
+        },
+        "SELECT * EXCLUDE (passes), value - previous_value AS change, CAST(sum((result <> 'PASS')::INT) "
+        "OVER (PARTITION BY check_name, passes ORDER BY run) AS BIGINT) AS failures_in_a_row FROM counted",
+    )
+
+
 def statements() -> dict[str, str]:
     history = _sources("history")
     latest = "row_number() OVER (PARTITION BY claimant_id ORDER BY effective_from DESC, claimant_key DESC)"
@@ -450,6 +555,14 @@ def statements() -> dict[str, str]:
         "pipeline_claims_summary": _with(_after_two_days(), _SUMMARY),
         "fact_files": _fact_files(),
         "quarantine": _quarantine(),
+        "dim_added_column": _dim_added_column(),
+        "dropped_column": _dropped_column(),
+        "landing_by_date": _landing_by_date(),
+        "columns_as_of": _columns_as_of(),
+        "run_counts": _run_counts(),
+        "published_view": _with(_after_two_days(), _SUMMARY),
+        "missing_columns": _missing_columns(),
+        "check_trend": _check_trend(),
     }
     parts = {"expired": "SELECT * EXCLUDE (just_closed) FROM after_expiry WHERE just_closed",
              "new": "SELECT * FROM brand_new", "changed": "SELECT * FROM changed"}

@@ -55,6 +55,8 @@ def test_added_attributes_reach_the_dimension_and_dropped_columns_stay_away(spar
     assert {r.last_name for r in spark.table("staging.stg_claimants").collect()} == {"Lee"}
     with pytest.raises(ValueError, match="not without claimant_id"):
         catalog.drop_column(warehouse, "warehouse.dim_claimant", "claimant_id")
+    with pytest.raises(ValueError, match="a view reads coverage_type"):
+        catalog.drop_column(warehouse, "warehouse.dim_policy", "coverage_type")
 
     kinds = {r.col_name: r.data_type for r in spark.sql("DESCRIBE warehouse.dim_claimant").collect()}
     assert kinds["first_name"] == "varchar(100)" and kinds["gender"] == "varchar(10)"
