@@ -314,14 +314,14 @@ def _delivery_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header check, raw copy and CSV scan of one delivery, summed up per file name."""
     inbox, raw, path = (work_folder(spark, part) for part in ("inbox", "raw", "manifest"))
     _deliver(spark, sf_dir, inbox)
-    files, _ = deliveries.find_files(spark, inbox)
+    files, _ = deliveries.list_files(spark, inbox)
     report = deliveries.contract_report(deliveries.file_headers(spark, files))
     deliveries.check_contract(report)
     manifest = deliveries.copy_to_raw(spark, files, raw, DAY1)
     manifest.write.parquet(path)
 
     part = F.element_at(F.split("path", "/"), -1)
-    delivered = spark.read.format("binaryFile").load([f.path for f in files])
+    delivered = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(inbox)
     delivered = delivered.select(part.alias("part"), F.md5("content").alias("delivered_md5"))
     copied = spark.read.schema(manifest.schema).parquet(path).withColumn("part", part)
     intact = copied.join(delivered, "part", "left").groupBy("name", "entity").agg(

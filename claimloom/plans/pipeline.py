@@ -102,8 +102,8 @@ class Warehouse:
 
     def extract(self, inbox: str, ingestion_date: datetime.date, result: RunResult) -> None:
         """Check all headers first, then copy: a broken delivery leaves no trace in raw."""
-        files, result.absent_files = deliveries.find_files(self.spark, inbox)
-        if not files:
+        files, result.absent_files = deliveries.list_files(self.spark, inbox)
+        if len(result.absent_files) == len(FILE_ENTITY):
             raise FileNotFoundError(f"none of the expected files is in {inbox}")
         deliveries.check_contract(deliveries.contract_report(deliveries.file_headers(self.spark, files)))
         path = self.manifest_path(ingestion_date)

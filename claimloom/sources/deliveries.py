@@ -27,6 +27,8 @@ from claimloom.sources.paths import Folder
 log = logging.getLogger("claimloom.deliveries")
 
 CHUNK_BYTES = 8 * 1024 * 1024
+#: A header line is not longer than this.
+HEADER_BYTES = 16 * 1024 * 1024
 
 # The file helpers travel with the tasks, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -46,29 +48,79 @@ class DeliveredFile:
         return FILE_ENTITY[self.name]
 
 
+def list_files(spark: SparkSession, inbox: str) -> tuple[DataFrame, list[str]]:
+    """(name, path, uri, length) of the expected files that are there, and the names of those that are not.
+
+    Spark lists the folders, so no path passes through Python.  Its partitions hold files
+    of a bounded number of bytes, or one larger file: what reads or copies them does so a
+    partition at a time.
+    """
+    places = {name: f"{inbox.rstrip('/')}/{name}" for name in FILE_ENTITY}
+    there = [name for name, path in places.items() if Folder(spark, path).exists()]
+    listed = _listed(spark, [places[name] for name in there])
+    absent = [name for name in FILE_ENTITY if name not in {r.name for r in listed.select("name").distinct().collect()}]
+    for name in absent:
+        log.warning("expected file %s is not in %s, skipped", name, inbox)
+    return listed, absent
+
+
+_LISTED = "name string, path string, uri string, length long"
+
+
+def _listed(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The files at or below some paths, each of them named by the contract."""
+    if not paths:
+        return spark.createDataFrame([], _LISTED)
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    path = F.col("path")
+    own = [F.when(path.endswith(f"/{name}") | path.contains(f"/{name}/"), F.lit(name)) for name in FILE_ENTITY]
+    return found.select(F.coalesce(*own).alias("name"), "path", F.col("_metadata.file_path").alias("uri"), "length")
+
+
 def find_files(spark: SparkSession, inbox: str) -> tuple[list[DeliveredFile], list[str]]:
-    """The expected files that are there, and the names of those that are not."""
-    found, absent = [], []
-    for name in FILE_ENTITY:
-        paths = Folder(spark, f"{inbox.rstrip('/')}/{name}").files()
-        found += [DeliveredFile(name, path) for path in paths]
-        if not paths:
-            absent.append(name)
-            log.warning("expected file %s is not in %s, skipped", name, inbox)
-    return found, absent
-
-
-def _open(path: str) -> tuple[fs.FileSystem, str]:
+    """As ``list_files``, as a list: for deliveries of few files."""
+    listed, absent = list_files(spark, inbox)
+    return [DeliveredFile(r.name, r.path) for r in listed.orderBy("name", "path").collect()], absent
+
+
+def _as_listed(spark: SparkSession, files: DataFrame | list[DeliveredFile]) -> DataFrame:
+    if isinstance(files, DataFrame):
+        return files
+    return _one_file_per_task(spark, [(f.name, f.path, f.path, None) for f in files], _LISTED)
+
+
+def store_settings(spark: SparkSession) -> dict[str, str]:
+    """What Hadoop is told of its object store, for the tasks that read and copy files themselves."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    names = ("endpoint", "endpoint.region", "access.key", "secret.key", "session.token", "path.style.access")
+    names += ("connection.ssl.enabled",)
+    return {name: conf.get(f"fs.s3a.{name}") for name in names if conf.get(f"fs.s3a.{name}")}
+
+
+def _open(path: str, settings: dict[str, str] | None = None) -> tuple[fs.FileSystem, str]:
     # Hadoop and Arrow name two schemes differently.
     uri = path.replace("s3a://", "s3://", 1)
     uri = "file://" + uri[len("file:"):] if uri.startswith("file:/") and not uri.startswith("file://") else uri
     if "://" not in uri:
         return fs.LocalFileSystem(), uri
+    if uri.startswith("file://"):  # a path of Hadoop, not an encoded URI
+        return fs.LocalFileSystem(), uri[len("file://") :]
+    if uri.startswith("s3://") and settings:
+        given = {
+            "access_key": settings.get("access.key"),
+            "secret_key": settings.get("secret.key"),
+            "session_token": settings.get("session.token"),
+            "endpoint_override": settings.get("endpoint"),
+            "region": settings.get("endpoint.region", "us-east-1"),
+            "scheme": "http" if settings.get("connection.ssl.enabled") == "false" else "https",
+            "force_virtual_addressing": settings.get("path.style.access") == "false",
+        }
+        return fs.S3FileSystem(**{k: v for k, v in given.items() if v is not None}), uri[len("s3://") :]
     return fs.FileSystem.from_uri(uri)
 
 
-def _first_line(path: str) -> str:
-    file_system, name = _open(path)
+def _first_line(path: str, settings: dict[str, str] | None = None) -> str:
+    file_system, name = _open(path, settings)
     line = b""
     with file_system.open_input_stream(name) as stream:
         while b"\n" not in line:
@@ -76,17 +128,19 @@ def _first_line(path: str) -> str:
             if not block:
                 break
             line += block
+            if len(line) > HEADER_BYTES and b"\n" not in line:
+                raise ContractError(f"{path}: no end of the header in its first {HEADER_BYTES} bytes")
     return line.split(b"\n")[0].decode("utf-8")
 
 
-def _copy(source: str, target: str) -> tuple[str, int]:
+def _copy(source: str, target: str, settings: dict[str, str] | None = None) -> tuple[str, int]:
     """Copy in chunks; the file appears under its name only when it is whole.
 
     Each attempt writes its own file, hidden from readers, so a task that is repeated
     or run twice at a time does no harm.
     """
-    from_fs, from_name = _open(source)
-    to_fs, to_name = _open(target)
+    from_fs, from_name = _open(source, settings)
+    to_fs, to_name = _open(target, settings)
     folder, name = to_name.rsplit("/", 1)
     unfinished = f"{folder}/_{name}.{uuid.uuid4().hex}"
     digest, size = hashlib.md5(), 0
@@ -108,17 +162,18 @@ def _one_file_per_task(spark: SparkSession, rows: list[tuple], schema: str) -> D
     return spark.createDataFrame(spark.sparkContext.parallelize(rows, max(1, len(rows))), schema)
 
 
-def file_headers(spark: SparkSession, files: list[DeliveredFile]) -> DataFrame:
-    """(name, path, columns): the header of every file, each opened by a task."""
+def file_headers(spark: SparkSession, files: DataFrame | list[DeliveredFile]) -> DataFrame:
+    """(name, path, columns, uri, header): the header of every listed file, read by tasks of many files."""
+    settings = store_settings(spark)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.assign(header=batch["path"].map(_first_line))
+            yield batch.assign(header=[_first_line(path, settings) for path in batch["path"]])
 
-    listed = _one_file_per_task(spark, [(f.name, f.path) for f in files], "name string, path string")
+    listed = _as_listed(spark, files).select("name", "path", "uri")
     columns = F.transform(F.split("header", ","), lambda c: F.regexp_replace(c, r"^\s+|\s+$", ""))
-    return listed.mapInPandas(read, "name string, path string, header string").select(
-        "name", "path", columns.alias("columns")
+    return listed.mapInPandas(read, "name string, path string, uri string, header string").select(
+        "name", "path", columns.alias("columns"), "uri", "header"
     )
 
 
@@ -167,32 +222,35 @@ def raw_path(raw: str, entity: str, ingestion_date: datetime.date, name: str) ->
 
 def copy_to_raw(
     spark: SparkSession,
-    files: list[DeliveredFile],
+    files: DataFrame | list[DeliveredFile],
     raw: str,
     ingestion_date: datetime.date,
     source: str = "inbox",
 ) -> DataFrame:
-    """Copy the files into the raw zone, byte for byte, and return their manifest.
+    """Copy listed files into the raw zone, byte for byte, and return their manifest.
 
-    (name, entity, path, md5, length, ingestion_date, source).  One task per file,
-    read in chunks, so a file of any size passes; repeating a task is harmless.
+    (name, entity, path, md5, length, ingestion_date, source).  Files are read in chunks, so
+    one of any size passes; repeating a task is harmless.
     """
-    for name in {f.name for f in files}:  # parts of an earlier delivery must not linger
+    settings, listed = store_settings(spark), _as_listed(spark, files)
+    names = {r.name for r in listed.select("name").distinct().collect()}
+    for name in names:  # parts of an earlier delivery must not linger
         Folder(spark, raw_path(raw, FILE_ENTITY[name], ingestion_date, name)).delete()
-    rows = []
-    for f in files:
-        target = raw_path(raw, f.entity, ingestion_date, f.name)
-        if not f.path.endswith(f"/{f.name}"):  # a part file keeps its name below the folder
-            target = f"{target}/{f.path.rsplit('/', 1)[1]}"
-        rows.append((f.name, f.entity, f.path, target))
+    whole = F.create_map(*[F.lit(x) for n in FILE_ENTITY for x in (n, raw_path(raw, FILE_ENTITY[n], ingestion_date, n))])
+    entity = F.create_map(*[F.lit(x) for pair in FILE_ENTITY.items() for x in pair])
+    # A part file keeps its name below the folder.
+    is_part = ~F.expr("endswith(path, concat('/', name))")
+    part = F.when(is_part, F.concat(F.lit("/"), F.element_at(F.split("path", "/"), -1))).otherwise("")
+    rows = listed.select(
+        "name", entity[F.col("name")].alias("entity"), "path", F.concat(whole[F.col("name")], part).alias("target")
+    )
 
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            copied = [_copy(s, t) for s, t in zip(batch["path"], batch["target"])]
+            copied = [_copy(s, t, settings) for s, t in zip(batch["path"], batch["target"])]
             yield batch.assign(md5=[c[0] for c in copied], length=[c[1] for c in copied])
 
-    listed = _one_file_per_task(spark, rows, "name string, entity string, path string, target string")
-    return listed.mapInPandas(
+    return rows.mapInPandas(
         copy, "name string, entity string, path string, target string, md5 string, length long"
     ).select(
         "name",
@@ -313,20 +371,40 @@ def scan_raw(
     spark: SparkSession, raw: str, ingestion_date: datetime.date, names: list[str]
 ) -> dict[str, DataFrame]:
     """Delivered files of one date, as they lie in the raw zone, with ``LINE`` and ``FILE``."""
-    files = []
     whole = {name: raw_path(raw, FILE_ENTITY[name], ingestion_date, name) for name in names}
+    for path in whole.values():
+        if not Folder(spark, path).exists():
+            raise FileNotFoundError(f"{path} has not been delivered")
+    headers = file_headers(spark, _listed(spark, list(whole.values())))
+    seen: dict[str, list] = {name: [] for name in names}
+    for r in headers.select("name", "columns", "header").distinct().collect():  # one row per header, not per file
+        seen[r.name].append(r)
     for name, path in whole.items():
-        found = [DeliveredFile(name, part) for part in Folder(spark, path).files()]
-        if not found:
+        if not seen[name]:
             raise FileNotFoundError(f"{path} has not been delivered")
-        files += found
-    headers = file_headers(spark, files)
-    seen: dict[str, list[list[str]]] = {name: [] for name in names}
-    for r in headers.select("name", "columns").distinct().collect():  # one row per header, not per file
-        seen[r.name].append(list(r.columns))
-    columns = {name: {whole[name]: found[0]} for name, found in seen.items() if len(found) == 1}
-    mixed = [name for name in names if name not in columns]
-    if mixed:  # folders whose files differ in their headers are read file by file
-        for r in headers.filter(F.col("name").isin(mixed)).collect():
-            columns.setdefault(r.name, {})[r.path] = list(r.columns)
-    return {name: read_csv(spark, columns[name]) for name in names}
+    scans = {}
+    for name, found in seen.items():
+        if len({tuple(r["columns"]) for r in found}) == 1:
+            scans[name] = read_csv(spark, {whole[name]: list(found[0]["columns"])})
+        else:
+            scans[name] = _read_mixed(spark, whole[name], headers.filter(F.col("name") == name), found)
+    return scans
+
+
+def _read_mixed(spark: SparkSession, folder: str, headers: DataFrame, seen: list) -> DataFrame:
+    """The rows of a folder whose files differ in their headers: each line is parsed by the header of its file.
+
+    The driver knows the distinct headers, not the files.  Lines equal to the header of
+    their file are no rows.
+    """
+    lines = spark.read.option("recursiveFileLookup", "true").text(folder)
+    lines = lines.select("value", F.col("_metadata.file_path").alias(FILE)).filter("trim(value) != ''")
+    known = headers.select(F.col("uri").alias(FILE), "header")
+    own = lines.join(known, FILE).filter(F.rtrim("value", F.lit("\r")) != F.rtrim("header", F.lit("\r")))
+    result = None
+    for r in sorted(seen, key=lambda r: r.header):
+        fields = ", ".join(f"`{c.replace('`', '``')}` string" for c in (*r["columns"], LINE))
+        parsed = F.from_csv("value", fields, {"columnNameOfCorruptRecord": LINE, "mode": "PERMISSIVE"})
+        rows = own.filter(F.col("header") == r.header).select(parsed.alias("row"), FILE).select("row.*", FILE)
+        result = rows if result is None else result.unionByName(rows, allowMissingColumns=True)
+    return result

@@ -101,3 +101,58 @@ def test_files_with_different_headers_are_read_by_name(spark, tmp_path):
 def test_undelivered_file_is_named(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="payments.csv"):
         deliveries.read_raw(spark, str(tmp_path), DAY, ["payments.csv"])
+
+
+def test_many_parts_are_listed_and_copied_a_partition_at_a_time(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "in" / "payments.csv"
+    os.makedirs(folder)
+    for i in range(600):
+        (folder / f"part {i}+%20.csv").write_text(f"{HEADER}\n{i},1,2024-01-01,1,x,\n")
+    put(str(tmp_path / "in"), "policies.csv", FILE_HEADERS["policies.csv"] + "\n")
+    files, absent = deliveries.list_files(spark, str(tmp_path / "in"))
+    assert absent == ["claimants.csv", "claims_v1.csv", "claims_v2.csv", "employers.csv"]
+    assert files.count() == 601 and files.rdd.getNumPartitions() < 60
+    headers = deliveries.file_headers(spark, files)
+    assert [len(h) for h in deliveries.check_contract(deliveries.contract_report(headers)).values()] == [1, 1]
+    deliveries.copy_to_raw(spark, files, str(tmp_path / "raw"), DAY).write.parquet(str(tmp_path / "manifest"))
+    manifest = spark.read.parquet(str(tmp_path / "manifest"))
+    assert manifest.count() == manifest.select("path").distinct().count() == 601
+    deliveries.check_raw(spark, str(tmp_path / "raw"), DAY, manifest)
+    rows = deliveries.read_raw(spark, str(tmp_path / "raw"), DAY, ["payments.csv"])["payments.csv"]
+    assert sorted(int(r.payment_id) for r in rows.collect()) == list(range(600))
+
+
+def test_parts_with_other_headers_are_parsed_by_their_own(spark, tmp_path):
+    folder = tmp_path / "in" / "payments.csv"
+    os.makedirs(folder)
+    names = HEADER.split(",")
+    for i in range(9):
+        order = names if i % 3 else [*reversed(names), "channel"]
+        values = {**dict.fromkeys(names, ""), "payment_id": str(i), "payment_type": '"a,b"', "channel": "web"}
+        lines = [",".join(order), ",".join(values[c] for c in order), "", "cut,off"]
+        (folder / f"p {i}.csv").write_text("\r\n".join(lines) + "\r\n")
+    files, _ = deliveries.list_files(spark, str(tmp_path / "in"))
+    deliveries.copy_to_raw(spark, files, str(tmp_path / "raw"), DAY).write.parquet(str(tmp_path / "m"))
+    scan = deliveries.scan_raw(spark, str(tmp_path / "raw"), DAY, ["payments.csv"])["payments.csv"]
+    rows = deliveries.well_formed(scan)
+    assert sorted((r.payment_id, r.payment_type, r.channel, r.claim_id) for r in rows.collect()) == [
+        (str(i), "a,b", None if i % 3 else "web", None) for i in range(9)
+    ]
+    bad = deliveries.quarantine(scan, "payments.csv", DAY).collect()
+    assert len(bad) == len({r.file for r in bad}) == 9 and {r.line.strip() for r in bad} == {"cut,off"}
+
+
+def test_store_settings_reach_the_tasks(spark):
+    from pyarrow import fs
+
+    settings = {"endpoint": "localhost:1", "access.key": "a", "secret.key": "b", "connection.ssl.enabled": "false"}
+    store, name = deliveries._open("s3a://bucket/a b/c.csv", settings)
+    assert isinstance(store, fs.S3FileSystem) and name == "bucket/a b/c.csv" and store.region == "us-east-1"
+    assert deliveries._open("file:/tmp/a%20b")[1] == "/tmp/a%20b"
+
+
+def test_a_file_without_line_ends_is_refused(spark, tmp_path, monkeypatch):
+    path = put(str(tmp_path), "payments.csv", "x" * 300_000)
+    monkeypatch.setattr(deliveries, "HEADER_BYTES", 100_000)
+    with pytest.raises(deliveries.ContractError, match="no end of the header"):
+        deliveries._first_line(path)
