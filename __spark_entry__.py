@@ -25,7 +25,7 @@ import oracle  # noqa: E402
 from claimloom.operators import calendar, evolution, quality, repair, scd2, staging, versions  # noqa: E402
 from claimloom.operators.keys import number_rows  # noqa: E402
 from claimloom.plans import catalog, entities, facts, views  # noqa: E402
-from claimloom.plans.pipeline import RunResult, Warehouse, at_once  # noqa: E402
+from claimloom.plans.pipeline import RunResult, StepError, Warehouse, at_once  # noqa: E402
 from claimloom.schemas import (  # noqa: E402
     CLAIMANT,
     CLUSTER_COLUMNS,
@@ -442,6 +442,26 @@ def _missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.payments(fx.source(spark, sf_dir, "payments").drop("payment_type", "payment_amount"))
 
 
+def _run_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How runs end: without an inbox, on a broken delivery, on failed checks, repeated, named."""
+    warehouse = Warehouse(spark, work_folder(spark, "warehouse"))
+    inbox, broken = work_folder(spark, "inbox"), work_folder(spark, "broken")
+    _deliver(spark, sf_dir, inbox)
+    fx.source(spark, sf_dir, "payments").drop("claim_id").write.option("header", True).csv(f"{broken}/payments.csv")
+    rows = []
+    for case, folder, floor in (("no inbox", "", 1), ("broken delivery", broken, 1), ("whole run", inbox, 10**9)):
+        try:
+            warehouse.run(folder, DAY1, DAY1, row_floor=floor)
+        except (ValueError, StepError, quality.QualityError) as error:
+            rows.append((case, str(error).split(" (")[0].split("; failed: ")[-1]))
+    ids = [warehouse.run_id(DAY1, DAY1), warehouse.run_id(DAY1, DAY1, "backfill"), warehouse.run_id(DAY2, DAY2)]
+    rows.append(("run ids", ", ".join(ids)))
+    last = warehouse.check_trend().filter("result = 'FAIL'").select("check_name").collect()
+    rows.append(("kept failures", ", ".join(sorted(r.check_name for r in last))))
+    rows.append(("claims loaded", str(warehouse.table("fact_claim").count())))
+    return spark.createDataFrame(rows, "case_name string, outcome string")
+
+
 def _check_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kept reports of three runs, the second on a star with faults, the third with a floor too high."""
     store = Store(spark, work_folder(spark, "tables"))
@@ -555,6 +575,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "published_view": _published_view,
         "missing_columns": _missing_columns,
         "check_trend": _check_trend,
+        "run_outcomes": _run_outcomes,
         "evolution_log": _evolution_log,
         "added_column": _added_column,
     }

@@ -45,18 +45,29 @@ def is_faulty(schema: T.StructType) -> Column:
 def staged(landed: DataFrame, schema: T.StructType) -> DataFrame:
     """Landed rows as the staging table has them: by name, whatever else has landed.
 
-    A required column must be there; another one that did not land is NULL, as is text that
-    does not parse as the type a column has been given.
+    A required column must be there; another one that did not land is NULL.  In a column that
+    was added, text that does not parse as its type is NULL.
     """
     absent = [f.name for f in schema.fields if not f.nullable and f.name not in landed.columns]
     if absent:
         raise LoadError(f"landed files lack {', '.join(absent)}")
-    return landed.select(
-        *[
-            (F.col(f.name) if f.name in landed.columns else F.lit(None)).try_cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+
+    def typed(field: T.StructField) -> Column:
+        column = F.col(field.name) if field.name in landed.columns else F.lit(None)
+        return column.try_cast(field.dataType) if field.metadata.get("added") else column.cast(field.dataType)
+
+    return landed.select(*[typed(f).alias(f.name) for f in schema.fields])
+
+
+def unfit(stored: T.StructType, declared: T.StructType) -> list[str]:
+    """What keeps files of one schema from being read under another, by their footers: columns gone or of other types."""
+    kinds = {f.name: f.dataType for f in stored}
+    found = [f"{f.name} is not there" for f in declared if f.name not in kinds]
+    return found + [
+        f"{f.name} is {kinds[f.name].simpleString()}, not {f.dataType.simpleString()}"
+        for f in declared
+        if f.name in kinds and kinds[f.name] != f.dataType
+    ]
 
 
 def rejects(rows: DataFrame, schema: T.StructType) -> DataFrame:

@@ -68,7 +68,7 @@ class ColumnLog:
         own = [r for r in self._last() if r.table == f"warehouse.{spec.name}" and not r.dropped]
         known = set(spec.schema.fieldNames())
         more = [r for r in own if r.column not in known]
-        fields = tuple(T.StructField(r.column, _parsed(self.spark, r.type)) for r in more)
+        fields = tuple(T.StructField(r.column, _parsed(self.spark, r.type), True, {"added": True}) for r in more)
         return replace(spec, added=fields, tracked=(*spec.tracked, *[r.column for r in more if r.tracked]))
 
 

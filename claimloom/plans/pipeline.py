@@ -266,8 +266,15 @@ class Warehouse:
         log.info("%s: %d rows found their dimensions", name, seen.get["rows"])
 
     def load_log(self, run: str) -> None:
-        """Append the events the transformation of this run has stored; a repeated load replaces its own."""
+        """Append the events the transformation of this run has stored; a repeated load replaces its own.
+
+        Events that do not fit the log are warned of and left out; the rest is loaded.
+        """
         events = self._changes(run)
+        stored = self.spark.read.parquet(self.store.last_attempt("schema_changes", run)).schema
+        if faults := staging.unfit(stored, evolution.EVENT_SCHEMA):
+            log.warning("schema evolution events of %s are not loaded: %s", run, "; ".join(faults))
+            return
         if events.isEmpty():
             log.info("no schema evolution events")
             if self.store.last_attempt("schema_evolution_log", run):

@@ -457,6 +457,21 @@ def _missing_columns() -> str:
     )
 
 
+def _run_outcomes() -> str:
+    checks = _quality(floor=10**9)
+    fixed = {
+        "no inbox": "inbox is required: the folder the delivery lies in",
+        "broken delivery": "extraction failed: payments.csv: missing columns [''claim_id'']",
+        "run ids": f"000001_{DAY1}_{DAY1}, 000002_backfill, 000002_{DAY2}_{DAY2}",
+    }
+    body = " UNION ALL ".join(f"SELECT '{case}' AS case_name, '{text}' AS outcome" for case, text in fixed.items())
+    # The error names the checks in the order of the report, here always one or two.
+    for case in ("whole run", "kept failures"):
+        body += f" UNION ALL SELECT '{case}', string_agg(check_name, ', ' ORDER BY check_name) FROM failed"
+    body += " UNION ALL SELECT 'claims loaded', value::VARCHAR FROM checks WHERE check_name = 'fact_claim row count'"
+    return _with({"checks": checks, "failed": "SELECT check_name FROM checks WHERE result = 'FAIL'"}, body)
+
+
 def _check_trend() -> str:
     runs = ((1, _D1, _quality(floor=1)), (2, _D2, _faulty_quality()), (3, _D2, _quality(floor=10**9)))
     history = " UNION ALL ".join(f"SELECT '{run}' AS run, {day} AS checked_on, * FROM ({text}) t" for run, day, text in runs)
@@ -563,6 +578,7 @@ def statements() -> dict[str, str]:
         "published_view": _with(_after_two_days(), _SUMMARY),
         "missing_columns": _missing_columns(),
         "check_trend": _check_trend(),
+        "run_outcomes": _run_outcomes(),
     }
     parts = {"expired": "SELECT * EXCLUDE (just_closed) FROM after_expiry WHERE just_closed",
              "new": "SELECT * FROM brand_new", "changed": "SELECT * FROM changed"}

@@ -5,7 +5,7 @@ import datetime
 import pytest
 from test_pipeline import deliver, person
 
-from claimloom.operators import evolution, quality
+from claimloom.operators import evolution, quality, staging
 from claimloom.plans import catalog
 from claimloom.plans.pipeline import Warehouse
 from claimloom.schemas import FILE_HEADERS
@@ -79,3 +79,19 @@ def test_landings_checks_and_columns_of_three_runs(spark, tmp_path):
     assert catalog._merged("t", landed.schema, landed.schema) == landed.schema
     with pytest.raises(ValueError, match="email is int, not string"):
         catalog._merged("t", landed.schema, spark.sql("SELECT 1 AS email").schema)
+
+
+def test_events_that_do_not_fit_are_warned_of_and_skipped(spark, tmp_path, caplog):
+    warehouse = Warehouse(spark, str(tmp_path / "root"))
+    event = ("claims", D1, "a", "b", "[]", "[]", "[]", "[]")
+    for run, schema in (("1", evolution.EVENT_SCHEMA), ("2", None), ("3", evolution.EVENT_SCHEMA)):
+        events = spark.createDataFrame([event], evolution.EVENT_SCHEMA)
+        if schema is None:
+            events = events.withColumn("entity", events.detection_date).drop("added_columns")
+        warehouse.store.write("schema_changes", events, run)
+        warehouse.load_log(run)
+    assert "2 are not loaded: added_columns is not there; entity is date, not string" in caplog.text
+    log = warehouse.table("schema_evolution_log").orderBy("log_id").collect()
+    assert [(r.log_id, r.entity) for r in log] == [(1, "claims"), (2, "claims")]
+    with pytest.raises(staging.LoadError, match="has not been transformed"):
+        warehouse.load_log("4")
