@@ -8,12 +8,19 @@ from pyspark.sql import functions as F
 from claimloom.operators.keys import where_landed
 from claimloom.sources.paths import land, work_folder
 
+
 def newest_first(df: DataFrame, column: str, key: str) -> list[Column]:
     """A total order: newest ``column`` first (NULL last), ties settled by content."""
     rest = [c for c in df.columns if c not in (column, key)]
     return [F.col(column).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in rest]]
 
 
+def newest_by_hash(df: DataFrame, column: str, key: str) -> list[Column]:
+    """As ``newest_first``, ties settled by a hash of the content: what is ranked stays narrow."""
+    rest = [c for c in df.columns if c not in (column, key)]
+    return [F.col(column).desc_nulls_last(), F.xxhash64(*rest).asc()]
+
+
 def flag_newest(
     df: DataFrame, key: str, order: list[Column], flag: str = "is_current", landing: str | None = None
 ) -> DataFrame:
@@ -22,7 +29,8 @@ def flag_newest(
     One plan for all sizes: the rows land, so the input is read once and every row has an
     identity; the newest of each key is found as in ``keep_newest``, each map task sending
     one row per key; and the flag comes back by identity, which is even however many rows
-    a key has.  Of rows equal in ``order`` the one that landed first is marked.
+    a key has.  Only key, identity and what ``order`` names are shuffled to be ranked.  Of
+    rows equal in ``order`` the one that landed first is marked.
     """
     landed = land(df, landing or work_folder(df.sparkSession, f"versions-{key}"))
     placed = where_landed(landed)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimloom.functions.cleaning import conform, trimmed, try_convert
-from claimloom.operators.versions import flag_newest, keep_newest, newest_first
+from claimloom.operators.versions import flag_newest, keep_newest, newest_by_hash, newest_first
 from claimloom.schemas import STAGING
 
 _DERIVED = ("effective_from", "effective_to", "is_current")
@@ -31,7 +31,7 @@ def _versions(
     The cleaned rows land in ``landing``, a new work folder if it is not given.
     """
     known = rows.filter(F.col(key).isNotNull())
-    flagged = flag_newest(known, key, newest_first(known, "updated_at", key), "is_current", landing)
+    flagged = flag_newest(known, key, newest_by_hash(known, "updated_at", key), "is_current", landing)
     columns = [c for c in known.columns if c not in _DERIVED]
     return flagged.select(
         *columns,

@@ -4,7 +4,7 @@ from conftest import text_rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from claimloom.operators.versions import flag_newest, keep_newest, newest_first
+from claimloom.operators.versions import flag_newest, keep_newest, newest_by_hash, newest_first
 from claimloom.plans import entities
 from claimloom.schemas import FILE_HEADERS
 
@@ -198,3 +198,18 @@ def test_dedup_limits_each_key_before_the_shuffle(spark):
     exchange = plan.index("Exchange hashpartitioning")
     assert "Partial" in plan[exchange:], plan
     assert sorted(r.created_at for r in kept.collect()) == list(range(93, 100))
+
+
+def test_only_narrow_rows_are_ranked(spark):
+    rows = spark.range(500).select(
+        (F.col("id") % 90).alias("key"),
+        (F.col("id") % 7).alias("updated_at"),
+        *[F.col("id").cast("string").alias(f"wide{i}") for i in range(9)],
+    )
+    flagged = flag_newest(rows, "key", newest_by_hash(rows, "updated_at", "key"))
+    assert flagged.filter("is_current").select("key").distinct().count() == flagged.filter("is_current").count() == 90
+    best = {r.key: r.m for r in rows.groupBy("key").agg(F.max("updated_at").alias("m")).collect()}
+    assert all(best[r.key] == r.updated_at for r in flagged.filter("is_current").collect())
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    ranked = plan[plan.index("WindowGroupLimit") :]
+    assert "_w0" in ranked and "wide1" not in ranked[: ranked.index("xxhash64")], plan
