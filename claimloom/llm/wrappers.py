@@ -8,10 +8,11 @@ between two forms is ever needed, so the expression stays union-free, and mergin
 same work wherever it happens: partial wrappers of a host are merged in map tasks, then
 by host and salt, then by host.
 
-Main text is what lies below an article or main element of a page.  On pages without one
-the text slots of the host's expression tell.  Each such page is matched against it, which
-puts every block into one slot; slots whose text changes over these pages are main text,
-never those below menus, notices and the like.
+Every page is matched against the expression of its host, which puts each block into one
+text slot, and the slots decide.  Slots below an article or main element are main text;
+those below menus, notices and the like never are.  On a page that has no block in the
+former, the other slots count, without the blocks that the host repeats there: a text that
+stands in one slot on most of the pages without main element.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ import html
 import json
 import re
 from bisect import bisect_right
-from collections.abc import Callable, Iterable, Iterator
-from itertools import accumulate, count, groupby
+from collections.abc import Iterable, Iterator
+from itertools import accumulate, groupby
 
 import xxhash
 from pyspark import TaskContext
@@ -66,6 +67,13 @@ CLOSES = {
 MAX_DEPTH = 120
 SALTS = 32
 HELD_HOSTS = 500
+#: Shapes of pages a task remembers to have merged; results stay the same.
+KNOWN_SHAPES = 10_000
+#: A text is repeated by its host if it stands in one slot on so many of the plain pages at least, and this share of them:
+#: that two pages agree proves nothing, and a page or two without it disprove nothing.
+LEAST_PAGES, LEAST_SHARE = 3, 2 / 3
+#: One word that a slot holds beside others, like the label of a section, is no repeated text unless it fills this share.
+FILLS_SLOT = 0.9
 #: A needed place counts this much and one, so most places come first.
 WEIGHT = 1 << 20
 #: Sequences of labels a level keeps the places of; results stay the same.
@@ -300,29 +308,36 @@ def align(a: Expression, b: Expression) -> Expression:
 class Level:
     """One level of an expression: its places in order, groups dissolved, each with its body.
 
+    ``kinds`` gets what each text slot is by the labels it lies below; a slot's number is its place there.
+
     A place is (label, last place from which it is reached, weight).  Anything may be
     skipped; from within a repeated group its other places are reached again.
     """
 
-    def __init__(self, items: Expression, numbers: Iterator[int]):
+    def __init__(self, items: Expression, kinds: list[str], path: str = ""):
         self.bodies: list[Level | int] = []  # the level below or, of a text slot, its number
         self._places: list[tuple[str, int, int]] = []
         self._by_label: dict[str, list[int]] = {}
         self._known: dict[tuple[str, ...], list[int | None]] = {}
-        self._add(items, numbers, True)
+        self._path = path
+        self._add(items, kinds, True)
         for place, (label, _, _) in enumerate(self._places):
             self._by_label.setdefault(label, []).append(place)
 
-    def _add(self, items: Expression, numbers: Iterator[int], needed: bool) -> None:
+    def _add(self, items: Expression, kinds: list[str], needed: bool) -> None:
         for label, quantifier, body in items:
             must = needed and quantifier in "1+"
             first = len(self._places)
             if label == "()":
-                self._add(body, numbers, must)
+                self._add(body, kinds, must)
                 last = len(self._places) - 1
                 self._places[first:] = [(name, last, weight) for name, _, weight in self._places[first:]]
                 continue
-            self.bodies.append(next(numbers) if label == "#" else Level(body, numbers))
+            if label == "#":
+                self.bodies.append(len(kinds))
+                kinds.append(kind_of(self._path))
+            else:
+                self.bodies.append(Level(body, kinds, f"{self._path}/{label}"))
             self._places.append((label, first if quantifier in "+*" else first - 1, WEIGHT + must))
 
     def places(self, labels: tuple[str, ...]) -> list[int | None]:
@@ -361,7 +376,8 @@ class Slots:
     """The text slots of an expression, numbered in its order."""
 
     def __init__(self, expression: Expression | None):
-        self._top = Level(expression or [], count())
+        self.kinds: list[str] = []
+        self._top = Level(expression or [], self.kinds)
 
     def of(self, tree: Expression) -> dict[int, int]:
         """The slot of each block of a page; blocks in elements the expression lacks have none."""
@@ -388,19 +404,13 @@ def _hash(text: str) -> str:
 
 
 class Wrapper:
-    """What is known of a host: its expression, and for each of its text slots (pages, letters, hash).
+    """What is known of a host: its expression, the number of its pages, and of the plain ones among them.
 
-    Slots are known by their number and counted, once the expression is whole, over the
-    ``plain`` pages: those with text, but with none below an article or main element.  The
-    hash is 128 bits of a slot's whole text on a page if that was the same on all plain
-    pages so far, else None.
+    Plain pages are those with text, but with none below an article or main element.
     """
 
-    def __init__(
-        self, expression: Expression | None = None, slots: dict | None = None, pages: int = 0, plain: int = 0
-    ):
+    def __init__(self, expression: Expression | None = None, pages: int = 0, plain: int = 0):
         self.expression = expression
-        self.slots: dict[str, list] = slots or {}
         self.pages = pages
         self.plain = plain
         self._known: set[str] = set()
@@ -408,38 +418,31 @@ class Wrapper:
     @classmethod
     def read(cls, text: str) -> Wrapper:
         found = json.loads(text)
-        return cls(found["expression"], found["slots"], found["pages"], found["plain"])
+        return cls(found["expression"], found["pages"], found["plain"])
 
     def write(self) -> str:
-        found = {"expression": self.expression, "slots": self.slots, "pages": self.pages, "plain": self.plain}
-        return json.dumps(found)
+        return json.dumps({"expression": self.expression, "pages": self.pages, "plain": self.plain})
 
     def add_page(self, page: str) -> None:
         """Learn the expression of a page."""
         blocks, expression = blocks_of(page)
-        key = json.dumps(expression)
-        if key not in self._known:
+        shape = _hash(json.dumps(expression))
+        if shape not in self._known:
+            if len(self._known) >= KNOWN_SHAPES:
+                self._known.clear()
             self._join(expression)
-            self._known.add(key)
+            self._known.add(shape)
         self.pages += 1
         self.plain += is_plain(blocks)
 
-    def count_page(self, page: str, slots: Slots) -> None:
-        """Count the texts of a page, if it is plain, in the slots of the host's whole expression."""
-        blocks, tree = blocks_of(page, folded=False)
-        self.pages += 1
-        if not is_plain(blocks):
-            return
-        found: dict[int, list[str]] = {}
-        for number, slot in sorted(slots.of(tree).items()):
-            found.setdefault(slot, []).append(blocks[number][1])
-        self._count({str(s): [1, sum(map(len, t)), _hash("\n".join(t))] for s, t in found.items()})
-        self.plain += 1
+    @property
+    def slots(self) -> list[str]:
+        """What each text slot of the expression is: main, open or never."""
+        return Slots(self.expression).kinds
 
     def merge(self, other: Wrapper) -> None:
         if other.expression is not None:
             self._join(other.expression)
-        self._count(other.slots)
         self.pages += other.pages
         self.plain += other.plain
 
@@ -447,19 +450,18 @@ class Wrapper:
         known = self.expression
         self.expression = expression if known is None else align(known, expression)
 
-    def _count(self, slots: dict[str, list]) -> None:
-        for slot, (pages, letters, whole) in slots.items():
-            known = self.slots.get(slot)
-            if known is None:
-                self.slots[slot] = [pages, letters, whole]
-            else:
-                same = whole if whole == known[2] else None
-                self.slots[slot] = [known[0] + pages, known[1] + letters, same]
 
-    def fixed_slots(self) -> list[int]:
-        """Numbers of the slots that hold one text on all plain pages, if these are more than one."""
-        found = self.slots.items()
-        return sorted(int(s) for s, (pages, _, same) in found if same is not None and pages == self.plain > 1)
+def texts_in_slots(page: str, slots: Slots) -> list[tuple[int, str, int, int]]:
+    """(slot, hash of a text, words in it, how often it stands there) of a page if it is plain."""
+    blocks, tree = blocks_of(page, folded=False)
+    if not is_plain(blocks):
+        return []
+    found: dict[tuple[int, str], list[int]] = {}
+    for number, slot in slots.of(tree).items():
+        if slots.kinds[slot] == "open":
+            text = blocks[number][1]
+            found.setdefault((slot, _hash(text)), [text.count(" ") + 1, 0])[1] += 1
+    return [(slot, text, words, times) for (slot, text), (words, times) in found.items()]
 
 
 def is_plain(blocks: list[tuple[str, str]]) -> bool:
@@ -474,22 +476,34 @@ def may_be_main(path: str) -> bool:
     return "/-" not in path and "header" not in path.split("/")
 
 
-def main_text(page: str, slots: Slots | None = None, fixed: frozenset[int] = frozenset()) -> str:
-    """The blocks below an article or main element, else those in other slots than the fixed ones, a line each.
+def kind_of(path: str) -> str:
+    return "main" if below_main(path) else "open" if may_be_main(path) else "never"
+
 
-    A page that has nothing but fixed text is judged alone.
+def main_text(page: str, slots: Slots | None = None, repeated: frozenset[tuple[int, str]] = frozenset()) -> str:
+    """The blocks in main slots, else those in open ones that the host does not repeat there, a line each.
+
+    A page that has nothing but repeated text is judged alone, as is one without ``slots``;
+    a block that has no slot counts by the elements it lies below.
     """
     blocks, tree = blocks_of(page, folded=False)
-    chosen = [text for path, text in blocks if below_main(path)]
+    of = slots.of(tree) if slots else {}
+    kinds = [slots.kinds[of[k]] if k in of else kind_of(path) for k, (path, _) in enumerate(blocks)]
+    chosen = [text for kind, (_, text) in zip(kinds, blocks) if kind == "main"]
     if not chosen:
-        of = slots.of(tree) if slots and fixed else {}
-        outside = [(of.get(number), text) for number, (path, text) in enumerate(blocks) if may_be_main(path)]
-        chosen = [text for slot, text in outside if slot not in fixed] or [text for _, text in outside]
+        outside = [(of.get(k), text) for k, (kind, (_, text)) in enumerate(zip(kinds, blocks)) if kind == "open"]
+        own = [text for slot, text in outside if not repeated or (slot, _hash(text)) not in repeated]
+        chosen = own or [text for _, text in outside]
     return "\n".join(chosen)
 
 
-def _wrappers(rows: DataFrame, learn: Callable[[Wrapper, str, bytes | None], None]) -> DataFrame:
-    """host, wrapper (JSON) for every host of ``rows``: host, html and what else ``learn`` needs.
+def _with_html(pages: DataFrame) -> DataFrame:
+    host, _ = split_url(pages["url"])
+    return columns(pages, host=host, html="html").filter("html IS NOT NULL")
+
+
+def infer(pages: DataFrame) -> DataFrame:
+    """host, wrapper (JSON) for every host of ``pages``, its expression inferred from all its pages with html.
 
     Map tasks merge the pages they read and hand on one wrapper per host, so a host with
     a third of all pages is merged by as many tasks as read it, then by ``SALTS`` tasks.
@@ -497,11 +511,11 @@ def _wrappers(rows: DataFrame, learn: Callable[[Wrapper, str, bytes | None], Non
 
     def partial(rows: Iterable[tuple]) -> Iterator[tuple]:
         salt, known = TaskContext.get().partitionId() % SALTS, {}
-        for host, page, *more in rows:
+        for host, page in rows:
             if host not in known and len(known) >= HELD_HOSTS:
                 yield from ((h.decode(), salt, w.write()) for h, w in known.items())
                 known = {}
-            learn(known.setdefault(host, Wrapper()), page.decode("utf-8", "replace"), *more)
+            known.setdefault(host, Wrapper()).add_page(page.decode("utf-8", "replace"))
         yield from ((h.decode(), salt, w.write()) for h, w in known.items())
 
     def merge(rows: Iterable[tuple]) -> Iterator[tuple]:
@@ -511,32 +525,38 @@ def _wrappers(rows: DataFrame, learn: Callable[[Wrapper, str, bytes | None], Non
                 wrapper.merge(Wrapper.read(row[-1].decode()))
             yield key[0].decode(), *key[1:], wrapper.write()
 
-    parts = map_rows(rows, partial, "host string, salt int, wrapper string", rows=100)
+    parts = map_rows(_with_html(pages), partial, "host string, salt int, wrapper string", rows=100)
     salted = parts.repartition("host", "salt").sortWithinPartitions("host", "salt", "wrapper")
     parts = map_rows(salted, merge, "host string, salt int, wrapper string", rows=100)
     by_host = parts.select("host", "wrapper").repartition("host").sortWithinPartitions("host", "wrapper")
     return map_rows(by_host, merge, "host string, wrapper string", rows=100)
 
 
-def _with_html(pages: DataFrame) -> DataFrame:
-    host, _ = split_url(pages["url"])
-    return columns(pages, host=host, html="html").filter("html IS NOT NULL")
-
-
-def infer(pages: DataFrame) -> DataFrame:
-    """host, wrapper (JSON) for every host of ``pages``, its expression inferred from all its pages with html."""
-    return _wrappers(_with_html(pages), lambda wrapper, page: wrapper.add_page(page))
-
-
-def count_slots(pages: DataFrame, expressions: DataFrame) -> DataFrame:
-    """host, wrapper (JSON) for the hosts of ``expressions``, its slots counted over all their pages with html."""
-    rows = _with_html(pages).join(expressions, "host").select("host", "html", "expression")
-    known: dict[bytes, Slots] = {}
+def repeated_texts(pages: DataFrame, expressions: DataFrame, scratch: Scratch) -> DataFrame:
+    """host, repeated: the texts (slot, hash) that a host repeats in its open slots.
 
-    def add(wrapper: Wrapper, page: str, expression: bytes) -> None:
-        wrapper.count_page(page, _slots(known, expression))
+    Texts are counted per host, slot and hash by all tasks that read the host; what is left
+    is no more than a few texts for each slot, as each stands on most of the plain pages.
+    """
+    crowded = expressions.filter(F.col("plain") >= LEAST_PAGES)
+    rows = _with_html(pages).join(crowded, "host").select("host", "html", "expression")
 
-    return _wrappers(rows, add)
+    def texts(rows: Iterable[tuple]) -> Iterator[tuple]:
+        known: dict[bytes, Slots] = {}
+        for host, page, expression in rows:
+            for found in texts_in_slots(page.decode("utf-8", "replace"), _slots(known, expression)):
+                yield host.decode(), *found
+
+    each = map_rows(rows, texts, "host string, slot bigint, text string, words bigint, times bigint", rows=5000)
+    counted = each.groupBy("host", "slot", "text").agg(
+        F.count(F.lit(1)).alias("pages"), F.max("words").alias("words"), F.sum("times").alias("times")
+    )
+    counts = scratch.land(counted, "counts")
+    filled = counts.groupBy("host", "slot").agg(F.sum("times").alias("filled"))
+    most = F.greatest(F.lit(LEAST_PAGES), F.col("plain") * LEAST_SHARE)
+    often = counts.join(crowded.select("host", "plain"), "host").filter(F.col("pages") >= most)
+    own = often.join(filled, ["host", "slot"]).filter((F.col("words") > 1) | (F.col("times") >= F.col("filled") * FILLS_SLOT))
+    return own.groupBy("host").agg(F.to_json(F.collect_list(F.struct("slot", "text"))).alias("repeated"))
 
 
 def _slots(known: dict[bytes, Slots], expression: bytes) -> Slots:
@@ -552,37 +572,36 @@ def extract(pages: DataFrame) -> DataFrame:
 
     NULL or empty html gives empty text; pages without a host share one wrapper.  Texts are
     whole: white space within a block is one blank, blocks are joined by line feeds in
-    page order.  Expressions are landed for hosts with several plain pages, then those with
-    fixed slots, one row per host; Spark broadcasts them if their files are small, else
-    joins by host and splits a hot one.
+    page order.  Repeated rows are pages of their own; other columns are ignored; an empty
+    table gives no rows.  Expressions and repeated texts are landed, one row per host; Spark
+    broadcasts them if their files are small, else joins by host and splits a hot one.
     """
 
-    def several(rows: Iterable[tuple]) -> Iterator[tuple]:
+    def each(rows: Iterable[tuple]) -> Iterator[tuple]:
         for host, wrapper in rows:
             found = Wrapper.read(wrapper.decode())
-            if found.plain > 1:
-                yield host.decode(), json.dumps(found.expression)
-
-    def fixed(rows: Iterable[tuple]) -> Iterator[tuple]:
-        for host, wrapper, expression in rows:
-            slots = Wrapper.read(wrapper.decode()).fixed_slots()
-            if slots:
-                yield host.decode(), expression.decode(), json.dumps(slots)
+            yield host.decode(), json.dumps(found.expression), found.plain
 
     scratch = Scratch(pages.sparkSession, "wrappers")
-    expressions = scratch.land(map_rows(infer(pages), several, "host string, expression string", rows=100), "expressions")
-    counted = count_slots(pages, expressions).join(expressions, "host")
-    landed = scratch.land(map_rows(counted, fixed, "host string, expression string, fixed string", rows=100), "slots")
-    scratch.drop("expressions")
+    schema = "host string, expression string, plain bigint"
+    expressions = scratch.land(map_rows(infer(pages), each, schema, rows=100), "expressions")
+    repeated = scratch.land(repeated_texts(pages, expressions, scratch), "repeated")
+    scratch.drop("counts")
     host, _ = split_url(pages["url"])
-    rows = columns(pages, page_id="page_id", url="url", html="html", host=host).join(landed, "host", "left")
+    rows = columns(pages, page_id="page_id", url="url", html="html", host=host)
+    rows = rows.join(expressions, "host", "left").join(repeated, "host", "left")
 
     def run(rows: Iterable[tuple]) -> Iterator[tuple]:
         known: dict[bytes, Slots] = {}
-        for page_id, url, page, expression, fixed in rows:
-            slots = None if fixed is None else _slots(known, expression)
-            text = main_text((page or b"").decode("utf-8", "replace"), slots, frozenset(json.loads(fixed or b"[]")))
+        texts: dict[bytes, frozenset] = {}
+        for page_id, url, page, expression, found in rows:
+            slots = None if expression is None else _slots(known, expression)
+            if found is not None and found not in texts:
+                if len(texts) >= HELD_HOSTS:
+                    texts.clear()
+                texts[found] = frozenset((t["slot"], t["text"]) for t in json.loads(found))
+            text = main_text((page or b"").decode("utf-8", "replace"), slots, texts.get(found, frozenset()))
             yield page_id, None if url is None else url.decode("utf-8", "replace"), text, len(text)
 
     schema = "page_id bigint, url string, text string, n_chars bigint"
-    return map_rows(rows.select("page_id", "url", "html", "expression", "fixed"), run, schema, rows=500)
+    return map_rows(rows.select("page_id", "url", "html", "expression", "repeated"), run, schema, rows=500)

@@ -141,3 +141,53 @@ def test_pages_are_matched_against_their_expression():
     level = wrappers.Slots([["p", "1", []], ["()", "+", [["h2", "1", []], ["p", "?", []]]], ["p", "?", []]])._top
     assert level.places(("p", "h2", "p", "h2", "p")) == [0, 1, 2, 1, 2]
     assert level.places(("ul", "h2")) == [None, 1]
+
+
+def extracted(spark, pages):
+    """Texts of one host's pages, in their order, wherever its rows lie."""
+    rows = [(i, f"http://trial.net/{i}", page) for i, page in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = [
+        [r.text for r in sorted(wrappers.extract(df.repartition(n)).collect(), key=lambda r: r.page_id)] for n in (1, 7)
+    ]
+    assert found[0] == found[1]
+    return found[0]
+
+
+def test_constant_text_beside_changing_text_of_one_slot(spark):
+    body = lambda i: "".join(f"<p>body {i} {k}</p>" for k in range(1 + i % 5))
+    closing = [f"<body><div>{body(i)}<p>Follow us for more</p></div></body>" for i in range(40)]
+    foot = [f"<body><div>body {i}</div><div><p>constant foot</p></div></body>" for i in range(40)]
+    lead = [f"<body><div><p>{'the lead of all' if i else 'no lead'}</p><p>body {i}</p></div></body>" for i in range(40)]
+    assert extracted(spark, closing) == ["\n".join(f"body {i} {k}" for k in range(1 + i % 5)) for i in range(40)]
+    assert extracted(spark, foot) == [f"body {i}" for i in range(40)]
+    assert extracted(spark, lead) == ["no lead\nbody 0"] + [f"body {i}" for i in range(1, 40)]
+
+
+def test_agreement_of_two_pages_and_copies_prove_nothing(spark):
+    two = ["<body><h1>Title</h1><p>first paragraph</p><p>only here</p></body>", "<body><h1>Title</h1><p>first paragraph</p></body>"]
+    assert extracted(spark, two) == ["Title\nfirst paragraph\nonly here", "Title\nfirst paragraph"]
+    assert extracted(spark, ["<body><p>the same page</p></body>"] * 9) == ["the same page"] * 9
+    half = [f"<body><p>{'half of them' if i % 2 else f'page {i}'}</p><p>body {i}</p></body>" for i in range(8)]
+    assert extracted(spark, half)[1] == "half of them\nbody 1"
+
+
+def test_slots_of_the_expression_tell_main_text_on_pages_with_article():
+    pages = ["<article><h1>a</h1><p>b</p></article><div><p>c</p></div>", "<div><p>d</p></div><footer>e</footer>"]
+    one = wrappers.Wrapper()
+    for page in pages:
+        one.add_page(page)
+    slots = wrappers.Slots(one.expression)
+    assert sorted(slots.kinds) == ["main", "main", "never", "open"]
+    assert [wrappers.main_text(page, slots) for page in pages] == ["a\nb", "d"]
+    # The labels of the slots count, not the page: in another expression the same page reads otherwise.
+    other = wrappers.Slots(json.loads(json.dumps(one.expression).replace("article", "-aside")))
+    _, tree = wrappers.blocks_of(pages[0], folded=False)
+    assert other.of(tree) != slots.of(tree)
+
+
+def test_a_host_of_many_shapes(spark):
+    tags = ["p", "h2", "ul", "table", "pre", "blockquote", "dl", "section", "h3"]
+    shapes = ["".join(f"<{tags[(i >> 3 * k) % 8]}>t{i} {k}</{tags[(i >> 3 * k) % 8]}>" for k in range(3)) for i in range(500)]
+    pages = [f"<body><div>{shape}</div><div><h4>shown everywhere</h4></div></body>" for shape in shapes]
+    assert extracted(spark, pages) == ["\n".join(f"t{i} {k}" for k in range(3)) for i in range(500)]
