@@ -300,7 +300,9 @@ def find_pieces(rows: DataFrame, scratch: Scratch) -> DataFrame:
     marks = first.select(*place, F.lit(0).alias("mark"), *[F.lit(None).alias(c) for c in ("conv", "initial", "blank", "cut")])
     light = rows.select(*place, F.lit(1).alias("mark"), "conv", F.left("role", F.lit(1)), blank, cut)
     order = ["part", "block", "seq", "mark"]
-    dealt = marks.union(light).repartition("part", "block").sortWithinPartitions(*order)
+    # A number is given, or Spark would bring these light rows together in few tasks; the work on them is not light.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = marks.union(light).repartition(tasks, "part", "block").sortWithinPartitions(*order)
     segments = scratch.land(map_rows(dealt, _segments, _SEGMENTS, rows=200), "segments")
     chains = segments.filter("NOT whole").select(
         "conv", *place, "opens", "closes", "start", "state", "cost", "rank"
