@@ -77,11 +77,95 @@ def test_nothing_learned(docs):
     assert model.predict("some text") == ("und", 0.0)
 
 
-def test_chunks_end_between_words(monkeypatch):
-    text = " ".join("ab" * (1 + i % 5) for i in range(300)) + " " + "é" * 50
-    whole = next(language_spans.words_of(text))
-    monkeypatch.setattr(language_spans, "_CHUNK", 37)
-    parts = list(language_spans.words_of(text))
-    assert len(parts) > 10
-    assert np.array_equal(np.concatenate([p.sizes for p in parts]), whole.sizes)
-    assert np.array_equal(np.concatenate([p.cells for p in parts]), whole.cells)
+def small_model(seed=3):
+    """Three languages with made-up scores: two write latin, one cyrillic and han."""
+    rng = np.random.default_rng(seed)
+    writes = np.zeros((len(language_spans._SCRIPTS), 3), bool)
+    writes[language_spans._SCRIPTS.index("latin"), :2] = True
+    for name in ("cyrillic", "han"):
+        writes[language_spans._SCRIPTS.index(name), 2] = True
+    return language_spans.Model(["aa", "bb", "cc"], rng.normal(size=(language_spans.CELLS, 3)).astype(np.float32), writes)
+
+
+MIXED = ["xПривет", "東京タワー", "ab1cd", "éa bПb", "a" * 200 + "Ж" * 90 + " z", "", "12", "ab " * 60 + "пр " * 50]
+
+
+def plain_words(text):
+    """(word, script), a letter at a time."""
+    script = lambda c: max((start, name) for start, name in language_spans.SCRIPT_STARTS if start <= ord(c))[1]
+    words = []
+    last = None
+    for c in text.lower():
+        kind = script(c) if c.isalpha() else None
+        if kind is not None:
+            if kind == last:
+                words[-1][0] += c
+            else:
+                words.append([c, kind])
+        last = kind
+    return words
+
+
+def plain_scores(model, text):
+    """Letters and scores of each word, a trigram at a time."""
+    sizes, rows = [], []
+    for word, script in plain_words(text):
+        framed = [0, *map(ord, word), 0]
+        total = np.zeros(3)
+        for x, y, z in zip(framed, framed[1:], framed[2:]):
+            cell = ((x * 0x9E3779B1 + y) * 0x85EBCA77 + z) % 2**64
+            total += model.cells[(cell * 0x9E3779B97F4A7C15 % 2**64) >> 48]
+        may = model.writes[language_spans._SCRIPTS.index(script)]
+        if may.any():
+            total = np.where(may, total, total.min() - language_spans.RULED_OUT)
+        sizes.append(len(word))
+        rows.append(total)
+    return sizes, rows
+
+
+def plain_predict(model, text, penalty):
+    """The usual walk, a word and a language at a time."""
+    sizes, rows = plain_scores(model, text)
+    if not sizes:
+        return "und", 0.0
+    best = [(rows[0][j], [j]) for j in range(3)]
+    for row in rows[1:]:
+        came = [max(range(3), key=lambda i: best[i][0] - penalty * (i != j)) for j in range(3)]  # noqa: B023
+        best = [(best[i][0] - penalty * (i != j) + row[j], best[i][1] + [j]) for j, i in enumerate(came)]
+    path = max(best, key=lambda b: b[0])[1]
+    letters = np.bincount(path, sizes, 3)
+    return model.languages[int(letters.argmax())], letters.max() / letters.sum()
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 7, 64, 1 << 18])
+def test_words_end_where_the_script_changes_and_nowhere_else(monkeypatch, chunk):
+    monkeypatch.setattr(language_spans, "_CHUNK", chunk)
+    assert [tuple(w) for w in plain_words("xПривет")] == [("x", "latin"), ("привет", "cyrillic")]
+    assert [w[1] for w in plain_words("東京タワー")] == ["han", "kana"]
+    model = small_model()
+    for text in MIXED:
+        sizes, scores = model.scores(text)
+        plain_sizes, plain = plain_scores(model, text)
+        assert sizes.tolist() == plain_sizes
+        if plain:
+            assert np.allclose(scores, plain, atol=1e-3)
+
+
+def test_predictions_against_a_plain_walk(monkeypatch):
+    rng = random.Random(8)
+    pieces = ["ab", "cda", "Пр", "ивет", "東京", "タ", " ", " ", ", ", "x", "é"]
+    texts = MIXED + ["".join(rng.choice(pieces) for _ in range(rng.randrange(0, 120))) for _ in range(150)]
+    model = small_model()
+    for penalty in (0.5, 4.0, 12.0):
+        found = list(model.predict_all(texts, penalty))
+        for text, (lang, score) in zip(texts, found, strict=True):
+            assert (lang, pytest.approx(score)) == plain_predict(model, text, penalty)
+        monkeypatch.setattr(language_spans, "WALK_TEXTS", 7)
+        monkeypatch.setattr(language_spans, "WALK_SCORES", 200)
+        assert list(model.predict_all(texts, penalty)) == found
+        monkeypatch.undo()
+
+
+def test_a_word_longer_than_several_chunks_is_one():
+    long = "ab" * (3 << 18)
+    assert small_model().scores("x " + long + " y")[0].tolist() == [1, len(long), 1]
