@@ -129,7 +129,11 @@ def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str) -> DataF
 
 
 def digest_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: the round trip of each row in one pass."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: the round trip of each row in one pass.
+
+    NULL text is empty: no tokens, and the digests of nothing.  Repeated rows and rows
+    without an id give a row each.
+    """
 
     def run(rows: Iterable[tuple]) -> Iterator[tuple]:
         codec = encoder(ranks_path, pattern)

@@ -338,7 +338,9 @@ def clean(
 
     A document with more than ``max_coverage`` of its words hit is dropped; of others the
     hit spans are removed, again until no window is left.  Other columns stay as they are,
-    but for ``n_chars``, where there is one, which follows the text.
+    but for ``n_chars``, where there is one, which follows the text.  Rows whose text is
+    NULL or empty stay as they are, as do all rows if no item has a word; repeated rows
+    are treated alike.
     """
     blocks = parts_of(benchmark, window)
     names = docs.columns

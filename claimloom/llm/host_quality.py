@@ -120,7 +120,12 @@ def judge_documents(docs: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFra
 
 
 def keep_good(docs: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """The whole rows of ``docs`` that the rules and their host's verdict let pass."""
+    """The whole rows of ``docs`` that the rules and their host's verdict let pass.
+
+    Rows whose text is NULL or empty go; a NULL source is judged by the base rules alone;
+    repeated rows are judged alike and all stay or go.  The rates of the hosts and the
+    prior are found at the call, which runs Spark jobs.
+    """
     rows = docs.select(F.struct("*").alias("_row"))
     judged = with_rules(rows, F.col("_row.text")).select(
         "_row", F.col("_row.source").alias("host"), F.col("_rules.base_failed").alias("base_failed")

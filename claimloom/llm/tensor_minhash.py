@@ -87,13 +87,13 @@ def table_keys(sketches: np.ndarray) -> np.ndarray:
 
 def _sketch_rows(rows: Iterable[tuple]) -> Iterator[tuple]:
     hashes, factors = WordHashes(), _factors()
-    for doc_id, text in rows:
+    for doc_id, text, text_hash in rows:
         shingles = shingles_of(text, hashes)
         if not len(shingles):
-            yield doc_id, 0, None, None
+            yield doc_id, text_hash, 0, None, None
             continue
         mark = xxhash.xxh3_128_digest(shingles.tobytes())
-        yield doc_id, len(shingles), mark, sketch_of(shingles, factors).tobytes()
+        yield doc_id, text_hash, len(shingles), mark, sketch_of(shingles, factors).tobytes()
 
 
 def _key_rows(rows: Iterable[tuple]) -> Iterator[tuple]:
@@ -194,14 +194,25 @@ def _confirm_blocks(rows: Iterable[tuple]) -> Iterator[tuple]:
 
 
 def _set_rows(rows: Iterable[tuple]) -> Iterator[tuple]:
-    """Sets of representatives; a row with the id but not the set of one is passed over."""
-    hashes = WordHashes()
+    """Sets of representatives; copies of a row follow one another, and one of them is enough."""
+    hashes, last = WordHashes(), None
     for text, node, mark, cluster, block, blocks in rows:
+        if node == last:
+            continue
         shingles = shingles_of(text, hashes)
         if xxhash.xxh3_128_digest(shingles.tobytes()) == mark:
+            last = node
             yield node, cluster, block, blocks, shingles.tobytes()
 
 
+def _with_texts(narrow: DataFrame, dealt: DataFrame) -> DataFrame:
+    """The rows representatives were taken from, with their texts: a row meets those of its own id and text only."""
+    # Representatives in clusters grow with the corpus: they are never broadcast, at any size.
+    same = narrow["doc_id"].eqNullSafe(dealt["_id"]) & (narrow["text_hash"] == dealt["_hash"])
+    found = narrow.join(dealt.hint("merge"), same)
+    return found.select("text", "node", "mark", "cluster", "_block", "_blocks")
+
+
 def _meetings(df: DataFrame, block: str, blocks: str) -> DataFrame:
     """Each row once for every block its own block meets, as (_low, _high)."""
     met = df.withColumn("_met", F.explode(F.sequence(F.lit(0), F.col(blocks) - 1)))
@@ -239,12 +250,15 @@ def classes(docs: DataFrame) -> DataFrame:
     are all NULL has a NULL component_id, and its rows are kept.
     """
     scratch = Scratch(docs.sparkSession, "minhash")
-    narrow = columns(docs, doc_id="doc_id", text="text")
-    sketched = map_rows(narrow, _sketch_rows, "doc_id bigint, n_shingles bigint, mark binary, sketch binary")
-    rows = scratch.land(sketched, "rows")
+    narrow = columns(docs, doc_id="doc_id", text="text").withColumn("text_hash", F.xxhash64("text"))
+    schema = "doc_id bigint, text_hash bigint, n_shingles bigint, mark binary, sketch binary"
+    rows = scratch.land(map_rows(narrow, _sketch_rows, schema), "rows")
+    # The smallest id, a NULL one only if there is no other, and the text of a row that has it.
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash"))
     grouped = rows.filter("mark IS NOT NULL").groupBy("mark").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")
+        least.alias("_least"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")
     )
+    grouped = grouped.select("mark", "_least.doc_id", "_least.text_hash", "n_shingles", "sketch")
     nodes = scratch.land(number_rows(grouped, "node", landing=f"{scratch.root}/grouped"), "nodes")
     scratch.drop("grouped")
 
@@ -255,23 +269,24 @@ def classes(docs: DataFrame) -> DataFrame:
     met = _meetings(members, "_block", "_blocks").select("_key", "_low", "_high", "node", "sketch")
     met = met.repartition("_key", "_low", "_high").sortWithinPartitions("_key", "_low", "_high", "node")
     candidates = components(map_rows(met, _compare_buckets, "u bigint, v bigint", rows=20_000), scratch, "candidates")
+    scratch.drop("shared")
 
     known = candidates.withColumnRenamed("label", "cluster").join(nodes, "node")
-    known = scratch.land(known.select("node", "cluster", "mark", "doc_id", "n_shingles"), "clusters")
+    known = scratch.land(known.select("node", "cluster", "mark", "doc_id", "text_hash", "n_shingles"), "clusters")
     sizes = known.groupBy("cluster").agg(
         F.greatest(
             F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES), F.ceil(F.count(F.lit(1)) / BLOCK_NODES), F.lit(1)
         ).cast("int").alias("_blocks")
     )
     dealt = known.join(sizes, "cluster").withColumn("_block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
-    dealt = dealt.select(F.col("doc_id").alias("_id"), "node", "mark", "cluster", "_block", "_blocks")
-    # Representatives in clusters grow with the corpus: they are never broadcast, at any size.
-    found = narrow.join(dealt.hint("merge"), narrow["doc_id"].eqNullSafe(dealt["_id"]))
-    found = found.select("text", "node", "mark", "cluster", "_block", "_blocks")
+    ids = [F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")]
+    dealt = dealt.select(*ids, "node", "mark", "cluster", "_block", "_blocks")
+    found = _with_texts(narrow, dealt)
     sets = map_rows(found, _set_rows, "node bigint, cluster bigint, _block int, _blocks int, shingles binary", rows=200)
     met = _meetings(sets, "_block", "_blocks").select("cluster", "_low", "_high", "_block", "node", "shingles")
     met = met.repartition("cluster", "_low", "_high").sortWithinPartitions("cluster", "_low", "_high", "node")
     linked = components(map_rows(met, _confirm_blocks, "u bigint, v bigint", rows=20_000), scratch, "links")
+    scratch.drop("clusters")
 
     labelled = nodes.select("mark", "node", "doc_id").join(linked, "node", "left")
     labelled = labelled.withColumn("label", F.coalesce("label", "node"))

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from claimloom.llm import components, tensor_minhash
 from claimloom.llm.common import Scratch, WordHashes
@@ -76,6 +77,33 @@ def test_one_document_of_each_class_stays(spark, docs, copies):
     assert tensor_minhash.classes(docs([None, ""])).filter("kept").count() == 2
 
 
+def test_rows_without_ids_meet_their_own_representative_only(spark, monkeypatch):
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10_000)}" for _ in range(200)]
+    texts = [" ".join([*base[:190], *(f"own{i}_{j}" for j in range(10))]) for i in range(600)]
+    table = spark.createDataFrame([(None, t) for t in texts] + [(None, texts[0])] * 40, "doc_id bigint, text string")
+    met, real = [], tensor_minhash._with_texts
+    monkeypatch.setattr(tensor_minhash, "_with_texts", lambda *sides: met.append(found := real(*sides)) or found)
+    counted = []
+    land = Scratch.land
+
+    def watched(self, df, name, by=None):
+        if name == "links-0":
+            counted.append(met[-1].count())
+        return land(self, df, name, by)
+
+    monkeypatch.setattr(Scratch, "land", watched)
+    found = tensor_minhash.classes(table).collect()
+    assert len(found) == 640 and all(r.component_id is None and r.kept for r in found)
+    assert counted == [640]  # rows, not rows times representatives
+    named = table.filter(F.col("text") != texts[1]).union(
+        spark.createDataFrame([(9, texts[1]), (7, texts[1]), (7, texts[2]), (7, "else")], table.schema)
+    )
+    found = tensor_minhash.classes(named).collect()
+    assert len(found) == 643 and sum(r.n_shingles == 1 for r in found) == 1
+    assert {r.component_id for r in found} == {7} and sum(r.kept for r in found) == 3
+
+
 def test_sketches_find_pairs_at_the_threshold():
     rng, factors = np.random.default_rng(1), tensor_minhash._factors()
     found = 0
