@@ -10,27 +10,27 @@ from claimloom.llm.common import Scratch, read
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and come from hosts that do."""
+    """Documents that pass the base rules and come from hosts that do; NULL and empty texts go."""
     return host_quality.keep_good(docs)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language that holds at least a third of their letters."""
+    """Documents with a language that holds at least a third of their letters; without letters they go."""
     return language_spans.keep_identified(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates, that with the smallest id."""
+    """One document of each class of near-duplicates, that with the smallest id; rows without an id stay."""
     return tensor_minhash.keep_one(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the words of benchmark items; those made up of them go."""
+    """Documents without the words of benchmark items; those made up of them go, NULL texts stay NULL."""
     return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Number and digest of each document's ids, and the digest of what they decode to."""
+    """Number and digest of each document's ids, and the digest of what they decode to; NULL text is empty."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe_tree.digest_documents(docs, ranks, public_tokenizers.PATTERN)
 
