@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.schemas import CLAIMANT, EMPLOYER, POLICY, Dimension
+from claimloom.schemas import CLAIMANT, EMPLOYER, POLICY
 
 # Fewest claims a complete load has, and the statuses a claim may have.
 ROW_FLOOR = 2000
@@ -18,6 +18,52 @@ class QualityError(Exception):
     """At least one check failed."""
 
 
+def _side(part: str, key: str, rows: int = 0, parents: int | Column = 0, **faults: Column) -> Column:
+    """What one row of a table says about a key: of rows that are checked, or of those they refer to."""
+    number = lambda x: (x if isinstance(x, Column) else F.lit(x)).cast("bigint")
+    return F.struct(
+        F.lit(part).alias("part"),
+        F.col(key).cast("bigint").alias("key"),
+        number(rows).alias("rows"),
+        number(parents).alias("parents"),
+        *[number(faults.get(name, 0)).alias(name) for name in ("negative", "bad_status")],
+    )
+
+
+def _flag(condition: Column) -> Column:
+    return F.when(condition, 1).otherwise(0)
+
+
+def _sides(tables: dict[str, DataFrame]) -> DataFrame:
+    """Every table read once, each of its rows turned into what it says about each of its keys."""
+    negative = (F.col("claim_amount") < 0) | (F.col("approved_amount") < 0)
+    bad_status = ~F.col("claim_status").isin(*CLAIM_STATUSES)
+    said = {
+        "fact_claim": [
+            _side("claim", "claim_id", 1, negative=_flag(negative), bad_status=_flag(bad_status)),
+            _side("claimant of claim", "claimant_key", 1),
+            _side("date of claim", "incident_date_key", 1),
+            _side("claim of payment", "claim_key", parents=1),
+        ],
+        "fact_payment": [_side("claim of payment", "claim_key", 1)],
+        "dim_date": [_side("date of claim", "date_key", parents=1)],
+    }
+    for spec in (CLAIMANT, POLICY, EMPLOYER):
+        said[spec.name] = [_side(spec.name, spec.natural_key, 1, _flag(F.col("is_current")))]
+    said["dim_claimant"].append(_side("claimant of claim", "claimant_key", parents=1))
+    found = None
+    for name, sides in said.items():
+        rows = tables[name].select(F.inline(F.array(*sides)))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def _sum_of(part: str, value: str | Column, where: Column | None = None) -> Column:
+    mine = F.col("part") == part
+    value = F.col(value) if isinstance(value, str) else value
+    return F.coalesce(F.sum(F.when(mine if where is None else mine & where, value)), F.lit(0))
+
+
 def _row(name: str, passed: Column, value: Column, expected: Column) -> Column:
     return F.struct(
         F.lit(name).alias("check_name"),
@@ -31,76 +77,52 @@ def _none(name: str, count: Column) -> Column:
     return _row(name, count == 0, count, F.lit(0))
 
 
-def claim_checks(fact_claim: DataFrame, row_floor: int = ROW_FLOOR) -> DataFrame:
-    """Everything fact_claim can be asked about alone, in one pass over it."""
-    rows, keys, total = F.col("rows"), F.col("keys"), F.count(F.lit(1))
-    negative = (F.col("claim_amount") < 0) | (F.col("approved_amount") < 0)
-    counts = fact_claim.agg(
-        total.alias("rows"),
-        F.countDistinct("claim_id").alias("keys"),
-        F.count_if(negative).alias("negative"),
-        F.count_if(~F.col("claim_status").isin(*CLAIM_STATUSES)).alias("bad_status"),
-        F.count_if(F.col("claim_id").isNull()).alias("no_key"),
-    )
-    return _unfold(
-        counts,
-        _row("fact_claim PK uniqueness", rows == keys, rows, keys),
-        _none("fact_claim non-negative amounts", F.col("negative")),
-        _row("fact_claim row count", rows >= row_floor, rows, F.lit(row_floor)),
-        _none("claim_status standardized", F.col("bad_status")),
-        _none("fact_claim no NULL claim_id", F.col("no_key")),
-    )
-
-
-def _unfold(counts: DataFrame, *rows: Column) -> DataFrame:
-    return counts.select(F.inline(F.array(*rows)))
-
-
-def orphans(
-    name: str, child: DataFrame, foreign_key: str, parent: DataFrame, key: str, null_is_orphan: bool = False
-) -> DataFrame:
-    """Child rows whose key the parent lacks, counted per key before the join."""
-    per_key = child.groupBy(F.col(foreign_key).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
-    if not null_is_orphan:
-        per_key = per_key.filter(F.col("_key").isNotNull())
-    missing = per_key.join(parent.select(F.col(key).alias("_key")), "_key", "left_anti")
-    return _unfold(missing.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n")), _none(name, F.col("n")))
+def report(tables: dict[str, DataFrame], row_floor: int = ROW_FLOOR) -> DataFrame:
+    """All checks on a loaded warehouse: (check_name, result, value, expected).
 
+    One scan per table and one shuffle for all checks.  Rows are counted per key within the
+    map tasks first, so a key that a third of all rows share moves as a row per task; claims
+    and payments meet the rows they refer to in the count of their key, without a join.
 
-def one_current_row(dim: DataFrame, spec: Dimension) -> DataFrame:
-    """The most open rows any key has must be 1; an empty dimension fails."""
-    per_key = dim.filter(F.col("is_current")).groupBy(spec.natural_key).agg(F.count(F.lit(1)).alias("n"))
-    most = F.col("most")
-    return _unfold(
-        per_key.agg(F.max("n").alias("most")),
-        _row(f"{spec.name} SCD2 integrity", most == 1, most, F.lit(1)),
+    A NULL claim_key of a payment refers to nothing and counts as an orphan; NULL keys of
+    claims are no orphans.  A dimension without open rows fails its check with a NULL value.
+    """
+    per_key = _sides(tables).groupBy("part", "key").agg(
+        *[F.sum(name).alias(name) for name in ("rows", "parents", "negative", "bad_status")]
     )
-
-
-def no_null_key(dim: DataFrame, spec: Dimension) -> DataFrame:
-    counts = dim.agg(F.count_if(F.col(spec.natural_key).isNull()).alias("n"))
-    return _unfold(counts, _none(f"{spec.name} no NULL {spec.natural_key}", F.col("n")))
-
-
-def report(tables: dict[str, DataFrame], row_floor: int = ROW_FLOOR) -> DataFrame:
-    """All checks on a loaded warehouse: (check_name, result, value, expected)."""
-    claim, payment = tables["fact_claim"], tables["fact_payment"]
-    claimant, policy, employer = tables["dim_claimant"], tables["dim_policy"], tables["dim_employer"]
-    checks = [
-        claim_checks(claim, row_floor),
-        orphans("fact_claim FK claimant_key", claim, "claimant_key", claimant, "claimant_key"),
-        orphans("fact_claim valid date keys", claim, "incident_date_key", tables["dim_date"], "date_key"),
-        orphans("fact_payment FK claim_key", payment, "claim_key", claim, "claim_key", null_is_orphan=True),
-        one_current_row(claimant, CLAIMANT),
-        one_current_row(policy, POLICY),
-        one_current_row(employer, EMPLOYER),
-        no_null_key(claimant, CLAIMANT),
-        no_null_key(policy, POLICY),
+    no_key, no_parent = F.col("key").isNull(), F.col("parents") == 0
+    counts = {
+        "rows": _sum_of("claim", "rows"),
+        "keys": _sum_of("claim", F.lit(1), ~no_key),
+        "negative": _sum_of("claim", "negative"),
+        "bad_status": _sum_of("claim", "bad_status"),
+        "no_claim_id": _sum_of("claim", "rows", no_key),
+        "no_claimant": _sum_of("claimant of claim", "rows", ~no_key & no_parent),
+        "no_date": _sum_of("date of claim", "rows", ~no_key & no_parent),
+        "no_claim": _sum_of("claim of payment", "rows", no_key | no_parent),
+    }
+    for spec in (CLAIMANT, POLICY, EMPLOYER):
+        open_rows = (F.col("part") == spec.name) & (F.col("parents") > 0)
+        counts[f"open_{spec.name}"] = F.max(F.when(open_rows, F.col("parents")))
+    for spec in (CLAIMANT, POLICY):
+        counts[f"no_key_{spec.name}"] = _sum_of(spec.name, "rows", no_key)
+    n = {name: F.col(name) for name in counts}
+    rows = [
+        _row("fact_claim PK uniqueness", n["rows"] == n["keys"], n["rows"], n["keys"]),
+        _none("fact_claim non-negative amounts", n["negative"]),
+        _row("fact_claim row count", n["rows"] >= row_floor, n["rows"], F.lit(row_floor)),
+        _none("claim_status standardized", n["bad_status"]),
+        _none("fact_claim no NULL claim_id", n["no_claim_id"]),
+        _none("fact_claim FK claimant_key", n["no_claimant"]),
+        _none("fact_claim valid date keys", n["no_date"]),
+        _none("fact_payment FK claim_key", n["no_claim"]),
     ]
-    result = checks[0]
-    for check in checks[1:]:
-        result = result.unionByName(check)
-    return result
+    for spec in (CLAIMANT, POLICY, EMPLOYER):
+        most = n[f"open_{spec.name}"]
+        rows.append(_row(f"{spec.name} SCD2 integrity", most == 1, most, F.lit(1)))
+    for spec in (CLAIMANT, POLICY):
+        rows.append(_none(f"{spec.name} no NULL {spec.natural_key}", n[f"no_key_{spec.name}"]))
+    return per_key.agg(*[count.alias(name) for name, count in counts.items()]).select(F.inline(F.array(*rows)))
 
 
 #: Reports as they are kept, run by run.
