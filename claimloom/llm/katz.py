@@ -13,11 +13,12 @@ distinct words and pairs, packed, never a row per token:
 
     batches -> words by bucket -> unigram table, answers (count of each word)
     batches + answers -> pairs by bucket of the context -> bigram table, answers
-    batches + answers -> log probabilities of each document
+    batches + answers + sums of hot contexts -> log probabilities of each document
 
-A context that makes up a thousandth of all tokens or more is dealt by its following word
-instead, over all buckets; the sums of these contexts, a thousand and one at most, go through the
-driver.  Words are known by 64-bit hashes.
+A context with ``HOT_TOKENS`` tokens or more is dealt by its following word as well, over all
+buckets, so what a bucket holds of one context has a bound that does not grow with the corpus.
+The sums of these contexts are a table that is joined to the batches that ask for them.
+Words are known by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -40,8 +41,8 @@ BUCKET_ENTRIES = 100_000
 LEAST_BUCKETS = 256
 #: Counts up to this are discounted.
 GOOD_TURING = 5
-#: Contexts with at least this share of the tokens are dealt by the word that follows.
-HOT_SHARE = 1 / 1000
+#: Contexts with at least so many tokens are dealt by the word that follows.
+HOT_TOKENS = 100_000
 
 # Neither can be a word: words hold no white space.
 _END, _BEGIN = b"\n", b" "
@@ -149,6 +150,15 @@ def _buckets_of(words: np.ndarray, bits: int) -> np.ndarray:
     return (words >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def _spread(contexts: np.ndarray, words: np.ndarray, bits: int) -> np.ndarray:
+    """Buckets of pairs with a hot context: the word's bucket, moved on by a hash of the context.
+
+    A frequent word follows most hot contexts, so its own bucket would hold a pair for each.
+    """
+    moved = _buckets_of(contexts * np.uint64(0x9E3779B97F4A7C15), bits)
+    return (words + moved) & ((1 << bits) - 1)
+
+
 def _runs(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """(value, start, end) of the runs of a sorted array."""
     edges = [0, *(np.flatnonzero(np.diff(values)) + 1).tolist(), len(values)]
@@ -175,7 +185,7 @@ def _ask_words(bits: int):
 
 
 def _answer_words(rows: Iterable[tuple]) -> Iterator[tuple]:
-    """Answers (kind 0) to the batches, and the bucket of the unigram table (kind 1)."""
+    """Answers (kind 0) to the batches, with the hot contexts among them, and the bucket of the unigram table (kind 1)."""
     for bucket, same in groupby(rows, key=lambda row: row[0]):
         asked = [(batch, unpack(words), unpack(counts)) for _, batch, words, counts in same]
         words, place = np.unique(np.concatenate([w for _, w, _ in asked]), return_inverse=True)
@@ -186,7 +196,8 @@ def _answer_words(rows: Iterable[tuple]) -> Iterator[tuple]:
         for batch, own, _ in asked:
             mine = place[at : at + len(own)]
             at += len(own)
-            yield 0, batch, bucket, pack(ids[mine]), pack(_narrow(counts[mine])), None
+            hot = ids[mine][counts[mine] >= HOT_TOKENS]
+            yield 0, batch, bucket, pack(ids[mine]), pack(_narrow(counts[mine])), hot.astype(np.int64).tolist()
         stats = [int(counts.sum()), int(known.sum()), *_of_counts(counts[known])]
         yield 1, None, bucket, pack(words[known]), pack(_narrow(counts[known])), stats
 
@@ -227,7 +238,7 @@ class Batch:
         trained = np.repeat(unpack(train), sizes).astype(bool)
         return cls(doc_ids, trained, np.cumsum(sizes) - sizes, unpack(codes), np.concatenate(ids), counts, buckets)
 
-    def pairs(self, begin: int, hot_count: float) -> Pairs:
+    def pairs(self, begin: int, bits: int) -> Pairs:
         """The batch's pairs; ``begin`` is the code of the context that starts a document."""
         before = np.concatenate([[begin], self.codes[:-1]]).astype(np.uint64)
         before[self.starts] = begin
@@ -235,8 +246,9 @@ class Batch:
         keys, place = np.unique(before * wide + self.codes.astype(np.uint64), return_inverse=True)
         context, word = (keys // wide).astype(np.int64), (keys % wide).astype(np.int64)
         trained = np.bincount(place[self.trained], minlength=len(keys))
-        hot = (context == begin) | (self.counts[context] >= hot_count)
-        bucket = np.where(hot, self.buckets[word], self.buckets[context])
+        hot = (context == begin) | (self.counts[context] >= HOT_TOKENS)
+        spread = _spread(self.context_ids(begin)[context], self.buckets[word], bits)
+        bucket = np.where(hot, spread, self.buckets[context])
         known = (context == begin) | (self.ids[context] != _UNKNOWN)
         return Pairs(context, word, place, trained, np.where(known, bucket, -1), hot)
 
@@ -246,24 +258,29 @@ class Batch:
         return ids
 
 
-def _gathered(rows: Iterable[tuple]) -> Iterator[tuple[int, Batch, int, dict]]:
-    """Batches with all that answers them: (batch, its words answered, code of begin, answers for pairs)."""
+def _gathered(rows: Iterable[tuple]) -> Iterator[tuple[int, Batch, int, dict, tuple[list, list]]]:
+    """Batches with all that answers them.
+
+    (batch, its words answered, code of begin, answers for pairs, sums of its hot contexts)
+    """
     for batch, same in groupby(rows, key=lambda row: row[0]):
-        first, words, pairs = None, [], {}
-        for _, kind, bucket, begin, doc_ids, a, b, c, d in same:
+        first, words, pairs, sums = None, [], {}, ([], [])
+        for _, kind, bucket, begin, doc_ids, a, b, c, d, numbers in same:
             if kind == 0:
                 first, code = (doc_ids, a, b, c), begin
             elif kind == 1:
                 words.append((bucket, a, b))
-            else:
+            elif kind == 2:
                 pairs[bucket] = (a, b, c, d)
-        yield batch, Batch.of(*first, words), code, pairs
+            else:
+                sums = (doc_ids, numbers)
+        yield batch, Batch.of(*first, words), code, pairs, sums
 
 
-def _ask_pairs(hot_count: float):
+def _ask_pairs(bits: int):
     def run(rows: Iterable[tuple]) -> Iterator[tuple]:
-        for number, batch, begin, _ in _gathered(rows):
-            pairs, ids = batch.pairs(begin, hot_count), batch.context_ids(begin)
+        for number, batch, begin, _, _ in _gathered(rows):
+            pairs, ids = batch.pairs(begin, bits), batch.context_ids(begin)
             order = np.argsort(pairs.bucket, kind="stable")
             for bucket, start, end in _runs(pairs.bucket[order]):
                 if bucket >= 0:
@@ -331,8 +348,8 @@ def _answer_pairs(unigrams: Unigrams):
             ids, table = contexts[of], (pack(contexts[of]), pack(words[w[first][seen]]), pack(_narrow(n)))
             if len(ids):
                 yield 1, None, bucket, *table, None, _of_counts(n)
-            for k in np.flatnonzero(is_hot).tolist():
-                yield 2, int(contexts[k].view(np.int64)), bucket, None, None, pack(sums[k]), None, None
+            if is_hot.any():
+                yield 2, None, bucket, pack(contexts[is_hot]), None, pack(sums[is_hot].ravel()), None, None
 
     return run
 
@@ -340,11 +357,12 @@ def _answer_pairs(unigrams: Unigrams):
 _PAIR_ANSWERS = "kind int, batch bigint, bucket int, a binary, b binary, c binary, d binary, stats array<bigint>"
 
 
-def _scores(unigrams: Unigrams, unknown: float, kept: np.ndarray, hot_count: float, hot_sums: dict[int, np.ndarray]):
+def _scores(unigrams: Unigrams, unknown: float, kept: np.ndarray, bits: int):
     def run(rows: Iterable[tuple]) -> Iterator[tuple]:
         smooth = np.log10(unigrams.tokens + unigrams.types + 1)
-        for _, batch, begin, answers in _gathered(rows):
-            pairs, ids = batch.pairs(begin, hot_count), batch.context_ids(begin)
+        for _, batch, begin, answers, (hot, numbers) in _gathered(rows):
+            pairs, ids = batch.pairs(begin, bits), batch.context_ids(begin)
+            hot_sums = dict(zip(hot, np.array(numbers).reshape(-1, GOOD_TURING + 2)))
             counts = np.zeros(len(pairs.bucket), np.int64)
             sums = np.zeros((len(ids), GOOD_TURING + 2))
             loses = np.zeros(len(ids), bool)
@@ -357,7 +375,7 @@ def _scores(unigrams: Unigrams, unknown: float, kept: np.ndarray, hot_count: flo
                 sums[weighed, -1] = unpack(seen)
             sums[:, 0] = batch.counts  # a word is followed by a token as often as it occurs
             for code in np.unique(pairs.context[pairs.hot]).tolist():
-                sums[code] = hot_sums.get(int(ids[code]), 0.0)
+                sums[code] = hot_sums.get(int(ids[code].view(np.int64)), 0.0)
                 loses[code] = sums[code, 1:-1].any()
             lower = unigrams.probabilities(batch.counts, unknown)
             total, types, seen = sums[:, 0], sums[:, 1:-1], sums[:, -1]
@@ -381,23 +399,25 @@ def _scores(unigrams: Unigrams, unknown: float, kept: np.ndarray, hot_count: flo
     return run
 
 
-def _for_batches(batches: DataFrame, words: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+def _for_batches(
+    batches: DataFrame, words: DataFrame, pairs: DataFrame | None = None, sums: DataFrame | None = None
+) -> DataFrame:
     """Each batch's own row, then the answers for it, side by side in one partition."""
-    empty = F.lit(None).cast("binary")
-    none = [F.lit(None).cast("int").alias("begin"), F.lit(None).cast("array<bigint>").alias("doc_ids")]
-    rows = batches.select(
-        "batch", F.lit(0).alias("kind"), F.lit(-1).alias("bucket"), "begin", "doc_ids", F.col("train").alias("a"),
-        F.col("lengths").alias("b"), F.col("codes").alias("c"), empty.alias("d"),
-    )
-    answers = words.filter("kind = 0")
-    rows = rows.unionByName(
-        answers.select("batch", F.lit(1).alias("kind"), "bucket", *none, "a", "b", empty.alias("c"), empty.alias("d"))
-    )
+    names = ["batch", "kind", "bucket", "begin", "doc_ids", "a", "b", "c", "d", "numbers"]
+    kinds = dict.fromkeys("abcd", "binary") | {"begin": "int", "doc_ids": "array<bigint>", "numbers": "array<double>"}
+
+    def rows_of(df: DataFrame, kind: int, **given: str) -> DataFrame:
+        given = {"batch": "batch", "bucket": "bucket"} | given
+        values = {name: F.col(column) for name, column in given.items()} | {"kind": F.lit(kind)}
+        return df.select(*[values.get(name, F.lit(None).cast(kinds.get(name, "int"))).alias(name) for name in names])
+
+    own = batches.withColumn("bucket", F.lit(-1))
+    rows = rows_of(own, 0, begin="begin", doc_ids="doc_ids", a="train", b="lengths", c="codes")
+    rows = rows.unionByName(rows_of(words.filter("kind = 0"), 1, a="a", b="b"))
     if pairs is not None:
-        answers = pairs.filter("kind = 0")
-        rows = rows.unionByName(
-            answers.select("batch", F.lit(2).alias("kind"), "bucket", *none, "a", "b", "c", "d")
-        )
+        rows = rows.unionByName(rows_of(pairs.filter("kind = 0"), 2, a="a", b="b", c="c", d="d"))
+        hot = sums.withColumn("bucket", F.lit(-1))
+        rows = rows.unionByName(rows_of(hot, 3, doc_ids="contexts", numbers="numbers"))
     return rows.repartition("batch").sortWithinPartitions("batch", "kind", "bucket")
 
 
@@ -441,32 +461,44 @@ def model_and_scores(docs: DataFrame, training: Column) -> Katz:
     tokens, types, *of_counts = _added_up(words, GOOD_TURING + 3)
     unigrams = Unigrams.of(tokens, types, of_counts)
     unknown = unigrams.unknown(of_counts)
-    hot_count = max(1.0, HOT_SHARE * tokens)
 
-    questions = map_rows(_for_batches(batches, words), _ask_pairs(hot_count), _PAIR_QUESTIONS, rows=50)
+    questions = map_rows(_for_batches(batches, words), _ask_pairs(bits), _PAIR_QUESTIONS, rows=50)
     dealt = questions.repartition("bucket").sortWithinPartitions("bucket", "batch")
     pairs = scratch.land(map_rows(dealt, _answer_pairs(unigrams), _PAIR_ANSWERS, rows=50), "bigrams", by="kind")
     kept = discounts(_added_up(pairs, GOOD_TURING + 1))
-    hot_sums = _hot_sums(pairs)
+    sums = scratch.land(_hot_sums(pairs), "hot")
 
-    rows = _for_batches(batches, words, pairs)
+    rows = _for_batches(batches, words, pairs, _sums_asked(batches, words, sums))
     schema = "doc_id bigint, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    scores = map_rows(rows, _scores(unigrams, unknown, kept, hot_count, hot_sums), schema, rows=5000)
+    scores = map_rows(rows, _scores(unigrams, unknown, kept, bits), schema, rows=5000)
     return Katz(scores, words.filter("kind = 1"), pairs.filter("kind = 1"))
 
 
-def _hot_sums(pairs: DataFrame) -> dict[int, np.ndarray]:
-    """Sums of the hot contexts over all buckets: at most 1 / HOT_SHARE + 1 rows reach the driver."""
+def _hot_sums(pairs: DataFrame) -> DataFrame:
+    """context, numbers: the sums of each hot context over all buckets."""
+    names = [f"s{i}" for i in range(GOOD_TURING + 2)]
 
     def run(rows: Iterable[tuple]) -> Iterator[tuple]:
-        for context, sums in rows:
-            yield context, *unpack(sums).tolist()
+        for contexts, sums in rows:
+            found = unpack(sums).reshape(-1, GOOD_TURING + 2).tolist()
+            yield from ((context, *mine) for context, mine in zip(unpack(contexts).view(np.int64).tolist(), found))
 
-    names = [f"s{i}" for i in range(GOOD_TURING + 2)]
     schema = ", ".join(["context bigint", *[f"{name} double" for name in names]])
-    rows = map_rows(pairs.filter("kind = 2").select(F.col("batch").alias("context"), "c"), run, schema)
+    rows = map_rows(pairs.filter("kind = 2").select("a", "c"), run, schema)
     sums = rows.groupBy("context").agg(*[F.sum(name).alias(name) for name in names])
-    return {row[0] & (2**64 - 1): np.array(row[1:]) for row in sums.collect()}
+    return sums.select("context", F.array(*names).alias("numbers"))
+
+
+def _sums_asked(batches: DataFrame, words: DataFrame, sums: DataFrame) -> DataFrame:
+    """batch, contexts, numbers: for each batch the sums of the hot contexts in it, one after the other.
+
+    Spark knows the size of the landed sums and decides how to join them; beyond a broadcast it
+    splits a context that most batches ask for.  A batch has no more contexts than tokens.
+    """
+    begin = batches.select("batch", F.lit(int(_BEGIN_ID.view(np.int64))).alias("context"))
+    asked = words.filter("kind = 0").select("batch", F.explode("stats").alias("context")).unionByName(begin)
+    found = asked.join(sums, "context").groupBy("batch").agg(F.collect_list(F.struct("context", "numbers")).alias("x"))
+    return found.select("batch", F.col("x.context").alias("contexts"), F.flatten("x.numbers").alias("numbers"))
 
 
 def is_training() -> Column:

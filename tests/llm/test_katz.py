@@ -64,10 +64,10 @@ def texts():
     ]
 
 
-@pytest.mark.parametrize("batch", [10**6, 40])
-def test_scores_against_dictionaries(docs, texts, batch, monkeypatch):
+@pytest.mark.parametrize(("batch", "hot"), [(10**6, 90), (40, 90), (40, 1), (10**6, 10**6)])
+def test_scores_against_dictionaries(docs, texts, batch, hot, monkeypatch):
     monkeypatch.setattr(katz, "LEAST_BUCKETS", 4)
-    monkeypatch.setattr(katz, "HOT_SHARE", 0.01)
+    monkeypatch.setattr(katz, "HOT_TOKENS", hot)
     table = docs(texts).selectExpr("*", "'x' AS batch", "1 AS train").repartition(3 if batch > 40 else 60)
     found = katz.score_documents(table).collect()
     assert len(found) == len(texts)
@@ -110,3 +110,9 @@ def test_nothing_to_learn(spark, docs):
     one = spark.createDataFrame([(None, "a b a"), (None, "a b a")], "doc_id bigint, text string")
     rows = katz.score_documents(one).collect()
     assert len(rows) == 2 and rows[0].train_tokens == 8 and rows[0].score < 0
+
+
+def test_pairs_of_a_hot_context_and_of_a_frequent_word_are_spread():
+    contexts, words = np.arange(4096, dtype=np.uint64) << np.uint64(32), np.full(4096, 5)
+    assert np.bincount(katz._spread(contexts, words, 8), minlength=256).max() < 64
+    assert np.bincount(katz._spread(contexts[:1].repeat(256), np.arange(256), 8), minlength=256).tolist() == [1] * 256
