@@ -129,7 +129,10 @@ class Store:
         self._writer(df.sortWithinPartitions(*sort) if sort else df).parquet(path)
 
     def _writer(self, df: DataFrame) -> DataFrameWriter:
-        return df.write.option("maxRecordsPerFile", self.rows_per_file)
+        # Each task moves its files into place as it ends, not the driver all of them one after another:
+        # a run is seen once it is whole, by its _SUCCESS marker, so what is there before does no harm.
+        moved_by_tasks = df.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+        return moved_by_tasks.option("maxRecordsPerFile", self.rows_per_file)
 
     def note_ranges(self, table: str, by: list[str]) -> None:
         """Note for each file of the last run the first and last values of ``by`` in it, and its rows."""

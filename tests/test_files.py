@@ -3,11 +3,13 @@
 import datetime
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from test_pipeline import deliver, person
 
 from claimloom.plans import catalog
 from claimloom.plans.pipeline import Warehouse
+from claimloom.sources.paths import Folder
 from claimloom.sources.store import Store, clustered
 
 D1, D2 = datetime.date(2024, 1, 31), datetime.date(2024, 2, 1)
@@ -110,3 +112,17 @@ def test_named_runs_are_numbered_like_others(spark, tmp_path):
     ]
     with pytest.raises(ValueError, match="later than"):
         noted("000002_backfill")
+
+
+def test_files_are_moved_into_place_by_the_tasks_that_wrote_them(spark, tmp_path, monkeypatch):
+    given, option = {}, DataFrameWriter.option
+    monkeypatch.setattr(DataFrameWriter, "option", lambda self, k, v: given.update({k: v}) or option(self, k, v))
+    store = Store(spark, str(tmp_path), rows_per_file=10)
+    store.write("t", spark.range(0, 100, 1, 2), "1")
+    assert given["mapreduce.fileoutputcommitter.algorithm.version"] == "2"
+    assert spark.read.parquet(store.path("t", "1")).count() == 100
+    # Files that a run has left without ending it are not seen, and go when it is repeated.
+    Folder(spark, store.path("t", "1")).child("_SUCCESS").delete()
+    assert store.runs("t") == []
+    store.write("t", spark.range(3), "1")
+    assert spark.read.parquet(store.path("t", store.runs("t")[-1])).count() == 3
