@@ -63,6 +63,10 @@ def _point(warehouse: Warehouse, name: str, schema: T.StructType, location: str,
     spark.sql(f"REFRESH TABLE {name}")
 
 
+def _properties(warehouse: Warehouse, name: str) -> dict[str, str]:
+    return {row.key: row.value for row in warehouse.spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+
+
 def _partitioned(
     warehouse: Warehouse,
     name: str,
@@ -90,8 +94,7 @@ def _partitioned(
     wanted = {"/".join(f"{k}={v}" for k, v in values.items()): (values, folder) for values, folder in partitions}
     there = {unquote(row[0]) for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
     kept = there & set(wanted)
-    properties = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
-    if properties.get(_ROOT) != warehouse.root:  # partitions of another warehouse, whatever their names
+    if _properties(warehouse, name).get(_ROOT) != warehouse.root:  # partitions of another warehouse, whatever their names
         kept = set()
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_ROOT}' = '{warehouse.root}')")
     for old in sorted(there - kept):
@@ -150,15 +153,16 @@ def publish_landings(warehouse: Warehouse) -> None:
     """landing.<entity>: all that has landed, a partition per date, with the columns of every date.
 
     The schema of a date is read from its files once, when the date comes; dates that are
-    there stay as they are.  A column a date lacks is NULL in it.  A column that comes with
-    another type than it has is refused.
+    there are stay as they are, unless they are those of another warehouse.  A column a date
+    lacks is NULL in it.  A column that comes with another type than it has is refused.
     """
     spark, landings = warehouse.spark, warehouse.landings
     keys = {"ingestion_date": "date", "attempt": "int"}
     for entity in ENTITIES:
         name, runs = f"landing.{entity}", landings.runs(entity)
         known = spark.table(name).schema if spark.catalog.tableExists(name) else T.StructType()
-        there = {unquote(r[0]) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()} if known.fields else set()
+        own = known.fields and _properties(warehouse, name).get(_ROOT) == warehouse.root
+        there = {unquote(r[0]) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()} if own else set()
         schema = T.StructType([f for f in known if f.name not in keys])
         parts = []
         for run in runs:

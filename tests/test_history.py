@@ -95,3 +95,15 @@ def test_events_that_do_not_fit_are_warned_of_and_skipped(spark, tmp_path, caplo
     assert [(r.log_id, r.entity) for r in log] == [(1, "claims"), (2, "claims")]
     with pytest.raises(staging.LoadError, match="has not been transformed"):
         warehouse.load_log("4")
+
+
+def test_landings_show_the_columns_of_this_warehouse_where_another_had_the_same_dates(spark, tmp_path):
+    steps = ("extraction", "transformation")
+    for root, extra in (("one", ""), ("two", ",badge")):
+        warehouse = Warehouse(spark, str(tmp_path / root))
+        people = [person(10, "F") + (",b" if extra else "")]
+        header = {"claimants.csv": FILE_HEADERS["claimants.csv"] + extra}
+        warehouse.run(deliver(tmp_path / f"in-{root}", people, headers=header), D1, D1, steps=steps)
+        catalog.create_databases(warehouse)
+        catalog.publish_landings(warehouse)
+    assert [r.badge for r in spark.table("landing.claimants").select("badge").collect()] == ["b"]
