@@ -98,15 +98,16 @@ def _typed(fields: dict[str, T.StructField], name: str, target: T.DataType) -> C
     return try_convert(trimmed(fields[name]), fields[name].dataType, target)
 
 
-def all_claims(v1: DataFrame, v2: DataFrame) -> DataFrame:
+def all_claims(v1: DataFrame, v2: DataFrame, v2_again: DataFrame | None = None) -> DataFrame:
     """Both claim files in one: v2 has the last word on claims that are in both.
 
     Claim ids of v2 are made distinct before the join, so copies there do not pile
-    up on its build side; a hot id in v1 is on the side AQE can split.
+    up on its build side; a hot id in v1 is on the side AQE can split.  They are read from
+    ``v2_again``, the same file, if ``v2`` is to be read once, as where its lines are counted.
     """
     newer = _claim_file(v2)
     older = _claim_file(v1, claim_severity=F.lit("unknown"))
-    superseded = newer.select("_match").filter(F.col("_match").isNotNull()).distinct()
+    superseded = _claim_file(v2 if v2_again is None else v2_again).select("_match").filter(F.col("_match").isNotNull()).distinct()
     only_older = older.join(superseded, "_match", "left_anti")
     return newer.unionByName(only_older, allowMissingColumns=True).drop("_match")
 

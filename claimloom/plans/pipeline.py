@@ -15,7 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,15 +128,21 @@ class Warehouse:
         return deliveries.scan_raw(self.spark, self.raw, ingestion_date, list(FILE_ENTITY))
 
     @staticmethod
-    def transformed(scans: dict[str, DataFrame], as_of: datetime.date, work: str) -> dict[str, DataFrame]:
-        """The entities of one date.  Claims still hold those without a policy."""
+    def transformed(
+        scans: dict[str, DataFrame], as_of: datetime.date, work: str, claims_v2_again: DataFrame | None = None
+    ) -> dict[str, Callable[[], DataFrame]]:
+        """What makes the entities of one date.  Claims still hold those without a policy.
+
+        Every scan is read once if ``claims_v2_again`` gives the ids of claims_v2.csv anew.
+        """
         raw = {name: deliveries.well_formed(scan) for name, scan in scans.items()}
+        again = None if claims_v2_again is None else deliveries.well_formed(claims_v2_again)
         return {
-            "claimants": entities.claimants(raw["claimants.csv"], as_of, f"{work}/claimants"),
-            "claims": entities.all_claims(raw["claims_v1.csv"], raw["claims_v2.csv"]),
-            "employers": entities.employers(raw["employers.csv"], as_of, f"{work}/employers"),
-            "payments": entities.payments(raw["payments.csv"]),
-            "policies": entities.policies(raw["policies.csv"], as_of, f"{work}/policies"),
+            "claimants": partial(entities.claimants, raw["claimants.csv"], as_of, f"{work}/claimants"),
+            "claims": partial(entities.all_claims, raw["claims_v1.csv"], raw["claims_v2.csv"], again),
+            "employers": partial(entities.employers, raw["employers.csv"], as_of, f"{work}/employers"),
+            "payments": partial(entities.payments, raw["payments.csv"]),
+            "policies": partial(entities.policies, raw["policies.csv"], as_of, f"{work}/policies"),
         }
 
     def transform(self, ingestion_date: datetime.date, as_of: datetime.date, result: RunResult) -> None:
@@ -145,13 +151,23 @@ class Warehouse:
         registry = self.store.read("schema_registry", evolution.REGISTRY_SCHEMA, before=run)
         try:
             scans = self.delivered(ingestion_date)
-            transformed = self.transformed(scans, as_of, work)
-            columns = {entity: rows.columns for entity, rows in transformed.items()}
-            delivered = evolution.delivered_columns(self.spark, columns, ingestion_date)
+            # Lines for the quarantine are counted as the entities read them: files without any are not read again.
+            keys = {name: entities.delivered_key(scan, FILE_ENTITY[name]) for name, scan in scans.items()}
+            counted = {name: deliveries.count_faults(scan, keys[name]) for name, scan in scans.items()}
+            read = {name: scan for name, (scan, _) in counted.items()}
+            transformed = self.transformed(read, as_of, work, scans["claims_v2.csv"])
             landings = [partial(self._land, e, rows, ingestion_date, result) for e, rows in transformed.items()]
-            at_once([partial(self._quarantine, scans, ingestion_date, result), *landings])
+            try:
+                columns = dict(zip(transformed, at_once(landings)))
+            except Exception:
+                self._quarantine(scans, keys, ingestion_date, result)
+                raise
+            # A count that is not known, as Spark has left out its scan, is looked for.
+            faulty = {name: scan for name, scan in scans.items() if counted[name][1].get.get("n", 1)}
+            self._quarantine(faulty, keys, ingestion_date, result)
         finally:
             Folder(self.spark, work).delete()
+        delivered = evolution.delivered_columns(self.spark, columns, ingestion_date)
         # The load reads the events from here, whoever runs it.
         self.store.write("schema_changes", evolution.changes(registry, delivered), run)
         self.store.write("schema_registry", evolution.registry_after(registry, delivered), run)
@@ -172,13 +188,17 @@ class Warehouse:
         """entity, columns, as_of: what was last delivered of each entity up to a day."""
         return evolution.columns_as_of(self.store.read_all("schema_snapshots", evolution.SNAPSHOT_SCHEMA), day)
 
-    def _quarantine(self, scans: dict[str, DataFrame], ingestion_date: datetime.date, result: RunResult) -> None:
-        """Keep the lines that no entity takes, and count them per delivered file name."""
-        parts = [
-            deliveries.quarantine(scan, name, ingestion_date, entities.delivered_key(scan, FILE_ENTITY[name]))
-            for name, scan in scans.items()
-        ]
-        self.store.write("quarantine", reduce(DataFrame.union, parts), result.run_id)
+    def _quarantine(
+        self,
+        scans: dict[str, DataFrame],
+        keys: dict[str, Column | None],
+        ingestion_date: datetime.date,
+        result: RunResult,
+    ) -> None:
+        """Keep the lines of some files that no entity takes, and count them per delivered file name."""
+        parts = [deliveries.quarantine(scan, name, ingestion_date, keys[name]) for name, scan in scans.items()]
+        found = reduce(DataFrame.union, parts) if parts else no_rows(self.spark, deliveries.QUARANTINE_SCHEMA)
+        self.store.write("quarantine", found, result.run_id)
         kept = self.store.read_run("quarantine", deliveries.QUARANTINE_SCHEMA, result.run_id)
         result.quarantined = {r.name: r["count"] for r in kept.groupBy("name").count().collect()}
         for name, count in sorted(result.quarantined.items()):
@@ -195,7 +215,12 @@ class Warehouse:
             raise staging.LoadError(f"run {run} has not been transformed")
         return found
 
-    def _land(self, entity: str, rows: DataFrame, ingestion_date: datetime.date, result: RunResult) -> None:
+    def _land(
+        self, entity: str, make: Callable[[], DataFrame], ingestion_date: datetime.date, result: RunResult
+    ) -> list[str]:
+        """Land what ``make`` returns; the columns it has."""
+        rows = make()
+        columns = rows.columns
         if entity == "claims":
             no_policy = Observation("claims_without_policy")
             rows = rows.observe(no_policy, F.count_if(F.col("policy_id").isNull()).alias("n"))
@@ -223,6 +248,7 @@ class Warehouse:
                 + "; ".join(f"{r[STAGING[entity].fieldNames()[0]]}: {', '.join(r.faults)}" for r in shown)
             )
         self.landings.drop_replaced(entity)
+        return columns
 
     def load_dimension(self, spec: Dimension, ingestion_date: datetime.date, as_of: datetime.date, run: str) -> None:
         path, store = work_folder(self.spark, spec.name), self.store

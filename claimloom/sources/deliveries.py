@@ -17,7 +17,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyarrow import fs
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -286,16 +286,26 @@ def well_formed(scan: DataFrame) -> DataFrame:
     return scan.filter(F.col(LINE).isNull() & any_row).drop(LINE, FILE)
 
 
+def _fault(key: Column | None) -> Column:
+    """Why no entity takes a line, NULL if one does."""
+    malformed = F.when(F.col(LINE).isNotNull(), F.lit("not as many fields as the header"))
+    return malformed if key is None else malformed.when(key.isNull(), F.lit("no readable key"))
+
+
+def count_faults(scan: DataFrame, key: Column | None = None) -> tuple[DataFrame, Observation]:
+    """The scan, with the number ``n`` of lines for the quarantine counted as something else reads it."""
+    seen = Observation()
+    return scan.observe(seen, F.count(_fault(key)).alias("n")), seen
+
+
 def quarantine(scan: DataFrame, name: str, ingestion_date: datetime.date, key: Column | None = None) -> DataFrame:
     """Lines of a delivered file that no entity takes: malformed ones and, where ``key`` is given, those it is NULL for.
 
     A malformed line is as it was delivered, another one is written anew from its fields.
     """
     delivered = [c for c in scan.columns if c not in (LINE, FILE)]
-    malformed = F.when(F.col(LINE).isNotNull(), F.lit("not as many fields as the header"))
-    fault = malformed if key is None else malformed.when(key.isNull(), F.lit("no readable key"))
     line = F.coalesce(LINE, F.to_csv(F.struct(*[F.col(f"`{c}`") for c in delivered])))
-    found = scan.select(F.col(FILE).alias("file"), line.alias("line"), fault.alias("fault")).filter("fault IS NOT NULL")
+    found = scan.select(F.col(FILE).alias("file"), line.alias("line"), _fault(key).alias("fault")).filter("fault IS NOT NULL")
     own = {"name": F.lit(name), "entity": F.lit(FILE_ENTITY[name]), "ingestion_date": F.lit(ingestion_date)}
     return found.withColumns(own).select(*QUARANTINE_SCHEMA.fieldNames())
 

@@ -3,10 +3,11 @@
 import datetime
 import os
 
+import pytest
 from test_pipeline import T, deliver, person
 
 from claimloom.plans import catalog
-from claimloom.plans.pipeline import Warehouse
+from claimloom.plans.pipeline import StepError, Warehouse
 from claimloom.schemas import FILE_HEADERS
 from claimloom.sources import deliveries
 
@@ -65,3 +66,28 @@ def test_parts_of_one_file_and_days_are_told_apart(spark, tmp_path):
     warehouse.run("", D2, D2, row_floor=1, steps=("loading",))
     catalog.publish(warehouse, D2)
     assert spark.sql("SELECT count(*) FROM staging.quarantine GROUP BY run ORDER BY 1").collect() == [(1,), (2,)]
+
+
+def test_files_without_faulty_lines_are_not_read_for_the_quarantine(spark, tmp_path, monkeypatch):
+    read = []
+    quarantine = deliveries.quarantine
+    monkeypatch.setattr(deliveries, "quarantine", lambda scan, name, *rest: read.append(name) or quarantine(scan, name, *rest))
+    warehouse = Warehouse(spark, str(tmp_path / "root"))
+    steps = ("extraction", "transformation")
+    people = [person(10, "F"), person("x7", "F")]
+    inbox = deliver(tmp_path / "in", people, claims2=["5,cut off"])
+    result = warehouse.run(inbox, D1, D1, steps=steps)
+    assert sorted(read) == ["claimants.csv", "claims_v2.csv"]
+    assert result.quarantined == {"claimants.csv": 1, "claims_v2.csv": 1} and result.landed_rows["claims"] == 2
+    read.clear()
+    assert warehouse.run(deliver(tmp_path / "in", people[:1]), D2, D2, steps=steps).quarantined == {}
+    assert read == [] and warehouse.quarantine().count() == 2
+
+
+def test_lines_are_kept_apart_where_a_landing_fails(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "root"))
+    without_key = f",11,100,2024-01-07,2024-01-08,medical,CLOSED,20,10,{T},{T},high"
+    inbox = deliver(tmp_path / "in", [person(10, "F"), "11,cut off"], claims2=[without_key])
+    with pytest.raises(StepError, match="claims: 1 rows do not fit"):
+        warehouse.run(inbox, D1, D1, steps=("extraction", "transformation"))
+    assert [r.line for r in warehouse.quarantine().collect()] == ["11,cut off"]
