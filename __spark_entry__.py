@@ -351,17 +351,23 @@ def _two_days(
     """
     warehouse = Warehouse(spark, work_folder(spark, "warehouse"), rows_per_file)
     inboxes = [work_folder(spark, f"inbox{day}") for day in (1, 2)]
+
+    def some(day: int, *wanted: str, earlier: RunResult | None = None) -> RunResult:
+        date = (DAY1, DAY2)[day - 1]
+        chosen = tuple(step for step in wanted if step in steps)
+        return warehouse.run(inboxes[day - 1], date, date, steps=chosen, earlier=earlier)
+
+    def second_comes_in() -> None:
+        _deliver(spark, sf_dir, inboxes[1], 2, email=email)
+        some(2, "extraction")
+
+    # The steps of each run follow one another; those of the second go on beside those of the first.
     _deliver(spark, sf_dir, inboxes[0], 1, currency=False)
-    # The second delivery comes in while the first is taken in.
-    first, _ = at_once(
-        [
-            partial(warehouse.run, inboxes[0], DAY1, DAY1, steps=steps),
-            partial(_deliver, spark, sf_dir, inboxes[1], 2, email=email),
-        ]
-    )
+    first, _ = at_once([partial(some, 1, "extraction", "transformation"), second_comes_in])
+    _, second = at_once([partial(some, 1, "loading", earlier=first), partial(some, 2, "transformation")])
     if email:
         warehouse.columns.add("warehouse.dim_claimant", "email", "string")
-    second = warehouse.run(inboxes[1], DAY2, DAY2, steps=steps)
+    some(2, "loading", earlier=second)
     if results is not None:
         results += [first, second]
     return warehouse

@@ -362,17 +362,20 @@ class Warehouse:
         run_id: str | None = None,
         row_floor: int = quality.ROW_FLOOR,
         steps: tuple[str, ...] = STEPS,
+        earlier: RunResult | None = None,
     ) -> RunResult:
         """The four steps in order, or some of them.
 
         ``ingestion_date`` names the delivery, ``as_of`` is the day versions open and
         close on; both default to today.  ``run_id`` names the run; see ``Warehouse.run_id``.
+        ``earlier`` is what the steps before have returned: the same run goes on, though another
+        may have been transformed since.  So one delivery can be loaded while the next is taken in.
         """
         if not inbox and "extraction" in steps:
             raise ValueError("inbox is required: the folder the delivery lies in")
         as_of = as_of or datetime.date.today()
         ingestion_date = ingestion_date or as_of
-        result = RunResult(self.run_id(ingestion_date, as_of, run_id))
+        result = earlier or RunResult(self.run_id(ingestion_date, as_of, run_id))
         work = {
             "extraction": lambda: self.extract(inbox, ingestion_date, result),
             "transformation": lambda: self.transform(ingestion_date, as_of, result),

@@ -94,6 +94,22 @@ def test_tables_after_two_days(two_days):
     ]
 
 
+def test_a_delivery_is_loaded_after_the_next_was_transformed(two_days, spark, tmp_path):
+    _, inbox2, first, second = two_days
+    taken_in, rest = ("extraction", "transformation"), ("loading", "checks")
+    warehouse = Warehouse(spark, str(tmp_path / "root"))
+    one = warehouse.run(deliver(tmp_path / "in1", [person(10, "F"), person(11, "")]), D1, D1, steps=taken_in)
+    two = warehouse.run(inbox2, D2, D2, steps=taken_in)
+    assert warehouse.run("", D1, D1, row_floor=2, steps=rest, earlier=one) is one
+    assert warehouse.run("", D2, D2, row_floor=2, steps=rest, earlier=two) is two
+    for result, want in ((one, first), (two, second)):
+        assert (result.run_id, result.landed_rows, result.placed_rows) == (want.run_id, want.landed_rows, want.placed_rows)
+        assert result.evolution_events == want.evolution_events and result.checks == want.checks
+    assert warehouse.store.runs("fact_claim") == [first.run_id, second.run_id]
+    versions = warehouse.table("dim_claimant").select("claimant_key", "claimant_id", "gender", "is_current")
+    assert content(versions) == content(two_days[0].table("dim_claimant").select(versions.columns))
+
+
 def test_repeating_a_run_changes_nothing(two_days):
     warehouse, inbox2, _, second = two_days
 
