@@ -26,7 +26,7 @@ import numpy as np
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from claimloom.llm.common import Scratch, columns, map_rows
 
@@ -35,7 +35,8 @@ _BLOCK_BITS = 512
 _LONG_WORD = 64
 _MARK = b"\x01"  # stands between words that are encoded in one call
 _CALL_BYTES = 1 << 16
-_PUNCTUATED = re.compile(rb"(?<=[a-z])(?=[,.;:!?])")
+_PUNCTUATED = re.compile(rb"([!-&(-/:-@\[-^`{-~])(?<=[a-z].)")  # but for ' and _, which may go on a word
+_LATIN = "".join(c for c in map(chr, [*range(0x61, 0x7B), *range(0xDF, 0x180)]) if c.islower())
 #: Words a worker keeps the ids of, some 100 bytes each with their ids.
 KEPT_IDS = 500_000
 
@@ -126,9 +127,10 @@ class WordEncoder:
 
     White space ends every match of this kind of tokenizer and leaves no token itself, so
     the ids of a text are those of its words one after another.  Words that come again
-    are looked up; new ones go to the library: words of a-z straight to its model, others
-    many at a time.  Words of letters alone are one match each and end with a token that
-    ends a word; between others stands a mark.
+    are looked up; new ones go to the library many at a time.  Words of letters alone are
+    one match each and end with a token that ends a word; between others stands a mark.
+    Words of lower-case Latin letters, which its normaliser and splitter leave as they are,
+    go straight to its model, written in the letters that the splitter hands on.
 
     If the library lower-cases, capitals A-Z are lowered first; and a blank is put between
     a letter a-z and the punctuation after it, where a match ends anyway.  Both make more
@@ -152,28 +154,43 @@ class WordEncoder:
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
 
-        # A word of letters a-z that passes through normaliser and splitter as it is goes to
-        # the model at once; the probe holds every two letters side by side.
-        probe = "".join(a + b for a in letters.lower() for b in letters.lower())
+        # A word of letters that pass through normaliser and splitter as they are goes to the
+        # model at once; the probe holds every two letters side by side.
         splitter = self._library.pre_tokenizer
-        pieces = [piece for piece, _ in splitter.pre_tokenize_str(probe)] if splitter is not None else []
-        self._direct = pieces == [probe] and (normal is None or normal.normalize_str(probe) == probe)
-        self._model = self._library.model
-        self._bytes = [struct.pack("<I", i) for i in range(len(self._ends))]
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self._library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-
-    def _together(self, words: list[bytes], between: bytes) -> None:
-        """Learn words in calls of about _CALL_BYTES, if their ids can be told apart."""
+        self._written: dict[int, str] = {}
+        for candidates in (_LATIN, letters.lower()) if self._ends.any() and splitter is not None else ():
+            written = {c: "".join(piece for piece, _ in splitter.pre_tokenize_str(c)) for c in candidates}
+            probe = "".join(a + b for a in candidates for b in candidates)
+            pieces = [piece for piece, _ in splitter.pre_tokenize_str(probe)]
+            whole = pieces == ["".join(map(written.__getitem__, probe))] and len(pieces[0].split()) == 1
+            if whole and (normal is None or normal.normalize_str(probe) == probe):
+                self._written = {ord(c): text for c, text in written.items()}
+                break
+        self._letters = re.compile(f"[{''.join(map(chr, self._written))}]+" if self._written else r"(?!)")
+        self._as_is = all(self._written.get(ord(c)) == c for c in letters.lower())
+        self._straight = Tokenizer(self._library.model)
+        self._straight.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+
+    def _ids(self, text: str, library: Tokenizer | None = None) -> np.ndarray:
+        ids = (library or self._library).encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return np.array(ids, np.uint32)
+
+    def _together(
+        self, words: list[bytes], between: str, texts: list[str] | None = None, library: Tokenizer | None = None
+    ) -> None:
+        """Learn words in calls of about _CALL_BYTES, if their ids can be told apart; ``texts`` is what is encoded for them."""
         start = 0
         while start < len(words):
             call, size = start, 0
             while call < len(words) and size < _CALL_BYTES:
                 size += len(words[call])
                 call += 1
-            ids = self._ids(between.join(words[start:call]).decode("utf-8", "replace"))
-            if between == b" ":
+            if texts is None:
+                text = between.encode().join(words[start:call]).decode("utf-8", "replace")
+            else:
+                text = between.join(texts[start:call])
+            ids = self._ids(text, library)
+            if between == " ":
                 ends = np.flatnonzero(self._ends[ids]) + 1
                 starts = np.append(0, ends[:-1])
             else:
@@ -181,22 +198,26 @@ class WordEncoder:
                 starts, ends = np.append(0, marks + 1), np.append(marks, len(ids))
             data = ids.astype("<u4").tobytes()
             if len(ends) == call - start and len(ids):
-                for word, low, high in zip(words[start:call], starts.tolist(), ends.tolist()):
-                    self._known[word] = data[4 * low : 4 * high]
+                found = map(slice, (4 * starts).tolist(), (4 * ends).tolist())
+                self._known.update(zip(words[start:call], map(data.__getitem__, found)))
             start = call
 
     def _learn(self, words: set[bytes]) -> None:
         known = self._known
         short = [w for w in words if len(w) <= _LONG_WORD]
-        if self._direct:
-            split, ids = self._model.tokenize, self._bytes
-            for word in [w for w in short if w.isalpha() and w.islower()]:
-                known[word] = b"".join([ids[token.id] for token in split(word.decode())])
+        if self._as_is:
+            plain = [w for w in short if w.isalpha() and w.islower()]
+            self._together(plain, " ", library=self._straight)
             short = [w for w in short if w not in known]
+        texts = [w.decode("utf-8", "replace") for w in short]
+        if self._written:
+            straight = [(w, t.translate(self._written)) for w, t in zip(short, texts) if self._letters.fullmatch(t)]
+            self._together([w for w, _ in straight], " ", [t for _, t in straight], self._straight)
         if self._ends.any():
-            self._together([w for w in short if w.isalpha() or w.decode("utf-8", "replace").isalpha()], b" ")
+            self._together([w for w, t in zip(short, texts) if w not in known and t.isalpha()], " ")
         if len(self._mark) == 1:
-            self._together([w for w in short if w not in known and _MARK not in w], b" " + _MARK + b" ")
+            between = f" {_MARK.decode()} "
+            self._together([w for w in short if w not in known and _MARK not in w], between)
         for word in words.difference(known):  # long words, and those that cannot be told apart
             known[word] = self._ids(word.decode("utf-8", "replace")).astype("<u4").tobytes()
 
@@ -204,7 +225,7 @@ class WordEncoder:
         low = text.lower()
         if any(token in low for token in self._added):
             return text.split()
-        return _PUNCTUATED.sub(b" ", low if self._lowers else text).split()
+        return _PUNCTUATED.sub(rb" \1", low if self._lowers else text).split()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """For each text its ids as little-endian uint32."""

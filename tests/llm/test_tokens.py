@@ -78,6 +78,20 @@ def test_words_encode_as_the_whole_text(words, odd_texts):
         assert ids == words.encode(text, add_special_tokens=False).ids, text[:80]
 
 
+def test_latin_words_do_not_need_the_whole_library(words):
+    rng = np.random.default_rng(5)
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    latin_letters = [c for c in map(chr, [*range(0x61, 0x7B), *range(0xDF, 0x180)]) if c.islower()]
+    latin = ["".join(rng.choice(latin_letters, n)) for n in rng.integers(1, 12, 400)]
+    texts = ["".join(f"{a}{m}{b}{m}{m} " for m, a, b in zip(marks * 10, latin, reversed(latin))), *latin]
+    encoder = token_store.WordEncoder(WORDS)
+    for text, ids in zip(texts, encoder.encode([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == words.encode(text, add_special_tokens=False).ids, text[:80]
+    encoder.encode(["a***".encode()])
+    encoder._library = None
+    assert encoder.encode(["déjà mot*** œuvre łódź".encode()])[0]
+
+
 def test_codes_give_any_token():
     rng = np.random.default_rng(3)
     for ids in ([], [0], [255, 256, 65535, 65536, 2**32 - 1], rng.integers(0, 70_000, 5000).tolist()):
