@@ -38,7 +38,7 @@ from claimloom.schemas import (  # noqa: E402
     Dimension,
 )
 from claimloom.sources import deliveries  # noqa: E402
-from claimloom.sources.paths import land, work_folder  # noqa: E402
+from claimloom.sources.paths import Folder, land, work_folder  # noqa: E402
 from claimloom.sources.store import Store  # noqa: E402
 
 try:  # the operators of a training-data pipeline are there or not
@@ -48,6 +48,8 @@ except ImportError:
     corpus_pipeline = llm_queries = None
 
 DAY1, DAY2 = oracle.DAY1, oracle.DAY2
+#: Rows in a part of a delivered file.
+PART_ROWS = 250_000
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -285,6 +287,12 @@ def _damaged(df: DataFrame) -> DataFrame:
     return df.select(F.array_join(cut.otherwise(fields), ",").alias(",".join(df.columns)))
 
 
+def _write_csv(df: DataFrame, path: str, **options: str) -> None:
+    """A delivered file as a folder of compressed parts; as none can be split, they are small."""
+    parts = df.write.option("header", True).option("maxRecordsPerFile", PART_ROWS)
+    parts.option("zlib.compress.level", "BEST_SPEED").options(**options).csv(path, compression="gzip")
+
+
 def _deliver(
     spark: SparkSession,
     sf_dir: str,
@@ -303,10 +311,10 @@ def _deliver(
             df = df.withColumn("currency", F.lit("USD"))
         if name == "claimants" and email:
             df = df.withColumn("email", F.concat(F.lit("c"), "claimant_id", F.lit("@x")))
-        write = df.write
+        options = {}
         if name == "payments" and damaged:
-            write = _damaged(df).write.option("sep", "\x01").option("quote", "")
-        writes.append(partial(write.option("header", True).csv, f"{inbox}/{name}.csv"))
+            df, options = _damaged(df), {"sep": "\x01", "quote": ""}
+        writes.append(partial(_write_csv, df, f"{inbox}/{name}.csv", **options))
     at_once(writes)
 
 
@@ -357,13 +365,18 @@ def _two_days(
         chosen = tuple(step for step in wanted if step in steps)
         return warehouse.run(inboxes[day - 1], date, date, steps=chosen, earlier=earlier)
 
+    def copied(day: int) -> RunResult:
+        result = some(day, "extraction")
+        Folder(spark, inboxes[day - 1]).delete()  # what comes next reads the copy in raw
+        return result
+
     def second_comes_in() -> None:
         _deliver(spark, sf_dir, inboxes[1], 2, email=email)
-        some(2, "extraction")
+        copied(2)
 
     # The steps of each run follow one another; those of the second go on beside those of the first.
     _deliver(spark, sf_dir, inboxes[0], 1, currency=False)
-    first, _ = at_once([partial(some, 1, "extraction", "transformation"), second_comes_in])
+    first, _ = at_once([lambda: some(1, "transformation", earlier=copied(1)), second_comes_in])
     _, second = at_once([partial(some, 1, "loading", earlier=first), partial(some, 2, "transformation")])
     if email:
         warehouse.columns.add("warehouse.dim_claimant", "email", "string")

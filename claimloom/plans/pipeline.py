@@ -24,7 +24,7 @@ from claimloom.plans import entities, facts, views
 from claimloom.plans.columns import ColumnLog
 from claimloom.schemas import CLUSTER_COLUMNS, DIMENSIONS, FILE_ENTITY, SORT_COLUMNS, STAGING, WAREHOUSE, Dimension, no_rows
 from claimloom.sources import deliveries
-from claimloom.sources.paths import Folder, work_folder
+from claimloom.sources.paths import Folder, shuffles_removed, work_folder
 from claimloom.sources.store import Store, clustered, run_name
 
 log = logging.getLogger("claimloom.pipeline")
@@ -381,14 +381,15 @@ class Warehouse:
             "transformation": lambda: self.transform(ingestion_date, as_of, result),
             "loading": lambda: self.load(ingestion_date, as_of, result),
         }
-        for name, step in work.items():
-            if name not in steps:
-                continue
-            try:
-                step()
-            except Exception as error:
-                raise StepError(f"{name} failed: {error}") from error
-            log.info("%s done", name)
-        if "checks" in steps:
-            result.checks = self.check(result.run_id, as_of, row_floor)
+        with shuffles_removed(self.spark):
+            for name, step in work.items():
+                if name not in steps:
+                    continue
+                try:
+                    step()
+                except Exception as error:
+                    raise StepError(f"{name} failed: {error}") from error
+                log.info("%s done", name)
+            if "checks" in steps:
+                result.checks = self.check(result.run_id, as_of, row_floor)
         return result

@@ -1,7 +1,8 @@
 """Deliveries: folders of CSV files, their contract check, raw copy and reading.
 
 A delivered file is ``<name>.csv``, or for large entities a folder of that name with
-part files in it; every part carries its own header.
+part files in it; every part carries its own header.  Parts may be compressed, as their
+names say (``.csv.gz``): they are copied as they are and read as Spark reads such files.
 """
 
 from __future__ import annotations
@@ -122,7 +123,7 @@ def _open(path: str, settings: dict[str, str] | None = None) -> tuple[fs.FileSys
 def _first_line(path: str, settings: dict[str, str] | None = None) -> str:
     file_system, name = _open(path, settings)
     line = b""
-    with file_system.open_input_stream(name) as stream:
+    with file_system.open_input_stream(name, compression="detect") as stream:  # by the end of the name
         while b"\n" not in line:
             block = stream.read(65536)
             if not block:
@@ -145,11 +146,13 @@ def _copy(source: str, target: str, settings: dict[str, str] | None = None) -> t
     unfinished = f"{folder}/_{name}.{uuid.uuid4().hex}"
     digest, size = hashlib.md5(), 0
     to_fs.create_dir(folder, recursive=True)
-    with from_fs.open_input_stream(from_name) as read, to_fs.open_output_stream(unfinished) as write:
-        while block := read.read(CHUNK_BYTES):
-            digest.update(block)
-            size += len(block)
-            write.write(block)
+    # Byte for byte: a compressed file is not unpacked on its way.
+    with from_fs.open_input_stream(from_name, compression=None) as read:
+        with to_fs.open_output_stream(unfinished, compression=None) as write:
+            while block := read.read(CHUNK_BYTES):
+                digest.update(block)
+                size += len(block)
+                write.write(block)
     if to_fs.get_file_info(to_name).type == fs.FileType.File:
         to_fs.delete_file(unfinished)
     else:

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +80,31 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+_SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_open_blocks: dict[SparkSession, list] = {}  # how many, and the setting before the first
+_lock = threading.Lock()
+
+
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """In here the shuffle files of a query go as it ends, not when the driver happens to collect its garbage.
+
+    Several blocks may be open at a time; the session is as it was once all of them are closed.
+    """
+    with _lock:
+        block = _open_blocks.setdefault(spark, [0, spark.conf.get(_SHUFFLES_GO, None)])
+        block[0] += 1
+        spark.conf.set(_SHUFFLES_GO, "true")
+    try:
+        yield
+    finally:
+        with _lock:
+            block[0] -= 1
+            if not block[0]:
+                before = _open_blocks.pop(spark)[1]
+                spark.conf.unset(_SHUFFLES_GO) if before is None else spark.conf.set(_SHUFFLES_GO, before)
+
+
 def land(df: DataFrame, path: str) -> DataFrame:
     """Write an intermediate table and go on from its files."""
     df.write.mode("overwrite").parquet(path)
