@@ -472,13 +472,15 @@ def _run_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = Warehouse(spark, work_folder(spark, "warehouse"))
     inbox, broken = work_folder(spark, "inbox"), work_folder(spark, "broken")
     _deliver(spark, sf_dir, inbox)
-    fx.source(spark, sf_dir, "payments").drop("claim_id").write.option("header", True).csv(f"{broken}/payments.csv")
+    _write_csv(fx.source(spark, sf_dir, "payments").drop("claim_id"), f"{broken}/payments.csv")
     rows = []
     for case, folder, floor in (("no inbox", "", 1), ("broken delivery", broken, 1), ("whole run", inbox, 10**9)):
         try:
             warehouse.run(folder, DAY1, DAY1, row_floor=floor)
         except (ValueError, StepError, quality.QualityError) as error:
             rows.append((case, str(error).split(" (")[0].split("; failed: ")[-1]))
+        if folder:
+            Folder(spark, folder).delete()  # not needed any more
     ids = [warehouse.run_id(DAY1, DAY1), warehouse.run_id(DAY1, DAY1, "backfill"), warehouse.run_id(DAY2, DAY2)]
     rows.append(("run ids", ", ".join(ids)))
     last = warehouse.check_trend().filter("result = 'FAIL'").select("check_name").collect()

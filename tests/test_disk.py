@@ -122,3 +122,11 @@ def test_a_delivery_is_compressed_and_goes_once_it_is_copied(spark, tables, monk
     payments = [p for p in raw if "payments.csv" in p.parts]
     lines = {p: len(gzip.open(p).readlines()) - 1 for p in payments}
     assert max(lines.values()) <= 100 and sum(lines.values()) == 2 * 180
+
+
+def test_outcomes_of_runs_leave_no_deliveries(spark, tables):
+    shared = Path(shared_folder(spark).removeprefix("file:"))
+    before = {*shared.glob("inbox*"), *shared.glob("broken*")}
+    outcomes = {r.case_name: r.outcome for r in entry._run_outcomes(spark, tables).collect()}
+    assert "missing columns ['claim_id']" in outcomes["broken delivery"]
+    assert {*shared.glob("inbox*"), *shared.glob("broken*")} == before
